@@ -91,17 +91,24 @@ def score_choice(
     return F.when(col(predicted).isNotNull(), made)
 
 
-def score_math(predicted: Column | str, gold: Column | str) -> Column:
-    """Numeric answer within one percent, or equal text when a number is missing."""
-    p, g = number(predicted), number(gold)
+def score_math(
+    predicted: Column | str,
+    gold: Column | str,
+    predicted_number: Column | str | None = None,
+    gold_number: Column | str | None = None,
+) -> Column:
+    """Numeric answer within one percent, or equal text when a number is missing.
+
+    The two numbers are used many times. Pass columns that hold them, as ``evaluate`` does, so that
+    the patterns run once per row.
+    """
+    p = number(predicted) if predicted_number is None else col(predicted_number)
+    g = number(gold) if gold_number is None else col(gold_number)
     numeric = p.isNotNull() & g.isNotNull()
     limit = F.when(g != 0, F.abs(g) * TOLERANCE).otherwise(F.lit(TOLERANCE))
     away = F.abs(p - g)
     p_text, g_text = F.lower(strip(predicted)), F.lower(strip(gold))
     score = F.when(numeric, mark(away <= limit)).otherwise(mark(p_text == g_text))
-    far = F.format_string(
-        "✗ Difference (%s) exceeds tolerance (%s)", fixed(away, 4), fixed(limit, 4)
-    )
     made = F.struct(
         score.alias("score"),
         F.lit("accuracy").alias("metric"),
@@ -110,16 +117,30 @@ def score_math(predicted: Column | str, gold: Column | str) -> Column:
         g.alias("gold_number"),
         F.when(~numeric, p_text).alias("predicted_text"),
         F.when(~numeric, g_text).alias("gold_text"),
+        F.when(numeric, away).alias("difference"),
         F.when(numeric, limit).alias("tolerance"),
-        F.when(numeric, exact_round(away, 4)).alias("absolute_difference"),
-        F.when(numeric, exact_round(limit, 4)).alias("rounded_tolerance"),
-        F.when(numeric & (score == 1.0), "✓ Within tolerance!")
+    )
+    return F.when(col(predicted).isNotNull(), made)
+
+
+def explain_math(scored: Column) -> Column:
+    """Rounded values and the sentence shown beside a :func:`score_math` result."""
+    far = F.format_string(
+        "✗ Difference (%s) exceeds tolerance (%s)",
+        fixed(scored.difference, 4),
+        fixed(scored.tolerance, 4),
+    )
+    right, numeric = scored.score == 1.0, scored.method == "numeric_match"
+    made = F.struct(
+        exact_round(scored.difference, 4).alias("absolute_difference"),
+        exact_round(scored.tolerance, 4).alias("tolerance"),
+        F.when(numeric & right, "✓ Within tolerance!")
         .when(numeric, far)
-        .when(score == 1.0, "✓ Exact match!")
+        .when(right, "✓ Exact match!")
         .otherwise("✗ Strings don't match")
         .alias("interpretation"),
     )
-    return F.when(col(predicted).isNotNull(), made)
+    return F.when(scored.isNotNull(), made)
 
 
 def code_parts(predicted: Column | str, gold: Column | str) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lantern.functions.overlap import score_summary, summary_scores
 from lantern.functions.scoring import (
+    explain_math,
+    number,
     score_choice,
     score_code,
     score_exact,
@@ -46,10 +48,9 @@ def evaluate(
     def only(name: str, scored: Column) -> Column:
         return F.when(F.col("_family") == name, scored)
 
-    scored = df.withColumn("_family", family).withColumns(
+    scored = with_math_score(df.withColumn("_family", family), predicted, gold, "_math", only).withColumns(
         {
             "_choice": only("choice", score_choice(predicted, gold, choices)),
-            "_math": only("math", score_math(predicted, gold)),
             "_code": only("code", score_code(predicted, gold)),
             "_exact": only("exact", score_exact(predicted, gold)),
         }
@@ -71,6 +72,24 @@ def evaluate(
     )
 
 
+def with_math_score(
+    df: DataFrame,
+    predicted: str = "predicted_answer",
+    gold: str = "gold_answer",
+    name: str = "math",
+    only: Callable[[str, Column], Column] = lambda _, c: c,
+) -> DataFrame:
+    """``df`` plus the numeric score, in steps: numbers first, so that each pattern runs once."""
+    numbers = {"_p": only("math", number(predicted)), "_g": only("math", number(gold))}
+    scored = only("math", score_math(predicted, gold, "_p", "_g"))
+    return df.withColumns(numbers).withColumn(name, scored).drop("_p", "_g")
+
+
+def with_math_explanation(df: DataFrame, scored: str = "math", name: str = "explanation") -> DataFrame:
+    """The explanation beside a numeric score, kept out of the scoring plan unless it is wanted."""
+    return df.withColumn(name, explain_math(F.col(scored)))
+
+
 def accuracy(df: DataFrame, by: Sequence[str], totals: bool = False) -> DataFrame:
     """Rows, scored rows and mean score per group, optionally with subtotals (A1)."""
     grouped = df.rollup(*by) if totals else df.groupBy(*by)

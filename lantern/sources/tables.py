@@ -79,11 +79,14 @@ def append_history(scored: DataFrame, path: str, run: str) -> None:
     scored.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)
 
 
+CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def export(df: DataFrame, path: str, kind: str) -> str:
     """Results as CSV with a header or as JSON lines (A4)."""
     if kind == "csv":
-        # line breaks and quotes inside a text survive only if quoted and escaped by the quote itself
-        df.write.mode("overwrite").option("escape", '"').csv(path, header=True)
+        # a text survives whole only with its quotes doubled and the white space at its ends kept
+        df.write.mode("overwrite").options(**CSV).csv(path, header=True)
     elif kind == "json":
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     else:
@@ -93,4 +96,4 @@ def export(df: DataFrame, path: str, kind: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV export read back."""
-    return spark.read.option("escape", '"').csv(path, schema=schema, header=True, multiLine=True)
+    return spark.read.options(**CSV).csv(path, schema=schema, header=True, multiLine=True)
