@@ -280,7 +280,9 @@ def step_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.avg("value").alias("value"))
     )
     entries = F.collect_list(F.struct("event_type", "value"))
-    label = F.array(F.struct(F.lit("label"), F.lit(None).cast("double")))
+    label = F.array(
+        F.struct(F.lit("label").alias("event_type"), F.lit(None).cast("double").alias("value"))
+    )
     return daily.groupBy(F.col("iteration").alias("step")).agg(
         F.map_from_entries(F.concat(entries, label)).alias("stats")
     )

@@ -1,5 +1,5 @@
 """All registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.plans import evaluation
+from lantern.plans import evaluation, preferences
 
-QUERIES = {**evaluation.QUERIES}
+QUERIES = {**evaluation.QUERIES, **preferences.QUERIES}

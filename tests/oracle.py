@@ -77,7 +77,7 @@ def main() -> None:
             else:
                 problem = "" if df.count() else "no rows"
         except Exception as e:
-            problem = f"{type(e).__name__}: {str(e)[:1500]}"
+            problem = f"{type(e).__name__}: {str(e)[:500]}"
         print(f"{'ok  ' if not problem else 'FAIL'} {name} {time.time() - t:.1f}s {'' if name in sqls else '(rows only)'} {problem}", flush=True)
         if problem:
             failed.append(name)
