@@ -47,6 +47,15 @@ def valid_letters(choices: Column | None) -> Column:
     return F.when(F.size(choices) > 0, lettered).otherwise(four)
 
 
+def is_valid_letter(letter: Column, choices: Column | None) -> Column:
+    """Whether a letter names a choice, without building the list of letters."""
+    count = F.lit(4)
+    if choices is not None:
+        count = F.when(F.size(choices) > 0, F.size(choices)).otherwise(F.lit(4))
+    at = F.ascii(letter) - 65
+    return F.coalesce((F.length(letter) == 1) & (at >= 0) & (at < count), F.lit(False))
+
+
 def number(text: Column | str) -> Column:
     """First number of an answer, the content of ``\\boxed{}`` first, commas ignored (E5)."""
     text = col(text)
@@ -55,13 +64,6 @@ def number(text: Column | str) -> Column:
     return F.regexp_extract(plain, NUMBER_PATTERN, 0).try_cast("double")
 
 
-def token_overlap(a: Column, b: Column) -> Column:
-    """Jaccard of two distinct-token arrays; 0 when either is empty."""
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
-        F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
-    )
-
-
 def mark(right: Column) -> Column:
     return F.when(right, F.lit(1.0)).otherwise(F.lit(0.0))
 
@@ -75,15 +77,15 @@ def score_choice(
     """Multiple choice (E3, E4, E17) as a struct."""
     letter = answer_letter(predicted, strict)
     right = F.upper(strip(gold))
-    valid = valid_letters(None if choices is None else col(choices))
+    offered = None if choices is None else col(choices)
     score = mark(letter.eqNullSafe(right))
     made = F.struct(
         score.alias("score"),
         F.lit("accuracy").alias("metric"),
         letter.alias("extracted_answer"),
         right.alias("correct_letter"),
-        F.coalesce(F.array_contains(valid, letter), F.lit(False)).alias("is_valid_choice"),
-        valid.alias("valid_choices"),
+        is_valid_letter(letter, offered).alias("is_valid_choice"),
+        valid_letters(offered).alias("valid_choices"),
         F.when(score == 1.0, "✓ Correct answer!")
         .otherwise("✗ Incorrect answer")
         .alias("interpretation"),
@@ -143,42 +145,53 @@ def explain_math(scored: Column) -> Column:
     return F.when(scored.isNotNull(), made)
 
 
-def code_parts(predicted: Column | str, gold: Column | str) -> Column:
-    """Distinct tokens and lengths of both sides: computed once, read by :func:`score_code`."""
-    p, g = strip(predicted), strip(gold)
-    return F.struct(
-        F.array_distinct(words(p)).alias("p"),
-        F.array_distinct(words(g)).alias("g"),
-        F.length(p).alias("p_len"),
-        F.length(g).alias("g_len"),
+def code_tokens(text: Column | str) -> Column:
+    """Distinct word tokens of a trimmed text."""
+    return F.array_distinct(words(strip(text)))
+
+
+def score_code(
+    predicted: Column | str,
+    gold: Column | str,
+    predicted_tokens: Column | str | None = None,
+    gold_tokens: Column | str | None = None,
+    common: Column | str | None = None,
+) -> Column:
+    """Token overlap strictly above the threshold.
+
+    Token sets and the size of what they share are used many times. Pass columns that hold them, as
+    ``evaluate`` does, so that they are built once per row.
+    """
+    a = code_tokens(predicted) if predicted_tokens is None else col(predicted_tokens)
+    b = code_tokens(gold) if gold_tokens is None else col(gold_tokens)
+    shared = F.size(F.array_intersect(a, b)) if common is None else col(common)
+    # the union has as many tokens as both sets less those they share
+    similarity = F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
+        shared / (F.size(a) + F.size(b) - shared)
+    )
+    made = F.struct(
+        mark(similarity > CODE_THRESHOLD).alias("score"),
+        F.lit("pass@1").alias("metric"),
+        similarity.alias("similarity"),
+        shared.alias("common_tokens"),
+        F.size(a).alias("predicted_tokens"),
+        F.size(b).alias("gold_tokens"),
+        F.length(strip(predicted)).alias("predicted_length"),
+        F.length(strip(gold)).alias("gold_length"),
     )
+    return F.when(col(predicted).isNotNull(), made)
 
 
-def score_code(predicted: Column | str, gold: Column | str) -> Column:
-    """Token overlap strictly above the threshold."""
-
-    def detail(parts: Column) -> Column:
-        similarity = token_overlap(parts.p, parts.g)
-        score = mark(similarity > CODE_THRESHOLD)
-        return F.struct(
-            score.alias("score"),
-            F.lit("pass@1").alias("metric"),
-            similarity.alias("similarity"),
-            exact_round(similarity, 4).alias("rounded_similarity"),
-            F.size(F.array_intersect(parts.p, parts.g)).alias("common_tokens"),
-            F.size(parts.p).alias("predicted_tokens"),
-            F.size(parts.g).alias("gold_tokens"),
-            parts.p_len.alias("predicted_length"),
-            parts.g_len.alias("gold_length"),
-            F.concat(
-                F.when(score == 1.0, "✓ Pass").otherwise("✗ Fail"),
-                F.format_string(" (similarity: %s%%, threshold: 70%%)", fixed(similarity * 100, 1)),
-            ).alias("interpretation"),
-        )
-
-    # the one-element transform binds the token sets to a name, so that they are built once per row
-    bound = F.transform(F.array(code_parts(predicted, gold)), detail)
-    return F.when(col(predicted).isNotNull(), bound[0])
+def explain_code(scored: Column) -> Column:
+    """Rounded similarity and the sentence shown beside a :func:`score_code` result."""
+    made = F.struct(
+        exact_round(scored.similarity, 4).alias("similarity"),
+        F.concat(
+            F.when(scored.score == 1.0, "✓ Pass").otherwise("✗ Fail"),
+            F.format_string(" (similarity: %s%%, threshold: 70%%)", fixed(scored.similarity * 100, 1)),
+        ).alias("interpretation"),
+    )
+    return F.when(scored.isNotNull(), made)
 
 
 def score_exact(predicted: Column | str, gold: Column | str) -> Column:

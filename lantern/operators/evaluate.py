@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lantern.functions.overlap import score_summary, summary_scores
 from lantern.functions.scoring import (
+    code_tokens,
+    explain_code,
     explain_math,
     number,
     score_choice,
@@ -48,10 +50,10 @@ def evaluate(
     def only(name: str, scored: Column) -> Column:
         return F.when(F.col("_family") == name, scored)
 
-    scored = with_math_score(df.withColumn("_family", family), predicted, gold, "_math", only).withColumns(
+    scored = with_math_score(df.withColumn("_family", family), predicted, gold, "_math", only)
+    scored = with_code_score(scored, predicted, gold, "_code", only).withColumns(
         {
             "_choice": only("choice", score_choice(predicted, gold, choices)),
-            "_code": only("code", score_code(predicted, gold)),
             "_exact": only("exact", score_exact(predicted, gold)),
         }
     )
@@ -85,6 +87,25 @@ def with_math_score(
     return df.withColumns(numbers).withColumn(name, scored).drop("_p", "_g")
 
 
+def with_code_score(
+    df: DataFrame,
+    predicted: str = "predicted_answer",
+    gold: str = "gold_answer",
+    name: str = "code",
+    only: Callable[[str, Column], Column] = lambda _, c: c,
+) -> DataFrame:
+    """``df`` plus the code score, in steps: each text is tokenised once, each pair compared once."""
+    sets = {"_a": only("code", code_tokens(predicted)), "_b": only("code", code_tokens(gold))}
+    shared = F.size(F.array_intersect("_a", "_b"))
+    scored = only("code", score_code(predicted, gold, "_a", "_b", "_n"))
+    return df.withColumns(sets).withColumn("_n", shared).withColumn(name, scored).drop("_a", "_b", "_n")
+
+
+def with_code_explanation(df: DataFrame, scored: str = "code", name: str = "explanation") -> DataFrame:
+    """The explanation beside a code score."""
+    return df.withColumn(name, explain_code(F.col(scored)))
+
+
 def with_math_explanation(df: DataFrame, scored: str = "math", name: str = "explanation") -> DataFrame:
     """The explanation beside a numeric score, kept out of the scoring plan unless it is wanted."""
     return df.withColumn(name, explain_math(F.col(scored)))

@@ -11,6 +11,7 @@ from lantern.functions.numbers import exact_round
 from lantern.functions.preference import cut
 from lantern.functions.text import col
 from lantern.operators.ranking import first_per_group
+from lantern.operators.skew import HOT_GROUP_ROWS, split_hot
 
 LAST = 5
 
@@ -49,16 +50,29 @@ def rolling_forecast(
     close: str = "close",
     n: int = LAST,
     slot: str = "day",
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``df`` plus the forecast as of every row: mean of it and the ``n - 1`` rows before (T4).
 
-    A window over a symbol would put a busy symbol in one task. Rows are grouped by symbol and time
-    slot (``slot``: a date_trunc unit small enough that one slot of a symbol fits a task) instead, and
-    each slot is preceded by the last rows of the slots before it. The n - 1 slots before a slot hold
+    Symbols of up to ``hot_rows`` rows are done by a window; longer ones slot by slot (``slot``: a
+    date_trunc unit small enough that one slot of a symbol fits a task).
+    """
+    cold, hot = split_hot(df, [symbol], hot_rows)
+    rows = Window.partitionBy(symbol).orderBy(*[F.col(c) for c in order]).rowsBetween(1 - n, 0)
+    done = cold.withColumn("forecast", F.avg(close).over(rows))
+    if hot is None:
+        return done
+    return done.unionByName(rolling_by_slot(hot, symbol, order, close, n, slot))
+
+
+def rolling_by_slot(
+    df: DataFrame, symbol: str, order: Sequence[str], close: str, n: int, slot: str
+) -> DataFrame:
+    """The rolling mean with a symbol's rows split by time.
+
+    Each slot is preceded by the last rows of the slots before it. The n - 1 slots before a slot hold
     at least n - 1 rows, so looking at that many slot tails is enough.
     """
-    if n < 2:
-        return df.withColumn("forecast", F.col(close))
     in_slot = df.withColumn("_slot", F.date_trunc(slot, F.col(order[0])))
     key = F.struct(*[F.col(c) for c in order])
     tail = first_per_group(
@@ -72,7 +86,7 @@ def rolling_forecast(
         F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(close).alias("v")))).alias("_tail")
     )
     # one row per symbol and slot from here on
-    before = Window.partitionBy(symbol).orderBy("_slot").rowsBetween(-(n - 1), -1)
+    before = Window.partitionBy(symbol).orderBy("_slot").rowsBetween(1 - n, -1)
     carried = tails.select(
         symbol,
         "_slot",

@@ -19,7 +19,9 @@ from lantern.functions.preference import (
     transcript_response,
 )
 from lantern.operators.ranking import first_per_group, first_rows, last_rows, rank_within
+from lantern.operators.skew import HOT_GROUP_ROWS
 from lantern.operators.tokens import Tokenizer, with_tokenizer, with_vocabulary
+from lantern.session import durable
 
 STANDARD = ["prompt", "chosen", "rejected"]
 
@@ -249,15 +251,16 @@ def group_advantage(
     reward: str = "reward",
     clip: float | None = None,
     min_group: int = 2,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """(reward - group mean) / (group deviation + 1e-4), groups of one left out.
+    """(reward - group mean) / (group deviation + 1e-4), smaller groups left out.
 
-    Mean and deviation are aggregates combined before the shuffle and joined back; a hot group in that
-    join is split by Spark's skew handling, where a window would hold the group in one task.
+    Mean and deviation are combined in each task before the shuffle and stored: one row per group.
+    Rows join them by shuffle; rows of hot groups join theirs, at most rows / hot_rows, by broadcast.
     """
     require(min_group > 1, "a group needs more than one completion")
     require(clip is None or clip > 0, "clip must be positive")
-    stats = (
+    stats = durable(
         df.groupBy(*group)
         .agg(
             F.avg(reward).alias("_mean"),
@@ -266,10 +269,17 @@ def group_advantage(
         )
         .where(F.col("_n") >= min_group)
     )
+    hot = stats.where(F.col("_n") > hot_rows)
+    if hot.isEmpty():
+        joined = df.join(stats, list(group))
+    else:
+        keys = F.broadcast(hot.select(*group))
+        cold = df.join(keys, list(group), "left_anti").join(stats, list(group))
+        joined = cold.unionByName(df.join(F.broadcast(hot), list(group)))
     advantage = (F.col(reward) - F.col("_mean")) / (F.col("_sd") + 1e-4)
     if clip is not None:
         advantage = F.least(F.greatest(advantage, F.lit(-clip)), F.lit(clip))
-    return df.join(stats, list(group)).withColumn("advantage", advantage).drop("_mean", "_sd", "_n")
+    return joined.withColumn("advantage", advantage).drop("_mean", "_sd", "_n")
 
 
 def buffer(old: DataFrame | None, new: DataFrame, size: int | None, seq: str) -> DataFrame:

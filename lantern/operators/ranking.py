@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lantern.operators.skew import HOT_GROUP_ROWS, split_hot
 from lantern.session import durable
 
-HOT_GROUP_ROWS = 2_000_000
 # percentile_approx is off by at most 1/ACCURACY of all rows
 ACCURACY = 10_000
 # up to this many rows per group Spark prunes before the shuffle (windowGroupLimitThreshold)
@@ -56,24 +56,23 @@ def rank_within(
 ) -> DataFrame:
     """One-based place of every row in its group; ``order`` must be total within a group.
 
-    Groups of more than ``hot_rows`` rows, of which there are at most rows / hot_rows, are ranked
-    across tasks; all others by a window. ``df`` is read once to count and once to rank, so write an
-    expensive one to a table first.
+    Groups of up to ``hot_rows`` rows are ranked by a window, larger ones across tasks.
     """
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = durable(counts.where(F.col("_rows") > hot_rows).select(*group))
+    cold, hot = split_hot(df, group, hot_rows)
     window = Window.partitionBy(*group).orderBy(*order)
-    if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(window))
-    cold = df.join(hot, list(group), "left_anti").withColumn(name, F.row_number().over(window))
-    spread = positions(
-        df.join(hot, list(group), "left_semi"), [*[F.col(g) for g in group], *order], "_position"
+    ranked = cold.withColumn(name, F.row_number().over(window))
+    if hot is None:
+        return ranked
+    placed = durable(positions(hot, [*[F.col(g) for g in group], *order], "_position"))
+    # one row per hot group, of which there are few
+    first = placed.groupBy(*group).agg(F.min("_position").alias("_first"))
+    same = [F.col(f"p.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group]
+    spread_rank = (F.col("_position") - F.col("_first") + 1).cast("int").alias(name)
+    return ranked.unionByName(
+        placed.alias("p")
+        .join(F.broadcast(first.alias("f")), same)
+        .select(*[F.col(f"p.{c}") for c in df.columns], spread_rank)
     )
-    first = spread.groupBy(*group).agg(F.min("_position").alias("_first"))
-    ranked = spread.join(first, list(group)).withColumn(
-        name, (F.col("_position") - F.col("_first") + 1).cast("int")
-    )
-    return cold.unionByName(ranked.select(*cold.columns))
 
 
 def first_rows(df: DataFrame, n: int | None, key: str, *ties: Column) -> DataFrame:

@@ -11,7 +11,6 @@ from lantern.functions.scoring import (
     length_statistics,
     quality_band,
     score_choice,
-    score_code,
     score_exact,
     similarity_percent,
 )
@@ -22,6 +21,8 @@ from lantern.operators.evaluate import (
     evaluate,
     latest_results,
     numeric_metrics,
+    with_code_explanation,
+    with_code_score,
     with_math_explanation,
     with_math_score,
 )
@@ -210,11 +211,11 @@ SQL_DISPATCH = f"""SELECT dataset, metric, count(*) AS rows, count(score) AS sco
 
 
 def code_scored(spark: SparkSession, sf_dir: str) -> Frame:
-    return text_pairs(spark, sf_dir).withColumn("s", score_code("predicted_answer", "gold_answer"))
+    return with_code_score(text_pairs(spark, sf_dir), name="s")
 
 
 def code_jaccard(spark: SparkSession, sf_dir: str) -> Frame:
-    return code_scored(spark, sf_dir).select(
+    return with_code_explanation(code_scored(spark, sf_dir), "s").select(
         "doc_id",
         F.round("s.similarity", 8).alias("similarity"),
         "s.score",
@@ -224,7 +225,7 @@ def code_jaccard(spark: SparkSession, sf_dir: str) -> Frame:
         "s.gold_tokens",
         "s.predicted_length",
         "s.gold_length",
-        "s.interpretation",
+        "explanation.interpretation",
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lantern.functions.text import SPACE_CLASS, WHITE_SPACE, WORD
 from lantern.operators.ranking import joined_text
+from lantern.operators.skew import spread
 from lantern.sources.fixed_values import ASSISTANT_MARKER, HUMAN_MARKER
 
 LANGUAGES = ["en", "de", "fr", "es"]
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy on the processor, spread over all cores if it is a small one."""
+    return spread(table(spark, sf_dir, name))
+
+
 # --- small SQL helpers ---------------------------------------------------------------------------
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -173,7 +179,7 @@ def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     how_many = passages.agg(F.count(F.lit(1))).scalar()
     return (
-        table(spark, sf_dir, "documents")
+        dealt(spark, sf_dir, "documents")
         .withColumn("_item", F.col("doc_id") % how_many)
         .join(passages, "_item")
         .select(

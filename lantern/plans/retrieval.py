@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.operators import inference, retrieval
-from lantern.plans.inputs import quoted, sql_draw, sql_words, table
+from lantern.plans.inputs import dealt, quoted, sql_draw, sql_words, table
 from lantern.session import fresh_path
 from lantern.sources.fixed_values import RETRIEVAL_SYSTEM
 from lantern.sources.tables import read_text_documents
@@ -20,7 +20,7 @@ VECTOR = {"query_id": "vec_id", "index_id": "vec_id"}
 
 def ingest_chunks(spark: SparkSession, sf_dir: str) -> Frame:
     """Every document in chunks of at most 1000 characters that overlap by up to 200."""
-    return retrieval.chunk_documents(table(spark, sf_dir, "documents"), ["doc_id"])
+    return retrieval.chunk_documents(dealt(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> Frame:
@@ -38,7 +38,7 @@ SQL_TEXTS = "SELECT rtrim(text, chr(10)) AS text FROM benchmark"
 # --- neighbours ----------------------------------------------------------------------------------
 def neighbours(spark: SparkSession, sf_dir: str, method: str) -> Frame:
     vectors = table(spark, sf_dir, "embeddings")
-    return retrieval.top_k(vectors, vectors, 3, method, skip_self=True, **VECTOR)
+    return retrieval.top_k(vectors, dealt(spark, sf_dir, "embeddings"), 3, method, skip_self=True, **VECTOR)
 
 
 def rounded(found: Frame) -> Frame:
@@ -101,7 +101,7 @@ SQL_PROMPT = f"""SELECT c.query_id, {quoted(RETRIEVAL_SYSTEM)} AS system_prompt,
 
 # --- embedding and index -------------------------------------------------------------------------
 def tfidf_embed(spark: SparkSession, sf_dir: str) -> Frame:
-    docs = table(spark, sf_dir, "documents")
+    docs = dealt(spark, sf_dir, "documents")
     weights = retrieval.fit_word_weights(docs, "text", DIMENSIONS)
     vectors = docs.select("doc_id", retrieval.hashed_embedder(weights)(F.col("text")).alias("v"))
     return (
