@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lantern.functions.checks import check_parameters
 from lantern.functions.text import col, md5_order
 from lantern.operators.examples import full_prompt
 
@@ -72,8 +73,7 @@ def sample_completions(
     cutter: Cutter | None = None,
 ) -> DataFrame:
     """``n`` completions per prompt, each with a seed of its own."""
-    if n < 2:
-        raise ValueError("samples per prompt must be more than 1")
+    check_parameters(samples_per_prompt=n)
     many = df.withColumn("sample_no", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     drawn = md5_order(seed, key, F.col("sample_no"))
     return predict(many, load, prompt, system, drawn, cutter).withColumnRenamed(

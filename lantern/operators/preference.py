@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lantern.functions.checks import check_parameters, require
 from lantern.functions.preference import (
     attention_mask,
     completion_text,
@@ -26,12 +27,6 @@ from lantern.session import durable
 STANDARD = ["prompt", "chosen", "rejected"]
 
 
-def require(condition: bool, message: str) -> None:
-    """Parameter checks."""
-    if not condition:
-        raise ValueError(message)
-
-
 def standardise(
     df: DataFrame,
     prompt: str = "prompt",
@@ -84,20 +79,22 @@ def prepare_online(df: DataFrame) -> DataFrame:
 def tokenise_prompts(
     df: DataFrame,
     key: Sequence[str],
-    max_length: int = 512,
+    max_length: int | None = 512,
     tokenizer: Tokenizer | None = None,
     vocab: DataFrame | None = None,
 ) -> DataFrame:
-    """prompt, input_ids, attention_mask, query: cut, not padded."""
+    """prompt, input_ids, attention_mask, query: cut, not padded (D6). None keeps every token."""
     need_prompt(df, "ppo/grpo")
-    require(max_length > 0, "max_length must be positive")
+    require(max_length is None or max_length > 0, "max_length must be positive")
     slim = df.select(*key, "prompt")
     if tokenizer is not None:
         coded = with_tokenizer(slim, F.col("prompt"), "input_ids", tokenizer)
     else:
         require(vocab is not None, "a tokenizer or a vocabulary is needed")
         coded = with_vocabulary(slim, key, {"input_ids": F.col("prompt")}, vocab, max_length)
-    return coded.withColumn("input_ids", cut("input_ids", max_length)).select(
+    if max_length is not None:
+        coded = coded.withColumn("input_ids", cut("input_ids", max_length))
+    return coded.select(
         *key,
         "prompt",
         "input_ids",
@@ -135,7 +132,7 @@ def dpo_lengths(
     truncation_mode: str = "keep_end",
 ) -> DataFrame:
     """Prompt cut to its end (or start), then prompt + completion cut to the whole length."""
-    require(truncation_mode in ("keep_end", "keep_start"), "truncation_mode: keep_end or keep_start")
+    check_parameters(truncation_mode=truncation_mode)
     side = truncation_mode.removeprefix("keep_")
     prompt = cut(prompt_ids, max_prompt_length, side)
     return df.withColumn(prompt_ids, prompt).withColumn(
@@ -258,7 +255,7 @@ def group_advantage(
     Mean and deviation are combined in each task before the shuffle and stored: one row per group.
     Rows join them by shuffle; rows of hot groups join theirs, at most rows / hot_rows, by broadcast.
     """
-    require(min_group > 1, "a group needs more than one completion")
+    check_parameters(num_samples_per_prompt=min_group)
     require(clip is None or clip > 0, "clip must be positive")
     stats = durable(
         df.groupBy(*group)
@@ -347,7 +344,7 @@ def evaluation_reward(df: DataFrame, reward: str = "reward") -> DataFrame:
 
 def tagged(metrics: DataFrame, iteration: int) -> DataFrame:
     """Metrics with the iteration they belong to, ready to append."""
-    require(iteration > 0, "iterations count from 1")
+    check_parameters(num_iterations=iteration)
     return metrics.withColumn("iteration", F.lit(iteration))
 
 

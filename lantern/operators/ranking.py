@@ -21,7 +21,7 @@ ACCURACY = 10_000
 # up to this many rows per group Spark prunes before the shuffle (windowGroupLimitThreshold)
 GROUP_LIMIT = 1000
 # rows that one task may order at the end of a limit
-LIMIT_ROWS = 1_000_000
+LIMIT_ROWS = 10_000
 
 
 def positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:

@@ -18,6 +18,7 @@ from lantern.operators.examples import question_prompt
 from lantern.operators.inference import predict
 from lantern.operators.ranking import first_per_group
 from lantern.sources.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, NEIGHBOURS, RETRIEVAL_SYSTEM
+from lantern.sources.tables import read_text_documents
 
 # Where a text is split, tried in this order; a separator stays with what follows it.
 SEPARATORS = ("\n\n", "\n", " ", "")
@@ -121,6 +122,24 @@ def write_index(
     return open_index(spark, path).count()
 
 
+def ingest(
+    spark: SparkSession,
+    directory: str,
+    path: str,
+    embed: Embedder | None = None,
+    size: int = CHUNK_SIZE,
+    overlap: int = CHUNK_OVERLAP,
+    append: bool = False,
+) -> tuple[int, Embedder]:
+    """The text files of a directory as an index of chunks (S1, R1-R3); returns its number of chunks
+    and the embedder to ask questions with. Without one the word weights are fitted on these chunks."""
+    chunks = chunk_documents(read_text_documents(spark, directory), ["path"], "text", size, overlap)
+    if embed is None:
+        embed = hashed_embedder(fit_word_weights(chunks, "text"))
+    keyed = chunks.withColumn("id", F.xxhash64("path", "chunk_no"))
+    return write_index(keyed, path, embed, ["path", "chunk_no"], append), embed
+
+
 def open_index(spark: SparkSession, path: str) -> DataFrame:
     """The index table; one that is absent or empty is refused."""
     try:

@@ -283,8 +283,8 @@ SQL_PAIR_VOCABULARY = f"""SELECT word, CAST(row_number() OVER (ORDER BY count(*)
         {sql_words('rejected')})) AS word FROM hh) GROUP BY word"""
 
 
-def sql_side(text: str, limit: str) -> str:
-    words = f"list_slice({sql_words(text)}, {limit})"
+def sql_side(text: str, limit: str = "") -> str:
+    words = f"list_slice({sql_words(text)}, {limit})" if limit else sql_words(text)
     return f"""SELECT conv_id, list(v.id ORDER BY i) AS ids FROM (SELECT conv_id, unnest({words}) AS word,
         generate_subscripts({words}, 1) AS i FROM hh) w JOIN v ON w.word = v.word GROUP BY conv_id"""
 
@@ -304,9 +304,9 @@ SQL_REWARD_PAIRS = f"""WITH hh AS MATERIALIZED ({SQL_HH}), v AS MATERIALIZED ({S
 def dpo_lengths(spark: SparkSession, sf_dir: str) -> Frame:
     """Prompt cut to its last 40 tokens, prompt and completion together to 100."""
     formatted, vocab = pair_tokens(spark, sf_dir)
-    prompts = pref.tokenise_prompts(formatted, ["conv_id"], 4096, vocab=vocab)
+    prompts = pref.tokenise_prompts(formatted, ["conv_id"], None, vocab=vocab)
     chosen = pref.tokenise_prompts(
-        formatted.select("conv_id", F.col("chosen").alias("prompt")), ["conv_id"], 4096, vocab=vocab
+        formatted.select("conv_id", F.col("chosen").alias("prompt")), ["conv_id"], None, vocab=vocab
     )
     both = prompts.select("conv_id", F.col("input_ids").alias("prompt_ids")).join(
         chosen.select("conv_id", F.col("input_ids").alias("chosen_ids")), "conv_id"
@@ -316,7 +316,7 @@ def dpo_lengths(spark: SparkSession, sf_dir: str) -> Frame:
 
 
 SQL_DPO_LENGTHS = f"""WITH hh AS MATERIALIZED ({SQL_HH}), v AS MATERIALIZED ({SQL_PAIR_VOCABULARY}),
-    p AS ({sql_side('prompt', '1, 4096')}), c AS ({sql_side('chosen', '1, 4096')})
+    p AS ({sql_side('prompt')}), c AS ({sql_side('chosen')})
     SELECT hh.conv_id, array_to_string(p.kept, ',') AS prompt_ids,
         array_to_string(list_slice(coalesce(c.ids, []), 1, 100 - len(p.kept)), ',') AS chosen_ids
     FROM hh JOIN (SELECT hh.conv_id, list_slice(coalesce(p.ids, []), greatest(len(coalesce(p.ids, [])) - 39, 1),
