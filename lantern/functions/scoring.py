@@ -224,12 +224,17 @@ def quality_band(f1: Column | str, metric: str) -> Column:
     )
 
 
-def length_statistics(predicted: Column | str, gold: Column | str) -> Column:
-    """Word counts and their ratio."""
-    p, g = F.size(fields(predicted)), F.size(fields(gold))
+def word_count(text: Column | str) -> Column:
+    """Pieces of a text between white space; none in an empty one."""
+    return F.size(fields(text))
+
+
+def length_statistics(predicted_words: Column | str, gold_words: Column | str) -> Column:
+    """Word counts, given as columns, and their ratio to two decimals."""
+    p, g = col(predicted_words), col(gold_words)
     return F.struct(
-        p.alias("predicted_length"),
-        g.alias("reference_length"),
+        p.cast("int").alias("predicted_length"),
+        g.cast("int").alias("reference_length"),
         exact_round(p / F.greatest(g, F.lit(1)), 2).alias("length_ratio"),
     )
 

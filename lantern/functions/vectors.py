@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 from lantern.functions.text import words
 
 
-def word_buckets(text: Column | str, size: int) -> Column:
-    """Bucket of every word, by a hash any SQL engine with md5 reproduces."""
-    return F.transform(
-        words(text), lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % size).cast("int")
-    )
+def word_buckets(text: Column | str, size: int, portable: bool = False) -> Column:
+    """Bucket of every word by its hash. ``portable`` uses md5, which is many times slower and which
+    other SQL engines reproduce."""
+
+    def bucket(w: Column) -> Column:
+        if portable:
+            return F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % size
+        return F.pmod(F.xxhash64(w), F.lit(size))
+
+    return F.transform(words(text), lambda w: bucket(w).cast("int"))
 
 
 def bucket_weights(buckets: Column, size: int, weights: Sequence[float] | None = None) -> Column:

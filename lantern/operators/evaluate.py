@@ -7,19 +7,20 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lantern.functions.overlap import score_summary, summary_scores
+from lantern.functions.overlap import mean_rouge, score_summary, summary_scores
 from lantern.functions.scoring import (
     code_tokens,
     explain_code,
     explain_math,
+    length_statistics,
     number,
     score_choice,
     score_code,
     score_exact,
     score_math,
     scorer_family,
+    word_count,
 )
-from lantern.functions.text import strip
 from lantern.operators.ranking import first_per_group
 
 EXAMPLE_COLUMNS = ["dataset", "prompt", "system_prompt", "choices", "gold_answer"]
@@ -61,16 +62,18 @@ def evaluate(
     if summaries:
         # Python functions run for every row whatever surrounds them: rows of other families send nulls
         is_summary = F.col("_family") == "summary"
-        scored = scored.withColumn(
-            "_overlap",
-            summary_scores(F.when(is_summary, F.col(predicted)), F.when(is_summary, F.col(gold))),
-        ).withColumn("_summary", score_summary(F.col("_overlap"), strip(predicted), strip(gold)))
+        overlap = summary_scores(F.when(is_summary, F.col(predicted)), F.when(is_summary, F.col(gold)))
+        scored = (
+            scored.withColumn("_overlap", overlap)
+            .withColumn("_mean", mean_rouge(F.col("_overlap")))
+            .withColumn("_summary", score_summary(F.col("_overlap"), F.col("_mean")))
+        )
         parts.append("summary")
     return (
         scored.withColumn("score", F.coalesce(*[F.col(f"_{p}.score") for p in parts]))
         .withColumn("metric", F.coalesce(*[F.col(f"_{p}.metric") for p in parts]))
         .withColumn("details", F.struct(*[F.col(f"_{p}").alias(p) for p in parts]))
-        .drop("_family", "_overlap", *[f"_{p}" for p in parts])
+        .drop("_family", "_overlap", "_mean", *[f"_{p}" for p in parts])
     )
 
 
@@ -106,6 +109,12 @@ def with_code_explanation(df: DataFrame, scored: str = "code", name: str = "expl
     return df.withColumn(name, explain_code(F.col(scored)))
 
 
+def with_length_statistics(df: DataFrame, predicted: str, gold: str, name: str = "lengths") -> DataFrame:
+    """Word counts and their ratio (E16): each text is cut into words once."""
+    counted = df.withColumns({"_pw": word_count(predicted), "_gw": word_count(gold)})
+    return counted.withColumn(name, length_statistics("_pw", "_gw")).drop("_pw", "_gw")
+
+
 def with_math_explanation(df: DataFrame, scored: str = "math", name: str = "explanation") -> DataFrame:
     """The explanation beside a numeric score, kept out of the scoring plan unless it is wanted."""
     return df.withColumn(name, explain_math(F.col(scored)))

@@ -93,17 +93,20 @@ def chunk_documents(
 
 
 # --- R2 ------------------------------------------------------------------------------------------
-def fit_word_weights(df: DataFrame, text: str, size: int = 256) -> list[float]:
+def fit_word_weights(df: DataFrame, text: str, size: int = 256, portable: bool = False) -> list[float]:
     """Inverse document frequency per hash bucket; ``size`` numbers whatever the size of ``df``."""
-    found = df.select(F.explode(F.array_distinct(word_buckets(text, size))).alias("bucket"))
-    seen = dict(found.groupBy("bucket").count().collect())
-    rows = df.count()
+    found = F.array_distinct(word_buckets(text, size, portable))
+    # one more entry per row counts the rows in the same pass
+    marked = df.select(F.explode(F.concat(found, F.array(F.lit(-1)))).alias("bucket"))
+    seen = dict(marked.groupBy("bucket").count().collect())
+    rows = seen.get(-1, 0)
     return [math.log((rows + 1) / (seen.get(b, 0) + 1)) for b in range(size)]
 
 
-def hashed_embedder(weights: Sequence[float]) -> Embedder:
+def hashed_embedder(weights: Sequence[float], portable: bool = False) -> Embedder:
     """The default embedder: TF-IDF over hashed words at unit length (R2)."""
-    return lambda text: bucket_weights(word_buckets(text, len(weights)), len(weights), weights)
+    size = len(weights)
+    return lambda text: bucket_weights(word_buckets(text, size, portable), size, weights)
 
 
 # --- R3, R8 --------------------------------------------------------------------------------------

@@ -58,18 +58,19 @@ def with_vocabulary(
     }
     held = df.select(*df.columns, *[c.alias(f"_w_{n}") for n, c in token_columns.items()])
     wanted = held.select(
-        *key, F.posexplode(F.concat(*[F.col(f"_w_{n}") for n in texts])).alias("_at", "word")
+        *key, F.posexplode(F.concat(*[F.col(f"_w_{n}") for n in texts])).alias("_at", "_word")
     )
+    known_words = vocab.select(F.col("word").alias("_word"), F.col("id").alias("_id"))
     found = (
-        wanted.join(vocab.select("word", "id"), "word", "left")
+        wanted.join(known_words, "_word", "left")
         .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "id"))).alias("_ids"))
+        .agg(F.array_sort(F.collect_list(F.struct("_at", "_id"))).alias("_ids"))
     )
     coded = held.join(found, list(key), "left")
     start = F.lit(1)
     for n in texts:
         length = F.size(F.col(f"_w_{n}"))
-        ids = F.transform(F.slice("_ids", start, length), lambda z: z.id)
+        ids = F.transform(F.slice("_ids", start, length), lambda z: z["_id"])
         known = F.filter(ids, lambda i: i.isNotNull())
         coded = coded.withColumn(n, F.coalesce(known, F.array().cast("array<int>")))
         start = start + length

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lantern.functions.overlap import bleu_score, rouge12_scores, rouge_scores
 from lantern.functions.scoring import (
     display_label,
-    length_statistics,
     quality_band,
     score_choice,
     score_exact,
@@ -23,6 +22,7 @@ from lantern.operators.evaluate import (
     numeric_metrics,
     with_code_explanation,
     with_code_score,
+    with_length_statistics,
     with_math_explanation,
     with_math_score,
 )
@@ -273,8 +273,8 @@ SQL_LABELS = f"""SELECT doc_id, {sql_band(.5, .3)} AS rouge1_band, {sql_band(.4,
 
 
 def length_stats(spark: SparkSession, sf_dir: str) -> Frame:
-    s = length_statistics("predicted_answer", "gold_answer")
-    return text_pairs(spark, sf_dir).withColumn("s", s).select("doc_id", "s.*")
+    counted = with_length_statistics(text_pairs(spark, sf_dir), "predicted_answer", "gold_answer")
+    return counted.select("doc_id", "lengths.*")
 
 
 SQL_LENGTHS = f"""SELECT doc_id, CAST(p AS INT) AS predicted_length, CAST(g AS INT) AS reference_length,

@@ -18,6 +18,7 @@ from lantern.plans.inputs import (
     SQL_TRANSCRIPTS,
     buffer_log,
     completions,
+    dealt,
     prices,
     sql_exact_round,
     sql_hh,
@@ -237,7 +238,7 @@ SQL_ITERATIONS = f"""SELECT i.iteration, event_type AS key, round(avg(value), 4)
 
 # --- tokens --------------------------------------------------------------------------------------
 def talk_vocabulary(spark: SparkSession, sf_dir: str) -> Frame:
-    return vocabulary(table(spark, sf_dir, "conversations"), "text")
+    return vocabulary(dealt(spark, sf_dir, "conversations"), "text")
 
 
 SQL_VOCABULARY = f"""SELECT word, n, CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS INT) AS id
@@ -250,7 +251,7 @@ def numbers_text(name: str):
 
 
 def tokenise_prompts(spark: SparkSession, sf_dir: str) -> Frame:
-    talks = table(spark, sf_dir, "conversations").withColumnRenamed("text", "prompt")
+    talks = dealt(spark, sf_dir, "conversations").withColumnRenamed("text", "prompt")
     coded = pref.prepare(
         talks, "grpo", key=["conv_id", "turn"], max_length=512, vocab=talk_vocabulary(spark, sf_dir)
     )

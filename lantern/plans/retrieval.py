@@ -102,8 +102,9 @@ SQL_PROMPT = f"""SELECT c.query_id, {quoted(RETRIEVAL_SYSTEM)} AS system_prompt,
 # --- embedding and index -------------------------------------------------------------------------
 def tfidf_embed(spark: SparkSession, sf_dir: str) -> Frame:
     docs = dealt(spark, sf_dir, "documents")
-    weights = retrieval.fit_word_weights(docs, "text", DIMENSIONS)
-    vectors = docs.select("doc_id", retrieval.hashed_embedder(weights)(F.col("text")).alias("v"))
+    weights = retrieval.fit_word_weights(docs, "text", DIMENSIONS, portable=True)
+    embed = retrieval.hashed_embedder(weights, portable=True)
+    vectors = docs.select("doc_id", embed(F.col("text")).alias("v"))
     return (
         vectors.select("doc_id", F.posexplode("v").alias("bucket", "weight"))
         .where("weight <> 0")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,7 +29,20 @@ def build_session(app: str = "lantern", master: str | None = None, **conf: str)
     settings = {**DEFAULTS, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable in every worker, as ``--py-files`` does. Once per session is enough;
+    where the package is installed on the cluster it is not needed."""
+    context = spark.sparkContext
+    if not getattr(context, "_lantern_shipped", False):
+        here = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="lantern-"), "lantern")
+        # the archive is read by the driver, which hands it to the executors
+        context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(here), os.path.basename(here)))
+        context._lantern_shipped = True
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -19,6 +19,7 @@ TOKEN, RESULT, DONE, ERROR = "token", "result", "done", "error"
 
 EVENT = "request_id string, seq int, type string, content string, message string, ts timestamp"
 RUN = "request_id string, seqs array<int>, contents array<string>, closed string, message string, end_seq int, ts timestamp"
+RUN_COLUMNS = ["request_id", "seqs", "contents", "closed", "message", "end_seq", "ts"]
 EXPIRY_MS = 3_600_000
 FINISHED = "request_id string, status string, predicted_answer string, message string, n_tokens int"
 STATE = "seqs array<int>, contents array<string>, closed string, message string, end_seq int"
@@ -61,23 +62,21 @@ def token_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Events of a request that arrived together as one row, so that a long answer crosses the shuffle
     as a few runs of tokens and not token by token."""
     for batch in batches:
-        rows: list[dict[str, Any]] = []
-        for request, events in batch.groupby("request_id", sort=False):
-            tokens = events[events.type == TOKEN]
-            ends = events[events.type.isin([DONE, ERROR])].sort_values("seq")
-            rows.append(
-                {
-                    "request_id": request,
-                    "seqs": tokens.seq.astype("int64").tolist(),
-                    "contents": ["" if c is None else c for c in tokens.content.tolist()],
-                    "closed": ends.type.iloc[0] if len(ends) else None,
-                    "message": ends.message.iloc[0] if len(ends) else None,
-                    "end_seq": int(ends.seq.iloc[0]) if len(ends) else None,
-                    "ts": events.ts.max(),
-                }
-            )
-        if rows:
-            yield pd.DataFrame(rows)
+        if not len(batch):
+            continue
+        batch = batch.sort_values(["request_id", "seq"])
+        tokens = batch[batch.type == TOKEN]
+        runs = tokens.groupby("request_id", sort=False).agg(
+            seqs=("seq", list), contents=("content", lambda c: c.fillna("").tolist())
+        )
+        ends = batch[batch.type.isin([DONE, ERROR])].drop_duplicates("request_id")
+        ends = ends.set_index("request_id")[["type", "message", "seq"]]
+        ends.columns = ["closed", "message", "end_seq"]
+        whole = batch.groupby("request_id", sort=False).agg(ts=("ts", "max")).join(runs).join(ends)
+        for name in ("seqs", "contents"):
+            whole[name] = [x if isinstance(x, list) else [] for x in whole[name]]
+        whole["end_seq"] = whole["end_seq"].astype("Int32")
+        yield whole.reset_index()[RUN_COLUMNS]
 
 
 def collect_request(
