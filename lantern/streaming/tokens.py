@@ -18,11 +18,11 @@ LINE_PREFIX = "data: "
 TOKEN, RESULT, DONE, ERROR = "token", "result", "done", "error"
 
 EVENT = "request_id string, seq int, type string, content string, message string, ts timestamp"
-RUN = "request_id string, seqs array<int>, contents array<string>, closed string, message string, end_seq int, ts timestamp"
-RUN_COLUMNS = ["request_id", "seqs", "contents", "closed", "message", "end_seq", "ts"]
+RUN = "request_id string, seqs array<int>, contents array<string>, closed string, message string, end_seq int, at_ms long"
+RUN_COLUMNS = ["request_id", "seqs", "contents", "closed", "message", "end_seq", "at_ms"]
 EXPIRY_MS = 3_600_000
 FINISHED = "request_id string, status string, predicted_answer string, message string, n_tokens int"
-STATE = "seqs array<int>, contents array<string>, closed string, message string, end_seq int"
+STATE = "seqs array<int>, contents array<string>, closed string, message string, end_seq int, last_ms long"
 
 
 def read_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -72,10 +72,11 @@ def token_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ends = batch[batch.type.isin([DONE, ERROR])].drop_duplicates("request_id")
         ends = ends.set_index("request_id")[["type", "message", "seq"]]
         ends.columns = ["closed", "message", "end_seq"]
-        whole = batch.groupby("request_id", sort=False).agg(ts=("ts", "max")).join(runs).join(ends)
+        whole = batch.groupby("request_id", sort=False).agg(at_ms=("at_ms", "max")).join(runs).join(ends)
         for name in ("seqs", "contents"):
             whole[name] = [x if isinstance(x, list) else [] for x in whole[name]]
         whole["end_seq"] = whole["end_seq"].astype("Int32")
+        whole["at_ms"] = whole["at_ms"].astype("Int64")
         yield whole.reset_index()[RUN_COLUMNS]
 
 
@@ -88,11 +89,14 @@ def collect_request(
         return
     tokens: dict[int, str] = {}
     closed = message = end_seq = None
+    last_ms = 0
     if state.exists:
-        seqs, contents, closed, message, end_seq = state.get
+        seqs, contents, closed, message, end_seq, last_ms = state.get
         tokens = dict(zip(seqs, contents))
     for part in runs:
         for row in part.itertuples():
+            if not pd.isna(row.at_ms):
+                last_ms = max(last_ms, int(row.at_ms))
             for seq, content in zip(row.seqs, row.contents):
                 tokens.setdefault(int(seq), content)
             if isinstance(row.closed, str) and closed is None:
@@ -113,9 +117,11 @@ def collect_request(
         )
         return
     order = sorted(tokens)
-    state.update((order, [tokens[s] for s in order], closed, message, end_seq))
-    if state.getCurrentWatermarkMs() >= 0:
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + EXPIRY_MS)
+    state.update((order, [tokens[s] for s in order], closed, message, end_seq, last_ms))
+    # counted from the newest event: before the first batch ends the watermark still stands at zero
+    newest = max(last_ms, state.getCurrentWatermarkMs())
+    if newest > 0:
+        state.setTimeoutTimestamp(newest + EXPIRY_MS)
 
 
 def reassemble(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
@@ -123,11 +129,13 @@ def reassemble(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
 
     ``seq`` counts the tokens of a request from 0 and its closing event takes the next number, so tokens
     may come in any order, twice, or after the closing event. Requests that never close are forgotten
-    when the watermark passes them by an hour.
+    when the watermark is an hour past their newest event.
     """
-    runs = events.select("request_id", "seq", "type", "content", "message", "ts").mapInPandas(
-        token_runs, RUN
+    # time crosses Python as a number: a timestamp would become local time there
+    slim = events.select(
+        "request_id", "seq", "type", "content", "message", F.unix_millis("ts").alias("at_ms")
     )
+    runs = slim.mapInPandas(token_runs, RUN).withColumn("ts", F.timestamp_millis("at_ms"))
     return (
         runs.withWatermark("ts", lateness)
         .groupBy("request_id")
