@@ -9,6 +9,7 @@ from lantern.functions.numbers import exact_round, fixed
 from lantern.functions.text import SPACE_CLASS, col, fields, strip, words
 from lantern.sources.fixed_values import (
     BAND_LIMITS,
+    BAND_TEXTS,
     CODE_THRESHOLD,
     FAMILY_DATASETS,
     TOLERANCE,
@@ -224,6 +225,11 @@ def quality_band(f1: Column | str, metric: str) -> Column:
     )
 
 
+def band_text(f1: Column | str, metric: str) -> Column:
+    """The band with what it is said of, as shown beside a metric."""
+    return F.concat_ws(" ", quality_band(f1, metric), F.lit(BAND_TEXTS[metric]))
+
+
 def word_count(text: Column | str) -> Column:
     """Pieces of a text between white space; none in an empty one."""
     return F.size(fields(text))

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lantern.functions.numbers import exact_round
 from lantern.functions.overlap import mean_rouge, score_summary, summary_scores
 from lantern.functions.scoring import (
     code_tokens,
@@ -149,4 +150,4 @@ def latest_results(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -
 def numeric_metrics(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """Metrics that are numbers, to four decimals."""
     number = F.col(value).try_cast("double")
-    return df.where(number.isNotNull()).withColumn(value, F.round(number, 4))
+    return df.where(number.isNotNull()).withColumn(value, exact_round(number, 4))

@@ -19,7 +19,7 @@ from lantern.functions.preference import (
     transcript_prompt,
     transcript_response,
 )
-from lantern.operators.ranking import first_per_group, first_rows, last_rows, rank_within
+from lantern.operators.ranking import first_per_group, first_rows, rank_within
 from lantern.operators.skew import HOT_GROUP_ROWS
 from lantern.operators.tokens import Tokenizer, with_tokenizer, with_vocabulary
 from lantern.session import durable
@@ -282,7 +282,7 @@ def group_advantage(
 def buffer(old: DataFrame | None, new: DataFrame, size: int | None, seq: str) -> DataFrame:
     """New pairs appended, the last ``size`` kept; null or 0 keeps all."""
     require(size is None or size >= 0, "size must not be negative")
-    return last_rows(new if old is None else old.unionByName(new), size, seq)
+    return first_rows(new if old is None else old.unionByName(new), size, seq, last=True)
 
 
 def buffer_snapshots(df: DataFrame, size: int, seq: str, iteration: str) -> DataFrame:

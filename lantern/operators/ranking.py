@@ -75,40 +75,34 @@ def rank_within(
     )
 
 
-def first_rows(df: DataFrame, n: int | None, key: str, *ties: Column) -> DataFrame:
-    """The ``n`` rows with the smallest numeric ``key``; None or 0 keeps every row.
+def first_rows(
+    df: DataFrame, n: int | None, key: str, *ties: Column, last: bool = False
+) -> DataFrame:
+    """The ``n`` rows with the smallest (``last``: largest) numeric ``key``; None or 0 keeps every row.
 
     A plain ordered limit makes each task send its ``n`` best rows, text and all, to one task. Here one
-    narrow pass over ``key`` finds a value with at least ``n`` and not many more rows at or below it;
-    that filter reaches the scan, and only its rows are ordered.
+    narrow pass over ``key`` finds a value with at least ``n`` and not many more rows on its side; that
+    filter reaches the scan, and only its rows are ordered.
     """
     if not n:
         return df
-    shares = [2.0**i / ACCURACY for i in range(1, 14)]
+    column = F.col(key)
+    shares = [2.0**i / ACCURACY for i in range(1, 13)]
+    marks = [1 - s if last else s for s in shares]
     seen = df.agg(
-        F.count(key).alias("rows"), F.percentile_approx(key, shares, ACCURACY).alias("cuts")
+        F.count(key).alias("rows"), F.percentile_approx(key, marks, ACCURACY).alias("cuts")
     ).first()
-    if seen.rows:
-        fits = [
-            cut
-            for share, cut in zip(shares, seen.cuts)
-            if (share - 1 / ACCURACY) * seen.rows >= n
-        ]
-        if fits:
-            df = df.where(F.col(key) <= F.lit(fits[0]))
-    order = [F.col(key), *ties]
+    enough = [
+        cut for share, cut in zip(shares, seen.cuts or []) if (share - 1 / ACCURACY) * seen.rows >= n
+    ]
+    if enough:
+        df = df.where(column >= F.lit(enough[0]) if last else column <= F.lit(enough[0]))
+    order = [column.desc() if last else column.asc(), *ties]
     if n <= LIMIT_ROWS:
         return df.orderBy(*order).limit(n)
     return positions(df, order, "_position").where(F.col("_position") < n).drop("_position")
 
 
-def last_rows(df: DataFrame, n: int | None, key: str) -> DataFrame:
-    """The ``n`` rows with the largest numeric ``key``; None or 0 keeps every row."""
-    if not n:
-        return df
-    return first_rows(df.withColumn("_down", -F.col(key)), n, "_down").drop("_down")
-
-
 def first_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str
 ) -> DataFrame:

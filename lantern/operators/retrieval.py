@@ -28,6 +28,7 @@ Embedder = Callable[[Column], Column]
 QUERY_BYTES = 64 << 20  # queries up to this size are sent to every task
 QUERY_BLOCK = 16_384  # rows per block beyond it
 INDEX_BLOCK = 65_536
+SEARCH_TASKS = 8_192  # each task returns k rows per query, so more tasks mean more rows to merge
 CELLS_TABLE = 65_536  # upper bound on cells, so that tables of one row per cell can be broadcast
 
 
@@ -219,7 +220,8 @@ def search_with_all_queries(queries: pd.DataFrame, index: DataFrame, k: int, ski
         if best is not None:
             yield best
 
-    return index.mapInPandas(search, FOUND)
+    tasks = max(SEARCH_TASKS, index.sparkSession.sparkContext.defaultParallelism)
+    return index.coalesce(tasks).mapInPandas(search, FOUND)
 
 
 def search_blocks(queries: DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:

@@ -21,6 +21,15 @@ def read_text_documents(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def read_prices(spark: SparkSession, path: str, symbols: list[str] | None = None) -> DataFrame:
+    """Daily price histories, of all symbols or of some (S5); the filter reaches the scan."""
+    prices = spark.read.parquet(path)
+    missing = {"symbol", "ts", "close"} - set(prices.columns)
+    if missing:
+        raise ValueError(f"Price history lacks columns: {sorted(missing)}")
+    return prices if symbols is None else prices.where(F.col("symbol").isin(symbols))
+
+
 def directory_name(name: str) -> str:
     return name.replace("/", "_")
 

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from lantern.operators.forecast import forecast, last_rows_per_symbol, rolling_forecast
+from lantern.sources.tables import read_prices
 
 
 def history(spark, closes, symbol="X"):
@@ -24,6 +25,17 @@ def test_forecast(spark, closes, want):
     assert [d.close for d in r.details] == [float(c) for c in closes[-5:]]
 
 
+def test_price_source(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    history(spark, [1, 2], "A").unionByName(history(spark, [5], "B")).write.parquet(path)
+    assert read_prices(spark, path).count() == 3
+    r = forecast(read_prices(spark, path, ["B"])).first()
+    assert r.summary == "Predicted price for B is $5.0"
+    spark.range(1).write.parquet(str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="close"):
+        read_prices(spark, str(tmp_path / "none"))
+
+
 def test_no_history_no_row(spark):
     assert forecast(history(spark, [1]).limit(0)).count() == 0
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lantern.functions.checks import check_parameters
 from lantern.functions.preference import preference_loss
 from lantern.operators import preference as pref
-from lantern.operators.ranking import first_per_group, first_rows, joined_text, last_rows, positions, rank_within
+from lantern.operators.ranking import first_per_group, first_rows, joined_text, positions, rank_within
 from lantern.operators.skew import split_hot, spread
 from lantern.operators.tokens import vocabulary
 
@@ -129,7 +129,7 @@ def test_positions_and_limits(spark):
     for n in (1, 10, 700, 4999, 5000, 9000):
         assert sorted(r.k for r in first_rows(df, n, "k").collect()) == list(range(min(n, 5000)))
         want = list(range(max(0, 5000 - n), 5000))
-        assert sorted(r.k for r in last_rows(df, n, "k").collect()) == want
+        assert sorted(r.k for r in first_rows(df, n, "k", last=True).collect()) == want
     assert first_rows(df, None, "k").count() == first_rows(df, 0, "k").count() == 5000
 
 
