@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lantern.functions.numbers import exact_round
-from lantern.functions.overlap import mean_rouge, score_summary, summary_scores
+from lantern.functions.overlap import score_summary, summary_scores
 from lantern.functions.scoring import (
     code_tokens,
     explain_code,
@@ -64,17 +64,15 @@ def evaluate(
         # Python functions run for every row whatever surrounds them: rows of other families send nulls
         is_summary = F.col("_family") == "summary"
         overlap = summary_scores(F.when(is_summary, F.col(predicted)), F.when(is_summary, F.col(gold)))
-        scored = (
-            scored.withColumn("_overlap", overlap)
-            .withColumn("_mean", mean_rouge(F.col("_overlap")))
-            .withColumn("_summary", score_summary(F.col("_overlap"), F.col("_mean")))
+        scored = scored.withColumn("_overlap", overlap).withColumn(
+            "_summary", score_summary(F.col("_overlap"))
         )
         parts.append("summary")
     return (
         scored.withColumn("score", F.coalesce(*[F.col(f"_{p}.score") for p in parts]))
         .withColumn("metric", F.coalesce(*[F.col(f"_{p}.metric") for p in parts]))
         .withColumn("details", F.struct(*[F.col(f"_{p}").alias(p) for p in parts]))
-        .drop("_family", "_overlap", "_mean", *[f"_{p}" for p in parts])
+        .drop("_family", "_overlap", *[f"_{p}" for p in parts])
     )
 
 

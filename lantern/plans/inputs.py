@@ -68,7 +68,7 @@ def math_preds(spark: SparkSession, sf_dir: str, offset: int = 0) -> DataFrame:
     """Orders: the price as gold, and as prediction six ways of writing it, by order number."""
     gold = F.col("o_totalprice").cast("decimal(18,2)")
     way = (F.col("o_orderkey") + offset) % 6
-    return table(spark, sf_dir, "orders").select(
+    return dealt(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_orderpriority",
         gold.cast("string").alias("gold_answer"),

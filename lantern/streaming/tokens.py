@@ -64,15 +64,14 @@ def token_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if not len(batch):
             continue
-        batch = batch.sort_values(["request_id", "seq"])
         tokens = batch[batch.type == TOKEN]
-        runs = tokens.groupby("request_id", sort=False).agg(
-            seqs=("seq", list), contents=("content", lambda c: c.fillna("").tolist())
-        )
-        ends = batch[batch.type.isin([DONE, ERROR])].drop_duplicates("request_id")
+        tokens = tokens.assign(content=tokens.content.fillna(""))
+        runs = tokens.groupby("request_id", sort=False).agg(seqs=("seq", list), contents=("content", list))
+        ends = batch[batch.type.isin([DONE, ERROR])].sort_values("seq").drop_duplicates("request_id")
         ends = ends.set_index("request_id")[["type", "message", "seq"]]
         ends.columns = ["closed", "message", "end_seq"]
-        whole = batch.groupby("request_id", sort=False).agg(at_ms=("at_ms", "max")).join(runs).join(ends)
+        newest = batch.groupby("request_id", sort=False).agg(at_ms=("at_ms", "max"))
+        whole = newest.join(runs).join(ends)
         for name in ("seqs", "contents"):
             whole[name] = [x if isinstance(x, list) else [] for x in whole[name]]
         whole["end_seq"] = whole["end_seq"].astype("Int32")

@@ -118,6 +118,17 @@ def test_long_texts():
     assert overlap.common_length(a, a) == 20000
 
 
+def test_summary_details(spark):
+    p, g = "the cats sat on the mat today", "the cat sat on a mat"
+    df = spark.createDataFrame([(p, g)], "p string, g string")
+    s = df.withColumn("s", overlap.summary_scores("p", "g")).select(overlap.score_summary(F.col("s")).alias("r")).first().r
+    f1 = overlap.rouge(p, g, True)[2::3]
+    assert s.score == sum(f1) / 3 and s.average_rouge == round(s.score, 4)
+    assert (s.predicted_length, s.reference_length, s.length_ratio) == (7, 6, 1.17)
+    assert s.rouge1_interpretation == f"{s.rouge1_band} unigram overlap"
+    assert s.rouge1_f1 == round(f1[0], 4) and s.metric == "ROUGE-Avg"
+
+
 def test_null_rows_cost_nothing(spark):
     df = spark.createDataFrame([(None, None)], "p string, g string")
     assert df.select(overlap.summary_scores("p", "g").alias("s")).first().s.bleu is None
