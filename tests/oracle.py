@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -53,15 +54,23 @@ def compare(df, sql: str, db: duckdb.DuckDBPyConnection) -> str:
 
 
 def main() -> None:
-    sys.path.insert(0, ".")
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
+    from pyspark.sql import SparkSession
+
     from lantern import build_session
 
-    sf_dir = sys.argv[1]
-    wanted = sys.argv[2:]
-    spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="12g"
-    )
+    sf_dir, *wanted = [a for a in sys.argv[1:] if a != "--plain"]
+    if "--plain" in sys.argv:
+        # a session that knows nothing of this package's settings
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session(
+            master="local[8]",
+            spark__sql__shuffle__partitions="8",
+            spark__ui__enabled="false",
+            spark__driver__memory="12g",
+        )
     spark.sparkContext.setLogLevel("ERROR")
     db = connect(sf_dir)
     sqls = entry.oracle_sql()
