@@ -26,7 +26,7 @@ HEADLINE = [
     "eval_summary",
     "example_gpqa",
     "ingest_chunks",
-    "tfidf_embed",
+    "rag_answer",
     "knn_top3",
     "knn_blocks",
     "ann_top3",

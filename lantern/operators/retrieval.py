@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -159,6 +160,11 @@ def open_index(spark: SparkSession, path: str) -> DataFrame:
 FOUND = "query_id bigint, neighbour_id bigint, distance double"
 
 
+NOTHING = pd.DataFrame(
+    {"query_id": pd.Series(dtype="int64"), "neighbour_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")}
+)
+
+
 def matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64")
 
@@ -169,37 +175,43 @@ def keep_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def nearest(
-    q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int, skip_self: bool
+    q: np.ndarray,
+    q_ids: np.ndarray,
+    x: np.ndarray,
+    x_ids: np.ndarray,
+    k: int,
+    skip_self: bool,
+    bound: np.ndarray | None = None,
 ) -> pd.DataFrame:
     """The ``k`` nearest rows of ``x`` per row of ``q`` by squared distance, ties by id.
 
     A matrix product finds candidates, with all that rounding could make equal to the k-th; their
     distances are then summed term by term, so that every way of blocking gives the same result.
+    ``bound``: per query, a distance beyond which nothing is wanted.
     """
-    out = [pd.DataFrame({"query_id": [], "neighbour_id": [], "distance": []}).astype("float64")]
+    out = []
     x_norm = (x * x).sum(1)
-    step = max(1, 1_000_000 // max(len(x), 1))
+    step = max(1, 4_000_000 // max(len(x), 1))
     for at in range(0, len(q), step):
         part, ids = q[at : at + step], q_ids[at : at + step]
-        rough = (part * part).sum(1)[:, None] + x_norm[None, :] - 2 * (part @ x.T)
+        rough = part @ x.T
+        rough *= -2
+        rough += (part * part).sum(1)[:, None]
+        rough += x_norm
         if skip_self:
             rough[ids[:, None] == x_ids[None, :]] = np.inf
-        last = min(k, len(x)) - 1
-        edge = np.partition(rough, last, axis=1)[:, last]
-        slack = 1e-9 * (1 + np.abs(edge))
-        slack[np.isinf(edge)] = 0
+        edge = np.full(len(part), np.inf) if bound is None else bound[at : at + step]
+        if np.isinf(edge).any():
+            last = min(k, len(x)) - 1
+            edge = np.minimum(edge, np.partition(rough, last, axis=1)[:, last])
+        slack = np.where(np.isinf(edge), 0, 1e-9 * (1 + np.abs(edge)))
         i, j = np.nonzero((rough <= (edge + slack)[:, None]) & np.isfinite(rough))
-        exact = ((part[i] - x[j]) ** 2).sum(1)
-        order = np.lexsort((x_ids[j], exact, i))
-        i, j, exact = i[order], j[order], exact[order]
-        starts = np.searchsorted(i, np.arange(len(part)))
-        top = np.arange(len(i)) - starts[i] < k
-        out.append(
-            pd.DataFrame(
-                {"query_id": ids[i[top]], "neighbour_id": x_ids[j[top]], "distance": exact[top]}
-            )
-        )
-    return pd.concat(out[1:] or out, ignore_index=True)
+        # many copies of one vector make many candidates: measure them part by part
+        parts = np.array_split(np.arange(len(i)), max(1, len(i) * x.shape[1] // 16_000_000))
+        exact = np.concatenate([((part[i[p]] - x[j[p]]) ** 2).sum(1) for p in parts])
+        found = pd.DataFrame({"query_id": ids[i], "neighbour_id": x_ids[j], "distance": exact})
+        out.append(keep_best(found, k))
+    return pd.concat(out, ignore_index=True) if out else NOTHING
 
 
 def vectors(df: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -212,13 +224,17 @@ def search_with_all_queries(queries: pd.DataFrame, index: DataFrame, k: int, ski
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q, ids = held.value
-        best = None
+        best, bound = NOTHING, None
         for batch in batches:
-            if len(batch):
-                more = nearest(q, ids, matrix(batch.v), batch.id.to_numpy(), k, skip_self)
-                best = more if best is None else keep_best(pd.concat([best, more]), k)
-        if best is not None:
-            yield best
+            if not len(batch):
+                continue
+            more = nearest(q, ids, matrix(batch.v), batch.id.to_numpy(), k, skip_self, bound)
+            best = keep_best(pd.concat([best, more], ignore_index=True), k)
+            # what is further than the k-th so far need not be looked at again
+            per_query = best.groupby("query_id").distance.agg(["size", "max"])
+            full = per_query["max"].where(per_query["size"] == k, np.inf)
+            bound = full.reindex(ids, fill_value=np.inf).to_numpy()
+        yield best
 
     tasks = max(SEARCH_TASKS, index.sparkSession.sparkContext.defaultParallelism)
     return index.coalesce(tasks).mapInPandas(search, FOUND)
@@ -253,7 +269,7 @@ def search_blocks(queries: DataFrame, index: DataFrame, k: int, skip_self: bool)
 
     def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
-            return pd.DataFrame({"query_id": [], "neighbour_id": [], "distance": []})
+            return NOTHING
         return nearest(matrix(q.v), q.id.to_numpy(), matrix(x.v), x.id.to_numpy(), k, skip_self)
 
     return left.cogroup(right).applyInPandas(search, FOUND)
@@ -267,23 +283,79 @@ def cell_finder(centres: np.ndarray, n: int) -> Callable[[Column], Column]:
     def cells(v: pd.Series) -> pd.Series:
         m = matrix(v)
         far = norm[None, :] - 2 * (m @ centres.T)
-        return pd.Series(list(np.argsort(far, axis=1, kind="stable")[:, :n].astype("int32")))
+        if n == 1:
+            near = far.argmin(axis=1)[:, None]
+        elif n < len(centres):
+            near = np.argpartition(far, n, axis=1)[:, :n]
+        else:
+            near = np.broadcast_to(np.arange(n), far.shape)
+        return pd.Series(list(near.astype("int32")))
 
     return cells
 
 
-def fit_cells(index: DataFrame, n_cells: int, seed: int, train_rows: int = 200_000) -> np.ndarray:
+@dataclass(frozen=True)
+class CellIndex:
+    """Vectors (id, v) with the cell they are in, and the centres of the cells."""
+
+    vectors: DataFrame
+    centres: np.ndarray
+
+
+def fit_cells(index: DataFrame, n_cells: int, seed: int, per_cell: int = 128) -> np.ndarray:
     """Cell centres by k-means. Only the centres come from a sample; every row is searched."""
-    rows = index.count()
+    rows, train_rows = index.count(), n_cells * per_cell
     some = index if rows <= train_rows else index.sample(train_rows / rows, seed)
     points = some.select(array_to_vector(F.col("v").cast("array<double>")).alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=10, initMode="random").fit(points)
     return np.array(model.clusterCenters())
 
 
+def into_cells(index: DataFrame, n_cells: int | None, seed: int) -> CellIndex:
+    if n_cells is None:
+        n_cells = min(max(int(math.sqrt(index.count())), 1), 4096)
+    if n_cells > CELLS_TABLE:
+        raise ValueError(f"at most {CELLS_TABLE} cells")
+    centres = fit_cells(index, n_cells, seed)
+    return CellIndex(index.withColumn("cell", cell_finder(centres, 1)("v")[0]), centres)
+
+
+def write_cells(
+    index: DataFrame,
+    path: str,
+    index_id: str = "id",
+    index_vector: str = "embedding",
+    n_cells: int | None = None,
+    seed: int = 42,
+) -> None:
+    """An index split into cells as a table, one directory per cell, so that a search reads only the
+    cells it looks into. Rows are range-partitioned, so a large cell is written by many tasks."""
+    made = into_cells(vectors(index, index_id, index_vector), n_cells, seed)
+    rows = [(i, c.tolist()) for i, c in enumerate(made.centres)]
+    centres = index.sparkSession.createDataFrame(rows, "cell int, centre array<double>")
+    centres.coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
+    ordered = made.vectors.repartitionByRange("cell", "id")
+    ordered.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+
+
+def open_cells(spark: SparkSession, path: str) -> CellIndex:
+    """An index written by :func:`write_cells`; its centres are at most CELLS_TABLE rows."""
+    centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    return CellIndex(spark.read.parquet(f"{path}/vectors"), np.array([r.centre for r in centres]))
+
+
+def search_cells(queries: DataFrame, index: CellIndex, k: int, probes: int | None, skip_self: bool) -> DataFrame:
+    """Each query in its nearest cells."""
+    probes = min(probes or max(1, math.ceil(len(index.centres) / 8)), len(index.centres))
+    asked = queries.withColumn("cell", F.explode(cell_finder(index.centres, probes)("v")))
+    # cell numbers, at most one per centre: the filter on them prunes directories
+    wanted = [r.cell for r in asked.select("cell").distinct().collect()]
+    return search_blocks(asked, index.vectors.where(F.col("cell").isin(wanted)), k, skip_self)
+
+
 def top_k(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | CellIndex,
     k: int = NEIGHBOURS,
     method: str = "auto",
     query_id: str = "id",
@@ -298,13 +370,19 @@ def top_k(
     """query_id, rank, neighbour_id, distance: the ``k`` nearest by squared L2, ties by id.
 
     ``auto`` is exact: queries up to QUERY_BYTES go to every task, more are searched in blocks.
-    ``cells`` is approximate (R9): the index is split into cells and a query sees its nearest ones.
+    ``cells`` is approximate (R9): the index is split into cells and a query sees its nearest ones;
+    an index from :func:`open_cells` is always searched that way.
     """
     if k < 1:
         raise ValueError("k must be positive")
     if method not in ("auto", "broadcast", "blocks", "cells"):
         raise ValueError(f"Unknown method: {method}. Available: auto, broadcast, blocks, cells")
-    q, x = vectors(queries, query_id, query_vector), vectors(index, index_id, index_vector)
+    q = vectors(queries, query_id, query_vector)
+    if isinstance(index, CellIndex):
+        return ranked(search_cells(q, index, k, probes, skip_self), k)
+    x = vectors(index, index_id, index_vector)
+    if method == "cells":
+        return ranked(search_cells(q, into_cells(x, n_cells, seed), k, probes, skip_self), k)
     if method in ("auto", "broadcast"):
         width = q.select(F.size("v").alias("n")).first()
         most = QUERY_BYTES // (8 * max(width.n, 1)) if width else 1
@@ -312,27 +390,14 @@ def top_k(
             held = q.limit(most + 1).toPandas()
             if len(held) > most:
                 raise ValueError(f"more than {most} queries: use blocks")
-            if not len(held):
-                return index.sparkSession.createDataFrame([], "query_id bigint, rank int, neighbour_id bigint, distance double")
-            found = search_with_all_queries(held, x, k, skip_self)
-        else:
-            method = "blocks"
-    if method == "blocks":
-        found = search_blocks(
-            q.withColumn("cell", F.lit(0)), x.withColumn("cell", F.lit(0)), k, skip_self
-        )
-    if method == "cells":
-        n_cells = n_cells or min(max(int(math.sqrt(x.count())), 1), 4096)
-        if n_cells > CELLS_TABLE:
-            raise ValueError(f"at most {CELLS_TABLE} cells")
-        centres = fit_cells(x, n_cells, seed)
-        probes = probes or max(1, math.ceil(len(centres) / 8))
-        found = search_blocks(
-            q.withColumn("cell", F.explode(cell_finder(centres, probes)("v"))),
-            x.withColumn("cell", cell_finder(centres, 1)("v")[0]),
-            k,
-            skip_self,
-        )
+            if len(held):
+                return ranked(search_with_all_queries(held, x, k, skip_self), k)
+    one_cell = F.lit(0).alias("cell")
+    return ranked(search_blocks(q.select("*", one_cell), x.select("*", one_cell), k, skip_self), k)
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` of what the tasks found."""
     order = [F.col("distance"), F.col("neighbour_id")]
     return first_per_group(found, ["query_id"], order, k, "rank").select(
         "query_id", "rank", "neighbour_id", "distance"

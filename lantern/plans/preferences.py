@@ -28,7 +28,7 @@ from lantern.plans.inputs import (
     text_pairs,
     transcripts,
 )
-from lantern.session import fresh_path
+from lantern.session import durable, fresh_path
 
 Frame = DataFrame
 GROUP = ["lang", "source"]
@@ -268,7 +268,8 @@ SQL_TOKENISE = f"""WITH v AS MATERIALIZED ({SQL_VOCABULARY}),
 
 
 def pair_tokens(spark: SparkSession, sf_dir: str) -> tuple[Frame, Frame]:
-    formatted = hh_format(spark, sf_dir)
+    # read several times from here on
+    formatted = durable(hh_format(spark, sf_dir))
     vocab = vocabulary(formatted, "prompt", "chosen", "rejected")
     return formatted, vocab
 

@@ -55,7 +55,14 @@ def knn_blocks(spark: SparkSession, sf_dir: str) -> Frame:
 
 
 def ann_top3(spark: SparkSession, sf_dir: str) -> Frame:
-    return rounded(neighbours(spark, sf_dir, "cells"))
+    """An index written in cells, opened, and searched in the nearest of them."""
+    path = fresh_path(spark, "cells")
+    retrieval.write_cells(dealt(spark, sf_dir, "embeddings"), path, "vec_id")
+    queries = table(spark, sf_dir, "embeddings")
+    found = retrieval.top_k(
+        queries, retrieval.open_cells(spark, path), 3, query_id="vec_id", skip_self=True
+    )
+    return rounded(found)
 
 
 SQL_FOUND = f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)

@@ -167,6 +167,20 @@ def test_cells_find_most_neighbours(spark):
     assert {q: [x for x, _ in v] for q, v in every.items()} == {q: [x for x, _ in v] for q, v in want.items()}
 
 
+def test_cells_as_a_table(spark, tmp_path):
+    rows = copies_and_points(900)
+    df = vectors(spark, rows)
+    retrieval.write_cells(df, str(tmp_path), n_cells=6)
+    index = retrieval.open_cells(spark, str(tmp_path))
+    assert len(index.centres) == 6 and index.vectors.count() == 900
+    every = found(retrieval.top_k(df, index, 3, probes=6))
+    assert {q: [x for x, _ in v] for q, v in every.items()} == {
+        q: [x for x, _ in v] for q, v in brute(rows, rows, 3).items()
+    }
+    one = retrieval.top_k(df.where("id = 1"), index, 3, probes=1)
+    assert one.count() == 3 and one.first().neighbour_id == 1
+
+
 def test_bad_arguments(spark):
     df = vectors(spark, copies_and_points(4))
     for bad in ({"k": 0}, {"method": "magic"}, {"method": "cells", "n_cells": 10**6}):
