@@ -240,39 +240,47 @@ def search_with_all_queries(queries: pd.DataFrame, index: DataFrame, k: int, ski
     return index.coalesce(tasks).mapInPandas(search, FOUND)
 
 
-def search_blocks(queries: DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
-    """Queries and index, both with a ``cell``, in blocks of bounded size within each cell.
-
-    Every block of queries meets every index block of its cell in a task of its own, which returns k
-    rows per query; a cell that holds a third of all rows is just more blocks.
-    """
-
-    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
-
-    q_sizes = blocks(queries, QUERY_BLOCK, "_nq")
-    x_sizes = blocks(index, INDEX_BLOCK, "_nx")
-    # one row per cell, at most CELLS_TABLE of them
-    sizes = F.broadcast(q_sizes.join(x_sizes, "cell"))
+def dealt_to_blocks(
+    df: DataFrame, own: str, n_own: Column, other: str, n_other: Column
+) -> DataFrame:
+    """Each row in one of its side's blocks by the hash of its id, once for every block it meets."""
+    placed = df.withColumn(own, F.pmod(F.xxhash64("id"), n_own).cast("int"))
+    return placed.withColumn(other, F.explode(F.sequence(F.lit(0), (n_other - 1).cast("int"))))
 
-    def spread(df: DataFrame, own: str, n_own: str, other: str, n_other: str) -> DataFrame:
-        return (
-            df.join(sizes, "cell")
-            .withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
-            .drop("_nq", "_nx")
-        )
 
-    block = ["cell", "_qb", "_xb"]
-    left = spread(queries, "_qb", "_nq", "_xb", "_nx").groupBy(*block)
-    right = spread(index, "_xb", "_nx", "_qb", "_nq").groupBy(*block)
+def search_pairs(queries: DataFrame, index: DataFrame, by: list[str], k: int, skip_self: bool) -> DataFrame:
+    """Every block of queries meets its block of the index in one call, which returns k rows per query."""
 
     def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):
             return NOTHING
         return nearest(matrix(q.v), q.id.to_numpy(), matrix(x.v), x.id.to_numpy(), k, skip_self)
 
-    return left.cogroup(right).applyInPandas(search, FOUND)
+    return queries.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(search, FOUND)
+
+
+def search_blocks(queries: DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    """All queries against the whole index, both in blocks of bounded size."""
+    n_q = F.lit(max(1, math.ceil(queries.count() / QUERY_BLOCK)))
+    n_x = F.lit(max(1, math.ceil(index.count() / INDEX_BLOCK)))
+    left = dealt_to_blocks(queries, "_qb", n_q, "_xb", n_x)
+    right = dealt_to_blocks(index, "_xb", n_x, "_qb", n_q)
+    return search_pairs(left, right, ["_qb", "_xb"], k, skip_self)
+
+
+def search_within_cells(queries: DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
+    """Queries against the index rows of their ``cell``; a cell that holds a third of all rows is just
+    more blocks."""
+
+    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+
+    # one row per cell, at most CELLS_TABLE of them
+    sizes = F.broadcast(blocks(queries, QUERY_BLOCK, "_nq").join(blocks(index, INDEX_BLOCK, "_nx"), "cell"))
+    n_q, n_x = F.col("_nq"), F.col("_nx")
+    left = dealt_to_blocks(queries.join(sizes, "cell"), "_qb", n_q, "_xb", n_x).drop("_nq", "_nx")
+    right = dealt_to_blocks(index.join(sizes, "cell"), "_xb", n_x, "_qb", n_q).drop("_nq", "_nx")
+    return search_pairs(left, right, ["cell", "_qb", "_xb"], k, skip_self)
 
 
 def cell_finder(centres: np.ndarray, n: int) -> Callable[[Column], Column]:
@@ -350,7 +358,7 @@ def search_cells(queries: DataFrame, index: CellIndex, k: int, probes: int | Non
     asked = queries.withColumn("cell", F.explode(cell_finder(index.centres, probes)("v")))
     # cell numbers, at most one per centre: the filter on them prunes directories
     wanted = [r.cell for r in asked.select("cell").distinct().collect()]
-    return search_blocks(asked, index.vectors.where(F.col("cell").isin(wanted)), k, skip_self)
+    return search_within_cells(asked, index.vectors.where(F.col("cell").isin(wanted)), k, skip_self)
 
 
 def top_k(
@@ -392,8 +400,7 @@ def top_k(
                 raise ValueError(f"more than {most} queries: use blocks")
             if len(held):
                 return ranked(search_with_all_queries(held, x, k, skip_self), k)
-    one_cell = F.lit(0).alias("cell")
-    return ranked(search_blocks(q.select("*", one_cell), x.select("*", one_cell), k, skip_self), k)
+    return ranked(search_blocks(q, x, k, skip_self), k)
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
