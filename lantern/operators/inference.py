@@ -41,16 +41,20 @@ def predict(
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = load()
 
-        def one(p: str, s: int) -> tuple[str | None, str | None]:
+        def one(p: str | None, s: int) -> tuple[str | None, str | None]:
+            if p is None:
+                return None, "no prompt"
             try:
                 return model([p], [s])[0].strip(), None
             except Exception as e:
                 return None, str(e)
 
         for prompts, seeds in parts:
-            asked = [cutter(p, MAX_PROMPT_TOKENS) if cutter else p for p in prompts.tolist()]
+            asked = [cutter(p, MAX_PROMPT_TOKENS) if cutter and p else p for p in prompts.tolist()]
             numbers = seeds.tolist()
             try:
+                if None in asked:
+                    raise ValueError("no prompt")
                 rows = [(a.strip(), None) for a in model(asked, numbers)]
                 if len(rows) != len(asked):
                     raise ValueError("one answer per prompt is needed")

@@ -20,6 +20,8 @@ from lantern.session import durable
 ACCURACY = 10_000
 # up to this many rows per group Spark prunes before the shuffle (windowGroupLimitThreshold)
 GROUP_LIMIT = 1000
+# beyond this many rows per group they are pruned once more on the way
+SALTED_LIMIT, SALTS = 50, 64
 # rows that one task may order at the end of a limit
 LIMIT_ROWS = 10_000
 
@@ -106,12 +108,21 @@ def first_rows(
 def first_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str
 ) -> DataFrame:
-    """The first ``n`` rows of every group with their place. For small ``n`` each task sends at most
-    ``n`` rows of a group to the shuffle (WindowGroupLimit), so a hot group does no harm; for large
-    ``n`` hot groups are ranked across tasks."""
+    """The first ``n`` rows of every group with their place.
+
+    Each task sends at most ``n`` rows of a group to the shuffle (WindowGroupLimit), so a hot group does
+    no harm for small ``n``. For larger ``n`` the rows of all tasks meet in SALTS places first, so that
+    the last task gets n rows from each of those and not from every task. Beyond what Spark prunes, hot
+    groups are ranked across tasks.
+    """
     if n > GROUP_LIMIT:
         return rank_within(df, group, order, name).where(F.col(name) <= n)
     window = Window.partitionBy(*group).orderBy(*order)
+    if n > SALTED_LIMIT:
+        # any way of dealing out the rows keeps the first n, so the number of the task will do
+        salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+        inner = Window.partitionBy(*group, "_salt").orderBy(*order)
+        df = salted.withColumn(name, F.row_number().over(inner)).where(F.col(name) <= n).drop("_salt", name)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
 
 

@@ -74,9 +74,9 @@ SQL_FINISHED = f"""SELECT conv_id || '-' || turn AS request_id, CASE WHEN {TOKEN
     FROM conversations WHERE role = 'assistant' AND turn <> {LAST_TURN}"""
 
 
-def stream_score(spark: SparkSession, sf_dir: str) -> Frame:
-    """Finished requests as a second stream, scored as they come against the talks' own texts (ST5)."""
-    source, out = fresh_path(spark, "finished"), fresh_path(spark, "scored")
+def scored_stream(spark: SparkSession, sf_dir: str) -> Frame:
+    """Finished requests as a second stream, scored as they come against the talks' own texts."""
+    source = fresh_path(spark, "finished")
     events = token_events(streamed(spark, sf_dir, "conversations"))
     tokens.run_available(tokens.reassemble(events), source, fresh_path(spark, "checkpoint"))
     gold = table(spark, sf_dir, "conversations").select(
@@ -84,8 +84,14 @@ def stream_score(spark: SparkSession, sf_dir: str) -> Frame:
         F.when(F.col("conv_id") % 2 == 0, "mmlu").otherwise("own").alias("dataset"),
         F.when(F.col("conv_id") % 2 == 0, "a ").otherwise(F.col("text")).alias("gold_answer"),
     )
-    arriving = spark.readStream.schema(tokens.FINISHED).parquet(source).where("status = 'done'")
-    scored = tokens.score_stream(arriving.join(gold, "request_id")).select(
+    arriving = spark.readStream.schema(tokens.FINISHED).parquet(source)
+    return tokens.score_stream(arriving.join(gold, "request_id"))
+
+
+def stream_score(spark: SparkSession, sf_dir: str) -> Frame:
+    """Scores of finished requests (ST5)."""
+    out = fresh_path(spark, "scored")
+    scored = scored_stream(spark, sf_dir).where("status = 'done'").select(
         "request_id", "dataset", "metric", "score"
     )
     tokens.run_available(scored, out, fresh_path(spark, "checkpoint"))
@@ -100,6 +106,23 @@ SQL_STREAM_SCORE = f"""SELECT request_id, CASE WHEN even THEN 'mmlu' ELSE 'own'
     WHERE status = 'done'"""
 
 
+def stream_results(spark: SparkSession, sf_dir: str) -> Frame:
+    """The lines sent out at the end of each request: result and done, or error (ST2, ST3)."""
+    out = fresh_path(spark, "lines")
+    lines = tokens.result_lines(scored_stream(spark, sf_dir))
+    tokens.run_available(lines, out, fresh_path(spark, "checkpoint"))
+    return spark.read.schema("request_id string, place int, line string").parquet(out)
+
+
+SQL_RESULTS = f"""SELECT f.request_id, CAST(0 AS INT) AS place, CASE f.status WHEN 'error'
+        THEN 'data: {{"type":"error","message":"too long"}}'
+        ELSE 'data: {{"type":"result","dataset":"' || s.dataset || '","predicted_answer":' ||
+            CAST(to_json(f.predicted_answer) AS VARCHAR) || ',"score":' || CASE s.score WHEN 1 THEN '1.0' ELSE '0.0' END
+            || ',"metric":"' || s.metric || '"}}' END AS line
+    FROM ({SQL_FINISHED}) f LEFT JOIN ({SQL_STREAM_SCORE}) s ON f.request_id = s.request_id
+    UNION ALL SELECT request_id, 1, 'data: {{"type":"done"}}' FROM ({SQL_FINISHED}) WHERE status = 'done'"""
+
+
 def stream_frames(spark: SparkSession, sf_dir: str) -> Frame:
     """Texts in wire format among comments and broken payloads: events read, the rest set aside."""
     source, out = fresh_path(spark, "wire"), fresh_path(spark, "events")
@@ -130,5 +153,6 @@ SQL_FRAMES = """SELECT CAST(conv_id AS VARCHAR) AS request_id, CAST(turn AS INT)
 QUERIES = {
     "stream_reassemble": (stream_reassemble, SQL_FINISHED),
     "stream_score": (stream_score, SQL_STREAM_SCORE),
+    "stream_results": (stream_results, SQL_RESULTS),
     "stream_frames": (stream_frames, SQL_FRAMES),
 }

@@ -22,7 +22,7 @@ RUN = "request_id string, seqs array<int>, contents array<string>, closed string
 RUN_COLUMNS = ["request_id", "seqs", "contents", "closed", "message", "end_seq", "at_ms"]
 EXPIRY_MS = 3_600_000
 FINISHED = "request_id string, status string, predicted_answer string, message string, n_tokens int"
-STATE = "seqs array<int>, contents array<string>, closed string, message string, end_seq int, last_ms long"
+STATE = "text string, next_seq int, seqs array<int>, contents array<string>, closed string, message string, end_seq int, last_ms long"
 
 
 def read_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -82,28 +82,34 @@ def token_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def collect_request(
     key: tuple[str], runs: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
-    """Tokens of one request until all up to its end are there; a repeated token counts once."""
+    """Tokens of one request until all up to its end are there; a repeated token counts once.
+
+    The text up to the first gap is kept joined, so a long request does not stay a long list; only
+    tokens beyond a gap are kept one by one.
+    """
     if state.hasTimedOut:
         state.remove()
         return
-    tokens: dict[int, str] = {}
+    text, next_seq, waiting = "", 0, {}
     closed = message = end_seq = None
     last_ms = 0
     if state.exists:
-        seqs, contents, closed, message, end_seq, last_ms = state.get
-        tokens = dict(zip(seqs, contents))
+        text, next_seq, seqs, contents, closed, message, end_seq, last_ms = state.get
+        waiting = dict(zip(seqs, contents))
     for part in runs:
         for row in part.itertuples():
             if not pd.isna(row.at_ms):
                 last_ms = max(last_ms, int(row.at_ms))
-            for seq, content in zip(row.seqs, row.contents):
-                tokens.setdefault(int(seq), content)
+            waiting.update((int(s), c) for s, c in zip(row.seqs, row.contents) if s >= next_seq)
             if isinstance(row.closed, str) and closed is None:
                 closed, end_seq = row.closed, int(row.end_seq)
                 message = row.message if isinstance(row.message, str) else None
-    before_end = sum(1 for s in tokens if end_seq is not None and s < end_seq)
-    if closed == ERROR or (closed == DONE and before_end == end_seq):
-        text = "".join(tokens[s] for s in sorted(tokens) if s < end_seq)
+    ready = []
+    while next_seq in waiting and next_seq != end_seq:
+        ready.append(waiting.pop(next_seq))
+        next_seq += 1
+    text += "".join(ready)
+    if closed == ERROR or (closed == DONE and next_seq == end_seq):
         state.remove()
         yield pd.DataFrame(
             {
@@ -111,12 +117,13 @@ def collect_request(
                 "status": [closed],
                 "predicted_answer": [text if closed == DONE else None],
                 "message": [message],
-                "n_tokens": [before_end],
+                "n_tokens": [next_seq + sum(s < end_seq for s in waiting)],
             }
         )
         return
-    order = sorted(tokens)
-    state.update((order, [tokens[s] for s in order], closed, message, end_seq, last_ms))
+    order = sorted(waiting)
+    kept = [waiting[s] for s in order]
+    state.update((text, next_seq, order, kept, closed, message, end_seq, last_ms))
     # counted from the newest event: before the first batch ends the watermark still stands at zero
     newest = max(last_ms, state.getCurrentWatermarkMs())
     if newest > 0:
@@ -155,6 +162,18 @@ def score_stream(
     return evaluate(finished, dataset, "predicted_answer", gold, choices, summaries)
 
 
+def result_lines(scored: DataFrame) -> DataFrame:
+    """What is sent out for a finished request, in wire format: its result and then done, or one error
+    (ST2, ST3). ``place`` orders the lines of a request."""
+    whole = ["dataset", "predicted_answer", "score", "metric"]
+    result = wire_line(type=F.lit(RESULT), **{name: F.col(name) for name in whole})
+    error = wire_line(type=F.lit(ERROR), message=F.col("message"))
+    lines = F.when(F.col("status") == ERROR, F.array(error)).otherwise(
+        F.array(result, wire_line(type=F.lit(DONE)))
+    )
+    return scored.select("request_id", F.posexplode(lines).alias("place", "line"))
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Everything there is now, written as parquet below ``path``. Started again on the same checkpoint
     it goes on where it stopped."""

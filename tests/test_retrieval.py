@@ -235,9 +235,9 @@ def test_failures_stay_in_their_row(spark):
 
         return answer
 
-    df = spark.createDataFrame([("a",), ("bad",), ("c",)], "prompt string").coalesce(1)
+    df = spark.createDataFrame([("a",), ("bad",), ("c",), (None,)], "prompt string").coalesce(1)
     out = {r.prompt: (r.predicted_answer, r.error) for r in inference.predict(df, load).collect()}
-    assert out == {"a": ("A", None), "bad": (None, "no"), "c": ("C", None)}
+    assert out == {"a": ("A", None), "bad": (None, "no"), "c": ("C", None), None: (None, "no prompt")}
 
 
 def test_samples_have_their_own_seeds(spark):
