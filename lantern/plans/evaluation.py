@@ -319,11 +319,13 @@ def sql_ngrams(n: int, tokens: str) -> str:
         ON p.doc_id = g.doc_id AND p.gram = g.gram GROUP BY 1) h ON tok.doc_id = h.doc_id"""
 
 
-def sql_prf(n: int) -> str:
+def sql_prf(n: int, label: str = "") -> str:
+    """Precision, recall and F1 from the counts of n{n}."""
+    name = label or f"rouge{n}"
     p = f"CASE WHEN n{n}.np > 0 THEN n{n}.hits::DOUBLE / n{n}.np ELSE 0 END"
     r = f"CASE WHEN n{n}.ng > 0 THEN n{n}.hits::DOUBLE / n{n}.ng ELSE 0 END"
-    return f"""round({p}, 8) AS rouge{n}_precision, round({r}, 8) AS rouge{n}_recall,
-        round(CASE WHEN n{n}.hits > 0 THEN 2 * ({p}) * ({r}) / (({p}) + ({r})) ELSE 0 END, 8) AS rouge{n}_f1"""
+    return f"""round({p}, 8) AS "{name}_precision", round({r}, 8) AS "{name}_recall",
+        round(CASE WHEN n{n}.hits > 0 THEN 2 * ({p}) * ({r}) / (({p}) + ({r})) ELSE 0 END, 8) AS "{name}_f1" """
 
 
 SQL_ROUGE12 = f"""WITH tok AS MATERIALIZED (SELECT doc_id,
@@ -333,6 +335,32 @@ SQL_ROUGE12 = f"""WITH tok AS MATERIALIZED (SELECT doc_id,
     SELECT n1.doc_id, {sql_prf(1)}, {sql_prf(2)} FROM n1 JOIN n2 ON n1.doc_id = n2.doc_id"""
 
 
+def rouge_lcs_nostem(spark: SparkSession, sf_dir: str) -> Frame:
+    s = rouge_scores("predicted_answer", "gold_answer", stemmed=False)
+    rows = text_pairs(spark, sf_dir).withColumn("s", s).select("doc_id", "s.*")
+    names = ["rougeL_precision", "rougeL_recall", "rougeL_f1"]
+    return rows.select("doc_id", *[F.round(c, 8).alias(c) for c in names])
+
+
+# The subsequence length row by row of the usual table, a row held as the bits of one number: the gold
+# passages have fewer than 120 words, so that a row fits 128 bits.
+SQL_LCS = f"""WITH RECURSIVE tok AS MATERIALIZED (SELECT doc_id,
+        regexp_extract_all(lower(predicted_answer), '[a-z0-9]+') AS pt,
+        regexp_extract_all(lower(gold_answer), '[a-z0-9]+') AS gt FROM ({SQL_TEXT_PAIRS})),
+    mask AS MATERIALIZED (SELECT doc_id, w, CAST(sum(1::HUGEINT << (i - 1)::INT) AS HUGEINT) AS m FROM (
+        SELECT doc_id, unnest(gt) AS w, generate_subscripts(gt, 1) AS i FROM tok) GROUP BY ALL),
+    hit AS MATERIALIZED (SELECT doc_id, m, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM (
+        SELECT doc_id, unnest(pt) AS w, generate_subscripts(pt, 1) AS i FROM tok) JOIN mask USING (doc_id, w)),
+    walk AS (SELECT doc_id, 0::BIGINT AS i, (1::HUGEINT << len(gt)::INT) - 1 AS bits, (1::HUGEINT << len(gt)::INT) - 1 AS whole
+        FROM tok UNION ALL
+        SELECT w.doc_id, h.i, ((w.bits + (w.bits & h.m)) | (w.bits - (w.bits & h.m))) & w.whole, w.whole
+        FROM walk w JOIN hit h ON w.doc_id = h.doc_id AND h.i = w.i + 1),
+    n1 AS (SELECT tok.doc_id, len(pt) AS np, len(gt) AS ng, len(gt) - l.left_over AS hits FROM tok JOIN (
+        SELECT doc_id, arg_max(bit_count(bits), i) AS left_over FROM walk GROUP BY 1) l ON tok.doc_id = l.doc_id)
+    SELECT n1.doc_id, {sql_prf(1, 'rougeL')}
+    FROM n1"""
+
+
 def rouge_full(spark: SparkSession, sf_dir: str) -> Frame:
     s = rouge_scores("predicted_answer", "gold_answer")
     rows = text_pairs(spark, sf_dir).withColumn("s", s).select("doc_id", "s.*")
@@ -827,6 +855,7 @@ QUERIES = {
     "length_stats": (length_stats, SQL_LENGTHS),
     "score_explanations": (score_explanations, SQL_EXPLANATIONS),
     "rouge12_nostem": (rouge12_nostem, SQL_ROUGE12),
+    "rouge_lcs_nostem": (rouge_lcs_nostem, SQL_LCS),
     "rouge_full": (rouge_full, None),
     "bleu": (bleu, SQL_BLEU),
     "eval_summary": (eval_summary, None),

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.operators import inference, retrieval
-from lantern.plans.inputs import dealt, quoted, sql_draw, sql_words, table
+from lantern.plans.inputs import dealt, quoted, sql_draw, sql_strip, sql_words, table
 from lantern.session import fresh_path
-from lantern.sources.fixed_values import RETRIEVAL_SYSTEM
+from lantern.sources.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, RETRIEVAL_SYSTEM
 from lantern.sources.tables import read_text_documents
 
 Frame = DataFrame
@@ -23,6 +23,42 @@ def ingest_chunks(spark: SparkSession, sf_dir: str) -> Frame:
     return retrieval.chunk_documents(dealt(spark, sf_dir, "documents"), ["doc_id"])
 
 
+# The chunk rule said with prefix sums. A line of 1000 characters or more, or a text without line breaks,
+# is a run of words; lines between such lines are a run of lines. In a run, a chunk that begins at
+# piece f ends at the last piece whose running length is at most 1000 more, and the next begins at the
+# first piece that leaves at most 200 characters before, and room for, the piece that did not fit.
+SQL_CHUNKS = f"""WITH RECURSIVE
+    line AS (SELECT doc_id, i, CASE WHEN i = 1 THEN e ELSE chr(10) || e END AS piece, n = 1 AS alone FROM (
+        SELECT doc_id, unnest(l) AS e, generate_subscripts(l, 1) AS i, len(l) AS n
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+    sized AS (SELECT doc_id, i, piece, alone OR length(piece) >= {CHUNK_SIZE} AS big FROM line WHERE piece <> ''),
+    run AS (SELECT doc_id, i, piece, big, sum(CASE WHEN big OR before THEN 1 ELSE 0 END)
+            OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (SELECT *, coalesce(lag(big) OVER (PARTITION BY doc_id ORDER BY i), false) AS before FROM sized)),
+    word AS (SELECT doc_id, run, i, j, CASE WHEN j = 1 THEN w ELSE ' ' || w END AS piece FROM (
+        SELECT doc_id, run, i, unnest(string_split(piece, ' ')) AS w,
+            generate_subscripts(string_split(piece, ' '), 1) AS j FROM run WHERE big)),
+    part AS MATERIALIZED (SELECT *, upto - length(piece) AS start FROM (
+        SELECT doc_id, run, piece, row_number() OVER w AS p, CAST(sum(length(piece)) OVER w AS BIGINT) AS upto
+        FROM (SELECT doc_id, run, i, 0 AS j, piece FROM run WHERE NOT big
+            UNION ALL SELECT doc_id, run, i, j, piece FROM word WHERE piece <> '')
+        WINDOW w AS (PARTITION BY doc_id, run ORDER BY i, j ROWS UNBOUNDED PRECEDING))),
+    ends AS (SELECT a.doc_id, a.run, a.p AS f, b.p AS last FROM (SELECT *, start + {CHUNK_SIZE} AS most FROM part) a
+        ASOF JOIN part b ON a.doc_id = b.doc_id AND a.run = b.run AND a.most >= b.upto),
+    over AS (SELECT e.*, greatest(q.start - {CHUNK_OVERLAP}, q.upto - {CHUNK_SIZE}) AS least FROM ends e
+        JOIN part q ON e.doc_id = q.doc_id AND e.run = q.run AND q.p = e.last + 1),
+    jump AS MATERIALIZED (SELECT e.doc_id, e.run, e.f, e.last, b.p AS next FROM ends e
+        LEFT JOIN over o ON e.doc_id = o.doc_id AND e.run = o.run AND e.f = o.f
+        ASOF LEFT JOIN part b ON o.doc_id = b.doc_id AND o.run = b.run AND o.least <= b.start),
+    chunk AS (SELECT doc_id, run, f, last, next FROM jump WHERE f = 1
+        UNION ALL SELECT j.doc_id, j.run, j.f, j.last, j.next FROM chunk c
+        JOIN jump j ON c.doc_id = j.doc_id AND c.run = j.run AND c.next = j.f)
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY run, f) - 1 AS INT) AS chunk_no, text
+    FROM (SELECT c.doc_id, c.run, c.f, {sql_strip("string_agg(q.piece, '' ORDER BY q.p)")} AS text FROM chunk c
+        JOIN part q ON c.doc_id = q.doc_id AND c.run = q.run AND q.p BETWEEN c.f AND c.last GROUP BY ALL)
+    WHERE text <> ''"""
+
+
 def text_documents(spark: SparkSession, sf_dir: str) -> Frame:
     """Passages written as one text file each and read back as documents."""
     path = fresh_path(spark, "texts")
@@ -65,6 +101,17 @@ def ann_top3(spark: SparkSession, sf_dir: str) -> Frame:
     return rounded(found)
 
 
+def knn_cells(spark: SparkSession, sf_dir: str) -> Frame:
+    """An index in cells, all of which are searched: the exact neighbours again."""
+    path = fresh_path(spark, "cells")
+    retrieval.write_cells(dealt(spark, sf_dir, "embeddings"), path, "vec_id", n_cells=12)
+    queries = table(spark, sf_dir, "embeddings")
+    found = retrieval.top_k(
+        queries, retrieval.open_cells(spark, path), 3, query_id="vec_id", skip_self=True, probes=12
+    )
+    return rounded(found)
+
+
 SQL_FOUND = f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)
         AS INT) AS rank, neighbour_id, distance FROM (SELECT q.vec_id AS query_id, x.vec_id AS neighbour_id,
         power(array_distance(q.v, x.v), 2) AS distance
@@ -201,13 +248,16 @@ SQL_REWARD = """SELECT conv_id, turn, round((length(t) - length(replace(t, 'e',
     AS reward FROM (SELECT conv_id, turn, role || text AS t FROM conversations)"""
 
 
+ANSWER_DIMENSIONS = 256
+
+
 def rag_answer(spark: SparkSession, sf_dir: str) -> Frame:
     """Documents chunked, embedded and indexed; every benchmark passage asked."""
     chunks = ingest_chunks(spark, sf_dir).withColumn(
         "id", F.col("doc_id") * 1_000_000 + F.col("chunk_no")
     )
-    weights = retrieval.fit_word_weights(chunks, "text")
-    embed, path = retrieval.hashed_embedder(weights), fresh_path(spark, "index")
+    weights = retrieval.fit_word_weights(chunks, "text", ANSWER_DIMENSIONS, portable=True)
+    embed, path = retrieval.hashed_embedder(weights, portable=True), fresh_path(spark, "index")
     retrieval.write_index(chunks, path, embed, ["doc_id", "chunk_no"])
     questions = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("question"))
     answered = retrieval.answer(
@@ -216,11 +266,39 @@ def rag_answer(spark: SparkSession, sf_dir: str) -> Frame:
     return answered.select("query_id", "question", "context", "answer", "error")
 
 
+SQL_RAG_ANSWER = f"""WITH every AS MATERIALIZED (
+        SELECT 'chunk' AS kind, doc_id * 1000000 + chunk_no AS id, text FROM ({SQL_CHUNKS})
+        UNION ALL SELECT 'question', item_id, text FROM benchmark),
+    tf AS MATERIALIZED (SELECT kind, id, CAST(CAST('0x' || substr(md5(word), 1, 8) AS BIGINT)
+        % {ANSWER_DIMENSIONS} AS INT) AS bucket, count(*) AS n
+        FROM (SELECT kind, id, unnest({sql_words('text')}) AS word FROM every) GROUP BY ALL),
+    idf AS (SELECT b.bucket, ln(((SELECT count(*) FROM every WHERE kind = 'chunk') + 1)::DOUBLE
+        / (count(tf.id) + 1)) AS w FROM (SELECT unnest(range({ANSWER_DIMENSIONS}))::INT AS bucket) b
+        LEFT JOIN tf ON tf.bucket = b.bucket AND tf.kind = 'chunk' GROUP BY 1),
+    weighted AS MATERIALIZED (SELECT kind, id, bucket, n * w AS x FROM tf JOIN idf USING (bucket)),
+    norm AS (SELECT kind, id, sqrt(sum(x * x)) AS length FROM weighted GROUP BY ALL),
+    vec AS MATERIALIZED (SELECT e.kind, e.id, list(CASE WHEN n.length > 0 THEN coalesce(CAST(CAST(x / n.length AS FLOAT)
+            AS DOUBLE), 0) ELSE 0 END ORDER BY i.bucket)::DOUBLE[{ANSWER_DIMENSIONS}] AS v
+        FROM every e CROSS JOIN idf i LEFT JOIN norm n ON e.kind = n.kind AND e.id = n.id
+        LEFT JOIN weighted w ON e.kind = w.kind AND e.id = w.id AND i.bucket = w.bucket GROUP BY ALL),
+    found AS (SELECT q.id AS query_id, x.id, row_number() OVER (PARTITION BY q.id
+            ORDER BY array_distance(q.v, x.v), x.id) AS rank
+        FROM vec q JOIN vec x ON q.kind = 'question' AND x.kind = 'chunk' QUALIFY rank <= 3),
+    said AS (SELECT f.query_id, string_agg(e.text, chr(10) ORDER BY f.rank) AS context FROM found f
+        JOIN every e ON e.kind = 'chunk' AND e.id = f.id GROUP BY 1),
+    asked AS (SELECT query_id, text AS question, context, {quoted(RETRIEVAL_SYSTEM)} || chr(10) || chr(10)
+        || 'Context: ' || context || ' ' || chr(10) || chr(10) || ' Questions: ' || text AS p
+        FROM said JOIN benchmark ON query_id = item_id)
+    SELECT query_id, question, context, CASE WHEN NOT contains(p, 'ß') THEN length(p) || ' characters' END
+        AS answer, CASE WHEN contains(p, 'ß') THEN 'cannot read this letter' END AS error FROM asked"""
+
+
 QUERIES = {
-    "ingest_chunks": (ingest_chunks, None),
+    "ingest_chunks": (ingest_chunks, SQL_CHUNKS),
     "text_documents": (text_documents, SQL_TEXTS),
     "knn_top3": (knn_top3, SQL_KNN),
     "knn_blocks": (knn_blocks, SQL_KNN),
+    "knn_cells": (knn_cells, SQL_KNN),
     "ann_top3": (ann_top3, None),
     "knn_context": (knn_context, SQL_CONTEXT),
     "rag_prompt": (rag_prompt, SQL_PROMPT),
@@ -229,5 +307,5 @@ QUERIES = {
     "batch_answer": (batch_answer, SQL_ANSWER),
     "sample_completions": (sample_completions, SQL_SAMPLES),
     "reward_score": (reward_score, SQL_REWARD),
-    "rag_answer": (rag_answer, None),
+    "rag_answer": (rag_answer, SQL_RAG_ANSWER),
 }
