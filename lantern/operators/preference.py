@@ -297,20 +297,14 @@ def buffer_snapshots(df: DataFrame, size: int, seq: str, iteration: str) -> Data
     recent = first_per_group(df, [iteration], [F.col(seq).desc()], size, "_back")
     counts = df.groupBy(iteration).agg(F.count(F.lit(1)).alias("_n"))
     through = Window.orderBy(iteration).rowsBetween(Window.unboundedPreceding, 0)
-    onward = Window.orderBy(iteration).rowsBetween(0, Window.unboundedFollowing)
     totals = counts.withColumn("_total", F.sum("_n").over(through))
-    later = totals.withColumn(
-        "_later", F.collect_list(F.struct(F.col(iteration).alias("k"), F.col("_total").alias("t"))).over(onward)
-    )
-    gaps = later.select(
+    # later iterations by which fewer than ``size`` rows have followed: at most ``size`` of them
+    onward = Window.orderBy("_total").rangeBetween(0, size - 1)
+    later = F.collect_list(F.struct(F.col(iteration).alias("k"), F.col("_total").alias("t"))).over(onward)
+    gaps = totals.withColumn("_later", later).select(
         iteration,
         F.explode(
-            F.filter(
-                F.transform(
-                    "_later", lambda z: F.struct(z.k.alias("k"), (z.t - F.col("_total")).alias("gap"))
-                ),
-                lambda z: z.gap < size,
-            )
+            F.transform("_later", lambda z: F.struct(z.k.alias("k"), (z.t - F.col("_total")).alias("gap")))
         ).alias("_at"),
     )
     return (

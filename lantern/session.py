@@ -24,12 +24,24 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "lantern", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults above; keyword names use ``__`` for dots."""
+PARTITION_BYTES = 128 << 20
+
+
+def shuffle_partitions(data_bytes: int) -> int:
+    """Shuffle partitions of about 128 MB, so that one fits an executor's memory with room to sort."""
+    return min(max(200, -(-data_bytes // PARTITION_BYTES)), 1_000_000)
+
+
+def build_session(
+    app: str = "lantern", master: str | None = None, data_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the defaults above; keyword names use ``__`` for dots. ``data_bytes``: how much
+    data the widest shuffle moves; small partitions are put together again at run time."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**DEFAULTS, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
+    sized = {} if data_bytes is None else {"spark.sql.shuffle.partitions": str(shuffle_partitions(data_bytes))}
+    settings = {**DEFAULTS, **sized, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return ship(builder.getOrCreate())

@@ -64,9 +64,9 @@ def load_preferences(
             train_split, test_split = own_train or train_split, own_test or test_split
     path = f"{base}/{directory_name(name)}" + (f"/{subset}" if subset else "")
     data = spark.read.parquet(path)
-    # the split is a partition column: these are directory names, not a scan
-    have = sorted(r[0] for r in data.select("split").distinct().collect())
-    if train_split not in have:
+    # the split is a partition column: this looks into one directory
+    if data.where(F.col("split") == train_split).isEmpty():
+        have = sorted(r[0] for r in data.select("split").distinct().collect())
         raise ValueError(f"Train split '{train_split}' not found in dataset. Available splits: {have}")
     return Splits(data, train_split, test_split)
 

@@ -9,6 +9,7 @@ from lantern.operators import retrieval
 from lantern.operators.ranking import first_rows
 from lantern.operators.tokens import vocabulary, with_vocabulary
 from lantern.plans.registry import QUERIES
+from lantern.session import shuffle_partitions
 
 
 def plan(df):
@@ -45,6 +46,11 @@ def test_limits_filter_the_scan(spark, tmp_path):
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(id,", plan(first_rows(df, 50, "id", last=True)))
 
 
+def test_partitions_by_size():
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(100 << 40) == 819_200
+
+
 @pytest.fixture
 def small_joins(spark):
     """Settings under which little data is large: no broadcasts, small partitions."""
