@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,60 +47,59 @@ def evaluate(
     leaves the Arrow step out of the plan for tables known to hold no summarisation rows.
     """
     check_columns(df, [dataset, predicted, gold])
-    family = scorer_family(dataset)
 
-    def only(name: str, scored: Column) -> Column:
-        return F.when(F.col("_family") == name, scored)
-
-    scored = with_math_score(df.withColumn("_family", family), predicted, gold, "_math", only)
-    scored = with_code_score(scored, predicted, gold, "_code", only).withColumns(
-        {
-            "_choice": only("choice", score_choice(predicted, gold, choices)),
-            "_exact": only("exact", score_exact(predicted, gold)),
-        }
-    )
-    parts = ["choice", "math", "code", "exact"]
+    def only(family: str, value: Column) -> Column:
+        return F.when(F.col("_family") == family, value)
+
+    # in steps, so that a pattern runs and a token set is built once per row, and only where needed
+    once = {
+        "_p": only("math", number(predicted)),
+        "_g": only("math", number(gold)),
+        "_a": only("code", code_tokens(predicted)),
+        "_b": only("code", code_tokens(gold)),
+    }
+    details = {
+        "choice": only("choice", score_choice(predicted, gold, choices)),
+        "math": only("math", score_math(predicted, gold, "_p", "_g")),
+        "code": only("code", score_code(predicted, gold, "_a", "_b", "_n")),
+        "exact": only("exact", score_exact(predicted, gold)),
+    }
     if summaries:
         # Python functions run for every row whatever surrounds them: rows of other families send nulls
-        is_summary = F.col("_family") == "summary"
-        overlap = summary_scores(F.when(is_summary, F.col(predicted)), F.when(is_summary, F.col(gold)))
-        scored = scored.withColumn("_overlap", overlap).withColumn(
-            "_summary", score_summary(F.col("_overlap"))
-        )
-        parts.append("summary")
-    return (
-        scored.withColumn("score", F.coalesce(*[F.col(f"_{p}.score") for p in parts]))
-        .withColumn("metric", F.coalesce(*[F.col(f"_{p}.metric") for p in parts]))
-        .withColumn("details", F.struct(*[F.col(f"_{p}").alias(p) for p in parts]))
-        .drop("_family", "_overlap", *[f"_{p}" for p in parts])
+        texts = [only("summary", F.col(c)) for c in (predicted, gold)]
+        once["_overlap"] = summary_scores(*texts)
+        details["summary"] = score_summary(F.col("_overlap"))
+    scored = (
+        df.withColumn("_family", scorer_family(dataset))
+        .withColumns(once)
+        .withColumn("_n", F.size(F.array_intersect("_a", "_b")))
+        .withColumns({f"_{name}": value for name, value in details.items()})
+    )
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("score", "metric", "details")]
+    return scored.select(
+        *kept,
+        F.coalesce(*[F.col(f"_{name}.score") for name in details]).alias("score"),
+        F.coalesce(*[F.col(f"_{name}.metric") for name in details]).alias("metric"),
+        F.struct(*[F.col(f"_{name}").alias(name) for name in details]).alias("details"),
     )
 
 
 def with_math_score(
-    df: DataFrame,
-    predicted: str = "predicted_answer",
-    gold: str = "gold_answer",
-    name: str = "math",
-    only: Callable[[str, Column], Column] = lambda _, c: c,
+    df: DataFrame, predicted: str = "predicted_answer", gold: str = "gold_answer", name: str = "math"
 ) -> DataFrame:
-    """``df`` plus the numeric score, in steps: numbers first, so that each pattern runs once."""
-    numbers = {"_p": only("math", number(predicted)), "_g": only("math", number(gold))}
-    scored = only("math", score_math(predicted, gold, "_p", "_g"))
-    return df.withColumns(numbers).withColumn(name, scored).drop("_p", "_g")
+    """``df`` plus the numeric score, for tables of numeric answers alone: numbers first."""
+    numbers = df.withColumns({"_p": number(predicted), "_g": number(gold)})
+    return numbers.withColumn(name, score_math(predicted, gold, "_p", "_g")).drop("_p", "_g")
 
 
 def with_code_score(
-    df: DataFrame,
-    predicted: str = "predicted_answer",
-    gold: str = "gold_answer",
-    name: str = "code",
-    only: Callable[[str, Column], Column] = lambda _, c: c,
+    df: DataFrame, predicted: str = "predicted_answer", gold: str = "gold_answer", name: str = "code"
 ) -> DataFrame:
-    """``df`` plus the code score, in steps: each text is tokenised once, each pair compared once."""
-    sets = {"_a": only("code", code_tokens(predicted)), "_b": only("code", code_tokens(gold))}
-    shared = F.size(F.array_intersect("_a", "_b"))
-    scored = only("code", score_code(predicted, gold, "_a", "_b", "_n"))
-    return df.withColumns(sets).withColumn("_n", shared).withColumn(name, scored).drop("_a", "_b", "_n")
+    """``df`` plus the code score, for tables of code alone: token sets first."""
+    sets = df.withColumns({"_a": code_tokens(predicted), "_b": code_tokens(gold)})
+    shared = sets.withColumn("_n", F.size(F.array_intersect("_a", "_b")))
+    scored = shared.withColumn(name, score_code(predicted, gold, "_a", "_b", "_n"))
+    return scored.drop("_a", "_b", "_n")
 
 
 def with_code_explanation(df: DataFrame, scored: str = "code", name: str = "explanation") -> DataFrame:

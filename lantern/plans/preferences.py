@@ -100,6 +100,12 @@ SQL_RANK = f"""SELECT lang, source, doc_id, reward, CAST(row_number() OVER
     (PARTITION BY lang, source ORDER BY reward DESC, doc_id) AS INT) AS rank FROM ({SQL_COMPLETIONS})"""
 
 
+def rank_hot_groups(spark: SparkSession, sf_dir: str) -> Frame:
+    """The same ranks with nine rows already counting as too many for one task."""
+    slim = completions(spark, sf_dir).select(*GROUP, "doc_id", "reward")
+    return pref.rank(slim, GROUP, "doc_id", hot_rows=8)
+
+
 def rank_without_reward(spark: SparkSession, sf_dir: str) -> Frame:
     slim = completions(spark, sf_dir).select("lang", "doc_id")
     return pref.rank(slim, ["lang"], "doc_id", reward=None)
@@ -162,6 +168,13 @@ SQL_ADVANTAGE = f"""SELECT lang, source, doc_id, reward,
         FROM ({SQL_COMPLETIONS}) WINDOW w AS (PARTITION BY lang, source)) WHERE n > 1"""
 
 
+def advantage_hot_groups(spark: SparkSession, sf_dir: str) -> Frame:
+    """The same advantages with nine rows already counting as a hot group."""
+    slim = completions(spark, sf_dir).select(*GROUP, "doc_id", "reward")
+    made = pref.group_advantage(slim, GROUP, clip=10.0, hot_rows=8)
+    return made.withColumn("advantage", F.round("advantage", 6))
+
+
 def drop_truncated(spark: SparkSession, sf_dir: str) -> Frame:
     """Completions that stopped by themselves: fewer than 256 words, or ended by a full stop."""
     words = F.size(F.split("completion", " "))
@@ -380,6 +393,12 @@ def forecast_rolling(spark: SparkSession, sf_dir: str) -> Frame:
     return made.select("symbol", "event_id", F.round("forecast", 6).alias("forecast"))
 
 
+def forecast_rolling_slots(spark: SparkSession, sf_dir: str) -> Frame:
+    """The same forecasts with long symbols done day by day."""
+    made = prices_op.rolling_forecast(prices(spark, sf_dir), order=ORDER, hot_rows=60)
+    return made.select("symbol", "event_id", F.round("forecast", 6).alias("forecast"))
+
+
 SQL_ROLLING = """SELECT user_id AS symbol, event_id, round(avg(value) OVER (PARTITION BY user_id
     ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS forecast FROM events"""
 
@@ -391,11 +410,13 @@ QUERIES = {
     "online_validate": (online_validate, SQL_ONLINE),
     "prompt_cap": (prompt_cap, SQL_PROMPT_CAP),
     "rank_completions": (rank_completions, SQL_RANK),
+    "rank_hot_groups": (rank_hot_groups, SQL_RANK),
     "rank_without_reward": (rank_without_reward, SQL_RANK_PLAIN),
     "pref_pairs": (pref_pairs, SQL_PAIRS),
     "bt_loss": (bt_loss, SQL_LOSS),
     "completion_text": (completion_text, SQL_COMPLETION_TEXT),
     "group_advantage": (group_advantage, SQL_ADVANTAGE),
+    "advantage_hot_groups": (advantage_hot_groups, SQL_ADVANTAGE),
     "drop_truncated": (drop_truncated, SQL_TRUNCATED),
     "replay_buffer": (replay_buffer, SQL_BUFFER),
     "buffer_snapshots": (buffer_snapshots, SQL_SNAPSHOTS),
@@ -410,4 +431,5 @@ QUERIES = {
     "last_history": (last_history, SQL_LAST5),
     "forecast_last5": (forecast_last5, SQL_FORECAST),
     "forecast_rolling": (forecast_rolling, SQL_ROLLING),
+    "forecast_rolling_slots": (forecast_rolling_slots, SQL_ROLLING),
 }
