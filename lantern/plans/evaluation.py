@@ -26,12 +26,13 @@ from lantern.operators.evaluate import (
     with_math_explanation,
     with_math_score,
 )
+from lantern.operators.preference import limit_splits
 from lantern.plans.inputs import (
-    LANGUAGE_NAMES,
     LANGUAGES,
+    LANGUAGE_NAMES,
+    SQL_BUFFER_LOG,
     SQL_TEXT_PAIRS,
     buffer_log,
-    SQL_BUFFER_LOG,
     choice_preds,
     language_letter,
     math_preds,
@@ -51,7 +52,6 @@ from lantern.plans.inputs import (
     table,
     text_pairs,
 )
-from lantern.operators.preference import limit_splits
 from lantern.session import fresh_path
 from lantern.sources import catalog, tables
 from lantern.sources.fixed_values import (
@@ -834,7 +834,7 @@ def metrics_table(spark: SparkSession, sf_dir: str) -> Frame:
         F.max("event_type").alias("value")
     )
     tables.append_metrics(means.withColumn("run", F.lit("first")), path)
-    tables.append_metrics(days.withColumn("run", F.lit("second")).unionByName(means.withColumn("run", F.lit("second"))), path)
+    tables.append_metrics(days.unionByName(means).withColumn("run", F.lit("second")), path)
     return numeric_metrics(spark.read.parquet(path)).select(
         "run", "key", F.col("value").cast("double").alias("value")
     )

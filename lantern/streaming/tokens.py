@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +17,17 @@ LINE_PREFIX = "data: "
 TOKEN, RESULT, DONE, ERROR = "token", "result", "done", "error"
 
 EVENT = "request_id string, seq int, type string, content string, message string, ts timestamp"
-RUN = "request_id string, seqs array<int>, contents array<string>, closed string, message string, end_seq int, at_ms long"
+RUN = (
+    "request_id string, seqs array<int>, contents array<string>, closed string, message string, "
+    "end_seq int, at_ms long"
+)
 RUN_COLUMNS = ["request_id", "seqs", "contents", "closed", "message", "end_seq", "at_ms"]
 EXPIRY_MS = 3_600_000
 FINISHED = "request_id string, status string, predicted_answer string, message string, n_tokens int"
-STATE = "text string, next_seq int, seqs array<int>, contents array<string>, closed string, message string, end_seq int, last_ms long"
+STATE = (
+    "text string, next_seq int, seqs array<int>, contents array<string>, closed string, "
+    "message string, end_seq int, last_ms long"
+)
 
 
 def read_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -87,7 +87,8 @@ def main() -> None:
                 problem = "" if df.count() else "no rows"
         except Exception as e:
             problem = f"{type(e).__name__}: {str(e)[:500]}"
-        print(f"{'ok  ' if not problem else 'FAIL'} {name} {time.time() - t:.1f}s {'' if name in sqls else '(rows only)'} {problem}", flush=True)
+        mark, kind = "FAIL" if problem else "ok  ", "" if name in sqls else "(rows only)"
+        print(f"{mark} {name} {time.time() - t:.1f}s {kind} {problem}", flush=True)
         if problem:
             failed.append(name)
     print("failed:", failed)

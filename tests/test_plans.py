@@ -71,7 +71,12 @@ def small_joins(spark):
 
 def test_hot_words_are_split(spark, small_joins):
     """A third of all tokens are one word; its lookup is spread over tasks."""
-    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.when(i % 3 == 0, F.lit("the")).otherwise(F.concat(F.lit("w"), ((F.col("id") * 60 + i) % 997).cast("string")))))
+
+    def word(i):
+        other = F.concat(F.lit("w"), ((F.col("id") * 60 + i) % 997).cast("string"))
+        return F.when(i % 3 == 0, F.lit("the")).otherwise(other)
+
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), word))
     df = spark.range(0, 8000, 1, 8).select("id", words.alias("text"))
     vocab = vocabulary(df, "text")
     coded = with_vocabulary(df, ["id"], {"ids": F.col("text")}, vocab, 512)
