@@ -92,8 +92,11 @@ def rolling_by_slot(
         "_slot",
         cut(F.array_sort(F.flatten(F.collect_list("_tail").over(before))), n - 1, "end").alias("_c"),
     )
-    earlier = carried.select(symbol, "_slot", F.explode("_c").alias("_c")).select(
-        symbol, "_slot", *[F.col(f"_c.k.{c}").alias(c) for c in order], F.col("_c.v").alias(close)
+    # a plain explode would have Spark ask for the size first, and collect every tail twice
+    earlier = (
+        carried.select(symbol, "_slot", F.explode_outer("_c").alias("_c"))
+        .where("_c is not null")
+        .select(symbol, "_slot", *[F.col(f"_c.k.{c}").alias(c) for c in order], F.col("_c.v").alias(close))
     )
     both = in_slot.withColumn("_own", F.lit(True)).unionByName(
         earlier.withColumn("_own", F.lit(False)), allowMissingColumns=True

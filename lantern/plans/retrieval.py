@@ -160,7 +160,8 @@ def tfidf_embed(spark: SparkSession, sf_dir: str) -> Frame:
     embed = retrieval.hashed_embedder(weights, portable=True)
     vectors = docs.select("doc_id", embed(F.col("text")).alias("v"))
     return (
-        vectors.select("doc_id", F.posexplode("v").alias("bucket", "weight"))
+        # a plain explode would have Spark ask for the size first, and compute each vector twice
+        vectors.select("doc_id", F.posexplode_outer("v").alias("bucket", "weight"))
         .where("weight <> 0")
         .withColumn("weight", F.round("weight", 6))
     )

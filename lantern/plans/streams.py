@@ -45,7 +45,8 @@ def token_events(talks: Frame) -> Frame:
     start = F.lit("2024-01-01").cast("timestamp")
     return (
         replies.withColumn("_events", F.concat(parts, closed))
-        .select("request_id", F.posexplode("_events").alias("seq", "_event"))
+        .select("request_id", F.posexplode_outer("_events").alias("seq", "_event"))
+        .where("seq is not null")
         .select(
             "request_id",
             "seq",
