@@ -1,8 +1,9 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, warc
+from lantern.llm import bpe, simhash, warc
 
 QUERIES = {
+    "op3_simhash": (simhash.op3_simhash, None),
     "op7_byte_bpe": (bpe.op7_byte_bpe, None),
     "op9_warc": (warc.op9_warc, warc.OP9_SQL),
 }
