@@ -1,9 +1,10 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, quality, simhash, warc
+from lantern.llm import bpe, decontaminate, quality, simhash, warc
 
 QUERIES = {
     "op3_simhash": (simhash.op3_simhash, None),
+    "op5_decontaminate": (decontaminate.op5_decontaminate, None),
     "op7_byte_bpe": (bpe.op7_byte_bpe, None),
     "op9_warc": (warc.op9_warc, warc.OP9_SQL),
     "op10_quality": (quality.op10_quality, None),
