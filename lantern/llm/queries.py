@@ -1,8 +1,9 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, decontaminate, quality, simhash, warc
+from lantern.llm import bpe, decontaminate, pii, quality, simhash, warc
 
 QUERIES = {
+    "op1_pseudonyms": (pii.op1_pseudonyms, None),
     "op3_simhash": (simhash.op3_simhash, None),
     "op5_decontaminate": (decontaminate.op5_decontaminate, None),
     "op7_byte_bpe": (bpe.op7_byte_bpe, None),
