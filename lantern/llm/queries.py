@@ -1,6 +1,6 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, decontaminate, imatch, pii, quality, simhash, toolcalls, warc
+from lantern.llm import bpe, decontaminate, extract, imatch, pii, quality, simhash, toolcalls, warc
 
 QUERIES = {
     "op1_pseudonyms": (pii.op1_pseudonyms, None),
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_simhash": (simhash.op3_simhash, None),
     "op4_imatch": (imatch.op4_imatch, None),
     "op5_decontaminate": (decontaminate.op5_decontaminate, None),
+    "op6_extract": (extract.op6_extract, None),
     "op7_byte_bpe": (bpe.op7_byte_bpe, None),
     "op9_warc": (warc.op9_warc, warc.OP9_SQL),
     "op10_quality": (quality.op10_quality, None),
