@@ -35,7 +35,7 @@ def pieces(text: str, size: int = PIECE) -> Iterator[tuple[str, bool]]:
         if text:
             yield text, False
         return
-    run = re.compile(f"[{WHITE}]{{{size},}}")
+    run = re.compile(f"[{WHITE}]{{{max(size, 2)},}}")
     cut = re.compile(
         f"(?<=[^{WHITE}])(?=[{WHITE}])|(?<=[A-Za-z])(?=[\\x00-@\\[-`{{-\\x7f])|(?<=[0-9])(?=[\\x00-/:-\\x7f])"
     )
@@ -58,20 +58,25 @@ def pieces(text: str, size: int = PIECE) -> Iterator[tuple[str, bool]]:
 
 
 def coder(ranks: bytes, pattern: str):
-    """A tiktoken encoding without special tokens from the content of a rank file."""
+    """Two tiktoken encodings without special tokens from the content of a rank file: with the splitting
+    pattern, and with one that takes a whole piece as a single match."""
     import tiktoken
 
-    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
-    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
+    return tuple(
+        tiktoken.Encoding(name, pat_str=split, mergeable_ranks=table, special_tokens={})
+        for name, split in (("split", pattern), ("whole", "(?s:.+)"))
+    )
 
 
-def encode(encoding, text: str) -> list[int]:
+def encode(encodings: tuple, text: str) -> list[int]:
     """Ids of the whole text; equal to ``encode_ordinary`` wherever that ends."""
+    splitting, whole = encodings
     if len(text) <= PIECE:
-        return encoding.encode_ordinary(text)
+        return splitting.encode_ordinary(text)
     ids: list[int] = []
     for piece, single in pieces(text):
-        ids += encoding.encode_single_piece(piece) if single else encoding.encode_ordinary(piece)
+        ids += (whole if single else splitting).encode_ordinary(piece)
     return ids
 
 
@@ -85,8 +90,8 @@ def _with_encoding(spark: SparkSession, path: str, pattern: str, work: Callable)
     sent = spark.sparkContext.broadcast((read_ranks(path), pattern))
 
     def rows() -> Callable:
-        encoding = coder(*sent.value)
-        return lambda value: work(encoding, value)
+        encodings = coder(*sent.value)
+        return lambda value: work(encodings, value)
 
     return rows
 
@@ -99,9 +104,9 @@ def tokenise(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text
     """
     import numpy as np
 
-    def work(encoding, value: str) -> tuple:
-        ids = encode(encoding, value)
-        return np.asarray(ids, np.int32), encoding.decode_bytes(ids)
+    def work(encodings: tuple, value: str) -> tuple:
+        ids = encode(encodings, value)
+        return np.asarray(ids, np.int32), encodings[0].decode_bytes(ids)
 
     arrow = pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
     made = map_texts(
@@ -118,9 +123,9 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     (for hashing or for writing id files), and ``n_tokens``."""
     import numpy as np
 
-    def work(encoding, value: str) -> tuple:
-        ids = encode(encoding, value)
-        return len(ids), np.asarray(ids, "<u4").tobytes(), encoding.decode_bytes(ids)
+    def work(encodings: tuple, value: str) -> tuple:
+        ids = encode(encodings, value)
+        return len(ids), np.asarray(ids, "<u4").tobytes(), encodings[0].decode_bytes(ids)
 
     arrow = pa.schema(
         [("key", pa.int64()), ("n_tokens", pa.int64()), ("packed", pa.binary()), ("decoded", pa.binary())]

@@ -197,8 +197,13 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = 6) ->
             yield pa.RecordBatch.from_pylist([dict(zip(arrow.names, row)) for row in rows], arrow)
 
     archives = spark.read.format("binaryFile").load(source).select("content")
+    # an archive without records and its index, so that both folders are there whatever the source holds
+    nothing = zlib.compressobj(level, zlib.DEFLATED, 31).flush()
+    ddl = "kind string, seq bigint, value binary"
+    bare = spark.createDataFrame([("warc", 0, nothing[:-1]), ("index", 0, b"")], ddl).coalesce(1)
     (
-        archives.mapInArrow(run, "kind string, seq bigint, value binary")
+        archives.mapInArrow(run, ddl)
+        .unionByName(bare)
         .sortWithinPartitions("kind", "seq")
         .select("kind", F.col("value").cast("string").alias("value"))
         .write.partitionBy("kind")
@@ -214,6 +219,7 @@ def read_indexed(spark: SparkSession, target: str) -> DataFrame:
         spark.read.schema("value string")
         .text(f"{target}/kind=index", lineSep=NUL)
         .select(F.from_json("value", "part int, offset bigint, length bigint").alias("e"))
+        .where("e.part IS NOT NULL")
         .groupBy(F.col("e.part").alias("part"))
         .agg(F.collect_list(F.struct("e.offset", "e.length")).alias("members"))
     )
