@@ -1,6 +1,6 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, decontaminate, extract, imatch, pii, quality, simhash, toolcalls, warc
+from lantern.llm import bpe, decontaminate, extract, imatch, pii, quality, simhash, suffixes, toolcalls, warc
 
 QUERIES = {
     "op1_pseudonyms": (pii.op1_pseudonyms, None),
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_decontaminate": (decontaminate.op5_decontaminate, None),
     "op6_extract": (extract.op6_extract, None),
     "op7_byte_bpe": (bpe.op7_byte_bpe, None),
+    "op8_suffix_dedup": (suffixes.op8_suffix_dedup, None),
     "op9_warc": (warc.op9_warc, warc.OP9_SQL),
     "op10_quality": (quality.op10_quality, None),
 }
