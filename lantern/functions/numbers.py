@@ -26,7 +26,9 @@ def exact_round(value: Column | str, digits: int, ties: str = "even") -> Column:
     # how far the part after ``whole`` is above one half: exact near zero, where it decides
     above = (high * scale - whole - 0.5) + low * scale
     up = above >= 0 if ties == "up" else (above > 0) | ((above == 0) & (whole % 2 == 1))
-    return F.signum(x) * (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    rounded = F.signum(x) * (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    # from here on neighbouring doubles are at least one step of the last decimal apart
+    return F.when(size * scale >= float(1 << 53), x).otherwise(rounded)
 
 
 def fixed(value: Column | str, digits: int, ties: str = "even") -> Column:

@@ -25,13 +25,16 @@ def word_buckets(text: Column | str, size: int, portable: bool = False) -> Colum
 
 
 def bucket_weights(buckets: Column, size: int, weights: Sequence[float] | None = None) -> Column:
-    """Counts per bucket, times ``weights``, at unit length; a text without words is all zero."""
+    """Counts per bucket, times ``weights``, at unit length; a text without words is all zero, a null one null."""
     scale = np.ones(size) if weights is None else np.asarray(weights, dtype="float64")
 
     @F.pandas_udf("array<double>")
     def vector(rows: pd.Series) -> pd.Series:
         out = []
         for row in rows:
+            if row is None:
+                out.append(None)
+                continue
             v = np.bincount(np.asarray(row, dtype="int64"), minlength=size) * scale
             length = np.sqrt((v * v).sum())
             out.append(v / length if length else v.astype("float64"))

@@ -44,7 +44,8 @@ def evaluate(
     """``df`` plus score, metric and details (one nullable struct per scorer family).
 
     A null prediction (its generation failed) keeps its row with null score. ``summaries=False``
-    leaves the Arrow step out of the plan for tables known to hold no summarisation rows.
+    leaves the Arrow step out of the plan for tables known to hold no summarisation rows; such a row is
+    an error then, not a row without a score.
     """
     check_columns(df, [dataset, predicted, gold])
 
@@ -76,9 +77,11 @@ def evaluate(
         .withColumns({f"_{name}": value for name, value in details.items()})
     )
     kept = [F.col(f"`{c}`") for c in df.columns if c not in ("score", "metric", "details")]
+    no_summaries = F.raise_error(F.lit("a summarisation row needs summaries=True")).cast("double")
+    refused = [] if summaries else [F.when(F.col("_family") == "summary", no_summaries)]
     return scored.select(
         *kept,
-        F.coalesce(*[F.col(f"_{name}.score") for name in details]).alias("score"),
+        F.coalesce(*[F.col(f"_{name}.score") for name in details], *refused).alias("score"),
         F.coalesce(*[F.col(f"_{name}.metric") for name in details]).alias("metric"),
         F.struct(*[F.col(f"_{name}").alias(name) for name in details]).alias("details"),
     )
@@ -131,12 +134,15 @@ def accuracy(df: DataFrame, by: Sequence[str], totals: bool = False) -> DataFram
 def compare_models(
     df: DataFrame, models: Sequence[str], dataset: str = "dataset", model: str = "model"
 ) -> DataFrame:
-    """One row per data set, a mean score per model and the best model's name (A2)."""
+    """One row per data set, a mean score per model, ``ranking`` (the scored models, best first, equal
+    ones by name) and the best model's name, null if none has a score (A2)."""
     wide = df.groupBy(dataset).pivot(model, list(models)).agg(F.avg("score"))
-    ranked = F.array_sort(
-        F.array(*[F.struct((-F.col(f"`{m}`")).alias("s"), F.lit(m).alias("m")) for m in models])
+    scored = F.filter(
+        F.array(*[F.struct((-F.col(f"`{m}`")).alias("s"), F.lit(m).alias("m")) for m in models]),
+        lambda z: z.s.isNotNull(),
     )
-    return wide.withColumn("best_model", ranked[0].m)
+    ranked = wide.withColumn("ranking", F.transform(F.array_sort(scored), lambda z: z.m))
+    return ranked.withColumn("best_model", F.get("ranking", F.lit(0)))
 
 
 def latest_results(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:

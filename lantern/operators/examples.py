@@ -129,7 +129,10 @@ def truthfulqa(df: DataFrame, keep: list[str], seed: int) -> DataFrame:
 
 
 def gpqa(df: DataFrame, keep: list[str], seed: int) -> DataFrame:
-    """Three wrong answers and the right one in seeded order (P6). ``keep`` names the row's id."""
+    """Three wrong answers and the right one in seeded order (P6). ``keep`` names the row's id, from which
+    its order is drawn."""
+    if not keep:
+        raise ValueError("GPQA needs the column that identifies a row, to draw the order of its answers")
     named = ["Incorrect Answer 1", "Incorrect Answer 2", "Incorrect Answer 3", "Correct Answer"]
     dealt = [
         F.struct(md5_order(seed, *keep, F.lit(i)).alias("at"), F.col(f"`{n}`").alias("text"))

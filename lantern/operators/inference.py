@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lantern.functions.checks import check_parameters
+from lantern.functions.checks import check_parameters, require
 from lantern.functions.text import col, md5_order
 from lantern.operators.examples import full_prompt
 
@@ -20,6 +20,31 @@ Cutter = Callable[[str, int], str]
 
 MAX_PROMPT_TOKENS = 2048
 MAX_REWARD_TOKENS = 512
+BATCH_SIZE = 64
+
+
+def in_batches(items: list, work: Callable[[list], list[tuple]], size: int, width: int) -> list[tuple]:
+    """``work``'s values for every item plus an error text, null where it went well.
+
+    Items that are null (or whose first part is) get no call. A batch that fails is halved, so that k
+    items at fault in a batch of n cost about 2 k log(n) calls more, and the others keep their values.
+    """
+
+    def missing(item) -> bool:
+        return item is None or (isinstance(item, tuple) and item[0] is None)
+
+    def tried(part: list) -> list[tuple]:
+        try:
+            return [(*values, None) for values in work(part)]
+        except Exception as e:
+            if len(part) == 1:
+                return [(*[None] * width, str(e))]
+            half = len(part) // 2
+            return tried(part[:half]) + tried(part[half:])
+
+    asked = [item for item in items if not missing(item)]
+    made = iter([row for at in range(0, len(asked), size) for row in tried(asked[at : at + size])])
+    return [(*[None] * width, "no prompt") if missing(item) else next(made) for item in items]
 
 
 def predict(
@@ -29,38 +54,32 @@ def predict(
     system: str | None = None,
     seed: Column | None = None,
     cutter: Cutter | None = None,
+    batch_size: int = BATCH_SIZE,
+    max_prompt_tokens: int = MAX_PROMPT_TOKENS,
 ) -> DataFrame:
     """``df`` plus predicted_answer and error.
 
-    ``load`` runs once per worker process. A prompt whose generation fails keeps its row, with a null
-    answer and the error's text; the other rows of its batch are tried one by one.
+    ``load`` runs once per worker process; the model gets ``batch_size`` prompts at a time, each cut to
+    ``max_prompt_tokens`` by the ``cutter``. A prompt whose generation fails keeps its row, with a null
+    answer and the error's text; a batch that fails is halved until the prompts at fault are alone.
     """
+    require(batch_size > 0, "batch_size must be positive")
     text = col(prompt) if system is None else full_prompt(prompt, system)
 
     @F.pandas_udf("predicted_answer string, error string")
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = load()
 
-        def one(p: str | None, s: int) -> tuple[str | None, str | None]:
-            if p is None:
-                return None, "no prompt"
-            try:
-                return model([p], [s])[0].strip(), None
-            except Exception as e:
-                return None, str(e)
+        def some(asked: list[tuple[str, int]]) -> list[tuple[str]]:
+            answers = [(a.strip(),) for a in model([p for p, _ in asked], [s for _, s in asked])]
+            if len(answers) != len(asked):
+                raise ValueError("one answer per prompt is needed")
+            return answers
 
         for prompts, seeds in parts:
-            asked = [cutter(p, MAX_PROMPT_TOKENS) if cutter and p else p for p in prompts.tolist()]
-            numbers = seeds.tolist()
-            try:
-                if None in asked:
-                    raise ValueError("no prompt")
-                rows = [(a.strip(), None) for a in model(asked, numbers)]
-                if len(rows) != len(asked):
-                    raise ValueError("one answer per prompt is needed")
-            except Exception:
-                rows = [one(p, s) for p, s in zip(asked, numbers)]
-            yield pd.DataFrame(rows, columns=["predicted_answer", "error"])
+            cut = [cutter(p, max_prompt_tokens) if cutter and p else p for p in prompts.tolist()]
+            asked = list(zip(cut, seeds.tolist()))
+            yield pd.DataFrame(in_batches(asked, some, batch_size, 1), columns=["predicted_answer", "error"])
 
     made = df.withColumn("_made", run(text, F.lit(0).cast("bigint") if seed is None else seed))
     return made.select(*df.columns, "_made.predicted_answer", "_made.error")
@@ -91,14 +110,28 @@ def reward(
     prompt: str = "prompt",
     completion: str = "completion",
     cutter: Cutter | None = None,
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
-    """``df`` plus one scalar reward per prompt + completion."""
+    """``df`` plus one scalar reward per prompt + completion, and error.
+
+    As with answers, a text that cannot be scored keeps its row, with a null reward and the error's text;
+    ``batch_size`` texts at a time go to the scorer, and a batch that fails is halved until the texts at
+    fault are alone.
+    """
 
-    @F.pandas_udf("double")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("reward double, error string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = load()
+
+        def some(texts: list[str]) -> list[tuple[float]]:
+            values = [(float(r),) for r in score(texts)]
+            if len(values) != len(texts):
+                raise ValueError("one reward per text is needed")
+            return values
+
         for texts in parts:
-            cut_texts = [cutter(t, MAX_REWARD_TOKENS) if cutter else t for t in texts.tolist()]
-            yield pd.Series([float(r) for r in score(cut_texts)])
+            cut_texts = [cutter(t, MAX_REWARD_TOKENS) if cutter and t is not None else t for t in texts.tolist()]
+            yield pd.DataFrame(in_batches(cut_texts, some, batch_size, 1), columns=["reward", "error"])
 
-    return df.withColumn("reward", run(F.concat(col(prompt), col(completion))))
+    made = df.withColumn("_made", run(F.concat(col(prompt), col(completion))))
+    return made.select(*[F.col(f"`{c}`") for c in df.columns], "_made.reward", "_made.error")

@@ -91,7 +91,7 @@ def tokenise_prompts(
         coded = with_tokenizer(slim, F.col("prompt"), "input_ids", tokenizer)
     else:
         require(vocab is not None, "a tokenizer or a vocabulary is needed")
-        coded = with_vocabulary(slim, key, {"input_ids": F.col("prompt")}, vocab, max_length)
+        coded = with_vocabulary(slim, {"input_ids": F.col("prompt")}, vocab, max_length)
     if max_length is not None:
         coded = coded.withColumn("input_ids", cut("input_ids", max_length))
     return coded.select(
@@ -159,7 +159,7 @@ def reward_pairs(
             slim = with_tokenizer(slim, text, f"_{side}", tokenizer)
     else:
         require(vocab is not None, "a tokenizer or a vocabulary is needed")
-        slim = with_vocabulary(slim, key, {f"_{s}": t for s, t in sides.items()}, vocab, max_length)
+        slim = with_vocabulary(slim, {f"_{s}": t for s, t in sides.items()}, vocab, max_length)
     out = []
     for side in sides:
         out.append(padded(f"_{side}", max_length, pad).alias(f"input_ids_{side}"))
@@ -267,12 +267,19 @@ def group_advantage(
         .where(F.col("_n") >= min_group)
     )
     hot = stats.where(F.col("_n") > hot_rows)
+
+    def matched(rows: DataFrame, some: DataFrame, how: str = "inner") -> DataFrame:
+        # a null key is a group like any other
+        same = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group]
+        both = rows.alias("l").join(some.alias("r"), same, how)
+        values = [] if how == "left_anti" else ["_mean", "_sd", "_n"]
+        return both.select(*[F.col(f"l.`{c}`") for c in rows.columns], *[F.col(f"r.{v}") for v in values])
+
     if hot.isEmpty():
-        joined = df.join(stats, list(group))
+        joined = matched(df, stats)
     else:
-        keys = F.broadcast(hot.select(*group))
-        cold = df.join(keys, list(group), "left_anti").join(stats, list(group))
-        joined = cold.unionByName(df.join(F.broadcast(hot), list(group)))
+        cold = matched(matched(df, F.broadcast(hot.select(*group)), "left_anti"), stats)
+        joined = cold.unionByName(matched(df, F.broadcast(hot)))
     advantage = (F.col(reward) - F.col("_mean")) / (F.col("_sd") + 1e-4)
     if clip is not None:
         advantage = F.least(F.greatest(advantage, F.lit(-clip)), F.lit(clip))

@@ -62,14 +62,14 @@ def rank_within(
     """
     cold, hot = split_hot(df, group, hot_rows)
     window = Window.partitionBy(*group).orderBy(*order)
-    ranked = cold.withColumn(name, F.row_number().over(window))
+    ranked = cold.withColumn(name, F.row_number().over(window).cast("bigint"))
     if hot is None:
         return ranked
     placed = durable(positions(hot, [*[F.col(g) for g in group], *order], "_position"))
     # one row per hot group, of which there are few
     first = placed.groupBy(*group).agg(F.min("_position").alias("_first"))
     same = [F.col(f"p.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group]
-    spread_rank = (F.col("_position") - F.col("_first") + 1).cast("int").alias(name)
+    spread_rank = (F.col("_position") - F.col("_first") + 1).alias(name)
     return ranked.unionByName(
         placed.alias("p")
         .join(F.broadcast(first.alias("f")), same)
@@ -82,24 +82,30 @@ def first_rows(
 ) -> DataFrame:
     """The ``n`` rows with the smallest (``last``: largest) numeric ``key``; None or 0 keeps every row.
 
-    A plain ordered limit makes each task send its ``n`` best rows, text and all, to one task. Here one
-    narrow pass over ``key`` finds a value with at least ``n`` and not many more rows on its side; that
-    filter reaches the scan, and only its rows are ordered.
+    A plain ordered limit makes each task send its ``n`` best rows, text and all, to one task. Here two
+    narrow passes over ``key`` find a value with at least ``n`` and not many more rows on its side: the
+    first guesses values from approximate shares, the second counts what each of them would keep. That
+    filter reaches the scan, and only its rows are ordered. Rows without a key come after all others,
+    whichever end is wanted.
     """
     if not n:
         return df
     column = F.col(key)
+    kind = df.schema[key].dataType
     shares = [2.0**i / ACCURACY for i in range(1, 13)]
     marks = [1 - s if last else s for s in shares]
     seen = df.agg(
         F.count(key).alias("rows"), F.percentile_approx(key, marks, ACCURACY).alias("cuts")
     ).first()
-    enough = [
-        cut for share, cut in zip(shares, seen.cuts or []) if (share - 1 / ACCURACY) * seen.rows >= n
-    ]
-    if enough:
-        df = df.where(column >= F.lit(enough[0]) if last else column <= F.lit(enough[0]))
-    order = [column.desc() if last else column.asc(), *ties]
+    # shares are approximate and are formed from doubles, so what a cut keeps is counted exactly
+    guesses = [F.lit(cut).cast(kind) for cut in sorted(set(seen.cuts or []), reverse=last)]
+    sides = [column >= cut if last else column <= cut for cut in guesses]
+    if sides and seen.rows >= n:
+        kept = df.agg(*[F.count_if(side).alias(f"c{i}") for i, side in enumerate(sides)]).first()
+        enough = [side for side, rows in zip(sides, kept) if rows >= n]
+        if enough:
+            df = df.where(enough[0])
+    order = [column.desc_nulls_last() if last else column.asc_nulls_last(), *ties]
     if n <= LIMIT_ROWS:
         return df.orderBy(*order).limit(n)
     return positions(df, order, "_position").where(F.col("_position") < n).drop("_position")

@@ -309,13 +309,15 @@ def rouge12_nostem(spark: SparkSession, sf_dir: str) -> Frame:
 
 def sql_ngrams(n: int, tokens: str) -> str:
     """Clipped n-gram hits and n-gram numbers of both sides per pair."""
+    gram = " || ' ' || ".join(["w", *[f"lead(w, {k}) OVER following" for k in range(1, n)]])
     side = (
-        "SELECT doc_id, array_to_string(list_slice({t}, i, i + {k}), ' ') AS gram, count(*) AS c FROM "
-        "(SELECT doc_id, {t}, unnest(range(1, len({t}) - {k} + 1)) AS i FROM tok) GROUP BY ALL"
+        f"SELECT doc_id, gram, count(*) AS c FROM (SELECT doc_id, {gram} AS gram FROM (SELECT doc_id, "
+        "unnest({t}) AS w, generate_subscripts({t}, 1) AS i FROM {source}) "
+        "WINDOW following AS (PARTITION BY doc_id ORDER BY i)) WHERE gram IS NOT NULL GROUP BY ALL"
     )
     return f"""SELECT tok.doc_id, greatest(len(pt) - {n - 1}, 0) AS np, greatest(len(gt) - {n - 1}, 0) AS ng,
         coalesce(h.hits, 0) AS hits FROM tok LEFT JOIN (SELECT p.doc_id, CAST(sum(least(p.c, g.c)) AS BIGINT) AS hits
-        FROM ({side.format(t='pt', k=n - 1)}) p JOIN ({side.format(t='gt', k=n - 1)}) g
+        FROM ({side.format(t='pt', source=tokens)}) p JOIN ({side.format(t='gt', source=tokens)}) g
         ON p.doc_id = g.doc_id AND p.gram = g.gram GROUP BY 1) h ON tok.doc_id = h.doc_id"""
 
 
@@ -763,11 +765,12 @@ SQL_MODELS = " UNION ALL ".join(
 
 def compare(spark: SparkSession, sf_dir: str) -> Frame:
     wide = compare_models(model_scores(spark, sf_dir), ["m0", "m1", "m2"])
-    return wide.select("dataset", *[F.round(m, 8).alias(m) for m in ("m0", "m1", "m2")], "best_model")
+    return wide.select("dataset", *[F.round(m, 8).alias(m) for m in ("m0", "m1", "m2")], "best_model", F.array_join("ranking", ",").alias("ranking"))
 
 
 SQL_COMPARE = f"""SELECT dataset, round(m0, 8) AS m0, round(m1, 8) AS m1, round(m2, 8) AS m2,
-    CASE WHEN m0 >= m1 AND m0 >= m2 THEN 'm0' WHEN m1 >= m2 THEN 'm1' ELSE 'm2' END AS best_model
+    CASE WHEN m0 >= m1 AND m0 >= m2 THEN 'm0' WHEN m1 >= m2 THEN 'm1' ELSE 'm2' END AS best_model,
+    array_to_string(list_transform(list_sort([(-m0, 'm0'), (-m1, 'm1'), (-m2, 'm2')]), lambda z: z[2]), ',') AS ranking
     FROM (SELECT dataset, avg(score) FILTER (model = 'm0') AS m0, avg(score) FILTER (model = 'm1') AS m1,
         avg(score) FILTER (model = 'm2') AS m2 FROM ({SQL_MODELS}) GROUP BY 1)"""
 

@@ -60,7 +60,8 @@ def sql_exact_round(x: str, digits: int, ties: str = "even") -> str:
         if ties == "up"
         else f"({above} > 0 OR ({above} = 0 AND CAST({whole} AS BIGINT) % 2 = 1))"
     )
-    return f"(sign({x}) * ({whole} + CASE WHEN {up} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) / {scale})"
+    rounded = f"sign({x}) * ({whole} + CASE WHEN {up} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) / {scale}"
+    return f"(CASE WHEN abs({x}) * {scale} >= {float(1 << 53)!r}::DOUBLE THEN {x} ELSE {rounded} END)"
 
 
 # --- answers to numeric questions ----------------------------------------------------------------

@@ -237,15 +237,17 @@ def iteration_metrics(spark: SparkSession, sf_dir: str) -> Frame:
     """Metrics of three iterations, tagged, appended and read back."""
     path = fresh_path(spark, "iterations")
     log = buffer_log(spark, sf_dir)
+    last = log.agg(F.max("iteration")).first()[0] or 0
     for i in (1, 2, 3):
-        upto = log.where(F.col("iteration") <= 10 * i)
+        upto = log.where(F.col("iteration") * 3 <= last * i)
         means = upto.groupBy(F.col("event_type").alias("key")).agg(F.avg("value").alias("value"))
         pref.tagged(means, i).write.mode("append").parquet(path)
     return numeric_metrics(spark.read.parquet(path))
 
 
 SQL_ITERATIONS = f"""SELECT i.iteration, event_type AS key, round(avg(value), 4) AS value
-    FROM ({SQL_BUFFER_LOG}) e JOIN (VALUES (1), (2), (3)) AS i(iteration) ON e.iteration <= 10 * i.iteration
+    FROM ({SQL_BUFFER_LOG}) e JOIN (VALUES (1), (2), (3)) AS i(iteration)
+        ON e.iteration * 3 <= i.iteration * (SELECT max(iteration) FROM ({SQL_BUFFER_LOG}) l)
     GROUP BY 1, 2"""
 
 
@@ -300,8 +302,8 @@ SQL_PAIR_VOCABULARY = f"""SELECT word, CAST(row_number() OVER (ORDER BY count(*)
 
 def sql_side(text: str, limit: str = "") -> str:
     words = f"list_slice({sql_words(text)}, {limit})" if limit else sql_words(text)
-    return f"""SELECT conv_id, list(v.id ORDER BY i) AS ids FROM (SELECT conv_id, unnest({words}) AS word,
-        generate_subscripts({words}, 1) AS i FROM hh) w JOIN v ON w.word = v.word GROUP BY conv_id"""
+    return f"""SELECT conv_id, list(coalesce(v.id, (SELECT count(*) FROM v)) ORDER BY i) AS ids FROM (SELECT conv_id, unnest({words}) AS word,
+        generate_subscripts({words}, 1) AS i FROM hh) w LEFT JOIN v ON w.word = v.word GROUP BY conv_id"""
 
 
 def sql_padded(ids: str, name: str) -> str:

@@ -10,8 +10,8 @@ from lantern.session import fresh_path
 from lantern.streaming import tokens
 
 Frame = DataFrame
-LONGEST = 200  # tokens after which the model of this story breaks off with an error
-LAST_TURN = 7  # replies at this turn never end
+# by a hash of its id one request in sixteen fails, and another never ends
+FAILS, HANGS = "3", "7"
 
 
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> Frame:
@@ -27,7 +27,8 @@ def token_events(talks: Frame) -> Frame:
         "turn",
         tokens.text_tokens("text").alias("_tokens"),
     )
-    too_long = F.size("_tokens") > LONGEST
+    draw = F.substring(F.md5("request_id"), 1, 1)
+    fails = draw == FAILS
 
     def event(kind, content, message):
         return F.struct(kind.alias("type"), content.alias("content"), message.alias("message"))
@@ -36,12 +37,12 @@ def token_events(talks: Frame) -> Frame:
     parts = F.transform("_tokens", lambda t: event(F.lit(tokens.TOKEN), t, nothing))
     closing = F.array(
         event(
-            F.when(too_long, tokens.ERROR).otherwise(tokens.DONE),
+            F.when(fails, tokens.ERROR).otherwise(tokens.DONE),
             nothing,
-            F.when(too_long, "too long"),
+            F.when(fails, "model failed"),
         )
     )
-    closed = F.when(F.col("turn") == LAST_TURN, F.filter(closing, lambda c: F.lit(False))).otherwise(closing)
+    closed = F.when(draw == HANGS, F.filter(closing, lambda c: F.lit(False))).otherwise(closing)
     start = F.lit("2024-01-01").cast("timestamp")
     return (
         replies.withColumn("_events", F.concat(parts, closed))
@@ -69,10 +70,11 @@ def stream_reassemble(spark: SparkSession, sf_dir: str) -> Frame:
 
 
 TOKEN_SQL = r"len(regexp_extract_all(text, '\S+\s*|^\s+'))"
-SQL_FINISHED = f"""SELECT conv_id || '-' || turn AS request_id, CASE WHEN {TOKEN_SQL} > {LONGEST} THEN 'error'
-        ELSE 'done' END AS status, CASE WHEN {TOKEN_SQL} <= {LONGEST} THEN text END AS predicted_answer,
-        CASE WHEN {TOKEN_SQL} > {LONGEST} THEN 'too long' END AS message, CAST({TOKEN_SQL} AS INT) AS n_tokens
-    FROM conversations WHERE role = 'assistant' AND turn <> {LAST_TURN}"""
+SQL_DRAW = "md5(conv_id || '-' || turn)[1]"
+SQL_FINISHED = f"""SELECT conv_id || '-' || turn AS request_id, CASE WHEN {SQL_DRAW} = '{FAILS}' THEN 'error'
+        ELSE 'done' END AS status, CASE WHEN {SQL_DRAW} <> '{FAILS}' THEN text END AS predicted_answer,
+        CASE WHEN {SQL_DRAW} = '{FAILS}' THEN 'model failed' END AS message, CAST({TOKEN_SQL} AS INT) AS n_tokens
+    FROM conversations WHERE role = 'assistant' AND {SQL_DRAW} <> '{HANGS}'"""
 
 
 def scored_stream(spark: SparkSession, sf_dir: str) -> Frame:
@@ -110,15 +112,16 @@ SQL_STREAM_SCORE = f"""SELECT request_id, CASE WHEN even THEN 'mmlu' ELSE 'own'
 def stream_results(spark: SparkSession, sf_dir: str) -> Frame:
     """The lines sent out at the end of each request: result and done, or error (ST2, ST3)."""
     out = fresh_path(spark, "lines")
-    lines = tokens.result_lines(scored_stream(spark, sf_dir))
+    lines = tokens.result_lines(scored_stream(spark, sf_dir).drop("details"))
     tokens.run_available(lines, out, fresh_path(spark, "checkpoint"))
     return spark.read.schema("request_id string, place int, line string").parquet(out)
 
 
 SQL_RESULTS = f"""SELECT f.request_id, CAST(0 AS INT) AS place, CASE f.status WHEN 'error'
-        THEN 'data: {{"type":"error","message":"too long"}}'
+        THEN 'data: {{"type":"error","message":"model failed"}}'
         ELSE 'data: {{"type":"result","dataset":"' || s.dataset || '","predicted_answer":' ||
-            CAST(to_json(f.predicted_answer) AS VARCHAR) || ',"score":' || CASE s.score WHEN 1 THEN '1.0' ELSE '0.0' END
+            CAST(to_json(f.predicted_answer) AS VARCHAR) || ',"gold_answer":' ||
+            CAST(to_json(CASE s.dataset WHEN 'mmlu' THEN 'a ' ELSE f.predicted_answer END) AS VARCHAR) || ',"score":' || CASE s.score WHEN 1 THEN '1.0' ELSE '0.0' END
             || ',"metric":"' || s.metric || '"}}' END AS line
     FROM ({SQL_FINISHED}) f LEFT JOIN ({SQL_STREAM_SCORE}) s ON f.request_id = s.request_id
     UNION ALL SELECT request_id, 1, 'data: {{"type":"done"}}' FROM ({SQL_FINISHED}) WHERE status = 'done'"""

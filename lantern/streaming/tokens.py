@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ RUN = (
 )
 RUN_COLUMNS = ["request_id", "seqs", "contents", "closed", "message", "end_seq", "at_ms"]
 EXPIRY_MS = 3_600_000
+EXPIRED = "expired"
 FINISHED = "request_id string, status string, predicted_answer string, message string, n_tokens int"
 STATE = (
     "text string, next_seq int, seqs array<int>, contents array<string>, closed string, "
@@ -85,15 +87,25 @@ def token_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def collect_request(
-    key: tuple[str], runs: Iterator[pd.DataFrame], state: GroupState
+    key: tuple[str], runs: Iterator[pd.DataFrame], state: GroupState, expiry_ms: int = EXPIRY_MS
 ) -> Iterator[pd.DataFrame]:
     """Tokens of one request until all up to its end are there; a repeated token counts once.
 
     The text up to the first gap is kept joined, so a long request does not stay a long list; only
-    tokens beyond a gap are kept one by one.
+    tokens beyond a gap are kept one by one. A request that expires gives a row too.
     """
     if state.hasTimedOut:
+        _, next_seq, seqs, *_ = state.get
         state.remove()
+        yield pd.DataFrame(
+            {
+                "request_id": [key[0]],
+                "status": [EXPIRED],
+                "predicted_answer": [None],
+                "message": ["no closing event"],
+                "n_tokens": [next_seq + len(seqs)],
+            }
+        )
         return
     text, next_seq, waiting = "", 0, {}
     closed = message = end_seq = None
@@ -132,15 +144,16 @@ def collect_request(
     # counted from the newest event: before the first batch ends the watermark still stands at zero
     newest = max(last_ms, state.getCurrentWatermarkMs())
     if newest > 0:
-        state.setTimeoutTimestamp(newest + EXPIRY_MS)
+        state.setTimeoutTimestamp(newest + expiry_ms)
 
 
-def reassemble(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def reassemble(events: DataFrame, lateness: str = "1 hour", expiry_ms: int = EXPIRY_MS) -> DataFrame:
     """One row per finished request: status done with the whole text, or error (ST1-ST3).
 
     ``seq`` counts the tokens of a request from 0 and its closing event takes the next number, so tokens
-    may come in any order, twice, or after the closing event. Requests that never close are forgotten
-    when the watermark is an hour past their newest event.
+    may come in any order, twice, or after the closing event. A request that has not closed when the
+    watermark is ``expiry_ms`` (an hour) past its newest event gets a row with status expired, and is
+    forgotten.
     """
     # time crosses Python as a number: a timestamp would become local time there
     slim = events.select(
@@ -151,7 +164,7 @@ def reassemble(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
         runs.withWatermark("ts", lateness)
         .groupBy("request_id")
         .applyInPandasWithState(
-            collect_request, FINISHED, STATE, "append", GroupStateTimeout.EventTimeTimeout
+            partial(collect_request, expiry_ms=expiry_ms), FINISHED, STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
 
@@ -161,7 +174,7 @@ def score_stream(
     dataset: str = "dataset",
     gold: str = "gold_answer",
     choices: str | None = None,
-    summaries: bool = False,
+    summaries: bool = True,
 ) -> DataFrame:
     """Finished predictions scored as they come (ST5): stateless, the batch scorer on a stream."""
     return evaluate(finished, dataset, "predicted_answer", gold, choices, summaries)
@@ -169,11 +182,13 @@ def score_stream(
 
 def result_lines(scored: DataFrame) -> DataFrame:
     """What is sent out for a finished request, in wire format: its result and then done, or one error
-    (ST2, ST3). ``place`` orders the lines of a request."""
-    whole = ["dataset", "predicted_answer", "score", "metric"]
+    (ST2, ST3). ``place`` orders the lines of a request. The result has whatever of the example and its
+    score ``scored`` has, details included."""
+    payload = ["dataset", "prompt", "predicted_answer", "gold_answer", "score", "metric", "details"]
+    whole = [name for name in payload if name in scored.columns]
     result = wire_line(type=F.lit(RESULT), **{name: F.col(name) for name in whole})
     error = wire_line(type=F.lit(ERROR), message=F.col("message"))
-    lines = F.when(F.col("status") == ERROR, F.array(error)).otherwise(
+    lines = F.when(F.col("status").isin(ERROR, EXPIRED), F.array(error)).otherwise(
         F.array(result, wire_line(type=F.lit(DONE)))
     )
     return scored.select("request_id", F.posexplode(lines).alias("place", "line"))

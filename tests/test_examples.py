@@ -156,3 +156,9 @@ def test_export_keeps_texts_whole(spark, tmp_path):
     assert {r.i: r.t for r in spark.read.schema("i int, t string").json(json).collect()} == dict(enumerate(texts))
     with pytest.raises(ValueError, match="xml"):
         tables.export(df, str(tmp_path / "x"), "xml")
+
+
+def test_gpqa_needs_an_id(spark):
+    df = spark.createDataFrame([("q", "a", "b", "c", "d")], ["Question", "Correct Answer", *[f"Incorrect Answer {i}" for i in (1, 2, 3)]])
+    with pytest.raises(ValueError, match="identifies a row"):
+        examples.build("GPQA", df)

@@ -84,12 +84,18 @@ def test_hot_words_are_split(spark, small_joins):
     words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), word))
     df = spark.range(0, 8000, 1, 8).select("id", words.alias("text"))
     vocab = vocabulary(df, "text")
-    coded = with_vocabulary(df, ["id"], {"ids": F.col("text")}, vocab, 512)
+    coded = with_vocabulary(df, {"ids": F.col("text")}, vocab, 512, broadcast_bytes=0)
     rows = coded.select("id", "ids").collect()
     assert "skew=true" in plan_after(coded)
     assert len(rows) == 8000 and all(len(r.ids) == 60 for r in rows)
 
 
+def test_known_vocabulary_needs_no_shuffle(spark):
+    df = spark.createDataFrame([(i, "one two three") for i in range(50)], "id long, text string")
+    coded = with_vocabulary(df, {"ids": F.col("text")}, vocabulary(df, "text"), 512)
+    assert "Exchange" not in plan(coded)
+
+
 def test_hot_neighbours_are_split(spark, small_joins):
     """A third of all queries have the same nearest text."""
     found = spark.range(0, 30_000, 1, 8).select(

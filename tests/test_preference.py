@@ -11,7 +11,7 @@ from lantern.functions.preference import preference_loss
 from lantern.operators import preference as pref
 from lantern.operators.ranking import first_per_group, first_rows, joined_text, positions, rank_within
 from lantern.operators.skew import split_hot, spread
-from lantern.operators.tokens import vocabulary
+from lantern.operators.tokens import vocabulary, with_vocabulary
 
 
 def test_transcripts(spark):
@@ -123,6 +123,24 @@ def test_advantage_clip_and_lonely_groups(spark):
         pref.group_advantage(df, ["g"], clip=0.0)
 
 
+def test_advantage_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 1.0), ("a", 2.0)], "g string, reward double")
+    for hot in (1, 100):
+        out = pref.group_advantage(df, ["g"], hot_rows=hot).collect()
+        assert len(out) == 4 and sorted(round(r.advantage, 2) for r in out if r.g is None) == [-0.71, 0.71]
+
+
+def test_vocabulary_paths_agree(spark):
+    """Held by the workers or joined; rows repeat, one text is null, some words are unknown."""
+    rows = [(1, "beta alpha"), (1, "beta alpha"), (1, "alpha beta"), (2, None), (2, ""), (3, "alpha zzz beta alpha")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    vocab = vocabulary(df.where("id = 1"), "text")
+    want = [[1, 0], [1, 0], [0, 1], [], [], [0, 2, 1, 0]]
+    for size in (1 << 20, 0):
+        out = with_vocabulary(df, {"ids": F.col("text")}, vocab, None, broadcast_bytes=size)
+        assert sorted((r.id, r.text or "", r.ids) for r in out.collect()) == sorted((i, t or "", w) for (i, t), w in zip(rows, want))
+
+
 def test_positions_and_limits(spark):
     df = spark.range(5000).withColumn("k", (F.col("id") * 7919) % 5000).repartition(9)
     assert {r.k: r.position for r in positions(df, [F.col("k")]).collect()} == {i: i for i in range(5000)}
@@ -138,6 +156,27 @@ def test_limit_beyond_one_task(spark):
     assert sorted(r.id for r in first_rows(df, 12_000, "id").collect()) == list(range(12_000))
 
 
+def test_first_rows_beyond_doubles(spark):
+    """Neighbouring ids that are one number as doubles."""
+    df = spark.range(100_000).select((F.lit(1 << 60) + (F.col("id") * 7919) % 100_000).alias("k"))
+    for n in (10, 50, 3000):
+        assert sorted(r.k - (1 << 60) for r in first_rows(df, n, "k").collect()) == list(range(n))
+        want = list(range(100_000 - n, 100_000))
+        assert sorted(r.k - (1 << 60) for r in first_rows(df, n, "k", last=True).collect()) == want
+    assert pref.buffer(None, df, 10, "k").count() == pref.prompt_cap(df, "k", 10).count() == 10
+
+
+@pytest.mark.parametrize("rows", [20, 200_000])
+def test_first_rows_takes_null_keys_last(spark, rows):
+    df = spark.range(rows).select(F.when(F.col("id") % 4 > 0, F.col("id")).alias("k"))
+    filled = [i for i in range(rows) if i % 4]
+    for last in (False, True):
+        got = [r.k for r in first_rows(df, 10, "k", last=last).collect()]
+        assert sorted(got) == (filled[-10:] if last else filled[:10])
+    more = [r.k for r in first_rows(df, len(filled) + 2, "k").collect()]
+    assert len(more) == len(filled) + 2 and more.count(None) == 2
+
+
 def test_first_rows_with_one_value_everywhere(spark):
     df = spark.range(3000).withColumn("k", F.when(F.col("id") < 5, F.col("id")).otherwise(9))
     got = [(r.k, r.id) for r in first_rows(df, 8, "k", F.col("id")).collect()]
@@ -238,8 +277,8 @@ def test_own_tokenizer(spark):
 def test_reward_pairs_with_vocabulary(spark):
     vocab = vocabulary(talk(spark), "prompt")
     out = pref.reward_pairs(talk(spark), ["id"], 5, vocab=vocab).orderBy("id").collect()
-    # prompt and completion are joined without a space: "Dogsat" and "Dogran" are unknown
-    assert out[0].input_ids_chosen == [1, 2, 1, 0, 0] and out[0].attention_mask_chosen == [1, 1, 1, 0, 0]
+    # prompt and completion are joined without a space: "Dogsat" and "Dogran" are unknown, and have id 3
+    assert out[0].input_ids_chosen == [1, 2, 1, 3, 0] and out[0].attention_mask_chosen == [1, 1, 1, 1, 0]
     assert out[1].input_ids_rejected == [2, 0, 0, 0, 0]
 
 

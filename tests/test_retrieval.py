@@ -275,3 +275,25 @@ def test_contexts_in_rank_order(spark):
     texts = spark.createDataFrame([(10, "ten"), (11, "eleven")], "id int, text string")
     out = {r.query_id: r.context for r in retrieval.contexts(hits, texts).collect()}
     assert out == {1: "eleven\nten", 2: "ten"}
+
+
+def test_rewards_that_fail_keep_their_rows(spark):
+    def load():
+        def score(texts):
+            if any("bad" in t for t in texts):
+                raise RuntimeError("no score")
+            return [len(t) for t in texts]
+
+        return score
+
+    rows = [(i, "p", "bad" if i in (3, 77) else None if i == 5 else "x" * i) for i in range(150)]
+    df = spark.createDataFrame(rows, "i long, prompt string, completion string").coalesce(1)
+    out = {r.i: (r.reward, r.error) for r in inference.reward(df, load, batch_size=40).collect()}
+    assert out[3] == out[77] == (None, "no score") and out[5] == (None, "no prompt")
+    assert all(out[i] == (1.0 + i, None) for i in range(150) if i not in (3, 5, 77))
+
+
+def test_null_texts_have_null_vectors(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "i long, text string")
+    out = {r.i: r.v for r in df.select("i", bucket_weights(word_buckets("text", 8), 8).alias("v")).collect()}
+    assert out[2] is None and sum(out[3]) == 0.0 and len(out[1]) == 8

