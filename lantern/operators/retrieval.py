@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from lantern.functions.vectors import bucket_weights, word_buckets
 from lantern.operators.examples import question_prompt
 from lantern.operators.inference import predict
 from lantern.operators.ranking import first_per_group
-from lantern.sources.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, NEIGHBOURS, RETRIEVAL_SYSTEM
+from lantern.sources.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, NEIGHBOURS, NO_INDEX, RETRIEVAL_SYSTEM
 from lantern.sources.tables import read_text_documents
 
 # Where a text is split, tried in this order; a separator stays with what follows it.
@@ -149,10 +150,12 @@ def open_index(spark: SparkSession, path: str) -> DataFrame:
     """The index table; one that is absent or empty is refused."""
     try:
         index = spark.read.parquet(path)
-    except Exception as e:
-        raise ValueError("Vector store not initialized. Please ingest documents first.") from e
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        raise ValueError(NO_INDEX) from e
     if index.isEmpty():
-        raise ValueError("Vector store not initialized. Please ingest documents first.")
+        raise ValueError(NO_INDEX)
     return index
 
 

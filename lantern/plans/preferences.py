@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lantern.functions.checks import check_parameters
 from lantern.functions.vectors import bucket_weights, word_buckets
 from lantern.operators import forecast as prices_op
 from lantern.operators import preference as pref
@@ -29,6 +30,7 @@ from lantern.plans.inputs import (
     transcripts,
 )
 from lantern.session import durable, fresh_path
+from lantern.sources.tables import read_prices
 
 Frame = DataFrame
 GROUP = ["lang", "source"]
@@ -378,6 +380,44 @@ SQL_LAST5 = """SELECT user_id AS symbol, event_id, value AS close FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 5"""
 
 
+def price_history(spark: SparkSession, sf_dir: str) -> Frame:
+    """The history of every third symbol, from a price table of files."""
+    path = fresh_path(spark, "prices")
+    whole = prices(spark, sf_dir)
+    whole.write.parquet(path)
+    wanted = [r.symbol for r in whole.select("symbol").distinct().where("symbol % 3 = 0").collect()]
+    return read_prices(spark, path, wanted).select("symbol", "event_id", "close")
+
+
+SQL_PRICES = "SELECT user_id AS symbol, event_id, value AS close FROM events WHERE user_id % 3 = 0"
+
+
+def parameter_checks(spark: SparkSession, sf_dir: str) -> Frame:
+    """Settings of a training run as the data has them, each held against its range."""
+    given = table(spark, sf_dir, "lineitem").agg(
+        F.max("l_quantity").alias("max_new_tokens"),
+        F.min(-F.col("l_quantity")).alias("num_beams"),
+        F.max("l_discount").alias("top_p"),
+        F.max(F.col("l_tax") + 1).alias("label_smoothing"),
+        F.min("l_discount").alias("beta"),
+    )
+    rows = []
+    for name, value in given.first().asDict().items():
+        try:
+            check_parameters(**{name: value})
+            rows.append((name, True))
+        except ValueError:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "name string, valid boolean")
+
+
+SQL_PARAMETERS = """SELECT 'max_new_tokens' AS name, max(l_quantity) > 0 AS valid FROM lineitem
+    UNION ALL SELECT 'num_beams', min(-l_quantity) > 0 FROM lineitem
+    UNION ALL SELECT 'top_p', max(l_discount) > 0 AND max(l_discount) <= 1 FROM lineitem
+    UNION ALL SELECT 'label_smoothing', max(l_tax + 1) BETWEEN 0 AND 1 FROM lineitem
+    UNION ALL SELECT 'beta', min(l_discount) > 0 FROM lineitem"""
+
+
 def forecast_last5(spark: SparkSession, sf_dir: str) -> Frame:
     made = prices_op.forecast(prices(spark, sf_dir), order=ORDER)
     history = F.array_join(F.transform("details", lambda d: d.close.cast("string")), ";")
@@ -431,6 +471,8 @@ QUERIES = {
     "dpo_lengths": (dpo_lengths, SQL_DPO_LENGTHS),
     "linear_reward_fit": (linear_reward_fit, None),
     "last_history": (last_history, SQL_LAST5),
+    "price_history": (price_history, SQL_PRICES),
+    "parameter_checks": (parameter_checks, SQL_PARAMETERS),
     "forecast_last5": (forecast_last5, SQL_FORECAST),
     "forecast_rolling": (forecast_rolling, SQL_ROLLING),
     "forecast_rolling_slots": (forecast_rolling_slots, SQL_ROLLING),

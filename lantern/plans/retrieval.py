@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lantern.operators import inference, retrieval
 from lantern.plans.inputs import dealt, quoted, sql_draw, sql_strip, sql_words, table
 from lantern.session import fresh_path
-from lantern.sources.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, RETRIEVAL_SYSTEM
+from lantern.sources.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, NO_INDEX, RETRIEVAL_SYSTEM
 from lantern.sources.tables import read_text_documents
 
 Frame = DataFrame
@@ -294,7 +294,26 @@ SQL_RAG_ANSWER = f"""WITH every AS MATERIALIZED (
         AS answer, CASE WHEN contains(p, 'ß') THEN 'cannot read this letter' END AS error FROM asked"""
 
 
+def index_refused(spark: SparkSession, sf_dir: str) -> Frame:
+    """What opening an index says: one of the documents, one without rows, one that is not there."""
+    there, empty, absent = (fresh_path(spark, "index") for _ in range(3))
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    docs.write.parquet(there)
+    docs.where("doc_id < 0").write.parquet(empty)
+    rows = []
+    for name, path in (("there", there), ("empty", empty), ("absent", absent)):
+        try:
+            rows.append((name, retrieval.open_index(spark, path).count(), None))
+        except ValueError as refusal:
+            rows.append((name, None, str(refusal)))
+    return spark.createDataFrame(rows, "name string, rows long, refusal string")
+
+
+SQL_REFUSED = f"""SELECT 'there' AS name, count(*) AS rows, NULL AS refusal FROM documents
+    UNION ALL SELECT unnest(['empty', 'absent']), NULL, {quoted(NO_INDEX)}"""
+
 QUERIES = {
+    "index_refused": (index_refused, SQL_REFUSED),
     "ingest_chunks": (ingest_chunks, SQL_CHUNKS),
     "text_documents": (text_documents, SQL_TEXTS),
     "knn_top3": (knn_top3, SQL_KNN),

@@ -161,4 +161,4 @@ def test_export_keeps_texts_whole(spark, tmp_path):
 def test_gpqa_needs_an_id(spark):
     df = spark.createDataFrame([("q", "a", "b", "c", "d")], ["Question", "Correct Answer", *[f"Incorrect Answer {i}" for i in (1, 2, 3)]])
     with pytest.raises(ValueError, match="identifies a row"):
-        examples.build("GPQA", df)
+        examples.build("GPQA", df, [])
