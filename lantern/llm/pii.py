@@ -30,9 +30,9 @@ DATE = (
 SOCIAL = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
 CALL = r"[2-9]\d{2}"
 PHONE = (
-    rf"(?<![\d+])\+1[ .-]?(?:\({CALL}\)|{CALL})[ .-]?{CALL}[ .-]?\d{{4}}(?!\d)"
-    rf"|(?<![\d+])\({CALL}\) ?{CALL}[ .-]\d{{4}}(?!\d)|(?<![\d+.-]){CALL}([.-]){CALL}[.-]\d{{4}}(?![\d.-])"
-).replace("([.-])", "[.-]")
+    r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    rf"|(?<![\d+])\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}(?!\d)|(?<![\d+.-]){CALL}[.-]{CALL}[.-]\d{{4}}(?![\d.-])"
+)
 ABROAD = r"(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,5}(?!\d)"
 CARD = (
     r"(?<![\d.-])(?:\d{4}(?: \d{4}){3}(?: \d{1,3})?|\d{4}(?:-\d{4}){3}(?:-\d{1,3})?|\d{4} \d{6} \d{5}"
@@ -123,10 +123,16 @@ class Pseudonyms:
         return let(moved, "p", f"concat(lpad({back}, 3, '0'), '-', lpad(p.l % 99 + 1, 2, '0'), '-', lpad(p.r + 1, 4, '0'))")
 
     def phone(self, v: str) -> str:
-        """Area and exchange are 200 to 999 each; a leading 1 stays."""
-        place = "CAST(substr(d, {}, 3) AS BIGINT) - 200".format
-        moved = self.feistel("phone", f"({place(1)}) * 800 + {place(4)}", "substr(d, 7, 4)", "640000L", "10000L")
-        new = let(moved, "p", "concat(p.l DIV 800 + 200, p.l % 800 + 200, lpad(p.r, 4, '0'))")
+        """Area and exchange from 200 to 999 stay so, those below 200 too; a leading 1 stays."""
+        place = "CAST(substr(d, {}, 3) AS BIGINT)".format
+        low, count = "IF({0} < 200, 0, 200)".format, "IF({0} < 200, 200L, 800L)".format
+        area, exchange = place(1), place(4)
+        left = f"({area} - {low(area)}) * {count(exchange)} + {exchange} - {low(exchange)}"
+        moved = self.feistel("phone", left, "substr(d, 7, 4)", f"({count(area)} * {count(exchange)})", "10000L")
+        back = (
+            f"lpad(p.l DIV {count(exchange)} + {low(area)}, 3, '0'), lpad(p.l % {count(exchange)} + {low(exchange)}, 3, '0')"
+        )
+        new = let(moved, "p", f"concat({back}, lpad(p.r, 4, '0'))")
         code = f"IF(length({digits(v)}) = 11, '1', '')"
         return let(f"right({digits(v)}, 10)", "d", self.refill(v, f"concat({code}, {new})"))
 
@@ -211,7 +217,7 @@ class Pseudonyms:
             (rf"^(?:{OCTET}\.){{3}}{OCTET}$", self.address(v)),
             (r"^(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})$", self.date(v)),
             (r"^\d{3}-\d{2}-\d{4}$", self.social(v)),
-            (rf"^(?:\+1[ .-]?(?:\({CALL}\)|{CALL})|\({CALL}\)|{CALL}[.-])[ .-]?{CALL}[ .-]?\d{{4}}$", self.phone(v)),
+            (r"^(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})|\(\d{3}\)|\d{3}[.-])[ .-]?\d{3}[ .-]?\d{4}$", self.phone(v)),
             (r"^\+", self.abroad(v)),
             (r"^\d[\d -]{12,}$", f"coalesce({self.card(v)}, {v})"),
             (r"^[A-Z]{2}\d{2} ?[A-Z0-9]{4}", f"coalesce({self.iban(v)}, IF({v} RLIKE '^[A-Za-z0-9]+$', {self.secret(v)}, NULL))"),

@@ -72,6 +72,8 @@ def test_formats(spark):
     number = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
     groups = {
         r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}": [f"+1 ({draw.randrange(200, 1000)}) {draw.randrange(200, 1000)}-{number(4)}" for _ in range(300)],
+        r"\+1 \([01]\d\d\) [01]\d\d-\d{4}": [f"+1 ({draw.randrange(200):03d}) {draw.randrange(200):03d}-{number(4)}" for _ in range(200)],
+        r"\+1 [01]\d\d-[2-9]\d\d-\d{4}": [f"+1 {draw.randrange(200):03d}-555-{number(4)}" for _ in range(200)],
         r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}": [
             f"{draw.choice([*range(1, 666), *range(667, 900)]):03d}-{draw.randrange(1, 100):02d}-{draw.randrange(1, 10000):04d}"
             for _ in range(300)

@@ -66,12 +66,17 @@ def test_benchmarks_go_and_others_stay(spark, steps):
     assert leaks and set(after) == set(before) - leaks
 
 
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
 def test_personal_data_is_replaced(steps):
     secret = re.compile(r"[\w.]+@mail\d|\b4\d{15}\b|\+1 \(\d{3}\) 555-\d{4}|\b\d{1,3}(?:\.\d{1,3}){3}\b")
     before, after = by_id(steps[3]), by_id(steps[4])
     assert set(before) == set(after)
     for key, row in before.items():
-        found = secret.findall(row.text)
+        found = [v for v in secret.findall(row.text) if not v.isdigit() or luhn(v)]
         assert all(value not in after[key].text for value in found)
         assert found or re.search("token|password|AKIA", row.text) or row.text == after[key].text
         assert after[key].n_chars == len(after[key].text)
