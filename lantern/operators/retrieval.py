@@ -395,8 +395,8 @@ def top_k(
     if method == "cells":
         return ranked(search_cells(q, into_cells(x, n_cells, seed), k, probes, skip_self), k)
     if method in ("auto", "broadcast"):
-        width = q.select(F.size("v").alias("n")).first()
-        most = QUERY_BYTES // (8 * max(width.n, 1)) if width else 1
+        width = q.agg(F.max(F.size("v"))).first()[0] or 1
+        most = QUERY_BYTES // (8 * max(width, 1))
         if method == "broadcast" or q.limit(most + 1).count() <= most:
             held = q.limit(most + 1).toPandas()
             if len(held) > most:
@@ -421,7 +421,7 @@ def contexts(found: DataFrame, index: DataFrame, index_id: str = "id", text: str
     texts = index.select(F.col(index_id).alias("neighbour_id"), F.col(text).alias("_text"))
     in_order = F.array_sort(F.collect_list(F.struct("rank", "_text")))
     return (
-        found.join(texts, "neighbour_id")
+        found.join(texts, "neighbour_id", "left")
         .groupBy("query_id")
         .agg(F.array_join(F.transform(in_order, lambda z: z["_text"]), "\n").alias("context"))
     )
@@ -430,9 +430,10 @@ def contexts(found: DataFrame, index: DataFrame, index_id: str = "id", text: str
 def question_prompts(
     context: DataFrame, questions: DataFrame, question_id: str = "id", question: str = "question"
 ) -> DataFrame:
-    """System message and user message per question."""
+    """System message and user message per question (R6); one without any context has an empty one."""
     asked = questions.select(F.col(question_id).alias("query_id"), F.col(question).alias("question"))
-    return context.join(asked, "query_id").select(
+    kept = asked.join(context, "query_id", "left").withColumn("context", F.coalesce("context", F.lit("")))
+    return kept.select(
         "query_id",
         "question",
         "context",

