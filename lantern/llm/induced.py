@@ -16,6 +16,8 @@ import numpy as np
 
 # bytes that the queues of one sorter hold in memory
 QUEUE_BYTES = 64 << 20
+# tuples that are taken from a queue at a time
+BATCH = 1 << 18
 SYMBOLS = 256
 
 
@@ -46,6 +48,17 @@ class Queues:
         positions = np.frombuffer(self.file.read(8 * run[1]), np.int64)
         return positions, np.frombuffer(self.file.read(run[1]), np.uint8)
 
+    def pending(self, symbol: int, at: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The queue's runs from number ``at`` on, as one run of about ``BATCH`` tuples, and where it ends."""
+        runs, size, end = [], 0, at
+        while end < len(self.runs[symbol]) and size < BATCH:
+            runs.append(self.load(self.runs[symbol][end]))
+            size += len(runs[-1][0])
+            end += 1
+        if len(runs) == 1:
+            return *runs[0], end
+        return np.concatenate([p for p, _ in runs]), np.concatenate([s for _, s in runs]), end
+
     def close(self) -> None:
         if self.file is not None:
             self.file.close()
@@ -182,10 +195,11 @@ def sort_suffixes(text: np.ndarray, cap: int, limit: int = QUEUE_BYTES) -> tuple
     run_end = np.minimum(upcoming, n - 1)
     separators = np.flatnonzero(text == 0)
     ends = separators[np.searchsorted(separators, np.arange(n))]
-    minima = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    if not len(minima) or text[0] == 0:
-        minima = np.union1d(minima, separators)
-    minima = np.union1d(minima, separators)
+    lowest = small.copy()
+    lowest[1:] &= ~small[:-1]
+    lowest[0] = False
+    lowest[separators] = True
+    minima = np.flatnonzero(lowest)
     ranks = ranks_of(minima_names(text, small, minima))
     starts = minima[np.argsort(ranks)]
     prefixes = common_prefixes(wide, ends, starts, cap)
@@ -206,16 +220,13 @@ def sort_suffixes(text: np.ndarray, cap: int, limit: int = QUEUE_BYTES) -> tuple
 
     passed, last = Passed(cap), None
     for symbol in range(SYMBOLS):
-        runs = large.runs[symbol]
         at, last = 0, None
-        while at < len(runs):
-            positions, shared = large.load(runs[at])
+        while at < len(large.runs[symbol]):
+            positions, shared, at = large.pending(symbol, at)
             if last is None:
                 shared = np.concatenate([[0], shared[1:]]).astype(np.uint8)
-                runs[at] = (positions, shared)
             last = int(positions[-1])
             scan(passed, large, positions, shared, False)
-            at += 1
         own = slice(bounds[symbol], bounds[symbol + 1])
         if own.start < own.stop:
             shared = prefixes[own].copy()
@@ -225,17 +236,17 @@ def sort_suffixes(text: np.ndarray, cap: int, limit: int = QUEUE_BYTES) -> tuple
     for symbol in range(SYMBOLS - 1, 0, -1):
         at, last, falling = 0, None, []
         while at < len(tiny.runs[symbol]):
-            positions, shared = tiny.load(tiny.runs[symbol][at])
+            positions, shared, at = tiny.pending(symbol, at)
             if last is None:
                 shared = np.concatenate([[0], shared[1:]]).astype(np.uint8)
             last = int(positions[-1])
             falling.append((positions, shared))
             scan(passed, tiny, positions, shared, True)
-            at += 1
         rising = [large.load(run) for run in large.runs[symbol]]
         if rising:
             positions = np.concatenate([p for p, _ in rising])
             shared = np.concatenate([s for _, s in rising])
+            shared[0] = 0
             back = np.concatenate([[crossing(int(positions[-1]), last) if last is not None else 0], shared[:0:-1]]).astype(np.uint8)
             scan(passed, tiny, positions[::-1], back, True)
             done[symbol].append((positions, shared))

@@ -18,15 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.llm import induced
+from lantern.session import durable
 
 WINDOW = 50
 GRAM = 16
 # text of one block of documents, pieces of one suffix sort, windows of one piece, bytes hashed at a time
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 PIECE_WINDOWS = 64
 CHUNK = 1 << 20
 LAST = (1 << 63) - 1
+# texts with more copies than this, or than a millionth of all rows, are dealt out by document
+HOT_COPIES, HOT_TEXTS = 1_000, 1_000_000
 
 
 def anchored(data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -63,10 +66,24 @@ def as_bytes(text: pa.Scalar) -> np.ndarray:
     return np.frombuffer(text.as_buffer() or b"", np.uint8)
 
 
-def digest(piece: bytes) -> bytes:
+def digest(piece) -> bytes:
     return hashlib.blake2b(piece, digest_size=16).digest()
 
 
+def first_copies(docs: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(document, bytes) of each distinct text, with the smallest document that has it; texts that are
+    known to have a smaller one elsewhere, and those without a window, are left out."""
+    first: dict[bytes, int] = {}
+    columns = (docs.column("doc_id").to_pylist(), docs.column("earliest").to_pylist(), docs.column("text"))
+    for doc, earliest, text in zip(*columns):
+        data = as_bytes(text)
+        if doc <= earliest and len(data) >= WINDOW:
+            whole = data.tobytes()
+            first[whole] = min(doc, first.get(whole, doc))
+    for whole, doc in first.items():
+        yield doc, np.frombuffer(whole, np.uint8)
+
+
 ANCHORS = pa.schema([("anchor", pa.int64()), ("block", pa.int32()), ("several", pa.bool_())])
 PIECES = pa.schema([("anchor", pa.int64()), ("block", pa.int32()), ("piece", pa.binary()), ("least", pa.int64()), ("most", pa.int64())])
 FOUND = pa.schema([("block", pa.int32()), ("anchor", pa.int64()), ("piece", pa.binary()), ("least", pa.binary())])
@@ -74,13 +91,18 @@ RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 
 
 def block_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct anchors of each block, and whether several of its documents have one."""
+    """The distinct anchors of each block, and whether several of its distinct texts have one."""
     found: dict[int, list] = {}
+    seen: set[bytes] = set()
     for batch in batches:
-        for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
-            runs = [anchors for _, _, anchors in anchored(as_bytes(text))]
-            if runs:
-                found.setdefault(block, []).append(np.unique(np.concatenate(runs)))
+        columns = (batch.column(c).to_pylist() for c in ("block", "doc_id", "earliest"))
+        for block, doc, earliest, text in zip(*columns, batch.column("text")):
+            data = as_bytes(text)
+            if doc > earliest or len(data) < WINDOW or (mark := digest(data)) in seen:
+                continue
+            seen.add(mark)
+            runs = [anchors for _, _, anchors in anchored(data)]
+            found.setdefault(block, []).append(np.unique(np.concatenate(runs)))
     for block, arrays in found.items():
         anchors, counts = np.unique(np.concatenate(arrays), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(np.full(len(anchors), block, np.int32)), pa.array(counts > 1)], schema=ANCHORS)
@@ -114,8 +136,7 @@ def block_pieces(docs: pa.Table, anchors: pa.Table) -> pa.Table:
     wanted = np.unique(anchors.column("anchor").to_numpy())
     found: dict[tuple, list] = {}
     if len(wanted):
-        for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text")):
-            data = as_bytes(text)
+        for doc, data in first_copies(docs):
             whole = data.tobytes()
             for first, last, anchor in runs_of(data, wanted):
                 seen = found.setdefault((anchor, whole[first : last + WINDOW]), [doc, doc])
@@ -192,10 +213,18 @@ def block_result(docs: pa.Table, found: pa.Table) -> pa.Table:
     """Every document of a block without the bytes of windows that a smaller document has."""
     wanted = np.unique(found.column("anchor").to_numpy())
     first_of = {p: np.frombuffer(w, np.int64) for p, w in zip(found.column("piece").to_pylist(), found.column("least").to_pylist())}
+    earliest_of = {data.tobytes(): doc for doc, data in first_copies(docs)}
     rows = []
-    for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text")):
+    columns = (docs.column("doc_id").to_pylist(), docs.column("earliest").to_pylist(), docs.column("text"))
+    for doc, earliest, text in zip(*columns):
         data = as_bytes(text)
         whole = data.tobytes()
+        if len(data) < WINDOW:
+            rows.append((doc, len(data), 0, 0, whole))
+            continue
+        if doc > min(earliest, earliest_of.get(whole, doc)):  # all of it is in an earlier copy
+            rows.append((doc, len(data), len(data), 1, b""))
+            continue
         starts = [np.zeros(0, np.int64)]
         for first, last, _ in runs_of(data, wanted):
             windows = first_of.get(digest(whole[first : last + WINDOW]))
@@ -223,17 +252,33 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     not as smaller than each other; rows with equal keys do not remove from each other. Extra columns are
     left out; an empty table gives an empty table.
 
-    The texts are shuffled once, into blocks of about 16 MB; an anchor or piece crosses the next shuffles
-    once per block however many of the block's documents have it, and a shard takes whole anchors.
+    The texts are shuffled once, into blocks of about 16 MB that take copies of a text together, so that
+    only the first copy is cut up; texts with very many copies are known beforehand (a table of at most a
+    million) and dealt out by document. An anchor or piece crosses the next shuffles once per block
+    however many of the block's documents have it, and a shard takes whole anchors.
     """
     id_ = F.col(f"`{key}`").cast("bigint")
     rows = docs.select(
         F.coalesce(id_, F.lit(LAST)).alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
-    size = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.crc32("text")), F.lit(blocks)).cast("int")
-    dealt = rows.select("doc_id", "text", block.alias("block")).repartition(blocks, "block")
+    seen = rows.agg(F.sum(F.octet_length("text").cast("bigint")).alias("size"), F.count(F.lit(1)).alias("n")).first()
+    blocks = max(1, -(-(seen.size or 0) // BLOCK_BYTES))
+    mark = F.sha2("text", 256)
+    copies = rows.groupBy(mark.alias("mark")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    hot = durable(copies.where(F.col("n") > max(HOT_COPIES, seen.n // HOT_TEXTS)).select("mark", "least"))
+    # greatest() is the last key for every row; a mere literal would be moved behind the shuffle in some
+    # places and not in others, and the texts would be shuffled once for each
+    nowhere = F.greatest("doc_id", F.lit(LAST))
+    dealt = rows.select("doc_id", "text", nowhere.alias("earliest"), F.xxhash64("text").alias("home"))
+    if not hot.isEmpty():
+        dealt = rows.join(F.broadcast(hot), mark == F.col("mark"), "left").select(
+            "doc_id",
+            "text",
+            F.coalesce("least", nowhere).alias("earliest"),
+            F.when(F.col("least").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("text", "doc_id")).alias("home"),
+        )
+    block = F.pmod("home", F.lit(blocks)).cast("int")
+    dealt = dealt.select("doc_id", "text", "earliest", block.alias("block")).repartition(blocks, "block")
     anchors = dealt.mapInArrow(block_anchors, "anchor bigint, block int, several boolean")
     twice = anchors.repartition("anchor").mapInArrow(repeated, "block int, anchor bigint")
     pieces = (

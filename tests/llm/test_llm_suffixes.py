@@ -88,3 +88,14 @@ def test_chunks_and_shards_change_nothing(monkeypatch):
     for number, text in enumerate(texts):
         for i, least in enumerate(whole[0][number]):
             assert least == min(n for n, t in enumerate(texts) if text[i : i + 50] in t)
+
+
+def test_copies_of_one_text(spark, monkeypatch):
+    """A text with very many copies is dealt out by document; others stay together."""
+    passage = "Words that are in very many documents, all of which are the same. "
+    rows = [(i, passage) for i in range(40, 0, -1)] + [(100 + i, f"{i} " + passage * 2) for i in range(9)] + [(7, passage), (0, passage[:60]), (50, "b" * 60), (50, "b" * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 200)
+    for hot in (1_000, 10):
+        monkeypatch.setattr(suffixes, "HOT_COPIES", hot)
+        assert got(suffixes.remove_repeats(docs)) == slow(rows)
