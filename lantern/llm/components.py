@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from lantern.session import durable
 
 
+# links that one task of a round takes at least
+PART_ROWS = 100_000
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("bigint")), F.bit_xor(F.xxhash64("a", "b"))).first())
 
@@ -36,7 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        links = durable(small)
+        # few links need few files: a round of a small graph costs more in files than in rows
+        links = durable(small.coalesce(max(1, 2 * before[0] // PART_ROWS)))
         now = _state(links)
         if now == before:
             break
