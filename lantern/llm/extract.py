@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lantern.llm import boosting
-from lantern.llm.texts import map_texts
+from lantern.llm.texts import map_texts, sampled
 
-# pages (by hash of their key) on which the trees are fitted; every page is extracted
+# pages (about so many, by hash) on which the trees are fitted; every page is extracted
 FIT_PAGES = 400
 
 # Kinds of elements, and words in class, id and role attributes that tell what one is for.
@@ -235,10 +235,9 @@ def varied(html: str, draw: random.Random) -> str:
 
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html") -> boosting.Trees:
-    """Trees fitted on at most ``FIT_PAGES`` pages, those with the smallest hash of their key, as they are
-    and varied. Without pages all elements are kept."""
-    order = F.xxhash64(F.col(key))
-    chosen = pages.where(F.col(html).isNotNull() & (F.length(html) < 1 << 20)).orderBy(order, key).limit(FIT_PAGES)
+    """Trees fitted on about ``FIT_PAGES`` pages, chosen by hash, as they are and varied. Without pages all
+    elements are kept."""
+    chosen = sampled(pages.where(F.col(html).isNotNull() & (F.length(html) < 1 << 20)), FIT_PAGES, 3, key, html)
     draw, rows, labels = random.Random(6), [np.zeros((0, len(FEATURES)))], [np.zeros(0)]
     for row in sorted(r[0] for r in chosen.select(html).collect()):
         for text in (row, varied(row, draw), varied(row, draw)):

@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lantern.llm.texts import keyed, map_texts
+from lantern.llm.texts import keyed, map_texts, sampled
 from lantern.session import durable
 
 # Insults that the list labeller looks for.
 INSULTS = frozenset("clown disgusting idiot loser moron pathetic scum stupid trash worthless".split())
 
-# Documents (by hash of the key) whose posterior labels train the scorer, and labelled documents from
+# Documents (about so many, by hash) whose posterior labels train the scorer, and labelled documents from
 # which the lexicon labellers learn. Counting votes, estimating accuracies and scoring cover all rows.
 FIT_DOCUMENTS = 5_000
 FIT_LABELS = 20_000
@@ -137,12 +137,12 @@ def profile(text: str, lexicon: Lexicon, featured: bool = True) -> Profile:
 def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """Words and word beginnings that are found nearly only in documents labelled toxic.
 
-    At most ``FIT_LABELS`` labelled documents are read, those with the smallest hash of their key. Copies
+    About ``FIT_LABELS`` labelled documents are read, chosen by the hash of their key. Copies
     would make any word of a toxic text look toxic, so texts count once per smallest word hash, which
     copies share. Without toxic labels both sets are empty.
     """
     wanted = labels.select(F.col("doc_id").alias("labelled"), (F.col("toxic") == 1).alias("toxic")).where("toxic IS NOT NULL")
-    wanted = wanted.orderBy(F.xxhash64("labelled"), "labelled").limit(FIT_LABELS)
+    wanted = sampled(wanted, FIT_LABELS, 7, "labelled")
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted), F.col("doc_id") == F.col("labelled"))
 
     def terms(text: str) -> tuple:
@@ -270,16 +270,13 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
         for votes, n in counts.items():
             task[votes[part]] = task.get(votes[part], 0) + n
         posteriors.append(estimate(task))
-    # the training rows are those whose hash is below a bound set by the number of rows: no sort of texts
-    share = min(1.0, FIT_DOCUMENTS / max(1, sum(counts.values())))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20))
     training = map_texts(
-        keyed(docs.where(draw) if share < 1 else docs, "doc_id", "text").select(F.col("key").cast("bigint").alias("key"), "text"),
+        keyed(sampled(docs, FIT_DOCUMENTS, 11, "doc_id", "text"), "doc_id", "text").select(F.col("key").cast("bigint").alias("key"), "text"),
         lambda: lambda text: (lambda p: (p.votes, p.features.tobytes()))(profile(text, sent.value)),
         "key bigint, votes string, features binary",
         pa.schema([("key", pa.int64()), ("votes", pa.string()), ("features", pa.binary())]),
     )
-    rows = sorted(((r.votes, bytes(r.features)) for r in training.limit(2 * FIT_DOCUMENTS).collect()))
+    rows = sorted(((r.votes, bytes(r.features)) for r in training.collect()))
     vectors = [np.frombuffer(f, "<i4") for _, f in rows]
     scorers = []
     for posterior, part in zip(posteriors, (slice(0, len(JUNK)), slice(len(JUNK), None))):

@@ -33,6 +33,18 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
 
+def sampled(df: DataFrame, rows: int, salt: int, *columns: str) -> DataFrame:
+    """About ``rows`` rows, or all if there are no more: those whose hash of ``columns`` is below a bound
+    that follows from the number of rows. No task sends more than its share, whatever the table's size;
+    twice as many rows are the most that come."""
+    total = df.count()
+    if total <= rows:
+        return df
+    space = 1 << 40
+    bound = max(1, rows * space // total)
+    return df.where(F.pmod(F.xxhash64(*columns, F.lit(salt)), F.lit(space)) < bound).limit(2 * rows)
+
+
 def map_texts(df: DataFrame, rows: Callable[[], Callable], schema: str, arrow: pa.Schema) -> DataFrame:
     """``rows()`` is called once per task and gives a function from a text to a tuple of values, which
     follow the key in ``schema``. No row moves to another task."""
