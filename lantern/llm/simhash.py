@@ -183,9 +183,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     kept = found.where(F.col(key).isNotNull() & (F.col(key) == F.col("component_id")))
     counted = durable(kept.groupBy(F.col(key).alias("kept")).agg(F.count(F.lit(1)).alias("copies")))
     on = docs[key] == counted["kept"]
-    once = docs.join(counted.where("copies = 1"), on, "left_semi")
-    repeated = docs.join(counted.where("copies > 1"), on, "left_semi").dropDuplicates([key])
-    return once.unionByName(repeated).unionByName(docs.where(docs[key].isNull()))
+    whole = docs.join(counted.where("copies = 1"), on, "left_semi").unionByName(docs.where(docs[key].isNull()))
+    several = counted.where("copies > 1")
+    if several.isEmpty():  # as keys should be: else the texts would cross a shuffle for nothing
+        return whole
+    return whole.unionByName(docs.join(several, on, "left_semi").dropDuplicates([key]))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
