@@ -179,17 +179,22 @@ def shard_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     size, last = 0, None
 
     def sort() -> Iterator[pa.RecordBatch]:
-        distinct: dict[bytes, int] = {}
-        least: list[int] = []
-        for _, _, piece, doc, _ in held:
-            at = distinct.setdefault(piece, len(least))
-            if at == len(least):
-                least.append(doc)
-            least[at] = min(least[at], doc)
-        found = least_documents(list(distinct), np.array(least, np.int64))
+        least: dict[bytes, int] = {}
+        kinds: dict[int, int] = {}
+        for anchor, _, piece, doc, _ in held:
+            known = least.get(piece)
+            if known is None:
+                kinds[anchor] = kinds.get(anchor, 0) + 1
+            least[piece] = doc if known is None else min(known, doc)
+        # where an anchor has one piece alone there is nothing to sort it among: all its windows have the
+        # piece's own documents
+        found = {p: np.array([doc]) for p, doc in least.items()}
+        several = list(dict.fromkeys(piece for anchor, _, piece, _, _ in held if kinds[anchor] > 1))
+        if several:
+            found.update(zip(several, least_documents(several, np.array([least[p] for p in several], np.int64))))
         rows: list[tuple] = []
         for anchor, block, piece, _, most in held:
-            windows = found[distinct[piece]]
+            windows = found[piece]
             if windows.min() < most:
                 windows = windows[:1] if (windows == windows[0]).all() else windows
                 rows.append((block, anchor, digest(piece), windows.tobytes()))
