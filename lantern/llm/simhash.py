@@ -42,13 +42,13 @@ def word_blocks(data: bytes, size: int = BLOCK) -> Iterator[list[bytes]]:
         start = stop
 
 
-def shingle_blocks(data: bytes) -> Iterator[list[bytes]]:
-    """Shingles of three words, repeats included; the whole sequence where there are fewer words."""
+def shingle_blocks(data: bytes, width: int = SHINGLE) -> Iterator[list[bytes]]:
+    """Shingles of ``width`` words, repeats included; the whole sequence where there are fewer words."""
     carried: list[bytes] = []
     short = True
     for words in word_blocks(data):
         words = carried + words
-        if len(words) >= SHINGLE:
+        if len(words) >= width:
             short = False
             line = b" ".join(words)
             starts, at = [], 0
@@ -56,8 +56,8 @@ def shingle_blocks(data: bytes) -> Iterator[list[bytes]]:
                 starts.append(at)
                 at += len(word) + 1
             starts.append(at)
-            yield [line[s : e - 1] for s, e in zip(starts, starts[SHINGLE:])]
-        carried = words[1 - SHINGLE :]
+            yield [line[s : e - 1] for s, e in zip(starts, starts[width:])]
+        carried = words[1 - width :]
     if short and carried:
         yield [b" ".join(carried)]
 
@@ -145,14 +145,15 @@ def near_links(distinct: DataFrame) -> DataFrame:
     return pairs.union(met).distinct()
 
 
-def classes(prints: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``prints`` (``key``, ``fp``) with ``component_id``, the smallest key reachable over near links.
+def classes(prints: DataFrame, key: str = "doc_id", links: Callable[[DataFrame], DataFrame] = near_links) -> DataFrame:
+    """``prints`` (``key``, ``fp``) with ``component_id``, the smallest key reachable over ``links`` of the
+    distinct prints (``fp`` and its smallest key ``first``).
 
     Copies are one fingerprint here, so they make no pairs. Rows without a key count as copies and give
     no id; a class without any key has a null id. ``prints`` is read more than once: keep it on disk.
     """
     distinct = durable(prints.groupBy("fp").agg(F.min(key).alias("first")))
-    roots = components(near_links(distinct))
+    roots = components(links(distinct))
     linked = distinct.join(roots, distinct["fp"] == roots["node"])
     smallest = linked.groupBy(F.col("root").alias("r")).agg(F.min("first").alias("smallest"))
     named = roots.join(smallest, roots["root"] == smallest["r"]).select("node", "smallest")
@@ -179,7 +180,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     Rows without a key stay, as no class can name them. Rows that share a key are taken for one document,
     of which one row stays.
     """
-    found = classes(durable(fingerprints(docs, key, text)), key)
+    return kept(docs, classes(durable(fingerprints(docs, key, text)), key), key)
+
+
+def kept(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (``key``, ``component_id``) names as the first of their class."""
     kept = found.where(F.col(key).isNotNull() & (F.col(key) == F.col("component_id")))
     counted = durable(kept.groupBy(F.col(key).alias("kept")).agg(F.count(F.lit(1)).alias("copies")))
     on = docs[key] == counted["kept"]
