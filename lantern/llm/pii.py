@@ -15,10 +15,10 @@ ROUNDS = 8
 
 # Formats of the kinds, as regular expressions; the first that fits at a place is taken.
 EMAIL = r"(?<![\w.+%-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+TELLING = r"(?i:password|passwd|secret|token|api_key)"
 SECRET = (
     r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-    r"|(?:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=api_key=)|(?<=password = \")|(?<=secret = \")"
-    r"|(?<=token = \")|(?<=api_key = \"))[A-Za-z0-9]{8,64}(?![A-Za-z0-9])"
+    rf"|(?<=[=:\"' ])(?<={TELLING}[\"']? {{0,3}}[=:] {{0,3}}[\"']?)[A-Za-z0-9]{{8,64}}(?![A-Za-z0-9])"
 )
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -228,7 +228,7 @@ class Pseudonyms:
 
 def found(text: Column) -> Column:
     """Every value in the text that has one of the formats, in order."""
-    return F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(
+    return F.when(text.rlike(f"[0-9@]|{TELLING}"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(
         F.array().cast("array<string>")
     )
 

@@ -120,3 +120,26 @@ def test_odd_tables(spark):
     rows = sorted(map(tuple, out.collect()), key=str)
     assert rows[0] == rows[1] and rows[0][2:] == (7, "a", 1) and rows[2] == (None, None, None, None, 0)
     assert pii.pseudonymise(df.limit(0), KEY).collect() == []
+
+
+def test_secrets_after_names_in_any_writing(spark):
+    value = "9233a8ec77b01f4d"
+    texts = [f'x token = "{value}" y', f"token: {value}", f'token="{value}"', f"secret='{value}'", f'"api_key": "{value}",', f"passwd :{value}"]
+    for before in (texts, [t.upper() for t in texts]):
+        got = replaced(spark, before)
+        new = {re.search(r"[0-9A-Za-z]{16}", t)[0] for t in got}
+        assert len(new) == 1 and not new & {value, value.upper()}
+        assert [t.replace(new.copy().pop(), "") for t in got] == [re.sub(f"(?i){value}", "", t) for t in before]
+    assert replaced(spark, ['PASSWORD = "abcdefghij"']) != ['PASSWORD = "abcdefghij"']
+    stays = ["the token was lost, a secret = b", "tokens 12345678", f"id={value}"]
+    assert replaced(spark, stays) == stays
+
+
+def test_secrets_of_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    secret = re.compile(r'(?i)token = "([0-9a-f]{8,64})"')
+    before = {r.doc_id: r.text for r in docs.where("upper(text) LIKE '%TOKEN = %'").collect()}
+    rows = docs.where("upper(text) LIKE '%TOKEN = %'")
+    after = {r.doc_id: r.text for r in pii.pseudonymise(rows, KEY).collect()}
+    assert any(secret.search(t) and t == t.upper() for t in before.values())
+    assert all(v not in after[k] for k, t in before.items() for v in secret.findall(t))
