@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates (operator 5).
 
 Numbers, units and names become typed placeholders, so a question keeps its template when its values are
-exchanged. Windows of templates are joined by hash; on each alignment of a document with an item the
+exchanged. As a name is known by its capital alone, a window counts in a second form too, in which names
+are words and case has no part; what has too few plain words for either is found word for word. Windows of templates are joined by hash; on each alignment of a document with an item the
 values that stand in the placeholders must map consistently (the same value always to the same one).
 """
 
@@ -19,7 +20,7 @@ from lantern.llm.texts import keyed, slices
 from lantern.session import durable
 
 WINDOW = 8
-# an item with fewer tokens says too little, a window with fewer plain words fits too much
+# an item with fewer tokens, or a window with fewer plain words, is looked for word for word alone
 LEAST_TOKENS = 5
 LEAST_PLAIN = 4
 # share of an item's searchable tokens that a document must cover
@@ -40,7 +41,11 @@ UNITS = frozenset(
     "mhz ghz v kv w kw mw j kj cal kcal pa kpa bar meter meters metre metres kilometer kilometers kilogram "
     "kilograms gram grams degree degrees".split()
 )
-TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£¥°]|[.!?\n]")
+# scripts without spaces between words: every sign is a token
+ALONE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+TOKEN = re.compile(
+    rf"\d+(?:[.,:/]\d+)*|[^\W\d_{ALONE}]+(?:['’][^\W\d_{ALONE}]+)*|[%$€£¥°]|[.!?\n]|(?=[^\W\d_])[{ALONE}]"
+)
 ENDS = frozenset(".!?\n")
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 PLACES = frozenset((NUMBER, UNIT, NAME))
@@ -94,6 +99,25 @@ def window_hashes(forms: list[str], width: int):
     return total ^ (total >> np.uint64(29))
 
 
+# a window's form is its template, the case-blind one beside a template, its words, or the case-blind one alone
+TEMPLATE, BLIND, WORDS, BLIND_ALONE = range(4)
+
+
+def blind(words: list[str], forms: list[str]) -> list[str]:
+    """The template with names as lower-case words."""
+    return [w.lower() if f == NAME else f for w, f in zip(words, forms)]
+
+
+def forms_of(words: list[str], forms: list[str]) -> list[tuple[int, list[str]]]:
+    """The forms in which a window of an item is looked for: word for word where its template says too little."""
+    plain = blind(words, forms)
+    enough = [len(forms) >= LEAST_TOKENS and sum(f not in PLACES for f in form) >= LEAST_PLAIN for form in (forms, plain)]
+    made = [(TEMPLATE, forms)] if enough[0] else [(WORDS, [w.lower() for w in words])]
+    if enough[1] and plain != forms:
+        made.append((BLIND if enough[0] else BLIND_ALONE, plain))
+    return made
+
+
 WINDOWS = pa.schema(
     [
         ("key", pa.int64()),
@@ -103,9 +127,10 @@ WINDOWS = pa.schema(
         ("form", pa.string()),
         ("words", pa.list_(pa.string())),
         ("tokens", pa.int64()),
+        ("kind", pa.int32()),
     ]
 )
-WINDOWS_DDL = "key bigint, hash bigint, width int, at bigint, form string, words array<string>, tokens bigint"
+WINDOWS_DDL = "key bigint, hash bigint, width int, at bigint, form string, words array<string>, tokens bigint, kind int"
 
 
 def _emitted(rows: list[tuple]) -> pa.RecordBatch:
@@ -114,8 +139,8 @@ def _emitted(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """Every usable window of every distinct template: ``item`` (the smallest key that has the template),
-    ``hash``, ``width``, ``place`` in the item, ``form``, ``values`` and the item's ``tokens``."""
+    """Every window of every distinct item in each of its forms: ``item`` (the smallest key that has it),
+    ``hash``, ``width``, ``place`` in the item, ``form``, ``kind``, ``values`` and the item's ``tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,25 +152,25 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
                         words += w
                         forms += f
                     width = min(WINDOW, len(forms))
-                    if width < LEAST_TOKENS:
-                        continue
-                    for at, hashed in enumerate(window_hashes(forms, width).view("i8").tolist()):
-                        form = forms[at : at + width]
-                        if sum(f not in PLACES for f in form) >= LEAST_PLAIN:
-                            rows.append((item, hashed, width, at, " ".join(form), words[at : at + width], len(forms)))
+                    for at in range(len(forms) - width + 1 if width else 0):
+                        held = words[at : at + width]
+                        for kind, form in forms_of(held, forms[at : at + width]):
+                            hashed = int(window_hashes(form, width).view("i8")[0])
+                            rows.append((item, hashed, width, at, " ".join(form), held, len(forms), kind))
                 if rows:
                     yield _emitted(rows)
 
     windows = keyed(items, key, text).withColumn("key", F.col("key").cast("bigint")).mapInArrow(run, WINDOWS_DDL)
     windows = windows.select(
-        F.col("key").alias("item"), "hash", "width", F.col("at").alias("place"), "form", F.col("words").alias("values"), "tokens"
+        F.col("key").alias("item"), "hash", "width", F.col("at").alias("place"), "form", "kind", F.col("words").alias("values"), "tokens"
     )
     # copies of an item give the same windows at the same places: one of them is searched for
-    return windows.groupBy("hash", "width", "place", "form", "values", "tokens").agg(F.min("item").alias("item"))
+    return windows.groupBy("hash", "width", "place", "form", "kind", "values", "tokens").agg(F.min("item").alias("item"))
 
 
-def document_windows(docs: DataFrame, wanted: list, widths: list[int], key: str, text: str) -> DataFrame:
-    """The windows of every document whose hash is among ``wanted`` (a sorted array, sent to the tasks)."""
+def document_windows(docs: DataFrame, wanted: list, widths: dict[int, set[int]], key: str, text: str) -> DataFrame:
+    """The windows of every document whose hash is among ``wanted`` (a sorted array, sent to the tasks);
+    ``widths`` has the kinds of forms that the items have in each width."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,37 +186,48 @@ def document_windows(docs: DataFrame, wanted: list, widths: list[int], key: str,
                         # the end of the last block is seen again, so that no window is cut
                         passed += max(0, len(words) - WINDOW + 1)
                         words, forms = words[1 - WINDOW :] + w, forms[1 - WINDOW :] + f
-                        for width in widths:
-                            made = window_hashes(forms, width).view("i8")
-                            place = np.searchsorted(hashes, made)
-                            hit = np.flatnonzero(hashes[np.minimum(place, len(hashes) - 1)] == made) if len(made) else ()
-                            for at in map(int, hit):
-                                rows.append(
-                                    (doc, int(made[at]), width, passed + at, " ".join(forms[at : at + width]), words[at : at + width], 0)
-                                )
+                        lows = [w.lower() for w in words]
+                        plain = [w if f == NAME else f for w, f in zip(lows, forms)]
+                        for width, kinds in widths.items():
+                            seen = []
+                            for some, form in (({TEMPLATE}, forms), ({BLIND, BLIND_ALONE}, plain), ({WORDS}, lows)):
+                                if not some & kinds or len(form) < width:
+                                    continue
+                                made = window_hashes(form, width).view("i8")
+                                place = np.searchsorted(hashes, made)
+                                hit = hashes[np.minimum(place, len(hashes) - 1)] == made
+                                for other in seen:  # the same form once
+                                    hit &= other != made
+                                seen.append(made)
+                                for at in map(int, np.flatnonzero(hit)):
+                                    rows.append(
+                                        (doc, int(made[at]), width, passed + at, " ".join(form[at : at + width]), words[at : at + width], 0, 0)
+                                    )
                 if rows:
                     yield _emitted(rows)
 
-    return keyed(docs, key, text).withColumn("key", F.col("key").cast("bigint")).mapInArrow(run, WINDOWS_DDL).drop("tokens")
+    return keyed(docs, key, text).withColumn("key", F.col("key").cast("bigint")).mapInArrow(run, WINDOWS_DDL).drop("tokens", "kind")
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """``key``, ``item``, ``covered`` (share of the item's searchable tokens), ``changed`` (whether some
+    """``key``, ``item``, ``covered`` (share of the item's tokens, or of those that a template can find), ``changed`` (whether some
     value differs from the item's) for each document that holds an item's template with consistent values.
 
     The document's windows are found in as many passes as the items' hashes need (a pass takes along 32 MB
     of them) and then joined with the items' windows. A group of the checks is one document on one
     alignment with one item, so it has no more rows than the item has windows, however often an item
     occurs. Rows that share a key are one document; null texts hold nothing; items with fewer than five
-    tokens are not searched for; copies of an item are found under the smallest key; empty tables give an
+    tokens are found word for word alone; copies of an item are found under the smallest key; empty tables give an
     empty result; extra columns are left out.
     """
     import numpy as np
 
     windows = durable(item_windows(items, item_key, item_text))
-    widths = sorted(r.width for r in windows.select("width").distinct().collect())
+    widths: dict[int, set[int]] = {}
+    for r in windows.select("width", "kind").distinct().collect():
+        widths.setdefault(r.width, set()).add(r.kind)
     slots = max(1, -(-windows.count() // PASS_HASHES))
     found = None
     for number in range(slots):
@@ -202,32 +238,43 @@ def contaminated(
         rows = document_windows(docs, hashes, widths, key, text)
         found = rows if found is None else found.unionByName(rows)
     if found is None:
-        found = docs.sparkSession.createDataFrame([], WINDOWS_DDL).drop("tokens")
+        found = docs.sparkSession.createDataFrame([], WINDOWS_DDL).drop("tokens", "kind")
     met = found.join(windows, ["hash", "width", "form"]).select(
-        "key", "item", "tokens", "width", "place", (F.col("at") - F.col("place")).alias("shift"), "values", "words"
+        "key", "item", "tokens", "width", "place", "kind", (F.col("at") - F.col("place")).alias("shift"), "values", "words"
     )
     # (value in the item, value in the document) where the two differ in more than case or stand in a placeholder
     sides = F.filter(
         F.transform(F.arrays_zip("values", "words"), lambda z: F.struct(F.lower(z["values"]).alias("a"), F.lower(z["words"]).alias("b"))),
         lambda z: z["a"].isNotNull(),
     )
-    aligned = met.select("*", sides.alias("sides")).groupBy("key", "item", "tokens", "shift").agg(
+    # an alignment is judged by its templates, by all forms and by the words alone: none spoils another
+    judged = F.when(F.col("kind") == TEMPLATE, F.array(F.lit(0), F.lit(1)))
+    judged = judged.when(F.col("kind") == WORDS, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    firm = lambda: F.when(F.col("kind") <= BLIND, F.struct("place", "width"))
+    parts = met.select("*", sides.alias("sides")).select("*", F.explode(judged).alias("judged"))
+    aligned = parts.groupBy("key", "item", "tokens", "shift", "judged").agg(
         F.collect_set(F.struct("place", "width")).alias("places"),
+        F.collect_set(firm()).alias("firm"),
         F.array_distinct(F.flatten(F.collect_set("sides"))).alias("sides"),
     )
     same = F.size("sides") == F.size(F.array_distinct(F.transform("sides", lambda z: z["a"])))
     changed = F.exists("sides", lambda z: z["a"] != z["b"])
-    consistent = aligned.where(same).select("key", "item", "tokens", "places", changed.alias("changed"))
+    consistent = aligned.where(same).select("key", "item", "tokens", "places", "firm", changed.alias("changed"))
     tokens = lambda places: F.array_distinct(
         F.flatten(F.transform(places, lambda p: F.sequence(p["place"], p["place"] + p["width"] - 1)))
     )
     covers = consistent.groupBy("key", "item", "tokens").agg(
-        F.size(tokens(F.array_distinct(F.flatten(F.collect_set("places"))))).alias("hit"), F.max("changed").alias("changed")
+        F.size(tokens(F.array_distinct(F.flatten(F.collect_set("places"))))).alias("hit"),
+        F.size(tokens(F.array_distinct(F.flatten(F.collect_set("firm"))))).alias("firm_hit"),
+        F.max("changed").alias("changed")
     )
     searchable = windows.groupBy(F.col("item").alias("whole")).agg(
-        F.size(tokens(F.collect_set(F.struct("place", "width")))).alias("searchable")
+        F.size(tokens(F.collect_set(F.struct("place", "width")))).alias("searchable"),
+        F.size(tokens(F.collect_set(firm()))).alias("firm_searchable"),
     )
-    share = F.col("hit") / F.col("searchable")
+    # windows that only the same words can fill do not count against an item with other values
+    firm_share = F.when(F.col("firm_searchable") > 0, F.col("firm_hit") / F.col("firm_searchable")).otherwise(0.0)
+    share = F.greatest(F.col("hit") / F.col("searchable"), firm_share)
     return (
         covers.join(searchable, F.col("item") == F.col("whole"))
         .where(share >= COVERED)

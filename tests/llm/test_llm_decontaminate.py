@@ -64,3 +64,13 @@ def test_passes_and_blocks_change_nothing(spark, monkeypatch):
     forms = [f for _, fs in d.template(rows[0][1]) for f in fs]
     monkeypatch.setattr(d, "BLOCK", 64)
     assert [f for _, fs in d.template(rows[0][1]) for f in fs] == forms
+
+
+def test_case_and_breaks(spark):
+    items = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    broken = QUESTION.replace("Boston", "\nBoston").replace("Alice", "\nAlice")
+    lower = QUESTION.lower().replace("40", "75.5").replace(" 3 ", " nine ")
+    texts = [QUESTION.lower(), QUESTION.upper(), broken, lower, lower.replace("from boston", "from rome"), PROSE]
+    docs = spark.createDataFrame([(8 + i, f"{PROSE}\n{t} {PROSE}") for i, t in enumerate(texts)], "doc_id long, text string")
+    found = pairs(d.contaminated(docs, items))
+    assert found.items() >= {(8, 1): False, (9, 1): False, (10, 1): False, (11, 1): True}.items() and (13, 1) not in found
