@@ -74,3 +74,20 @@ def test_case_and_breaks(spark):
     docs = spark.createDataFrame([(8 + i, f"{PROSE}\n{t} {PROSE}") for i, t in enumerate(texts)], "doc_id long, text string")
     found = pairs(d.contaminated(docs, items))
     assert found.items() >= {(8, 1): False, (9, 1): False, (10, 1): False, (11, 1): True}.items() and (13, 1) not in found
+
+
+def test_every_item_is_searched_for(spark):
+    texts = [
+        "What is 345 times 27?",
+        "12 + 45 + 17 + 33 + 90 + 61 + 8 + 77 + 23 + 54",
+        "Anna Bell Carl Dunn Emma Ford Gary Hall Iris Jung",
+        "Who wrote Dune?",
+        "北京是哪个国家的首都",
+        "中国",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(i, f"{PROSE} {t} {PROSE}") for i, t in enumerate(texts)] + [(9, f"{PROSE} What is 346 times 27? {PROSE}")]
+    rows += [(10, "他问北京是哪个国家的首都吗"), (11, f"{PROSE} {texts[2].upper()}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pairs(d.contaminated(docs, items))
+    assert set(found) == {*((i, i) for i in range(len(texts))), (10, 4), (11, 2)} and not any(found.values())
