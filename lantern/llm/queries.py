@@ -1,6 +1,6 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, decontaminate, extract, imatch, pii, quality, simhash, suffixes, toolcalls, warc
+from lantern.llm import bpe, decontaminate, extract, imatch, importance, pii, quality, simhash, suffixes, toolcalls, warc
 
 QUERIES = {
     "op1_pseudonyms": (pii.op1_pseudonyms, None),
@@ -13,4 +13,5 @@ QUERIES = {
     "op8_suffix_dedup": (suffixes.op8_suffix_dedup, None),
     "op9_warc": (warc.op9_warc, warc.OP9_SQL),
     "op10_quality": (quality.op10_quality, None),
+    "op12_importance": (importance.op12_importance, importance.OP12_SQL),
 }
