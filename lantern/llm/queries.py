@@ -1,6 +1,6 @@
 """The subpackage's registered queries: name -> (query, SQL counterpart or None)."""
 
-from lantern.llm import bpe, decontaminate, extract, imatch, importance, likelihood, pii, quality, simhash, suffixes, toolcalls, warc
+from lantern.llm import bpe, decontaminate, extract, imatch, importance, likelihood, negatives, pii, quality, simhash, suffixes, toolcalls, warc
 
 QUERIES = {
     "op1_pseudonyms": (pii.op1_pseudonyms, None),
@@ -15,4 +15,5 @@ QUERIES = {
     "op10_quality": (quality.op10_quality, None),
     "op11_rules": (likelihood.op11_rules, likelihood.OP11_SQL),
     "op12_importance": (importance.op12_importance, importance.OP12_SQL),
+    "op13_negatives": (negatives.op13_negatives, negatives.OP13_SQL),
 }
