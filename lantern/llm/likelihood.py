@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lantern.llm.texts import keyed, map_texts, slices
@@ -28,10 +28,12 @@ SYMBOLS = b"#*$%&|<>"
 # places for single tokens and as many again for pairs; the whole table is 8 MB in a task
 BUCKETS = 1 << 20
 # what is added to both counts of a bucket: pairs are rarer, and chance ones must not count
-SMOOTH = (5.0, 100.0)
+SMOOTH = (5.0, 400.0)
 UNIT = 1000
-# of the trusted documents that were not counted, so many percent may be rejected
-LOSS = 1.0
+# of the trusted documents that were not counted and pass the plain rules, so many percent may be rejected in
+# each stratum (language); a stratum with fewer of them takes the threshold of all
+LOSS = 1.5
+LEAST_HELD = 100
 SALT = 11
 # trusted keys up to so many go to every task (a few dozen MB); more are joined
 BROADCAST_KEYS = 1_000_000
@@ -162,8 +164,9 @@ def fit(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "t
     return Ratio(weights, buckets)
 
 
-def profile(docs: DataFrame, ratio: Ratio, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, the counts of the plain rules and ``score`` of every row, row by row.
+def profile(docs: DataFrame, ratio: Ratio, key: str = "doc_id", text: str = "text", stratum: str | None = None) -> DataFrame:
+    """``key``, ``stratum`` (null if not asked for), the counts of the plain rules and ``score`` of every row,
+    row by row.
 
     ``score`` is the sum of weights over the number of tokens, in whole ten-thousandths, floored; 0 without
     tokens. A null text is empty and has no words.
@@ -185,45 +188,73 @@ def profile(docs: DataFrame, ratio: Ratio, key: str = "doc_id", text: str = "tex
 
         return work
 
-    made = keyed(docs, key, text).withColumn("key", F.col("key").cast("bigint"))
-    arrow = pa.schema([("key", pa.int64()), *((name, pa.int64()) for name in names)])
-    return map_texts(made, rows, "key bigint, " + ", ".join(f"{n} bigint" for n in names), arrow).withColumnRenamed("key", key)
+    group = F.col(f"`{stratum}`").cast("string") if stratum else F.lit(None).cast("string")
+    both = F.struct(F.col(f"`{key}`").cast("bigint").alias("key"), group.alias("stratum"))
+    made = docs.select(both.alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    arrow = pa.schema([("key", pa.struct([("key", pa.int64()), ("stratum", pa.string())])), *((name, pa.int64()) for name in names)])
+    found = map_texts(made, rows, "key struct<key bigint, stratum string>, " + ", ".join(f"{n} bigint" for n in names), arrow)
+    return found.select(F.col("key.key").alias(key), "key.stratum", *names)
 
 
-def threshold(profiled: DataFrame, trusted: DataFrame, loss: float = LOSS, key: str = "doc_id") -> int:
-    """The least score that passes: that below which ``loss`` percent of the trusted documents not counted
-    lie, from a count per score (scores are whole numbers in a fixed range). 0 without such documents."""
+def thresholds(profiled: DataFrame, trusted: DataFrame, loss: float = LOSS, key: str = "doc_id") -> DataFrame:
+    """``group`` and ``least``: the least score that passes in each stratum, that below which ``loss`` percent
+    of its trusted documents lie that were not counted and have not failed; strata with fewer than
+    ``LEAST_HELD`` of those are not in it.
+
+    From a count per stratum and score (scores are whole numbers in a fixed range), so a stratum of any size
+    is few rows.
+    """
+    per_score = held_scores(profiled, trusted, key).groupBy("stratum", "score").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("stratum")
+    added = per_score.select(
+        "stratum", "score", F.sum("n").over(whole).alias("all"), F.sum("n").over(whole.orderBy("score")).alias("ahead")
+    )
+    passing = added.where((F.col("all") >= LEAST_HELD) & (F.col("ahead") > F.floor(F.lit(loss) * F.col("all") / 100)))
+    return passing.groupBy(F.col("stratum").alias("group")).agg(F.min("score").alias("least"))
+
+
+def held_scores(profiled: DataFrame, trusted: DataFrame, key: str) -> DataFrame:
     held = trusted.where(~counted(F.col("trusted")))
-    scores = profiled.select(F.col(key).alias("key"), "score").join(held, F.col("key") == F.col("trusted"), "left_semi")
-    rows = sorted((r.score, r.n) for r in scores.groupBy("score").agg(F.count(F.lit(1)).alias("n")).collect())
-    lost, ahead = int(loss * sum(n for _, n in rows) / 100), 0
-    for score, n in rows:
-        ahead += n
+    rows = profiled.where("NOT base_failed").select(F.col(key).alias("key"), "stratum", "score")
+    return rows.join(held, F.col("key") == F.col("trusted"), "left_semi")
+
+
+def overall(profiled: DataFrame, trusted: DataFrame, loss: float = LOSS, key: str = "doc_id") -> int:
+    """The threshold of all strata together; 0 without trusted documents to find it from."""
+    counts = held_scores(profiled, trusted, key).groupBy("score").agg(F.count(F.lit(1)).alias("n")).collect()
+    lost, ahead = int(loss * sum(r.n for r in counts) / 100), 0
+    for row in sorted(counts):
+        ahead += row.n
         if ahead > lost:
-            return score
+            return row.score
     return 0
 
 
-def judge(docs: DataFrame, labels: DataFrame, loss: float = LOSS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's ``key``, the counts of the plain rules, ``base_failed``, ``score`` and ``kept``.
+def judge(
+    docs: DataFrame, labels: DataFrame, loss: float = LOSS, key: str = "doc_id", text: str = "text", stratum: str | None = None
+) -> DataFrame:
+    """Every row's ``key``, ``stratum``, the counts of the plain rules, ``base_failed``, ``score``, ``kept``.
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated windows. ``kept``: not failed, and
-    the score reaches the threshold. Null and empty texts have no words and fail. Rows without a key are
+    the score reaches the threshold (of the row's ``stratum``, a column such as the language, if there is one;
+    null is a stratum like any other). Null and empty texts have no words and fail. Rows without a key are
     judged like any other; repeated rows are judged each by itself and count each; extra columns are left
     out; an empty table gives an empty table. Very long texts are split into words and lines as a whole (some
     times their size in memory), their runs in blocks.
     """
     trusted = trusted_keys(labels)
-    profiled = durable(profile(docs, fit(docs, trusted, key, text), key, text))
-    least = threshold(profiled, trusted, loss, key)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return profiled.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= least))
+    profiled = durable(profile(docs, fit(docs, trusted, key, text), key, text, stratum).withColumn("base_failed", failed))
+    own = thresholds(profiled, trusted, loss, key)
+    met = profiled.join(own, F.col("stratum").eqNullSafe(F.col("group")), "left")
+    least = F.coalesce("least", F.lit(overall(profiled, trusted, loss, key)))
+    return met.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop("group", "least")
 
 
 def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, score and verdict of every document."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
-    return judge(docs, labels)
+    return judge(docs, labels, stratum="lang").withColumnRenamed("stratum", "lang")
 
 
 _STEPS = (
@@ -235,12 +266,12 @@ _HALF = "('0x' || substr(sha256('11:' || doc_id), 1, 8))::BIGINT % 2"
 # checksums byte by byte, windows and lines as rows
 OP11_SQL = f"""
 WITH crc_table AS MATERIALIZED (SELECT {_STEPS} AS steps),
-texts AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+texts AS MATERIALIZED (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
 trusted AS (
     SELECT doc_id, {_HALF} = 0 AS counted FROM labels GROUP BY doc_id
     HAVING bool_and(coalesce(quality, 0) = 1) AND bool_and(coalesce(toxic, 1) = 0)
 ), split AS MATERIALIZED (
-    SELECT doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w, regexp_extract_all({_LOW},
+    SELECT doc_id, lang, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w, regexp_extract_all({_LOW},
         '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+|[^0-9a-z\\x{{80}}-\\x{{10FFFF}}\\x09-\\x0D ]+') AS tokens FROM texts
 ), runs AS MATERIALIZED (
     SELECT doc_id, false AS pair, unnest(tokens) AS run FROM split UNION ALL
@@ -257,7 +288,7 @@ trusted AS (
     SELECT pair, bucket, sum(n)::DOUBLE AS s, coalesce(sum(n) FILTER (counted), 0)::DOUBLE AS t
     FROM featured LEFT JOIN trusted USING (doc_id) GROUP BY ALL
 ), totals AS (
-    SELECT pair, sum(s) AS all_s, sum(t) AS all_t, CASE WHEN pair THEN 100::DOUBLE ELSE 5::DOUBLE END AS k FROM counted GROUP BY pair
+    SELECT pair, sum(s) AS all_s, sum(t) AS all_t, CASE WHEN pair THEN 400::DOUBLE ELSE 5::DOUBLE END AS k FROM counted GROUP BY pair
 ), weights AS (
     SELECT pair, bucket, floor(1000::DOUBLE * ln((t + k) / (s * all_t / all_s + k)))::BIGINT AS weight FROM counted JOIN totals USING (pair)
 ), scores AS (
@@ -277,15 +308,20 @@ trusted AS (
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM split)
     WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
 ), based AS (
-    SELECT doc_id, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
+    SELECT doc_id, lang, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
         len(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
         coalesce(score, 0) AS score, len(w) < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * len(w) AS base_failed
     FROM split LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN scores USING (doc_id)
 ), held AS (
-    SELECT score, row_number() OVER (ORDER BY score) AS place, count(*) OVER () AS n FROM based JOIN trusted USING (doc_id) WHERE NOT counted
+    SELECT lang, score, row_number() OVER (ORDER BY score) AS place, count(*) OVER () AS n,
+        row_number() OVER (PARTITION BY lang ORDER BY score) AS own_place, count(*) OVER (PARTITION BY lang) AS own_n
+    FROM based JOIN trusted USING (doc_id) WHERE NOT counted AND NOT base_failed
+), own AS (
+    SELECT lang AS own_lang, score AS own_least FROM held WHERE own_n >= 100 AND own_place = floor(1.5::DOUBLE * own_n / 100) + 1
 ), least AS (
-    SELECT coalesce(min(score), 0) AS least FROM held WHERE place = n // 100 + 1
+    SELECT coalesce(min(score), 0) AS least FROM held WHERE place = floor(1.5::DOUBLE * n / 100) + 1
 )
-SELECT based.*, NOT base_failed AND score >= least AS kept FROM based, least
+SELECT based.*, NOT base_failed AND score >= coalesce(own_least, least) AS kept
+FROM based LEFT JOIN own ON lang IS NOT DISTINCT FROM own_lang, least
 """

@@ -108,7 +108,7 @@ def test_all_are_registered(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= names and ship(spark) is spark
 
 
