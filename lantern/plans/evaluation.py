@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lantern.functions.overlap import bleu_score, rouge12_scores, rouge_scores
 from lantern.functions.scoring import (
     display_label,
     quality_band,
@@ -13,7 +12,7 @@ from lantern.functions.scoring import (
     score_exact,
     similarity_percent,
 )
-from lantern.operators import examples
+from lantern.operators import examples, overlap
 from lantern.operators.evaluate import (
     accuracy,
     compare_models,
@@ -52,6 +51,7 @@ from lantern.plans.inputs import (
     table,
     text_pairs,
 )
+from lantern.plans.stems import sql_stems
 from lantern.session import fresh_path
 from lantern.sources import catalog, tables
 from lantern.sources.fixed_values import (
@@ -146,11 +146,11 @@ SQL_EXACT = f"""SELECT source, count(*) AS rows, count(score) AS scored, round(a
         = lower({sql_strip('CASE WHEN doc_id % 2 = 0 THEN lang ELSE source END')})
         THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS score FROM documents) GROUP BY 1"""
 
-MIXED = ["mmlu", "GSM8K", "HumanEval", "my own set", "TruthfulQA"]
+MIXED = ["mmlu", "GSM8K", "HumanEval", "my own set", "TruthfulQA", "CNNDailyMail"]
 
 
 def mixed_predictions(spark: SparkSession, sf_dir: str) -> Frame:
-    """Text pairs dealt out over five data sets, with answers that suit each."""
+    """Text pairs dealt out over six data sets, one of each scorer family at least, with answers that suit each."""
     way = F.col("doc_id") % len(MIXED)
     names = F.array(*[F.lit(m) for m in MIXED])
     pairs = text_pairs(spark, sf_dir)
@@ -172,13 +172,13 @@ def mixed_predictions(spark: SparkSession, sf_dir: str) -> Frame:
     )
 
 
-SQL_MIXED = f"""SELECT doc_id, {MIXED}[CAST(doc_id % 5 AS INT) + 1] AS dataset, doc_id % 5 AS way,
-    CASE WHEN doc_id % 5 IN (0, 4) THEN 'Answer: ' || letter
-        WHEN doc_id % 5 = 1 THEN 'it is ' || length(predicted_answer)
-        WHEN doc_id % 5 = 3 THEN upper(lang) || ' ' ELSE predicted_answer END AS p,
-    CASE WHEN doc_id % 5 IN (0, 4) THEN CASE WHEN doc_id % 4 = 0 THEN 'b' ELSE letter END
-        WHEN doc_id % 5 = 1 THEN CAST(length(predicted_answer) + doc_id % 7 AS VARCHAR)
-        WHEN doc_id % 5 = 3 THEN lang ELSE gold_answer END AS g
+SQL_MIXED = f"""SELECT doc_id, {MIXED}[CAST(doc_id % 6 AS INT) + 1] AS dataset, doc_id % 6 AS way,
+    CASE WHEN doc_id % 6 IN (0, 4) THEN 'Answer: ' || letter
+        WHEN doc_id % 6 = 1 THEN 'it is ' || length(predicted_answer)
+        WHEN doc_id % 6 = 3 THEN upper(lang) || ' ' ELSE predicted_answer END AS p,
+    CASE WHEN doc_id % 6 IN (0, 4) THEN CASE WHEN doc_id % 4 = 0 THEN 'b' ELSE letter END
+        WHEN doc_id % 6 = 1 THEN CAST(length(predicted_answer) + doc_id % 7 AS VARCHAR)
+        WHEN doc_id % 6 = 3 THEN lang ELSE gold_answer END AS g
     FROM (SELECT *, chr(CAST(65 + {sql_language_index()} AS INT)) AS letter FROM ({SQL_TEXT_PAIRS}))"""
 
 
@@ -190,26 +190,12 @@ def sql_jaccard(p: str, g: str) -> str:
     )
 
 
-SQL_MIXED_SCORED = f"""SELECT doc_id, dataset,
-    CASE way WHEN 2 THEN 'pass@1' WHEN 3 THEN 'exact_match' ELSE 'accuracy' END AS metric,
-    CAST(CASE WHEN way IN (0, 4) THEN CASE WHEN {sql_letter('p')} = upper({sql_strip('g')}) THEN 1 ELSE 0 END
-        WHEN way = 1 THEN CASE WHEN abs({sql_number('p')} - {sql_number('g')})
-            <= abs({sql_number('g')}) * 0.01::DOUBLE THEN 1 ELSE 0 END
-        WHEN way = 2 THEN CASE WHEN {sql_jaccard(sql_strip('p'), sql_strip('g'))} > 0.7 THEN 1 ELSE 0 END
-        ELSE CASE WHEN lower({sql_strip('p')}) = lower({sql_strip('g')}) THEN 1 ELSE 0 END END AS DOUBLE)
-        AS score FROM ({SQL_MIXED})"""
-
-
 def eval_dispatch(spark: SparkSession, sf_dir: str) -> Frame:
-    scored = evaluate(mixed_predictions(spark, sf_dir), summaries=False)
+    scored = evaluate(mixed_predictions(spark, sf_dir))
     report = accuracy(scored, ["dataset", "metric"], totals=True)
     return report.withColumn("mean_score", F.round("mean_score", 8))
 
 
-SQL_DISPATCH = f"""SELECT dataset, metric, count(*) AS rows, count(score) AS scored,
-    round(avg(score), 8) AS mean_score FROM ({SQL_MIXED_SCORED}) GROUP BY ROLLUP (dataset, metric)"""
-
-
 def code_scored(spark: SparkSession, sf_dir: str) -> Frame:
     return with_code_score(text_pairs(spark, sf_dir), name="s")
 
@@ -302,26 +288,48 @@ SQL_EXPLANATIONS = f"""SELECT name, count(*) AS rows, 'math' AS family, CASE nam
 
 # --- overlap metrics -----------------------------------------------------------------------------
 def rouge12_nostem(spark: SparkSession, sf_dir: str) -> Frame:
-    s = rouge12_scores("predicted_answer", "gold_answer", stemmed=False)
-    rows = text_pairs(spark, sf_dir).withColumn("s", s).select("doc_id", "s.*")
-    return rows.select("doc_id", *[F.round(c, 8).alias(c) for c in rows.columns[1:]])
+    return rouge_columns(overlap.rouge(text_pairs(spark, sf_dir), stemmed=False, lcs=False))
 
 
-def sql_ngrams(n: int, tokens: str) -> str:
-    """Clipped n-gram hits and n-gram numbers of both sides per pair."""
-    gram = " || ' ' || ".join(["w", *[f"lead(w, {k}) OVER following" for k in range(1, n)]])
+def rouge_columns(scored: Frame) -> Frame:
+    names = [c for c in scored.columns if c.startswith("rouge")]
+    return scored.select("doc_id", *[F.round(c, 8).alias(c) for c in names])
+
+
+def sql_hits(most: int, tok: str = "tok", to: str = "n") -> str:
+    """Tables n1, n2... over the words in ``tok``: clipped n-gram hits and n-gram numbers of both sides."""
+    gram = "array_to_string(list_slice({t}, i, i + {k} - 1), ' ')"
+    lists = " UNION ALL ".join(
+        f"SELECT doc_id, {k} AS n, {side} AS side, unnest(list_transform(range(1, len({t}) - {k - 2}), "
+        f"lambda i: {gram.format(t=t, k=k)})) AS gram FROM {tok}"
+        for k in range(1, most + 1)
+        for side, t in enumerate(("pt", "gt"))
+    )
+    each = ", ".join(
+        f"{to}{k} AS (SELECT t.doc_id, greatest(len(pt) - {k - 1}, 0) AS np, greatest(len(gt) - {k - 1}, 0) AS ng, "
+        f"coalesce(h.hits, 0) AS hits FROM {tok} t LEFT JOIN clipped_{to} h ON h.doc_id = t.doc_id AND h.n = {k})"
+        for k in range(1, most + 1)
+    )
+    return f"""counted_{to} AS (SELECT doc_id, n, gram, count(*) FILTER (side = 0) AS p, count(*) FILTER (side = 1) AS g
+        FROM ({lists}) GROUP BY ALL),
+    clipped_{to} AS MATERIALIZED (SELECT doc_id, n, CAST(sum(least(p, g)) AS BIGINT) AS hits FROM counted_{to} GROUP BY ALL), {each}"""
+
+
+def sql_stemmed(source: str) -> str:
+    """Table ``tok`` of stemmed words over a query with ``doc_id``, ``p`` and ``g``."""
     side = (
-        f"SELECT doc_id, gram, count(*) AS c FROM (SELECT doc_id, {gram} AS gram FROM (SELECT doc_id, "
-        "unnest({t}) AS w, generate_subscripts({t}, 1) AS i FROM {source}) "
-        "WINDOW following AS (PARTITION BY doc_id ORDER BY i)) WHERE gram IS NOT NULL GROUP BY ALL"
+        "SELECT doc_id, list(coalesce(stem, w) ORDER BY i) AS {t} FROM (SELECT doc_id, unnest({t}) AS w, "
+        "generate_subscripts({t}, 1) AS i FROM raw) LEFT JOIN stems USING (w) GROUP BY doc_id"
     )
-    return f"""SELECT tok.doc_id, greatest(len(pt) - {n - 1}, 0) AS np, greatest(len(gt) - {n - 1}, 0) AS ng,
-        coalesce(h.hits, 0) AS hits FROM tok LEFT JOIN (SELECT p.doc_id, CAST(sum(least(p.c, g.c)) AS BIGINT) AS hits
-        FROM ({side.format(t='pt', source=tokens)}) p JOIN ({side.format(t='gt', source=tokens)}) g
-        ON p.doc_id = g.doc_id AND p.gram = g.gram GROUP BY 1) h ON tok.doc_id = h.doc_id"""
+    return f"""raw AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(p), '[a-z0-9]+') AS pt,
+        regexp_extract_all(lower(g), '[a-z0-9]+') AS gt FROM ({source})),
+    vocabulary AS MATERIALIZED (SELECT DISTINCT w FROM (SELECT unnest(pt) AS w FROM raw UNION ALL SELECT unnest(gt) FROM raw)),
+    stems AS MATERIALIZED ({sql_stems('vocabulary')}),
+    tok AS MATERIALIZED (SELECT raw.doc_id, coalesce(a.pt, []) AS pt, coalesce(b.gt, []) AS gt FROM raw
+        LEFT JOIN ({side.format(t='pt')}) a ON a.doc_id = raw.doc_id LEFT JOIN ({side.format(t='gt')}) b ON b.doc_id = raw.doc_id)"""
 
 
-def sql_prf(n: int, label: str = "") -> str:
+def sql_prf(n: int | str, label: str = "") -> str:
     """Precision, recall and F1 from the counts of n{n}."""
     name = label or f"rouge{n}"
     p = f"CASE WHEN n{n}.np > 0 THEN n{n}.hits::DOUBLE / n{n}.np ELSE 0 END"
@@ -333,23 +341,17 @@ def sql_prf(n: int, label: str = "") -> str:
 SQL_ROUGE12 = f"""WITH tok AS MATERIALIZED (SELECT doc_id,
         regexp_extract_all(lower(predicted_answer), '[a-z0-9]+') AS pt,
         regexp_extract_all(lower(gold_answer), '[a-z0-9]+') AS gt FROM ({SQL_TEXT_PAIRS})),
-    n1 AS ({sql_ngrams(1, 'tok')}), n2 AS ({sql_ngrams(2, 'tok')})
+    {sql_hits(2)}
     SELECT n1.doc_id, {sql_prf(1)}, {sql_prf(2)} FROM n1 JOIN n2 ON n1.doc_id = n2.doc_id"""
 
 
 def rouge_lcs_nostem(spark: SparkSession, sf_dir: str) -> Frame:
-    s = rouge_scores("predicted_answer", "gold_answer", stemmed=False)
-    rows = text_pairs(spark, sf_dir).withColumn("s", s).select("doc_id", "s.*")
-    names = ["rougeL_precision", "rougeL_recall", "rougeL_f1"]
-    return rows.select("doc_id", *[F.round(c, 8).alias(c) for c in names])
+    return rouge_columns(overlap.rouge(text_pairs(spark, sf_dir), stemmed=False, grams=False))
 
 
 # The subsequence length row by row of the usual table, a row held as the bits of one number: the gold
-# passages have fewer than 120 words, so that a row fits 128 bits.
-SQL_LCS = f"""WITH RECURSIVE tok AS MATERIALIZED (SELECT doc_id,
-        regexp_extract_all(lower(predicted_answer), '[a-z0-9]+') AS pt,
-        regexp_extract_all(lower(gold_answer), '[a-z0-9]+') AS gt FROM ({SQL_TEXT_PAIRS})),
-    mask AS MATERIALIZED (SELECT doc_id, w, CAST(sum(1::HUGEINT << (i - 1)::INT) AS HUGEINT) AS m FROM (
+# passages have fewer than 120 words, so that a row fits 128 bits. Table nl, over tok.
+SQL_LCS_STEPS = """mask AS MATERIALIZED (SELECT doc_id, w, CAST(sum(1::HUGEINT << (i - 1)::INT) AS HUGEINT) AS m FROM (
         SELECT doc_id, unnest(gt) AS w, generate_subscripts(gt, 1) AS i FROM tok) GROUP BY ALL),
     hit AS MATERIALIZED (SELECT doc_id, m, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i FROM (
         SELECT doc_id, unnest(pt) AS w, generate_subscripts(pt, 1) AS i FROM tok) JOIN mask USING (doc_id, w)),
@@ -357,38 +359,64 @@ SQL_LCS = f"""WITH RECURSIVE tok AS MATERIALIZED (SELECT doc_id,
         FROM tok UNION ALL
         SELECT w.doc_id, h.i, ((w.bits + (w.bits & h.m)) | (w.bits - (w.bits & h.m))) & w.whole, w.whole
         FROM walk w JOIN hit h ON w.doc_id = h.doc_id AND h.i = w.i + 1),
-    n1 AS (SELECT tok.doc_id, len(pt) AS np, len(gt) AS ng, len(gt) - l.left_over AS hits FROM tok JOIN (
-        SELECT doc_id, arg_max(bit_count(bits), i) AS left_over FROM walk GROUP BY 1) l ON tok.doc_id = l.doc_id)
-    SELECT n1.doc_id, {sql_prf(1, 'rougeL')}
-    FROM n1"""
+    nl AS (SELECT tok.doc_id, len(pt) AS np, len(gt) AS ng, len(gt) - l.left_over AS hits FROM tok JOIN (
+        SELECT doc_id, arg_max(bit_count(bits), i) AS left_over FROM walk GROUP BY 1) l ON tok.doc_id = l.doc_id)"""
+SQL_LCS = f"""WITH RECURSIVE tok AS MATERIALIZED (SELECT doc_id,
+        regexp_extract_all(lower(predicted_answer), '[a-z0-9]+') AS pt,
+        regexp_extract_all(lower(gold_answer), '[a-z0-9]+') AS gt FROM ({SQL_TEXT_PAIRS})),
+    {SQL_LCS_STEPS}
+    SELECT nl.doc_id, {sql_prf('l', 'rougeL')}
+    FROM nl"""
 
 
 def rouge_full(spark: SparkSession, sf_dir: str) -> Frame:
-    s = rouge_scores("predicted_answer", "gold_answer")
-    rows = text_pairs(spark, sf_dir).withColumn("s", s).select("doc_id", "s.*")
-    return rows.select("doc_id", *[F.round(c, 8).alias(c) for c in rows.columns[1:]])
+    return rouge_columns(overlap.rouge(text_pairs(spark, sf_dir)))
+
+
+SQL_PAIR_TEXTS = f"SELECT doc_id, predicted_answer AS p, gold_answer AS g FROM ({SQL_TEXT_PAIRS})"
+SQL_ROUGE = f"""WITH RECURSIVE {sql_stemmed(SQL_PAIR_TEXTS)}, {sql_hits(2)}, {SQL_LCS_STEPS}
+    SELECT n1.doc_id, {sql_prf(1)}, {sql_prf(2)}, {sql_prf('l', 'rougeL')}
+    FROM n1 JOIN n2 USING (doc_id) JOIN nl USING (doc_id)"""
 
 
 def bleu(spark: SparkSession, sf_dir: str) -> Frame:
-    score = bleu_score("predicted_answer", "gold_answer")
-    return text_pairs(spark, sf_dir).select("doc_id", F.round(score, 8).alias("bleu"))
+    return overlap.bleu(text_pairs(spark, sf_dir)).select("doc_id", F.round("bleu", 8).alias("bleu"))
 
 
-def sql_log_precision(n: int) -> str:
-    hits = f"CASE WHEN n{n}.hits = 0 THEN 0.1::DOUBLE ELSE n{n}.hits::DOUBLE END"
-    return f"0.25 * ln({hits} / greatest(n{n}.np, 1))"
+def sql_bleu(to: str) -> str:
+    """BLEU from the tables {to}1 to {to}4."""
+    logs = [
+        f"0.25 * ln(CASE WHEN {to}{n}.hits = 0 THEN 0.1::DOUBLE ELSE {to}{n}.hits::DOUBLE END / greatest({to}{n}.np, 1))"
+        for n in (1, 2, 3, 4)
+    ]
+    return f"""CASE WHEN {to}1.hits = 0 THEN 0.0::DOUBLE ELSE CASE WHEN {to}1.np > {to}1.ng THEN 1.0::DOUBLE
+        ELSE exp(1 - {to}1.ng::DOUBLE / {to}1.np) END * exp({' + '.join(logs)}) END"""
 
 
 SQL_BLEU = f"""WITH tok AS MATERIALIZED (SELECT doc_id, {sql_fields('predicted_answer')} AS pt,
         {sql_fields('gold_answer')} AS gt FROM ({SQL_TEXT_PAIRS})),
-    n1 AS ({sql_ngrams(1, 'tok')}), n2 AS ({sql_ngrams(2, 'tok')}), n3 AS ({sql_ngrams(3, 'tok')}),
-    n4 AS ({sql_ngrams(4, 'tok')})
-    SELECT n1.doc_id, CASE WHEN n1.hits = 0 THEN 0.0::DOUBLE ELSE round(
-        CASE WHEN n1.np > n1.ng THEN 1.0::DOUBLE ELSE exp(1 - n1.ng::DOUBLE / n1.np) END
-        * exp({' + '.join(sql_log_precision(n) for n in (1, 2, 3, 4))}), 8) END AS bleu
+    {sql_hits(4)}
+    SELECT n1.doc_id, round({sql_bleu('n')}, 8) AS bleu
     FROM n1 JOIN n2 USING (doc_id) JOIN n3 USING (doc_id) JOIN n4 USING (doc_id)"""
 
 
+def sql_f1(name: str) -> str:
+    """F1 in the steps of the operator: 2PR / (P + R)."""
+    p, r = f"({name}.hits::DOUBLE / {name}.np)", f"({name}.hits::DOUBLE / {name}.ng)"
+    return f"CASE WHEN {name}.hits > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0::DOUBLE END"
+
+
+def sql_summaries(source: str) -> str:
+    """Unrounded F1 values, BLEU, their mean and word numbers of trimmed pairs (``doc_id``, ``p``, ``g``)."""
+    trimmed = f"SELECT doc_id, {sql_strip('p')} AS p, {sql_strip('g')} AS g FROM ({source})"
+    return f"""WITH RECURSIVE {sql_stemmed(trimmed)}, {sql_hits(2)}, {SQL_LCS_STEPS},
+        spaced AS MATERIALIZED (SELECT doc_id, {sql_fields('p')} AS pt, {sql_fields('g')} AS gt FROM ({trimmed})),
+        {sql_hits(4, 'spaced', 'b')}
+    SELECT *, (f1 + f2 + fl) / 3 AS score FROM (SELECT n1.doc_id, {sql_f1('n1')} AS f1, {sql_f1('n2')} AS f2,
+        {sql_f1('nl')} AS fl, {sql_bleu('b')} AS bleu, b1.np AS np, b1.ng AS ng FROM n1 JOIN n2 USING (doc_id)
+        JOIN nl USING (doc_id) JOIN b1 USING (doc_id) JOIN b2 USING (doc_id) JOIN b3 USING (doc_id) JOIN b4 USING (doc_id))"""
+
+
 def eval_summary(spark: SparkSession, sf_dir: str) -> Frame:
     """All pairs as summaries: mean ROUGE, bands and lengths through the one scorer entry."""
     scored = evaluate(text_pairs(spark, sf_dir).withColumn("dataset", F.lit("CNNDailyMail")))
@@ -404,6 +432,26 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> Frame:
     )
 
 
+SQL_SUMMARY = f"""SELECT doc_id, round(score, 8) AS score, 'ROUGE-Avg' AS metric, {sql_exact_round('f1', 4)} AS rouge1_f1,
+    {sql_exact_round('f2', 4)} AS rouge2_f1, {sql_exact_round('fl', 4)} AS "rougeL_f1", {sql_exact_round('bleu', 4)} AS bleu,
+    {sql_exact_round('score', 4)} AS average_rouge, CASE WHEN f1 > 0.5 THEN 'Excellent' WHEN f1 > 0.3 THEN 'Good'
+        ELSE 'Needs improvement' END AS rouge1_band,
+    {sql_exact_round('(np::DOUBLE / greatest(ng, 1))', 2)} AS length_ratio FROM ({sql_summaries(SQL_PAIR_TEXTS)})"""
+
+
+SQL_MIXED_SUMMARIES = sql_summaries(f"SELECT doc_id, p, g FROM ({SQL_MIXED}) WHERE way = 5")
+SQL_MIXED_SCORED = f"""SELECT doc_id, dataset,
+    CASE way WHEN 2 THEN 'pass@1' WHEN 3 THEN 'exact_match' WHEN 5 THEN 'ROUGE-Avg' ELSE 'accuracy' END AS metric,
+    CASE WHEN way = 5 THEN summaries.score ELSE CAST(CASE WHEN way IN (0, 4) THEN CASE WHEN {sql_letter('p')} = upper({sql_strip('g')}) THEN 1 ELSE 0 END
+        WHEN way = 1 THEN CASE WHEN abs({sql_number('p')} - {sql_number('g')})
+            <= abs({sql_number('g')}) * 0.01::DOUBLE THEN 1 ELSE 0 END
+        WHEN way = 2 THEN CASE WHEN {sql_jaccard(sql_strip('p'), sql_strip('g'))} > 0.7 THEN 1 ELSE 0 END
+        ELSE CASE WHEN lower({sql_strip('p')}) = lower({sql_strip('g')}) THEN 1 ELSE 0 END END AS DOUBLE) END
+        AS score FROM ({SQL_MIXED}) m LEFT JOIN ({SQL_MIXED_SUMMARIES}) summaries USING (doc_id)"""
+SQL_DISPATCH = f"""SELECT dataset, metric, count(*) AS rows, count(score) AS scored,
+    round(avg(score), 8) AS mean_score FROM ({SQL_MIXED_SCORED}) GROUP BY ROLLUP (dataset, metric)"""
+
+
 # --- examples ------------------------------------------------------------------------------------
 def raw_benchmark(spark: SparkSession, sf_dir: str, dataset: str) -> Frame:
     """Raw benchmark rows, in the schema each builder expects, made from the tables."""
@@ -795,7 +843,7 @@ SQL_HISTORY = f"""SELECT o_orderkey, dataset, CASE model WHEN 'm1' THEN 'r2' ELS
 
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> Frame:
     """Scored rows, texts and all, through CSV and through JSON."""
-    scored = evaluate(mixed_predictions(spark, sf_dir), summaries=False).select(
+    scored = evaluate(mixed_predictions(spark, sf_dir)).withColumn("score", F.round("score", 8)).select(
         "doc_id", "dataset", "predicted_answer", "metric", "score"
     )
     schema = "doc_id bigint, dataset string, predicted_answer string, metric string, score double"
@@ -805,7 +853,7 @@ def export_roundtrip(spark: SparkSession, sf_dir: str) -> Frame:
     return back.unionByName(spark.read.json(json, schema=schema).withColumn("kind", F.lit("json")))
 
 
-SQL_EXPORT = f"""SELECT s.doc_id, s.dataset, m.p AS predicted_answer, s.metric, s.score, k.kind
+SQL_EXPORT = f"""SELECT s.doc_id, s.dataset, m.p AS predicted_answer, s.metric, round(s.score, 8) AS score, k.kind
     FROM ({SQL_MIXED_SCORED}) s JOIN ({SQL_MIXED}) m USING (doc_id), (VALUES ('csv'), ('json')) AS k(kind)"""
 
 
@@ -859,9 +907,9 @@ QUERIES = {
     "score_explanations": (score_explanations, SQL_EXPLANATIONS),
     "rouge12_nostem": (rouge12_nostem, SQL_ROUGE12),
     "rouge_lcs_nostem": (rouge_lcs_nostem, SQL_LCS),
-    "rouge_full": (rouge_full, None),
+    "rouge_full": (rouge_full, SQL_ROUGE),
     "bleu": (bleu, SQL_BLEU),
-    "eval_summary": (eval_summary, None),
+    "eval_summary": (eval_summary, SQL_SUMMARY),
     **{
         f"example_{name.lower()}": (example_query(name), SQL_EXAMPLES[name])
         for name in examples.BUILDERS

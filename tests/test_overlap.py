@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lantern.functions import overlap
+from lantern.operators import overlap as counted
 
 # words and their stems from the description of the algorithm
 STEMS = {
@@ -133,3 +134,47 @@ def test_null_rows_cost_nothing(spark):
     df = spark.createDataFrame([(None, None)], "p string, g string")
     assert df.select(overlap.summary_scores("p", "g").alias("s")).first().s.bleu is None
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_counted_by_spark(spark):
+    """The operators against the row-local functions: repeated pairs, empty and null texts, many rows of one pair."""
+    rng = random.Random(4)
+    words = "the cat sat on a mat running quickly happily dogs Cats The relational é x1".split()
+    rows = [(" ".join(rng.choices(words, k=rng.randint(0, 40))), " ".join(rng.choices(words, k=rng.randint(0, 40)))) for _ in range(80)]
+    rows += rows[:5] + [rows[7]] * 60 + [("", ""), ("", "x"), ("...", "x"), (None, "x"), ("x", None), (None, None), (" \n", "a b")]
+    df = spark.createDataFrame([(i, p, g) for i, (p, g) in enumerate(rows)], "pair long, p string, g string")
+    for stemmed in (True, False):
+        made = {r.pair: r for r in counted.rouge(df, "p", "g", stemmed).collect()}
+        assert sorted(made) == list(range(len(rows)))
+        for i, (p, g) in enumerate(rows):
+            want = [None] * 9 if p is None or g is None else overlap.rouge(p, g, stemmed)
+            assert [made[i][n] for n in overlap.ROUGE_FIELDS] == pytest.approx(want)
+    made = {r.pair: r.bleu for r in counted.bleu(df, "p", "g").collect()}
+    for i, (p, g) in enumerate(rows):
+        assert made[i] == (None if p is None or g is None else pytest.approx(overlap.bleu(overlap.spaced(p), overlap.spaced(g))))
+    slow = df.withColumn("s", overlap.summary_scores("p", "g")).select("pair", overlap.score_summary(F.col("s")).alias("summary"))
+    want = {r.pair: r.summary for r in slow.collect()}
+    for r in counted.with_summary_score(df, "p", "g").collect():
+        assert (r.summary is None) == (want[r.pair] is None)
+        if r.summary:
+            assert r.summary.score == pytest.approx(want[r.pair].score)
+            same = {k: v for k, v in r.summary.asDict().items() if k != "score"}
+            assert same == {k: v for k, v in want[r.pair].asDict().items() if k != "score"}
+    assert counted.rouge(df.limit(0), "p", "g").collect() == [] and counted.bleu(df.limit(0), "p", "g").collect() == []
+
+
+def test_stems_beyond_the_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([("running dogs happily", "dog runs happy")], "p string, g string")
+    few = counted.rouge(df, "p", "g").collect()
+    monkeypatch.setattr(counted, "BROADCAST_WORDS", 1)
+    assert counted.rouge(df, "p", "g").collect() == few and few[0].rouge1_f1 > 0.6
+
+
+def test_plan_of_the_counts(spark):
+    """No Python worker without stems and subsequences; the n-grams are not shuffled again."""
+    df = spark.createDataFrame([(1, "a b", "b c")], "k long, p string, g string")
+    for made in (counted.rouge(df, "p", "g", stemmed=False, lcs=False), counted.bleu(df, "p", "g")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        assert plan.count("Exchange hashpartitioning(pair") <= 2 and "Exchange hashpartitioning(pair#" in plan
+        assert "gram#" not in "".join(line for line in plan.splitlines() if "Exchange" in line)

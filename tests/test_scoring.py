@@ -125,8 +125,11 @@ def test_dispatch(spark):
         ("gsm8k", None, "8", None, None),
     ]
     df = spark.createDataFrame(rows, "dataset string, predicted_answer string, gold_answer string, s double, m string")
-    out = evaluate(df).collect()
-    assert [(r.score, r.metric) for r in out] == [(r[3], r[4]) for r in rows]
+    found = {(r.dataset, r.predicted_answer): r for r in evaluate(df).collect()}
+    out = [found[r[:2]] for r in rows]
+    assert [(r.score, r.metric) for r in out] == [(r[3], r[4]) for r in rows] and len(found) == len(rows)
+    assert out[2].details.math.explanation.interpretation == "✓ Within tolerance!"
+    assert out[3].details.code.explanation.interpretation == "✓ Pass (similarity: 100.0%, threshold: 70%)"
     assert out[0].details.choice.is_valid_choice and out[0].details.math is None
     assert out[4].details.summary.rougeL_band == "Excellent"
 
