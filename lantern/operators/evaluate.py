@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lantern.functions.numbers import exact_round
-from lantern.functions.overlap import score_summary, summary_scores
 from lantern.functions.scoring import (
     code_tokens,
     explain_code,
@@ -44,44 +43,12 @@ def evaluate(
 ) -> DataFrame:
     """``df`` plus score, metric and details (one nullable struct per scorer family).
 
-    A null prediction (its generation failed) keeps its row with null score. Rows of other families are
-    scored where they are; of summaries Spark counts the n-grams, which moves their pairs of texts (a stream,
-    in which such a count cannot be joined, scores them row by row). ``summaries=False`` leaves that out of
-    the plan for tables known to hold no summarisation rows; such a row is an error then, not a row without a
-    score. Details of numbers and code carry their explanations; nothing is computed for details not read.
+    A null prediction (its generation failed) keeps its row with null score. Every row is scored where it is,
+    in a table as in a stream. ``summaries=False`` leaves the Python step of stems out of the plan for tables
+    known to hold no summarisation rows; such a row is an error then, not a row without a score. Details of
+    numbers and code carry their explanations; nothing is computed for details not read.
     """
     check_columns(df, [dataset, predicted, gold])
-    if summaries and not df.isStreaming:
-        is_summary = scorer_family(dataset) == "summary"
-        rest = scored_rows(df.where(~is_summary), dataset, predicted, gold, choices, None)
-        some = with_summary_score(df.where(is_summary), predicted, gold, "_summary")
-        return rest_and_summaries(df, rest, some)
-    return scored_rows(df, dataset, predicted, gold, choices, summaries)
-
-
-def kept_columns(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in df.columns if c not in ("score", "metric", "details")]
-
-
-def rest_and_summaries(df: DataFrame, rest: DataFrame, some: DataFrame) -> DataFrame:
-    """Rows scored in place and summaries scored by a count, under one schema."""
-    kind = some.schema["_summary"].dataType
-    families = [f.name for f in rest.schema["details"].dataType.fields]
-    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rest.schema["details"].dataType.fields]
-    before = rest.withColumn(
-        "details", F.struct(*[F.col(f"details.{n}").alias(n) for n in families], F.lit(None).cast(kind).alias("summary"))
-    )
-    after = some.select(
-        *kept_columns(df), F.col("_summary.score").alias("score"), F.col("_summary.metric").alias("metric"), F.struct(*nothing, F.col("_summary").alias("summary")).alias("details")
-    )
-    return before.unionByName(after)
-
-
-def scored_rows(
-    df: DataFrame, dataset: str, predicted: str, gold: str, choices: str | None, summaries: bool | None
-) -> DataFrame:
-    """Rows scored where they are. ``summaries``: by a function over each pair (True), an error (False), or
-    known to be absent (None)."""
 
     def only(family: str, value: Column) -> Column:
         return F.when(F.col("_family") == family, value)
@@ -100,23 +67,24 @@ def scored_rows(
         "exact": only("exact", score_exact(predicted, gold)),
     }
     if summaries:
-        # Python functions run for every row whatever surrounds them: rows of other families send nulls
-        texts = [only("summary", F.col(c)) for c in (predicted, gold)]
-        once["_overlap"] = summary_scores(*texts)
-        details["summary"] = score_summary(F.col("_overlap"))
+        # rows of other families have nulls there, which cost nothing
+        once |= {f"_text_{c}": only("summary", F.col(c)) for c in (predicted, gold)}
     scored = (
         df.withColumn("_family", scorer_family(dataset))
         .withColumns(once)
         .withColumn("_n", F.size(F.array_intersect("_a", "_b")))
         .withColumns({f"_{name}": value for name, value in details.items()})
     )
+    if summaries:
+        scored = with_summary_score(scored, f"_text_{predicted}", f"_text_{gold}", "_summary")
+        details["summary"] = F.col("_summary")
     no_summaries = F.raise_error(F.lit("a summarisation row needs summaries=True")).cast("double")
-    refused = [F.when(F.col("_family") == "summary", no_summaries)] if summaries is False else []
+    refused = [] if summaries else [F.when(F.col("_family") == "summary", no_summaries)]
     shown = {name: F.col(f"_{name}") for name in details}
     for name, explain in (("math", explain_math), ("code", explain_code)):
         shown[name] = shown[name].withField("explanation", explain(F.col(f"_{name}")))
     return scored.select(
-        *kept_columns(df),
+        *[F.col(f"`{c}`") for c in df.columns if c not in ("score", "metric", "details")],
         F.coalesce(*[F.col(f"_{name}.score") for name in details], *refused).alias("score"),
         F.coalesce(*[F.col(f"_{name}.metric") for name in details]).alias("metric"),
         F.struct(*[value.alias(name) for name, value in shown.items()]).alias("details"),

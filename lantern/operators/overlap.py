@@ -1,13 +1,13 @@
-"""Overlap of text pairs counted by Spark: ROUGE, BLEU and summary scores.
+"""Overlap of text pairs: ROUGE, BLEU and summary scores (E11-E14, E16), row by row.
 
-A pair of texts is moved once, to the task of its digest. Its n-grams are counted there, for both sides at a
-time; the least of both counts, summed, is the clipped overlap. Equal pairs are counted once. Stems are looked
-up in a table of the distinct words; only the longest common subsequence is a function of Python.
+The n-grams of both texts are hashed, sorted together and counted off against each other in SQL expressions, so
+nothing is shuffled and a stream is scored like a table. Only stems and the longest common subsequence are
+functions of Python, in one pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,111 +16,104 @@ from pyspark.sql import functions as F
 from lantern.functions.numbers import exact_round
 from lantern.functions.overlap import common_length, score_summary, stem
 from lantern.functions.text import fields, strip
-from lantern.session import durable
 
-# stems of so many words (some tens of MB) go to every task; more are joined
-BROADCAST_WORDS = 500_000
 # shorter words have no stem of their own
 SHORT_WORD = 3
 
 PARTS = ("precision", "recall", "f1")
 
 
-def pair_digest(predicted: Column, gold: Column) -> Column:
-    """One value for each pair of texts; null if either is."""
-    return F.md5(F.concat(F.char_length(predicted).cast("string"), F.lit(":"), predicted, gold))
+def rouge_words(text: Column | str) -> Column:
+    """The runs of ASCII letters and digits of a lower-cased text, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
-def distinct_pairs(df: DataFrame, predicted: str, gold: str, trimmed: bool = False) -> DataFrame:
-    """``pair``, ``p`` and ``g`` of every distinct pair without a null, in the task of its digest."""
-    p, g = (strip(c) if trimmed else F.col(c) for c in (predicted, gold))
-    pairs = df.select(pair_digest(F.col(predicted), F.col(gold)).alias("pair"), p.alias("p"), g.alias("g"))
-    return pairs.where("pair IS NOT NULL").groupBy("pair").agg(F.first("p").alias("p"), F.first("g").alias("g"))
+def stems_and_lcs(stemmed: bool, lcs: bool) -> Callable:
+    """A function of two arrays of words: their stems (or the words) and their longest common subsequence."""
 
+    def words(each) -> list[str]:
+        return [stem(w) if len(w) > SHORT_WORD else w for w in each] if stemmed else list(each)
 
-def rouge_words(text: str) -> Column:
-    """The runs of ASCII letters and digits of a lower-cased text, in order."""
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    @F.pandas_udf("rp array<string>, rg array<string>, lcs bigint")
+    def made(p: pd.Series, g: pd.Series) -> pd.DataFrame:
+        rows = []
+        for a, b in zip(p, g):
+            if a is None or b is None:
+                rows.append((None, None, None))
+            else:
+                a, b = words(a), words(b)
+                rows.append((a, b, common_length(a, b) if lcs else None))
+        return pd.DataFrame(rows, columns=["rp", "rg", "lcs"]).astype({"lcs": "Int64"})
 
+    return made
 
-def with_rouge_words(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns({"rp": rouge_words("p"), "rg": rouge_words("g")})
 
+def with_rouge_words(df: DataFrame, predicted: Column, gold: Column, stemmed: bool, lcs: bool) -> DataFrame:
+    """``df`` with arrays ``rp`` and ``rg`` and, if asked for, ``lcs``; null where either text is."""
+    rows = df.withColumns({"rp": rouge_words(predicted), "rg": rouge_words(gold)})
+    if not (stemmed or lcs):
+        return rows
+    made = rows.withColumn("_made", stems_and_lcs(stemmed, lcs)("rp", "rg"))
+    return made.withColumns({c: F.col(f"_made.{c}") for c in (("rp", "rg", "lcs") if stemmed else ("lcs",))}).drop("_made")
 
-def stems_of(words: DataFrame, word: str = "word") -> DataFrame:
-    """``word`` and ``stem`` of every distinct word whose stem is another."""
 
-    @F.pandas_udf("string")
-    def stems(batch: pd.Series) -> pd.Series:
-        return batch.map(stem)
+def apart(made: Callable[[Column], Column], **columns: Column | str) -> Column:
+    """``made`` of a struct of columns, evaluated by itself. As part of a stage's generated method these
+    expressions make it larger than the JVM compiles, and the whole stage is then interpreted."""
+    of = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
+    return F.transform(F.array(of), made)[0]
 
-    distinct = words.where(F.length(word) > SHORT_WORD).select(F.col(word).alias("word")).distinct()
-    return distinct.withColumn("stem", stems("word")).where("stem <> word")
 
+def longer(hashes: str, words: str, n: int) -> Column:
+    """Hashes of the n-grams from those of one word less (``hashes``) and of the single words (``words``)."""
 
-def with_stems(pairs: DataFrame) -> DataFrame:
-    """``pairs`` with the words in ``rp`` and ``rg`` replaced by their stems.
+    def made(x: Column) -> Column:
+        count = F.greatest(F.size(x.words) - (n - 1), F.lit(0))
+        return F.zip_with(F.slice(x.hashes, F.lit(1), count), F.slice(x.words, F.lit(n), count), lambda a, b: F.xxhash64(a, b))
 
-    The words of all pairs, once each, make a table of stems. A small one goes to every task, so that the
-    words of a pair stay in its task; a larger one is joined by word.
-    """
-    rows = pairs.select("pair", F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("ws")) for i, c in enumerate(("rp", "rg"))])).alias("x"))
-    rows = rows.select("pair", "x.side", F.posexplode("x.ws").alias("pos", "word"))
-    stems = durable(stems_of(rows))
-    few = stems.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    met = rows.join(F.broadcast(stems) if few else stems, "word", "left")
-    met = met.select("pair", "side", F.struct("pos", F.coalesce("stem", "word").alias("w")).alias("at"))
-    ordered = [
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("at")))), lambda x: x.w).alias(name)
-        for side, name in enumerate(("rp", "rg"))
-    ]
-    made = met.groupBy(F.col("pair").alias("of")).agg(*ordered)
-    none = F.array().cast("array<string>")
-    kept = [c for c in pairs.columns if c not in ("rp", "rg")]
-    joined = pairs.select(*kept).join(made, F.col("pair") == F.col("of"), "left")
-    return joined.select(*kept, *[F.coalesce(c, none).alias(c) for c in ("rp", "rg")])
-
-
-def grams(words: str, n: int) -> Column:
-    """The n-grams of an array of words, in order."""
-    if n == 1:
-        return F.col(words)
-    each = F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.array_join(F.slice(F.col(words), i, n), " "))
-    return F.when(F.size(words) >= n, each).otherwise(F.array().cast("array<string>"))
-
-
-def hits(pairs: DataFrame, kinds: dict[str, tuple[str, str, int]]) -> DataFrame:
-    """``pair`` and, for each kind (two columns of words and the width), the clipped overlap of its n-grams.
-
-    Every n-gram becomes a narrow row beside its pair's digest, in the task where the pair is; nothing of
-    that is shuffled again.
+    return apart(made, hashes=hashes, words=words)
+
+
+def counted_off(p: str, g: str) -> Column:
+    """How many elements two arrays of hashes share, each as often as both have it.
+
+    One sort of both, the side in the lowest bit, puts equal ones together, those of ``p`` first; then each of
+    ``g`` uses up one of ``p``. Two n-grams of a pair are taken for the same with a chance of 2^-63.
     """
-    lists = [
-        F.struct(F.lit(name).alias("kind"), F.lit(side).alias("side"), grams(column, n).alias("grams"))
-        for name, (p, g, n) in kinds.items()
-        for side, column in enumerate((p, g))
-    ]
-    rows = pairs.select("pair", F.explode(F.array(*lists)).alias("x")).select("pair", "x.kind", "x.side", F.explode("x.grams").alias("gram"))
-    sides = [F.sum(F.when(F.col("side") == s, 1).otherwise(0)).alias(f"n{s}") for s in (0, 1)]
-    both = rows.groupBy("pair", "kind", "gram").agg(*sides).where("n0 > 0 AND n1 > 0")
-    sums = [F.sum(F.when(F.col("kind") == name, F.least("n0", "n1")).otherwise(0)).alias(name) for name in kinds]
-    return both.groupBy(F.col("pair").alias("of")).agg(*sums)
 
+    def sided(hashes: Column, side: int) -> Column:
+        bit = F.lit(side).cast("bigint")
+        return F.transform(hashes, lambda h: F.shiftleft(h, 1).bitwiseOR(bit))
 
-def with_hits(pairs: DataFrame, kinds: dict[str, tuple[str, str, int]]) -> DataFrame:
-    """``pairs`` with the overlaps of :func:`hits`, 0 where nothing is shared."""
-    found = pairs.join(hits(pairs, kinds), F.col("pair") == F.col("of"), "left").drop("of")
-    return found.withColumns({name: F.coalesce(name, F.lit(0)).cast("bigint") for name in kinds})
+    start = F.struct(F.lit(0).cast("bigint").alias("gram"), F.lit(0).alias("open"), F.lit(0).alias("hits"))
 
+    def step(state: Column, x: Column) -> Column:
+        gram, of_gold = F.shiftrightunsigned(x, 1), x.bitwiseAND(F.lit(1).cast("bigint")) == 1
+        same = state.gram == gram
+        used = of_gold & same & (state.open > 0)
+        return F.struct(
+            gram.alias("gram"),
+            (F.when(same, state.open).otherwise(F.lit(0)) + F.when(used, -1).when(of_gold, 0).otherwise(1)).alias("open"),
+            (state.hits + F.when(used, 1).otherwise(0)).alias("hits"),
+        )
 
-def with_lcs(pairs: DataFrame, name: str = "lcs") -> DataFrame:
-    """``pairs`` with the length of the longest common subsequence of ``rp`` and ``rg``."""
+    def made(x: Column) -> Column:
+        return F.aggregate(F.sort_array(F.concat(sided(x.p, 0), sided(x.g, 1))), start, step, lambda state: state.hits)
 
-    @F.pandas_udf("bigint")
-    def length(p: pd.Series, g: pd.Series) -> pd.Series:
-        return pd.Series([common_length(list(a), list(b)) for a, b in zip(p, g)], dtype="int64")
+    return apart(made, p=p, g=g)
 
-    return pairs.withColumn(name, length("rp", "rg"))
+
+def with_hits(df: DataFrame, kinds: dict[str, tuple[str, str, int]]) -> DataFrame:
+    """``df`` with, for each kind (two columns of words and a width), the clipped overlap of its n-grams.
+    Row by row in SQL expressions: nothing is shuffled, and a stream can do it as well."""
+    columns = df.columns
+    for p, g in dict.fromkeys((p, g) for p, g, _ in kinds.values()):
+        wanted = {n: name for name, (a, b, n) in kinds.items() if (a, b) == (p, g)}
+        df = df.withColumns({f"_{c}_1": F.transform(F.col(c), lambda w: F.xxhash64(w)) for c in (p, g)})
+        for n in range(2, max(wanted) + 1):
+            df = df.withColumns({f"_{c}_{n}": longer(f"_{c}_{n - 1}", f"_{c}_1", n) for c in (p, g)})
+        df = df.withColumns({name: counted_off(f"_{p}_{n}", f"_{g}_{n}") for n, name in wanted.items()})
+    return df.select(*[F.col(f"`{c}`") for c in columns], *kinds)
 
 
 def prf(shared: Column, n_predicted: Column, n_gold: Column, name: str) -> list[Column]:
@@ -149,68 +142,62 @@ def bleu_of(names: Sequence[str], candidate: str = "bp", reference: str = "bg")
     return F.when(F.col(names[0]) == 0, F.lit(0.0)).otherwise(brevity * F.exp(logs))
 
 
-def joined(df: DataFrame, scored: DataFrame, predicted: str, gold: str, columns: Sequence[str]) -> DataFrame:
-    """``df`` with ``columns`` of its pairs; a row with a null text gets nulls."""
-    made = scored.select(F.col("pair").alias("_of"), *columns)
-    # rows without a pair match nothing; spread, so that many of them do not meet in one task
-    alone = F.concat_ws(":", F.lit("-"), F.spark_partition_id(), F.xxhash64(predicted, gold))
-    keyed = df.withColumn("_pair", F.coalesce(pair_digest(F.col(predicted), F.col(gold)), alone))
-    return keyed.join(made, F.col("_pair") == F.col("_of"), "left").drop("_pair", "_of")
-
-
 ROUGE12 = {"r1": ("rp", "rg", 1), "r2": ("rp", "rg", 2)}
 BLEU = {f"b{n}": ("bp", "bg", n) for n in (1, 2, 3, 4)}
 
 
+def plus(df: DataFrame, rows: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """The columns of ``df`` in ``rows``, and those made."""
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns if c not in made], *[value.alias(name) for name, value in made.items()])
+
+
 def rouge(
     df: DataFrame, predicted: str = "predicted_answer", gold: str = "gold_answer", stemmed: bool = True, grams: bool = True, lcs: bool = True
 ) -> DataFrame:
     """``df`` with precision, recall and F1 of ROUGE-1 and -2 (``grams``) and ROUGE-L (``lcs``).
 
-    A row with a null text gets nulls; a text without a word scores 0. Repeated pairs are counted once.
+    A row with a null text gets nulls; a text without a word scores 0.
     """
-    pairs = with_rouge_words(distinct_pairs(df, predicted, gold))
-    pairs = with_stems(pairs) if stemmed else pairs
-    columns: list[Column] = []
+    rows, columns = with_rouge_words(df, F.col(predicted), F.col(gold), stemmed, lcs), []
     if grams:
-        pairs = with_hits(pairs, ROUGE12)
+        rows = with_hits(rows, ROUGE12)
         columns += gram_prf("r1", 1, "rouge1") + gram_prf("r2", 2, "rouge2")
     if lcs:
-        pairs = with_lcs(pairs)
         columns += gram_prf("lcs", 1, "rougeL")
-    scored = pairs.select("pair", *columns)
-    return joined(df, scored, predicted, gold, scored.columns[1:])
+    known = F.col("rp").isNotNull() & F.col("rg").isNotNull()
+    names = [f"rouge{x}_{part}" for x in ("12" if grams else "") + ("L" if lcs else "") for part in PARTS]
+    return plus(df, rows, {name: F.when(known, c) for name, c in zip(names, columns)})
 
 
 def bleu(df: DataFrame, predicted: str = "predicted_answer", gold: str = "gold_answer", name: str = "bleu") -> DataFrame:
     """``df`` with the smoothed four-gram sentence BLEU of its pairs (E13); null for a null text."""
-    pairs = distinct_pairs(df, predicted, gold).withColumns({"bp": fields("p"), "bg": fields("g")})
-    scored = with_hits(pairs, BLEU).select("pair", bleu_of(list(BLEU)).alias(name))
-    return joined(df, scored, predicted, gold, [name])
+    rows = with_hits(df.withColumns({"bp": fields(F.col(predicted)), "bg": fields(F.col(gold))}), BLEU)
+    known = F.col("bp").isNotNull() & F.col("bg").isNotNull()
+    return plus(df, rows, {name: F.when(known, bleu_of(list(BLEU)))})
 
 
 def with_summary_score(df: DataFrame, predicted: str = "predicted_answer", gold: str = "gold_answer", name: str = "summary") -> DataFrame:
     """``df`` with the struct of :func:`lantern.functions.overlap.score_summary` for its pairs (E14-E16):
     both texts trimmed, stems for ROUGE, all but the score and the bands rounded for display."""
-    pairs = distinct_pairs(df, predicted, gold, trimmed=True).withColumns({"bp": fields("p"), "bg": fields("g")})
-    pairs = with_lcs(with_hits(with_stems(with_rouge_words(pairs)), {**ROUGE12, **BLEU}))
-    scores = [*gram_prf("r1", 1, "rouge1"), *gram_prf("r2", 2, "rouge2"), *gram_prf("lcs", 1, "rougeL")]
-    raw = pairs.select("pair", F.size("bp").alias("c"), F.size("bg").alias("r"), *scores, bleu_of(list(BLEU)).alias("raw_bleu"))
+    rows = df.withColumns({"_sp": strip(predicted), "_sg": strip(gold)})
+    rows = rows.withColumns({"bp": fields("_sp"), "bg": fields("_sg")})
+    rows = with_hits(with_rouge_words(rows, F.col("_sp"), F.col("_sg"), True, True), {**ROUGE12, **BLEU})
     parts = [f"rouge{x}_{part}" for x in "12L" for part in PARTS]
-    raw = raw.withColumn("score", (F.col("rouge1_f1") + F.col("rouge2_f1") + F.col("rougeL_f1")) / 3)
-    shown = raw.select(
-        "pair",
-        F.struct(
-            "score",
-            *[F.col(f"rouge{x}_f1").alias(f"raw_rouge{x}") for x in "12L"],
-            "raw_bleu",
-            *[exact_round(c, 4).alias(c) for c in parts],
-            exact_round("raw_bleu", 4).alias("bleu"),
-            exact_round("score", 4).alias("average_rouge"),
-            F.col("c").cast("double").alias("predicted_length"),
-            F.col("r").cast("double").alias("reference_length"),
-            exact_round(F.col("c") / F.greatest("r", F.lit(1)), 2).alias("length_ratio"),
-        ).alias("_scores"),
+    scores = [*gram_prf("r1", 1, "rouge1"), *gram_prf("r2", 2, "rouge2"), *gram_prf("lcs", 1, "rougeL")]
+    rows = rows.withColumns({f"_{n}": c for n, c in zip(parts, scores)} | {"_bleu": bleu_of(list(BLEU))})
+    mean = (F.col("_rouge1_f1") + F.col("_rouge2_f1") + F.col("_rougeL_f1")) / 3
+    c, r = F.size("bp"), F.size("bg")
+    shown = F.struct(
+        mean.alias("score"),
+        *[F.col(f"_rouge{x}_f1").alias(f"raw_rouge{x}") for x in "12L"],
+        F.col("_bleu").alias("raw_bleu"),
+        *[exact_round(f"_{n}", 4).alias(n) for n in parts],
+        exact_round("_bleu", 4).alias("bleu"),
+        exact_round(mean, 4).alias("average_rouge"),
+        c.cast("double").alias("predicted_length"),
+        r.cast("double").alias("reference_length"),
+        exact_round(c / F.greatest(r, F.lit(1)), 2).alias("length_ratio"),
     )
-    scored = shown.select("pair", score_summary(F.col("_scores")).alias(name))
-    return joined(df, scored, predicted, gold, [name])
+    known = F.col("rp").isNotNull() & F.col("rg").isNotNull()
+    rows = rows.withColumn("_scores", F.when(known, shown))
+    return plus(df, rows, {name: score_summary(F.col("_scores"))})

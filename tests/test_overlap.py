@@ -163,18 +163,9 @@ def test_counted_by_spark(spark):
     assert counted.rouge(df.limit(0), "p", "g").collect() == [] and counted.bleu(df.limit(0), "p", "g").collect() == []
 
 
-def test_stems_beyond_the_broadcast(spark, monkeypatch):
-    df = spark.createDataFrame([("running dogs happily", "dog runs happy")], "p string, g string")
-    few = counted.rouge(df, "p", "g").collect()
-    monkeypatch.setattr(counted, "BROADCAST_WORDS", 1)
-    assert counted.rouge(df, "p", "g").collect() == few and few[0].rouge1_f1 > 0.6
-
-
 def test_plan_of_the_counts(spark):
-    """No Python worker without stems and subsequences; the n-grams are not shuffled again."""
+    """Neither a shuffle nor a Python worker without stems and subsequences."""
     df = spark.createDataFrame([(1, "a b", "b c")], "k long, p string, g string")
     for made in (counted.rouge(df, "p", "g", stemmed=False, lcs=False), counted.bleu(df, "p", "g")):
         plan = made._jdf.queryExecution().executedPlan().toString()
-        assert "Python" not in plan and "Arrow" not in plan
-        assert plan.count("Exchange hashpartitioning(pair") <= 2 and "Exchange hashpartitioning(pair#" in plan
-        assert "gram#" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+        assert not any(word in plan for word in ("Python", "Arrow", "Exchange"))
