@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lantern.functions.numbers import exact_round
-from lantern.functions.preference import cut
 from lantern.functions.text import col
-from lantern.operators.ranking import first_per_group
+from lantern.operators.ranking import first_per_group, positions
 from lantern.operators.skew import HOT_GROUP_ROWS, split_hot
 
 LAST = 5
+# rows of a long history that one task averages at a time
+BLOCK_ROWS = 1_000_000
 
 
 def last_rows_per_symbol(df: DataFrame, symbol: str, order: Sequence[str], n: int = LAST) -> DataFrame:
@@ -49,59 +50,36 @@ def rolling_forecast(
     order: Sequence[str] = ("ts",),
     close: str = "close",
     n: int = LAST,
-    slot: str = "day",
     hot_rows: int = HOT_GROUP_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``df`` plus the forecast as of every row: mean of it and the ``n - 1`` rows before (T4).
 
-    Symbols of up to ``hot_rows`` rows are done by a window; longer ones slot by slot (``slot``: a
-    date_trunc unit small enough that one slot of a symbol fits a task).
+    Symbols of up to ``hot_rows`` rows are done by a window; longer ones are cut into blocks of ``block_rows``
+    rows of one order over all of them, wherever in time their rows lie.
     """
     cold, hot = split_hot(df, [symbol], hot_rows)
     rows = Window.partitionBy(symbol).orderBy(*[F.col(c) for c in order]).rowsBetween(1 - n, 0)
     done = cold.withColumn("forecast", F.avg(close).over(rows))
     if hot is None:
         return done
-    return done.unionByName(rolling_by_slot(hot, symbol, order, close, n, slot))
+    return done.unionByName(rolling_by_block(hot, symbol, order, close, n, block_rows))
 
 
-def rolling_by_slot(
-    df: DataFrame, symbol: str, order: Sequence[str], close: str, n: int, slot: str
+def rolling_by_block(
+    df: DataFrame, symbol: str, order: Sequence[str], close: str, n: int, block_rows: int
 ) -> DataFrame:
-    """The rolling mean with a symbol's rows split by time.
+    """The rolling mean with rows dealt out by their place in one order over (symbol, order).
 
-    Each slot is preceded by the last rows of the slots before it. The n - 1 slots before a slot hold
-    at least n - 1 rows, so looking at that many slot tails is enough.
+    Places have no gaps, so the last n - 1 rows before a block are the last ones of the block before it: those
+    go to both, and no block is longer than ``block_rows`` + n - 1 rows, be it one symbol in one instant.
     """
-    in_slot = df.withColumn("_slot", F.date_trunc(slot, F.col(order[0])))
-    key = F.struct(*[F.col(c) for c in order])
-    tail = first_per_group(
-        in_slot.select(symbol, "_slot", *order, close),
-        [symbol, "_slot"],
-        [F.col(c).desc() for c in order],
-        n - 1,
-        "_place",
-    )
-    tails = tail.groupBy(symbol, "_slot").agg(
-        F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(close).alias("v")))).alias("_tail")
-    )
-    # one row per symbol and slot from here on
-    before = Window.partitionBy(symbol).orderBy("_slot").rowsBetween(1 - n, -1)
-    carried = tails.select(
-        symbol,
-        "_slot",
-        cut(F.array_sort(F.flatten(F.collect_list("_tail").over(before))), n - 1, "end").alias("_c"),
-    )
-    # a plain explode would have Spark ask for the size first, and collect every tail twice
-    earlier = (
-        carried.select(symbol, "_slot", F.explode_outer("_c").alias("_c"))
-        .where("_c is not null")
-        .select(symbol, "_slot", *[F.col(f"_c.k.{c}").alias(c) for c in order], F.col("_c.v").alias(close))
-    )
-    both = in_slot.withColumn("_own", F.lit(True)).unionByName(
-        earlier.withColumn("_own", F.lit(False)), allowMissingColumns=True
-    )
-    rows = (
-        Window.partitionBy(symbol, "_slot").orderBy(*[F.col(c) for c in order]).rowsBetween(1 - n, 0)
-    )
-    return both.withColumn("forecast", F.avg(close).over(rows)).where("_own").drop("_own", "_slot")
+    size = max(block_rows, n)
+    placed = positions(df, [F.col(symbol), *[F.col(c) for c in order]], "_place")
+    own = F.floor(F.col("_place") / size)
+    ahead = (F.col("_place") % size) >= size - (n - 1)
+    blocks = F.when(ahead, F.array(own, own + 1)).otherwise(F.array(own))
+    met = placed.withColumns({"_own": own, "_block": F.explode(blocks)})
+    rows = Window.partitionBy("_block", symbol).orderBy("_place").rowsBetween(1 - n, 0)
+    made = met.withColumn("forecast", F.avg(close).over(rows))
+    return made.where(F.col("_own") == F.col("_block")).drop("_place", "_own", "_block")

@@ -19,7 +19,7 @@ from lantern.functions.preference import (
     transcript_prompt,
     transcript_response,
 )
-from lantern.operators.ranking import first_per_group, first_rows, rank_within
+from lantern.operators.ranking import first_per_group, first_rows, rank_within, running_totals
 from lantern.operators.skew import HOT_GROUP_ROWS
 from lantern.operators.tokens import Tokenizer, with_tokenizer, with_vocabulary
 from lantern.session import durable
@@ -298,27 +298,24 @@ def buffer_snapshots(df: DataFrame, size: int, seq: str, iteration: str) -> Data
     A row stays while fewer than ``size`` rows follow it. Rows of an iteration beyond its last ``size``
     are never in any buffer and go before the shuffle; for the rest the rows that follow are those
     of the own iteration (their place from the end) plus whole later iterations (a table of one row
-    per iteration).
+    per iteration, with running totals). Later iterations by which fewer than ``size`` rows have followed
+    have totals less than ``size`` away: they meet in cells of that width, each of which has ``size``
+    iterations at most. No task sees the iterations of all.
     """
     require(size > 0, "size must be positive")
     recent = first_per_group(df, [iteration], [F.col(seq).desc()], size, "_back")
     counts = df.groupBy(iteration).agg(F.count(F.lit(1)).alias("_n"))
-    through = Window.orderBy(iteration).rowsBetween(Window.unboundedPreceding, 0)
-    totals = counts.withColumn("_total", F.sum("_n").over(through))
-    # later iterations by which fewer than ``size`` rows have followed: at most ``size`` of them
-    onward = Window.orderBy("_total").rangeBetween(0, size - 1)
-    later = F.collect_list(F.struct(F.col(iteration).alias("k"), F.col("_total").alias("t"))).over(onward)
-    gaps = totals.withColumn("_later", later).select(
-        iteration,
-        F.explode(
-            F.transform("_later", lambda z: F.struct(z.k.alias("k"), (z.t - F.col("_total")).alias("gap")))
-        ).alias("_at"),
-    )
+    totals = durable(running_totals(counts, [F.col(iteration)], "_n", "_total"))
+    cell = F.floor(F.col("_total") / size)
+    later = totals.select(F.col(iteration).alias("_k"), F.col("_total").alias("_t"), cell.alias("_cell"))
+    near = totals.select(iteration, "_total", F.explode(F.array(cell, cell + 1)).alias("_cell")).join(later, "_cell")
+    gap = F.col("_t") - F.col("_total")
+    gaps = near.where((gap >= 0) & (gap < size)).select(F.col(iteration).alias("_it"), "_k", gap.alias("_gap"))
     return (
-        recent.join(gaps, iteration)
-        .where(F.col("_back") - 1 + F.col("_at.gap") < size)
-        .withColumn("snapshot", F.col("_at.k"))
-        .drop("_back", "_at")
+        recent.join(gaps, F.col(iteration).eqNullSafe(F.col("_it")))
+        .where(F.col("_back") - 1 + F.col("_gap") < size)
+        .withColumn("snapshot", F.col("_k"))
+        .drop("_back", "_it", "_k", "_gap")
     )
 
 

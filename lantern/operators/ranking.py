@@ -49,6 +49,24 @@ def positions(df: DataFrame, order: Sequence[Column], name: str = "position") ->
     )
 
 
+def running_totals(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over every row up to its own in one total order, in no single task.
+
+    A scan in two levels: each range partition adds up its own rows, and starts from the sums of the
+    partitions before it. Nulls count nothing; rows must differ in ``order``.
+    """
+    sorted_rows = durable(df.sort(*order)).withColumn("_at", F.monotonically_increasing_id())
+    placed = sorted_rows.withColumn("_part", F.shiftright("_at", 33).cast("int"))
+    sums = placed.groupBy("_part").agg(F.coalesce(F.sum(value), F.lit(0)).alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: the number of shuffle partitions bounds it
+    starts = sums.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    own = placed.withColumn("_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    met = own.join(F.broadcast(starts), F.col("_part") == F.col("_of"))
+    return met.withColumn(name, F.col("_start") + F.col("_own")).drop("_at", "_part", "_of", "_start", "_own")
+
+
 def rank_within(
     df: DataFrame,
     group: Sequence[str],

@@ -64,11 +64,13 @@ def slow_rolling(rows, n=5):
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 500, 1])
-@pytest.mark.parametrize("slot", ["day", "hour", "year"])
-def test_rolling(spark, hot_rows, slot):
+@pytest.mark.parametrize("block_rows", [1, 7, 300, 100_000])
+def test_rolling(spark, hot_rows, block_rows):
+    """Also one symbol whose rows all have one time, and blocks shorter than what is carried over."""
     rows = events()
+    rows += [("same", rows[0][1], len(rows) + i, i / 7) for i in range(600)]
     df = spark.createDataFrame(rows, "symbol string, ts timestamp, id int, close double").repartition(5)
-    out = rolling_forecast(df, order=("ts", "id"), slot=slot, hot_rows=hot_rows).collect()
+    out = rolling_forecast(df, order=("ts", "id"), hot_rows=hot_rows, block_rows=block_rows).collect()
     assert {r.id: pytest.approx(r.forecast) for r in out} == slow_rolling(rows)
     assert len(out) == len(rows)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lantern.functions.checks import check_parameters
 from lantern.functions.preference import preference_loss
 from lantern.operators import preference as pref
-from lantern.operators.ranking import first_per_group, first_rows, joined_text, positions, rank_within
+from lantern.operators.ranking import first_per_group, first_rows, joined_text, positions, rank_within, running_totals
 from lantern.operators.skew import split_hot, spread
 from lantern.operators.tokens import vocabulary, with_vocabulary
 
@@ -214,6 +214,26 @@ def test_buffer_snapshots(spark, size):
     assert got == want
 
 
+def test_snapshots_of_single_rows(spark):
+    """An iteration for each row: as many iterations as rows, size of them in each snapshot."""
+    df = spark.range(3000).selectExpr("id AS seq", "id AS it").repartition(6)
+    out = pref.buffer_snapshots(df, 3, "seq", "it").groupBy("snapshot").agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.count("seq").alias("n"))
+    for r in out.collect():
+        assert (r.a, r.b, r.n) == (max(0, r.snapshot - 2), r.snapshot, min(3, r.snapshot + 1))
+
+
+def test_running_totals(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice([None, 1, 5, -2])) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(7)
+    made = {r.k: r.total for r in running_totals(df, [F.col("k")], "v", "total").collect()}
+    total = 0
+    for k, v in rows:
+        total += v or 0
+        assert made[k] == total
+    assert running_totals(df.limit(0), [F.col("k")], "v", "total").collect() == []
+
+
 def test_stat_means(spark):
     rows = [(1, {"a": 1.0, "b": None}), (2, {"a": 3.0, "c": 9.0}), (3, {"b": None})]
     df = spark.createDataFrame(rows, "step int, stats map<string,double>")
