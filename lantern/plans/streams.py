@@ -112,24 +112,27 @@ SQL_STREAM_SCORE = f"""SELECT request_id, CASE WHEN even THEN 'mmlu' ELSE 'own'
 def stream_results(spark: SparkSession, sf_dir: str) -> Frame:
     """The lines sent out at the end of each request: result and done, or error (ST2, ST3)."""
     out = fresh_path(spark, "lines")
-    lines = tokens.result_lines(scored_stream(spark, sf_dir).drop("details"))
+    details = F.struct(F.col("details.exact.method").alias("method"), F.col("details.choice.extracted_answer").alias("letter"))
+    scored = scored_stream(spark, sf_dir).withColumns({"prompt": F.col("request_id"), "details": details})
+    lines = tokens.result_lines(scored)
     tokens.run_available(lines, out, fresh_path(spark, "checkpoint"))
     return spark.read.schema("request_id string, place int, line string").parquet(out)
 
 
 SQL_RESULTS = f"""SELECT f.request_id, CAST(0 AS INT) AS place, CASE f.status WHEN 'error'
         THEN 'data: {{"type":"error","message":"model failed"}}'
-        ELSE 'data: {{"type":"result","dataset":"' || s.dataset || '","predicted_answer":' ||
+        ELSE 'data: {{"type":"result","dataset":"' || s.dataset || '","prompt":"' || f.request_id || '","predicted_answer":' ||
             CAST(to_json(f.predicted_answer) AS VARCHAR) || ',"gold_answer":' ||
             CAST(to_json(CASE s.dataset WHEN 'mmlu' THEN 'a ' ELSE f.predicted_answer END) AS VARCHAR) || ',"score":' || CASE s.score WHEN 1 THEN '1.0' ELSE '0.0' END
-            || ',"metric":"' || s.metric || '"}}' END AS line
+            || ',"metric":"' || s.metric || '","details":{{' || CASE s.dataset WHEN 'own' THEN '"method":"exact_match"'
+            ELSE '"letter":"' || {sql_letter('f.predicted_answer')} || '"' END || '}}}}' END AS line
     FROM ({SQL_FINISHED}) f LEFT JOIN ({SQL_STREAM_SCORE}) s ON f.request_id = s.request_id
     UNION ALL SELECT request_id, 1, 'data: {{"type":"done"}}' FROM ({SQL_FINISHED}) WHERE status = 'done'"""
 
 
-def stream_frames(spark: SparkSession, sf_dir: str) -> Frame:
-    """Texts in wire format among comments and broken payloads: events read, the rest set aside."""
-    source, out = fresh_path(spark, "wire"), fresh_path(spark, "events")
+def wire_source(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of the talks in wire format among comments and broken payloads."""
+    source = fresh_path(spark, "wire")
     talks = table(spark, sf_dir, "conversations")
     good = tokens.wire_line(
         request_id=F.col("conv_id").cast("string"),
@@ -143,12 +146,28 @@ def stream_frames(spark: SparkSession, sf_dir: str) -> Frame:
         talks.where("role = 'system'").select(broken.alias("value"))
     )
     lines.write.text(source)
-    events = tokens.parse_lines(tokens.read_lines(spark, source))
+    return source
+
+
+def stream_frames(spark: SparkSession, sf_dir: str) -> Frame:
+    """Texts in wire format among comments and broken payloads: events read, the rest set aside."""
+    out = fresh_path(spark, "events")
+    events = tokens.parse_lines(tokens.read_lines(spark, wire_source(spark, sf_dir)))
     tokens.run_available(events, out, fresh_path(spark, "checkpoint"))
     read = spark.read.schema(f"{tokens.EVENT}, corrupt string").parquet(out)
     return read.select("request_id", "seq", "type", "content", "corrupt")
 
 
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> Frame:
+    """The same lines in several batches, routed to a table of events and one of dead letters (ST3)."""
+    out, letters = fresh_path(spark, "events"), fresh_path(spark, "letters")
+    lines = tokens.read_lines(spark, wire_source(spark, sf_dir), files_per_trigger=4)
+    tokens.run_routed(tokens.parse_lines(lines), out, letters, fresh_path(spark, "checkpoint"))
+    read = spark.read.schema(f"{tokens.EVENT}, batch long").parquet(out)
+    dead = spark.read.schema("corrupt string, batch long").parquet(letters)
+    return read.select("request_id", "seq", "type", "content").unionByName(dead.select("corrupt"), allowMissingColumns=True)
+
+
 SQL_FRAMES = """SELECT CAST(conv_id AS VARCHAR) AS request_id, CAST(turn AS INT) AS seq, 'token' AS type,
     text AS content, NULL AS corrupt FROM conversations WHERE role <> 'system' UNION ALL
     SELECT NULL, NULL, NULL, NULL, '{"request_id": "' || conv_id || '", "seq": ' FROM conversations
@@ -159,4 +178,5 @@ QUERIES = {
     "stream_score": (stream_score, SQL_STREAM_SCORE),
     "stream_results": (stream_results, SQL_RESULTS),
     "stream_frames": (stream_frames, SQL_FRAMES),
+    "stream_dead_letters": (stream_dead_letters, SQL_FRAMES),
 }

@@ -133,3 +133,35 @@ def test_wire_line(spark):
     line = df.select(tokens.wire_line(type=F.lit("token"), content=F.col("t"))).first()[0]
     assert line.startswith("data: ") and "\n" not in line
     assert json.loads(line[6:]) == {"type": "token", "content": 'x\n"y"'}
+
+
+def test_dead_letters_after_a_failure_between_the_writes(spark, folders, monkeypatch):
+    """Two tables, whole and without repeats, though the run breaks off after the first write of a batch."""
+    for i in range(6):
+        lines = [f"data: {json.dumps(event(f'r{i}', k, content=str(k)))}" for k in range(20)]
+        lines += [f'data: {{"request_id": "broken{i}-{k}"' for k in range(3)] + [": a comment", ""]
+        (folders[0] / f"{i}.txt").write_text("\n".join(lines))
+    out, letters, checkpoint = (str(folders[1].parent / n) for n in ("events", "letters", "routed"))
+    plain, calls = tokens.write_batch, []
+
+    def failing(part, path, batch):
+        calls.append(path)
+        if len(calls) == 4:
+            raise RuntimeError("lost in the middle")
+        plain(part, path, batch)
+
+    def routed():
+        events = tokens.parse_lines(tokens.read_lines(spark, str(folders[0]), files_per_trigger=2))
+        tokens.run_routed(events, out, letters, checkpoint)
+
+    monkeypatch.setattr(tokens, "write_batch", failing)
+    with pytest.raises(Exception, match="lost in the middle"):
+        routed()
+    monkeypatch.setattr(tokens, "write_batch", plain)
+    routed()
+    routed()
+    read = spark.read.parquet(out).collect()
+    assert sorted((r.request_id, r.seq) for r in read) == sorted((f"r{i}", k) for i in range(6) for k in range(20))
+    dead = spark.read.parquet(letters)
+    assert dead.columns == ["corrupt", "batch"]
+    assert sorted(r.corrupt for r in dead.collect()) == sorted(f'{{"request_id": "broken{i}-{k}"' for i in range(6) for k in range(3))
