@@ -390,15 +390,15 @@ SQL_LAST5 = """SELECT user_id AS symbol, event_id, value AS close FROM events
 
 
 def price_history(spark: SparkSession, sf_dir: str) -> Frame:
-    """The history of every third symbol, from a price table of files."""
+    """The histories of all symbols that a table of orders names, from a price table of files."""
     path = fresh_path(spark, "prices")
-    whole = prices(spark, sf_dir)
-    whole.write.parquet(path)
-    wanted = [r.symbol for r in whole.select("symbol").distinct().where("symbol % 3 = 0").collect()]
+    prices(spark, sf_dir).write.parquet(path)
+    wanted = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("symbol"))
     return read_prices(spark, path, wanted).select("symbol", "event_id", "close")
 
 
-SQL_PRICES = "SELECT user_id AS symbol, event_id, value AS close FROM events WHERE user_id % 3 = 0"
+SQL_PRICES = """SELECT user_id AS symbol, event_id, value AS close FROM events
+    WHERE user_id IN (SELECT o_custkey FROM orders)"""
 
 
 def parameter_checks(spark: SparkSession, sf_dir: str) -> Frame:

@@ -21,12 +21,18 @@ def read_text_documents(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def read_prices(spark: SparkSession, path: str, symbols: list[str] | None = None) -> DataFrame:
-    """Daily price histories, of all symbols or of some (S5); the filter reaches the scan."""
+def read_prices(spark: SparkSession, path: str, symbols: list[str] | DataFrame | None = None) -> DataFrame:
+    """Daily price histories, of all symbols or of some.
+
+    A list is for a few symbols: the filter reaches the scan. A table of them (column ``symbol``, repeats and
+    nulls do no harm) may be of any size: it is joined, and nothing of it comes to the driver.
+    """
     prices = spark.read.parquet(path)
     missing = {"symbol", "ts", "close"} - set(prices.columns)
     if missing:
         raise ValueError(f"Price history lacks columns: {sorted(missing)}")
+    if isinstance(symbols, DataFrame):
+        return prices.join(symbols.select("symbol"), "symbol", "left_semi")
     return prices if symbols is None else prices.where(F.col("symbol").isin(symbols))
 
 

@@ -31,6 +31,8 @@ def test_price_source(spark, tmp_path):
     assert read_prices(spark, path).count() == 3
     r = forecast(read_prices(spark, path, ["B"])).first()
     assert r.summary == "Predicted price for B is $5.0"
+    wanted = spark.createDataFrame([("B",), ("B",), (None,), ("Z",)], "symbol string")
+    assert [tuple(r) for r in read_prices(spark, path, wanted).select("symbol", "close").collect()] == [("B", 5.0)]
     spark.range(1).write.parquet(str(tmp_path / "none"))
     with pytest.raises(ValueError, match="close"):
         read_prices(spark, str(tmp_path / "none"))
