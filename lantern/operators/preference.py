@@ -20,7 +20,7 @@ from lantern.functions.preference import (
     transcript_response,
 )
 from lantern.operators.ranking import first_per_group, first_rows, rank_within, running_totals
-from lantern.operators.skew import HOT_GROUP_ROWS
+from lantern.operators.skew import HOT_GROUP_ROWS, with_digest
 from lantern.operators.tokens import Tokenizer, with_tokenizer, with_vocabulary
 from lantern.session import durable
 
@@ -266,20 +266,23 @@ def group_advantage(
         )
         .where(F.col("_n") >= min_group)
     )
-    hot = stats.where(F.col("_n") > hot_rows)
+    hot = with_digest(stats.where(F.col("_n") > hot_rows), group).select("_k0", "_k1", "_mean", "_sd", "_n")
+    columns = [F.col(f"`{c}`") for c in df.columns]
 
-    def matched(rows: DataFrame, some: DataFrame, how: str = "inner") -> DataFrame:
+    def matched(rows: DataFrame) -> DataFrame:
         # a null key is a group like any other
         same = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group]
-        both = rows.alias("l").join(some.alias("r"), same, how)
-        values = [] if how == "left_anti" else ["_mean", "_sd", "_n"]
-        return both.select(*[F.col(f"l.`{c}`") for c in rows.columns], *[F.col(f"r.{v}") for v in values])
+        both = rows.alias("l").join(stats.alias("r"), same)
+        return both.select(*[F.col(f"l.`{c}`") for c in df.columns], *[F.col(f"r.{v}") for v in ("_mean", "_sd", "_n")])
 
     if hot.isEmpty():
-        joined = matched(df, stats)
+        joined = matched(df)
     else:
-        cold = matched(matched(df, F.broadcast(hot.select(*group)), "left_anti"), stats)
-        joined = cold.unionByName(matched(df, F.broadcast(hot)))
+        # hot groups go along as 16 bytes and three numbers each, whatever their keys are
+        marked = with_digest(df, group)
+        cold = marked.join(F.broadcast(hot.select("_k0", "_k1")), ["_k0", "_k1"], "left_anti").select(*columns)
+        met = marked.join(F.broadcast(hot), ["_k0", "_k1"])
+        joined = matched(cold).unionByName(met.select(*columns, "_mean", "_sd", "_n"))
     advantage = (F.col(reward) - F.col("_mean")) / (F.col("_sd") + 1e-4)
     if clip is not None:
         advantage = F.least(F.greatest(advantage, F.lit(-clip)), F.lit(clip))

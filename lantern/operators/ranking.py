@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lantern.operators.skew import HOT_GROUP_ROWS, split_hot
+from lantern.operators.skew import HOT_GROUP_ROWS, split_hot, with_digest
 from lantern.session import durable
 
 # percentile_approx is off by at most 1/ACCURACY of all rows
@@ -83,16 +83,12 @@ def rank_within(
     ranked = cold.withColumn(name, F.row_number().over(window).cast("bigint"))
     if hot is None:
         return ranked
-    placed = durable(positions(hot, [*[F.col(g) for g in group], *order], "_position"))
-    # one row per hot group, of which there are few
-    first = placed.groupBy(*group).agg(F.min("_position").alias("_first"))
-    same = [F.col(f"p.{g}").eqNullSafe(F.col(f"f.{g}")) for g in group]
+    placed = with_digest(durable(positions(hot, [*[F.col(g) for g in group], *order], "_position")), group)
+    # 24 bytes for each hot group, of which there are few
+    first = placed.groupBy("_k0", "_k1").agg(F.min("_position").alias("_first"))
     spread_rank = (F.col("_position") - F.col("_first") + 1).alias(name)
-    return ranked.unionByName(
-        placed.alias("p")
-        .join(F.broadcast(first.alias("f")), same)
-        .select(*[F.col(f"p.{c}") for c in df.columns], spread_rank)
-    )
+    met = placed.join(F.broadcast(first), ["_k0", "_k1"])
+    return ranked.unionByName(met.select(*[F.col(f"`{c}`") for c in df.columns], spread_rank))
 
 
 def first_rows(

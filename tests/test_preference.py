@@ -222,6 +222,25 @@ def test_snapshots_of_single_rows(spark):
         assert (r.a, r.b, r.n) == (max(0, r.snapshot - 2), r.snapshot, min(3, r.snapshot + 1))
 
 
+def test_hot_groups_of_long_and_null_keys(spark):
+    """Hot groups are joined by 16 bytes: nulls on either side are different groups, and keys may be long."""
+    rng = random.Random(9)
+    long = "x" * 50_000
+    keys = [(None, "a"), ("a", None), (None, None), (long, "b"), (long, "c"), ("cold", "d")]
+    rows = [(*keys[i % 6 if i < 300 else i % 5], i, rng.random()) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, h string, id int, reward double").repartition(4)
+    for hot_rows in (1, 80, 10_000):
+        ranks = {r.id: r.rank for r in rank_within(df, ["g", "h"], [F.col("id")], hot_rows=hot_rows).collect()}
+        made = {r.id: r.advantage for r in pref.group_advantage(df, ["g", "h"], hot_rows=hot_rows).collect()}
+        assert len(ranks) == len(made) == len(rows)
+        for key in keys:
+            own = [r for r in rows if r[:2] == key]
+            mean = sum(r[3] for r in own) / len(own)
+            deviation = math.sqrt(sum((r[3] - mean) ** 2 for r in own) / (len(own) - 1))
+            for place, r in enumerate(own):
+                assert ranks[r[2]] == place + 1 and made[r[2]] == pytest.approx((r[3] - mean) / (deviation + 1e-4))
+
+
 def test_running_totals(spark):
     rng = random.Random(8)
     rows = [(i, rng.choice([None, 1, 5, -2])) for i in range(1000)]
