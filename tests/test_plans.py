@@ -25,11 +25,17 @@ def test_no_cross_joins(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("name", ["tfidf_embed", "ingest_chunks", "rouge_full", "bleu", "eval_summary", "batch_answer"])
+@pytest.mark.parametrize("name", ["tfidf_embed", "ingest_chunks", "rouge_full", "eval_summary", "batch_answer"])
 def test_python_runs_once(spark, sf_dir, name):
     assert plan(QUERIES[name][0](spark, sf_dir)).count("ArrowEvalPython") == 1
 
 
+@pytest.mark.parametrize("name", ["rouge12_nostem", "bleu"])
+def test_no_python(spark, sf_dir, name):
+    text = plan(QUERIES[name][0](spark, sf_dir))
+    assert "Python" not in text and "Arrow" not in text
+
+
 def test_columns_are_pruned(spark, sf_dir):
     text = plan(QUERIES["eval_choice_accuracy"][0](spark, sf_dir))
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in text
