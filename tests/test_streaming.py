@@ -1,11 +1,13 @@
 """Token streams: order, repeats, errors, restarts, and streaming = batch."""
 
+import hashlib
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from lantern.plans import streams
 from lantern.streaming import tokens
 
 
@@ -165,3 +167,19 @@ def test_dead_letters_after_a_failure_between_the_writes(spark, folders, monkeyp
     dead = spark.read.parquet(letters)
     assert dead.columns == ["corrupt", "batch"]
     assert sorted(r.corrupt for r in dead.collect()) == sorted(f'{{"request_id": "broken{i}-{k}"' for i in range(6) for k in range(3))
+
+
+@pytest.mark.parametrize("files", [1, 5])
+def test_a_table_of_several_files_as_a_stream(spark, tmp_path, files):
+    """A table may be one file or a folder of them; either way all its requests come."""
+    rows = [(i, 1, "assistant", f"answer {i} ") for i in range(40)]
+    talks = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    talks.repartition(files).write.parquet(str(tmp_path / "out"))
+    if files == 1:
+        (only,) = (tmp_path / "out").glob("*.parquet")
+        (tmp_path / "conversations.parquet").write_bytes(only.read_bytes())
+    else:
+        talks.repartition(files).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = streams.stream_reassemble(spark, str(tmp_path)).where("status = 'done'").collect()
+    hung = [i for i in range(40) if hashlib.md5(f"{i}-1".encode()).hexdigest()[0] in (streams.FAILS, streams.HANGS)]
+    assert {r.request_id: r.predicted_answer for r in got} == {f"{i}-1": f"answer {i} " for i in range(40) if i not in hung}
