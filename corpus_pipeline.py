@@ -20,7 +20,8 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies (five-word Jaccard of 0.8 or more) the document with the smallest id."""
+    """Of each class of near copies the document with the smallest id: candidates by the fingerprints of
+    operator 3 and by MinHash beyond its bits, compared exactly (five-word Jaccard of 0.8 or more)."""
     ship(spark)
     return nearcopies.keep_one(docs)
 

@@ -1,4 +1,5 @@
-"""Near copies by the Jaccard similarity of five-word shingles: candidates by MinHash, each compared exactly.
+"""Near copies by the Jaccard similarity of five-word shingles: candidates by the fingerprints and the grid of
+``simhash`` and, beyond the few bits that these reach, by MinHash; each candidate is compared exactly.
 
 Two texts are near copies if they share at least SIMILARITY of their distinct shingles, and a class is what
 is connected by such pairs. Words and shingles are those of ``simhash``, but for the width.
@@ -52,8 +53,8 @@ def words_hash(text: str) -> int:
 
 
 def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``key``, ``fp`` (one number for the words), ``buckets`` and ``lanes`` (eight bits of each least hash)
-    of every row; no buckets and lanes without words."""
+    """``key``, ``fp`` (one number for the words), ``print`` (the fingerprint of operator 3 over these shingles),
+    ``buckets`` and ``lanes`` (eight bits of each least hash) of every row; no buckets and lanes without words."""
 
     def rows() -> Callable:
         import numpy as np
@@ -63,25 +64,29 @@ def sketches(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
         shifts = draw.integers(0, 1 << 63, BUCKETS * ROWS, np.uint64)
 
         def work(value: str) -> tuple:
-            least = None
+            least, tally = None, simhash.Tally()
             for hashes in hashes_of(value, width):
+                tally.add(hashes)
                 for part in np.array_split(hashes, 1 + len(hashes) // CHUNK):
                     if len(part):
                         low = ((part[:, None] * factors + shifts) >> np.uint64(32)).min(axis=0)
                         least = low if least is None else np.minimum(least, low)
             if least is None:
-                return words_hash(value), [], b""
+                return words_hash(value), 0, [], b""
             total = np.arange(BUCKETS, dtype=np.uint64)
             for column in least.reshape(BUCKETS, ROWS).T:
                 total = (total ^ column) * np.uint64(0x9E3779B97F4A7C15)
                 total ^= total >> np.uint64(29)
-            return words_hash(value), total.view(np.int64), (least & np.uint64(255)).astype(np.uint8).tobytes()
+            return words_hash(value), tally.fingerprint(), total.view(np.int64), (least & np.uint64(255)).astype(np.uint8).tobytes()
 
         return work
 
-    arrow = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("buckets", pa.list_(pa.int64())), ("lanes", pa.binary())])
+    arrow = pa.schema(
+        [("key", pa.int64()), ("fp", pa.int64()), ("print", pa.int64()), ("buckets", pa.list_(pa.int64())), ("lanes", pa.binary())]
+    )
     made = keyed(docs, key, text).withColumn("key", F.col("key").cast("bigint"))
-    return map_texts(made, rows, "key bigint, fp bigint, buckets array<bigint>, lanes binary", arrow).withColumnRenamed("key", key)
+    schema = "key bigint, fp bigint, print bigint, buckets array<bigint>, lanes binary"
+    return map_texts(made, rows, schema, arrow).withColumnRenamed("key", key)
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -141,26 +146,41 @@ def similar(pairs: DataFrame, lanes: DataFrame, sets: DataFrame, similarity: flo
     return pairs.join(one, "a").join(two, "b").where(near).select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def by_fingerprint(one_each: DataFrame) -> DataFrame:
+    """Candidates ``a``, ``b`` of operator 3: the texts of a fingerprint beside the smallest of them, and those
+    smallest ones of the fingerprints that its segment-popcount grid links. Rows grow with the texts."""
+    worded = one_each.where(F.size("buckets") > 0)
+    groups = durable(worded.groupBy("print").agg(F.min("fp").alias("hub")))
+    same = worded.join(groups, "print").where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    linked = simhash.near_links(groups.select(F.col("print").alias("fp")))
+    one = groups.select(F.col("print").alias("a"), F.col("hub").alias("ha"))
+    two = groups.select(F.col("print").alias("b"), F.col("hub").alias("hb"))
+    near = linked.join(one, "a").join(two, "b").select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b"))
+    return same.union(near)
+
+
 def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text: str, width: int, similarity: float) -> DataFrame:
     """Edges ``a``, ``b`` that connect whatever texts are connected by pairs of at least ``similarity``.
 
-    A bucket's texts are first compared with its smallest one, then, where many pairs across classes are
+    Texts that operator 3 links by their fingerprints are compared, and a bucket's texts with its smallest one; then, where many pairs across classes are
     left, with a few drawn ones: that connects a large group of near copies with some rows for each text.
     What then is left in a bucket of texts of several classes is compared across the classes, each pair
     once: pairs within a class would connect nothing more.
     """
-    one_each = durable(made.select("fp", "buckets", "lanes").dropDuplicates(["fp"]))
+    one_each = durable(made.select("fp", "print", "buckets", "lanes").dropDuplicates(["fp"]))
     lanes = one_each.select("fp", "lanes")
     cells = one_each.select("fp", F.explode("buckets").alias("bucket"))
     sizes = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("fp").alias("hub"))
     shared = durable(cells.join(sizes.where("members > 1"), "bucket").select("bucket", "hub", "fp"))
-    involved = shared.select("fp").distinct().join(distinct.select("fp", "first"), "fp")
+    printed = durable(by_fingerprint(one_each))
+    involved = shared.select("fp").union(printed.select(F.explode(F.array("a", "b")))).distinct().join(distinct.select("fp", "first"), "fp")
     rows = shingle_sets(docs, key, text, width)
     sets = rows.join(
         involved.withColumnRenamed("fp", "node"), (rows["fp"] == F.col("node")) & rows["key"].eqNullSafe(F.col("first")), "left_semi"
     )
     sets = durable(sets.select("fp", "shingles").dropDuplicates(["fp"]))
-    star = shared.where("hub <> fp").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    star = shared.where("hub <> fp").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    star = star.union(printed).distinct()
     near = durable(similar(star, lanes, sets, similarity))
     for turn in range(TURNS + 1):
         roots = components(near)

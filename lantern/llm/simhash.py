@@ -62,19 +62,38 @@ def shingle_blocks(data: bytes, width: int = SHINGLE) -> Iterator[list[bytes]]:
         yield [b" ".join(carried)]
 
 
+class Tally:
+    """Of the hashes seen so far, how many have each bit."""
+
+    def __init__(self) -> None:
+        import numpy as np
+
+        self.ones, self.total = np.zeros(64, np.int64), 0
+
+    def add(self, hashes) -> None:
+        import numpy as np
+
+        for part in np.array_split(hashes, 1 + len(hashes) // 16384):
+            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            self.ones += bits.sum(axis=0, dtype=np.int64)
+        self.total += len(hashes)
+
+    def fingerprint(self) -> int:
+        """The bits that over half of the hashes have, as a signed number; zero without hashes."""
+        import numpy as np
+
+        return int(np.packbits(2 * self.ones > self.total, bitorder="little").view("<i8")[0]) if self.total else 0
+
+
 def fingerprint(text: str) -> int:
     """The 64-bit fingerprint; zero for a text without words."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
-    ones, total = np.zeros(64, np.int64), 0
+    tally = Tally()
     for shingles in shingle_blocks(text.encode().lower()):
-        hashes = np.array([xxh64_intdigest(s, SEED) for s in shingles], "<u8")
-        for part in np.array_split(hashes, 1 + len(hashes) // 16384):
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.int64)
-        total += len(hashes)
-    return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0]) if total else 0
+        tally.add(np.array([xxh64_intdigest(s, SEED) for s in shingles], "<u8"))
+    return tally.fingerprint()
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,6 +3,8 @@
 import random
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from lantern.llm import nearcopies
 
 
@@ -74,3 +76,23 @@ def test_templates_are_not_compared_whole(spark, monkeypatch):
     assert sorted(r.doc_id for r in nearcopies.keep_one(docs).collect()) == slow_kept(rows)
     candidates, compared = map(sum, zip(*met))
     assert compared < 20 * len(rows) and compared < candidates
+
+
+def test_operator_3_finds_candidates(spark, monkeypatch):
+    """The stage links texts by fingerprints and their grid, also where no bucket of MinHash is shared."""
+    draw = random.Random(11)
+    rows = [(k, " ".join(f"w{draw.randrange(10**6)}" for _ in range(400))) for k in range(40)]
+    rows += [(100 + k, rows[k][1] + " end") for k in range(30)]
+    docs = spark.createDataFrame(rows + [(200, ""), (201, "!")], "doc_id long, text string")
+    made = nearcopies.sketches(docs, "doc_id", "text", 5).localCheckpoint()
+    prints = {r.fp: r.print for r in made.collect() if len(r.buckets)}
+    reach = {(a, b) for a, b in combinations(sorted(prints), 2) if (prints[a] ^ prints[b]) & (1 << 64) - 1 in (0, *(1 << i for i in range(64)), *((1 << i) | (1 << j) for i in range(64) for j in range(i)))}
+    found = {tuple(r) for r in nearcopies.by_fingerprint(made.select("fp", "print", "buckets", "lanes")).collect()}
+    assert len(reach) > 10 and found <= reach
+    assert {p for pair in found for p in pair} == {p for pair in reach for p in pair}
+
+    plain = nearcopies.sketches
+    alone = lambda *a: plain(*a).withColumn("buckets", F.transform("buckets", lambda b: F.xxhash64(b, "fp")))
+    monkeypatch.setattr(nearcopies, "sketches", alone)
+    kept = {r.doc_id for r in nearcopies.keep_one(docs).collect()}
+    assert len(kept) <= len(rows) + 2 - len(reach) and {200, 201} <= kept and set(range(40)) <= kept
