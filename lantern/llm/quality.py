@@ -31,6 +31,8 @@ LEXICON = 5_000
 FEATURES = 1 << 18
 PREFIX = 5
 BEGINNINGS = (5, 7)
+# features of training rows that the driver lays out at a time
+FIT_CHUNK = 1 << 18
 
 GOOD, BAD, NONE = "0", "1", "-"
 JUNK = ("symbols", "capitals", "repeats", "vocabulary", "menu", "decorated")
@@ -221,19 +223,38 @@ def fit_linear(rows: list, targets, rounds: int = 80, sparse: float = 1e-4):
     weights, bias = np.zeros(size), 0.0
     if not rows:
         return weights, bias
-    flat, value = np.concatenate(rows).astype(np.int64), np.concatenate([values(r) for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    common = (np.bincount(flat, minlength=size) >= 3)[flat]
-    flat, value, row = flat[common], value[common], row[common]
+    seen = np.zeros(size, np.int64)
+    for r in rows:
+        np.add.at(seen, r, 1)
+    scale = [1 / np.sqrt(max(1, (r < FEATURES).sum())) for r in rows]
+    kept = [r[seen[r] >= 3] for r in rows]
+    # a bounded number of features at a time is laid out with its rows and values
+    cuts, held = [0], 0
+    for at, r in enumerate(kept, 1):
+        held += len(r)
+        if held > FIT_CHUNK or at == len(kept):
+            cuts.append(at)
+            held = 0
+
+    def chunks() -> Iterator[tuple]:
+        for start, stop in zip(cuts, cuts[1:]):
+            sizes = [len(r) for r in kept[start:stop]]
+            flat = np.concatenate(kept[start:stop]).astype(np.int64)
+            yield start, stop, flat, np.where(flat < FEATURES, np.repeat(scale[start:stop], sizes), 1.0), np.repeat(np.arange(stop - start), sizes)
+
     step = 4.0 / (2.0 + len(JUNK + TOXIC))
     penalty = np.where(np.arange(size) < FEATURES, step * sparse, 0.0)
     ahead, ahead_bias, pace = weights.copy(), bias, 1.0
     for _ in range(rounds):
-        margin = np.bincount(row, ahead[flat] * value, len(rows)) + ahead_bias
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - targets) / len(rows)
-        moved = ahead - step * np.bincount(flat, error[row] * value, size)
+        slope, total = np.zeros(size), 0.0
+        for start, stop, flat, value, row in chunks():
+            margin = np.bincount(row, ahead[flat] * value, stop - start) + ahead_bias
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - targets[start:stop]) / len(rows)
+            np.add.at(slope, flat, error[row] * value)
+            total += error.sum()
+        moved = ahead - step * slope
         new = np.sign(moved) * np.maximum(np.abs(moved) - penalty, 0)
-        new_bias = ahead_bias - step * error.sum()
+        new_bias = ahead_bias - step * total
         quicker = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead = new + (pace - 1) / quicker * (new - weights)
         ahead_bias = new_bias + (pace - 1) / quicker * (new_bias - bias)

@@ -76,3 +76,22 @@ def test_profile_is_the_same_in_blocks(monkeypatch):
     monkeypatch.setattr(quality, "blocks", lambda t: cut(t, 40))
     parts = quality.profile(text, lexicon)
     assert parts.votes == whole.votes and (parts.features == whole.features).all()
+
+
+def test_the_fit_holds_few_features_at_a_time(monkeypatch):
+    """Training rows are laid out in parts on the driver: the same weights, a fraction of the memory."""
+    import tracemalloc
+
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    rows = [np.unique(draw.zipf(1.3, 900) % quality.FEATURES).astype("<i4") for _ in range(2000)]
+    targets = draw.random(len(rows))
+    whole = quality.fit_linear(rows, targets, rounds=5)
+    monkeypatch.setattr(quality, "FIT_CHUNK", 1 << 14)
+    tracemalloc.start()
+    parts = quality.fit_linear(rows, targets, rounds=5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(whole[0], parts[0], atol=1e-12) and abs(whole[1] - parts[1]) < 1e-12
+    assert peak < 20e6 + 8 * sum(map(len, rows))
