@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lantern.functions.checks import check_parameters, require
-from lantern.functions.text import col, md5_order
+from lantern.functions.text import SLICE_BYTES, col, in_slices, md5_order
 from lantern.operators.examples import full_prompt
 
 # called with prompts and one seed per prompt
@@ -66,8 +66,8 @@ def predict(
     require(batch_size > 0, "batch_size must be positive")
     text = col(prompt) if system is None else full_prompt(prompt, system)
 
-    @F.pandas_udf("predicted_answer string, error string")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("predicted_answer string, error string")
+    def run(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = load()
 
         def some(asked: list[tuple[str, int]]) -> list[tuple[str]]:
@@ -76,10 +76,13 @@ def predict(
                 raise ValueError("one answer per prompt is needed")
             return answers
 
-        for prompts, seeds in parts:
-            cut = [cutter(p, max_prompt_tokens) if cutter and p else p for p in prompts.tolist()]
-            asked = list(zip(cut, seeds.tolist()))
-            yield pd.DataFrame(in_batches(asked, some, batch_size, 1), columns=["predicted_answer", "error"])
+        for batch in parts:
+            for prompts, seeds in in_slices(batch, SLICE_BYTES):
+                cut = [cutter(p, max_prompt_tokens) if cutter and p else p for p in prompts]
+                answers, errors = zip(*in_batches(list(zip(cut, seeds)), some, batch_size, 1))
+                yield pa.StructArray.from_arrays(
+                    [pa.array(answers, pa.string()), pa.array(errors, pa.string())], ["predicted_answer", "error"]
+                )
 
     made = df.withColumn("_made", run(text, F.lit(0).cast("bigint") if seed is None else seed))
     return made.select(*df.columns, "_made.predicted_answer", "_made.error")
@@ -119,8 +122,8 @@ def reward(
     fault are alone.
     """
 
-    @F.pandas_udf("reward double, error string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("reward double, error string")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = load()
 
         def some(texts: list[str]) -> list[tuple[float]]:
@@ -129,9 +132,13 @@ def reward(
                 raise ValueError("one reward per text is needed")
             return values
 
-        for texts in parts:
-            cut_texts = [cutter(t, MAX_REWARD_TOKENS) if cutter and t is not None else t for t in texts.tolist()]
-            yield pd.DataFrame(in_batches(cut_texts, some, batch_size, 1), columns=["reward", "error"])
+        for batch in parts:
+            for (texts,) in in_slices([batch], SLICE_BYTES):
+                cut_texts = [cutter(t, MAX_REWARD_TOKENS) if cutter and t is not None else t for t in texts]
+                rewards, errors = zip(*in_batches(cut_texts, some, batch_size, 1))
+                yield pa.StructArray.from_arrays(
+                    [pa.array(rewards, pa.float64()), pa.array(errors, pa.string())], ["reward", "error"]
+                )
 
     made = df.withColumn("_made", run(F.concat(col(prompt), col(completion))))
     return made.select(*[F.col(f"`{c}`") for c in df.columns], "_made.reward", "_made.error")

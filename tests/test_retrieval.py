@@ -3,8 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from lantern.functions.text import in_slices
 from lantern.functions.vectors import bucket_weights, word_buckets
 from lantern.operators import inference, retrieval
 
@@ -297,3 +300,22 @@ def test_null_texts_have_null_vectors(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "i long, text string")
     out = {r.i: r.v for r in df.select("i", bucket_weights(word_buckets("text", 8), 8).alias("v")).collect()}
     assert out[2] is None and sum(out[3]) == 0.0 and len(out[1]) == 8
+
+
+def test_long_rows_meet_python_a_slice_at_a_time(spark):
+    """Batches of long texts become Python objects in parts; every row keeps its place and its value."""
+    sizes = [0, 5, None, 900, 10, 10, 2000, 3]
+    texts = pa.array([None if n is None else "x" * n for n in sizes])
+    words = pa.array([None if n is None else ["w"] * n for n in sizes])
+    for column in (texts, words):
+        parts = list(in_slices([column, pa.array(range(8))], 1000))
+        assert [v for values, _ in parts for v in values] == column.to_pylist()
+        assert [i for _, numbers in parts for i in numbers] == list(range(8))
+        assert all(len(v) == 1 or sum(len(x or "") for x in v) <= 1000 for v, _ in parts) and len(parts) == 3
+
+    def load():
+        return lambda prompts, seeds: [str(len(p)) for p in prompts]
+
+    df = spark.range(60).select("id", F.expr("if(id % 7 = 3, null, repeat('ab ', cast(70000 + id as int)))").alias("prompt")).coalesce(1)
+    got = {r.id: r.predicted_answer for r in inference.predict(df, load).collect()}
+    assert got == {i: None if i % 7 == 3 else str(3 * (70000 + i)) for i in range(60)}
