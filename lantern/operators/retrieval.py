@@ -31,6 +31,7 @@ QUERY_BYTES = 64 << 20  # queries up to this size are sent to every task
 QUERY_BLOCK = 16_384  # rows per block beyond it
 INDEX_BLOCK = 65_536
 SEARCH_TASKS = 8_192  # each task returns k rows per query, so more tasks mean more rows to merge
+CELLS_HELD = 32  # cells whose finds a task holds before it keeps the best
 CELLS_TABLE = 65_536  # upper bound on cells, so that tables of one row per cell can be broadcast
 
 
@@ -271,19 +272,52 @@ def search_blocks(queries: DataFrame, index: DataFrame, k: int, skip_self: bool)
     return search_pairs(left, right, ["_qb", "_xb"], k, skip_self)
 
 
-def search_within_cells(queries: DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
-    """Queries against the index rows of their ``cell``; a cell that holds a third of all rows is just
-    more blocks."""
+def nearest_in_cells(q: pd.DataFrame, x: pd.DataFrame, k: int, skip_self: bool) -> pd.DataFrame:
+    """Each query against the rows of those of its ``cells`` that ``x`` has; ``k`` rows per query."""
+    if not len(q) or not len(x):
+        return NOTHING
+    points, ids = matrix(q.v), q.id.to_numpy()
+    asked = np.concatenate(q.cells.to_numpy())
+    by = np.repeat(np.arange(len(q)), q.cells.map(len))
+    order = np.argsort(asked, kind="stable")
+    asked, by = asked[order], by[order]
+    best = [NOTHING]
+    for cell, rows in x.groupby("cell"):
+        here = by[np.searchsorted(asked, cell) : np.searchsorted(asked, cell, "right")]
+        if len(here):
+            best.append(nearest(points[here], ids[here], matrix(rows.v), rows.id.to_numpy(), k, skip_self))
+        if len(best) > CELLS_HELD:
+            best = [keep_best(pd.concat(best, ignore_index=True), k)]
+    return keep_best(pd.concat(best, ignore_index=True), k)
+
+
+def search_within_cells(queries: DataFrame, index: DataFrame, n_cells: int, k: int, skip_self: bool) -> DataFrame:
+    """Queries against the index rows of their ``cells``.
+
+    Cells are searched in groups, of which there are as many as the index has blocks, or two for each core. A query
+    goes to a group once, with the numbers of its cells there, and not once to every cell. A group with a
+    cell that holds a third of all rows is just more blocks.
+    """
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    n_groups = min(n_cells, max(math.ceil(index.count() / INDEX_BLOCK), 2 * cores))
 
     def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+        return df.groupBy("_group").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
+
+    x = index.withColumn("_group", F.col("cell") % n_groups)
+    groups = F.sequence(F.lit(0), F.lit(n_groups - 1))
+    q = queries.withColumn("_group", F.explode(groups))
+    q = q.withColumn("cells", F.filter("cells", lambda c: c % n_groups == F.col("_group"))).where(F.size("cells") > 0)
+    # one row per group, at most CELLS_TABLE of them
+    sizes = F.broadcast(blocks(q, QUERY_BLOCK, "_nq").join(blocks(x, INDEX_BLOCK, "_nx"), "_group"))
+    left = dealt_to_blocks(q.join(sizes, "_group"), "_qb", F.col("_nq"), "_xb", F.col("_nx")).drop("_nq", "_nx")
+    right = dealt_to_blocks(x.join(sizes, "_group"), "_xb", F.col("_nx"), "_qb", F.col("_nq")).drop("_nq", "_nx")
+    by = ["_group", "_qb", "_xb"]
+
+    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return nearest_in_cells(a, b, k, skip_self)
 
-    # one row per cell, at most CELLS_TABLE of them
-    sizes = F.broadcast(blocks(queries, QUERY_BLOCK, "_nq").join(blocks(index, INDEX_BLOCK, "_nx"), "cell"))
-    n_q, n_x = F.col("_nq"), F.col("_nx")
-    left = dealt_to_blocks(queries.join(sizes, "cell"), "_qb", n_q, "_xb", n_x).drop("_nq", "_nx")
-    right = dealt_to_blocks(index.join(sizes, "cell"), "_xb", n_x, "_qb", n_q).drop("_nq", "_nx")
-    return search_pairs(left, right, ["cell", "_qb", "_xb"], k, skip_self)
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, FOUND)
 
 
 def cell_finder(centres: np.ndarray, n: int) -> Callable[[Column], Column]:
@@ -358,10 +392,11 @@ def open_cells(spark: SparkSession, path: str) -> CellIndex:
 def search_cells(queries: DataFrame, index: CellIndex, k: int, probes: int | None, skip_self: bool) -> DataFrame:
     """Each query in its nearest cells."""
     probes = min(probes or max(1, math.ceil(len(index.centres) / 8)), len(index.centres))
-    asked = queries.withColumn("cell", F.explode(cell_finder(index.centres, probes)("v")))
+    asked = queries.withColumn("cells", cell_finder(index.centres, probes)("v"))
     # cell numbers, at most one per centre: the filter on them prunes directories
-    wanted = [r.cell for r in asked.select("cell").distinct().collect()]
-    return search_within_cells(asked, index.vectors.where(F.col("cell").isin(wanted)), k, skip_self)
+    wanted = [r.cell for r in asked.select(F.explode("cells").alias("cell")).distinct().collect()]
+    rows = index.vectors.where(F.col("cell").isin(wanted))
+    return search_within_cells(asked, rows, len(index.centres), k, skip_self)
 
 
 def top_k(

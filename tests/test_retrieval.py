@@ -319,3 +319,21 @@ def test_long_rows_meet_python_a_slice_at_a_time(spark):
     df = spark.range(60).select("id", F.expr("if(id % 7 = 3, null, repeat('ab ', cast(70000 + id as int)))").alias("prompt")).coalesce(1)
     got = {r.id: r.predicted_answer for r in inference.predict(df, load).collect()}
     assert got == {i: None if i % 7 == 3 else str(3 * (70000 + i)) for i in range(60)}
+
+
+def test_a_query_goes_once_to_a_group_of_cells(spark, monkeypatch):
+    """Searched in many cells, a query is not sent to each: the same neighbours from a few rows per query."""
+    draw = np.random.default_rng(4)
+    points = [(i, [float(x) for x in draw.normal(size=4)]) for i in range(600)]
+    df = spark.createDataFrame(points, "id long, embedding array<float>")
+    sent = []
+    plain = retrieval.dealt_to_blocks
+
+    def counted(*a):
+        sent.append(plain(*a).count())
+        return plain(*a)
+
+    monkeypatch.setattr(retrieval, "dealt_to_blocks", counted)
+    found = retrieval.top_k(df, df, 3, "cells", skip_self=True, n_cells=100, probes=100).collect()
+    assert sorted(found) == sorted(retrieval.top_k(df, df, 3, "broadcast", skip_self=True).collect())
+    assert sent[0] <= 600 * 2 * spark.sparkContext.defaultParallelism
