@@ -29,6 +29,9 @@ CHUNK = 2048
 AGREEING = 76
 # texts drawn from a bucket at a time to be compared with the others, and how often that is done at most
 HUBS, TURNS = 8, 3
+# texts of a bucket of several classes that are still met pair by pair as rows; larger ones are compared in
+# blocks of so many bytes of shingles
+CELL, BLOCK_BYTES = 32, 8 << 20
 
 
 def hashes_of(text: str, width: int) -> Iterator:
@@ -146,6 +149,60 @@ def similar(pairs: DataFrame, lanes: DataFrame, sets: DataFrame, similarity: flo
     return pairs.join(one, "a").join(two, "b").where(near).select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def block_pairs(similarity: float) -> Callable[[pa.Table], pa.Table]:
+    """Of the texts of one or two blocks of a bucket the pairs of different classes that are near copies. A
+    pair is compared in the least of the crowded buckets that it shares, and in no other."""
+
+    def run(texts: pa.Table) -> pa.Table:
+        import numpy as np
+
+        fps, roots, blocks = (texts.column(c).to_numpy() for c in ("fp", "root", "block"))
+        bucket, several = texts.column("bucket")[0].as_py(), texts.column("one")[0] != texts.column("two")[0]
+        lanes = np.frombuffer(b"".join(texts.column("lanes").to_pylist()), np.uint8).reshape(len(fps), -1)
+        sets = [np.frombuffer(s, np.uint64) for s in texts.column("shingles").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        shared = [set(b) for b in texts.column("shared").to_pylist()]
+        kinds, counts = np.unique(roots, return_counts=True)
+        # a pair of two classes has a text outside the largest one
+        largest = roots == kinds[counts.argmax()]
+        found = []
+        for x in np.flatnonzero(~largest).tolist():
+            near = (roots != roots[x]) & (largest | (fps > fps[x]))
+            near &= np.minimum(sizes, sizes[x]) >= similarity * np.maximum(sizes, sizes[x])
+            if several:
+                near &= blocks != blocks[x]
+            at = np.flatnonzero(near)
+            at = at[(lanes[at] == lanes[x]).sum(axis=1) >= AGREEING]
+            for y in at.tolist():
+                if min(shared[x] & shared[y]) == bucket:
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if both >= similarity * (sizes[x] + sizes[y] - both):
+                        found.append((int(fps[x]), int(fps[y])))
+        one, two = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
+
+    return run
+
+
+def similar_in_blocks(crowded: DataFrame, lanes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """What ``similar`` finds among all pairs of different classes of crowded buckets (``bucket``, ``fp``,
+    ``root``), without a row for each pair.
+
+    A bucket's texts are dealt to blocks of about ``BLOCK_BYTES``, and each two blocks meet in one call: a
+    text crosses the shuffle once for each block of its bucket, and a task holds two blocks.
+    """
+    shared = crowded.groupBy(F.col("fp").alias("text")).agg(F.collect_list("bucket").alias("shared"))
+    held = crowded.join(sets, "fp").join(lanes, "fp")
+    sizes = held.groupBy(F.col("bucket").alias("of")).agg(F.ceil(F.sum(F.length("shingles").cast("bigint")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    held = held.join(shared, held["fp"] == shared["text"]).join(sizes, held["bucket"] == sizes["of"])
+    placed = held.withColumn("block", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select(
+        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "fp", "root", "shared", "lanes", "shingles"
+    )
+    return placed.groupBy("bucket", "one", "two").applyInArrow(block_pairs(similarity), "a bigint, b bigint")
+
+
 def by_fingerprint(one_each: DataFrame) -> DataFrame:
     """Candidates ``a``, ``b`` of operator 3: the texts of a fingerprint beside the smallest of them, and those
     smallest ones of the fingerprints that its segment-popcount grid links. Rows grow with the texts."""
@@ -164,8 +221,9 @@ def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text:
 
     Texts that operator 3 links by their fingerprints are compared, and a bucket's texts with its smallest one; then, where many pairs across classes are
     left, with a few drawn ones: that connects a large group of near copies with some rows for each text.
-    What then is left in a bucket of texts of several classes is compared across the classes, each pair
-    once: pairs within a class would connect nothing more.
+    That ends where a turn leaves more than half of the pairs. What then is left in a bucket of texts of several
+    classes is compared across the classes: pairs within a class would connect nothing more. Up to ``CELL``
+    texts meet pair by pair, more in blocks, so rows grow with the texts.
     """
     one_each = durable(made.select("fp", "print", "buckets", "lanes").dropDuplicates(["fp"]))
     lanes = one_each.select("fp", "lanes")
@@ -182,6 +240,7 @@ def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text:
     star = shared.where("hub <> fp").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     star = star.union(printed).distinct()
     near = durable(similar(star, lanes, sets, similarity))
+    before = None
     for turn in range(TURNS + 1):
         roots = components(near)
         rooted = shared.join(roots, shared["fp"] == roots["node"], "left").select(
@@ -192,19 +251,22 @@ def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text:
         mixed = mixed.where("roots > 1")
         left = durable(rooted.join(mixed, "bucket"))
         ahead = left.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("squares") / F.col("n"))).first()
-        if turn == TURNS or (ahead[1] or 0) <= 2 * HUBS * ahead[0]:
+        if turn == TURNS or (ahead[1] or 0) <= 2 * HUBS * ahead[0] or (before and ahead[1] > before / 2):
             break
+        before = ahead[1]
         of = F.struct("fp", "root")
         drawn = left.groupBy("bucket").agg(*[F.min_by(of, F.xxhash64("fp", F.lit(turn * HUBS + i))).alias(f"hub{i}") for i in range(HUBS)])
         hubs = drawn.select("bucket", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub"))
         met = left.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
         met = met.select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b")).distinct()
         near = durable(near.union(similar(met, lanes, sets, similarity)))
-    across = left.select("bucket", F.col("fp").alias("a"), F.col("root").alias("ra")).join(
-        left.select("bucket", F.col("fp").alias("b"), F.col("root").alias("rb")), "bucket"
+    few = left.where(F.col("n") <= CELL)
+    across = few.select("bucket", F.col("fp").alias("a"), F.col("root").alias("ra")).join(
+        few.select("bucket", F.col("fp").alias("b"), F.col("root").alias("rb")), "bucket"
     )
     across = across.where("a < b AND ra <> rb").select("a", "b").distinct()
-    return near.union(similar(across, lanes, sets, similarity))
+    crowded = left.where(F.col("n") > CELL).select("bucket", "fp", "root")
+    return near.union(similar(across, lanes, sets, similarity)).union(similar_in_blocks(crowded, lanes, sets, similarity))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:

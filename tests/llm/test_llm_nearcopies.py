@@ -96,3 +96,29 @@ def test_operator_3_finds_candidates(spark, monkeypatch):
     monkeypatch.setattr(nearcopies, "sketches", alone)
     kept = {r.doc_id for r in nearcopies.keep_one(docs).collect()}
     assert len(kept) <= len(rows) + 2 - len(reach) and {200, 201} <= kept and set(range(40)) <= kept
+
+
+def test_crowded_buckets_make_no_pairs_as_rows(spark, monkeypatch):
+    """Many variants of one text, most of them too far from each other to be near copies: the rows that are
+    compared grow with the texts, also where a bucket is cut into blocks, and no link is lost."""
+    draw = random.Random(17)
+
+    def variants(n):
+        base, rows = [f"w{draw.randrange(10**6)}" for _ in range(150)], []
+        for k in range(n):
+            words = list(base)
+            for _ in range(draw.randrange(1, 16)):
+                words[draw.randrange(150)] = f"w{draw.randrange(10**6)}"
+            rows.append((k, " ".join(words)))
+        return rows
+
+    met = []
+    plain = nearcopies.alike
+    monkeypatch.setattr(nearcopies, "alike", lambda pairs, lanes: met.append(pairs.count()) or plain(pairs, lanes))
+    for n, block in ((240, 8 << 20), (240, 60_000)):
+        monkeypatch.setattr(nearcopies, "BLOCK_BYTES", block)
+        rows = variants(n)
+        met.clear()
+        kept = sorted(r.doc_id for r in nearcopies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert kept == slow_kept(rows) and 1 < len(kept) < n
+        assert sum(met) < 60 * n, (n, block, met)
