@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,8 +140,14 @@ def block_pieces(docs: pa.Table, anchors: pa.Table) -> pa.Table:
         for doc, data in first_copies(docs):
             whole = data.tobytes()
             for first, last, anchor in runs_of(data, wanted):
-                seen = found.setdefault((anchor, whole[first : last + WINDOW]), [doc, doc])
-                seen[0], seen[1] = min(seen[0], doc), max(seen[1], doc)
+                piece = (anchor, whole[first : last + WINDOW])
+                seen = found.get(piece)
+                if seen is None:
+                    found[piece] = [doc, doc]
+                elif doc < seen[0]:
+                    seen[0] = doc
+                elif doc > seen[1]:
+                    seen[1] = doc
     block = docs.column("block")[0].as_py() if len(docs) else 0
     rows = list(found.items())
     return pa.Table.from_arrays(
@@ -172,52 +179,73 @@ def least_documents(pieces: list[bytes], least: np.ndarray) -> list[np.ndarray]:
     return [per_place[s : s + n - WINDOW + 1] for s, n in zip(starts, lengths)]
 
 
-def shard_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts the pieces of whole anchors (rows come in the order of anchors) and says for the pieces of
-    each block which documents have their windows first, where that can remove something."""
-    held: list[tuple] = []
-    size, last = 0, None
+def first_windows(shard: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorts the pieces of whole anchors and says for the pieces of each block which documents have their
+    windows first, where that can remove something."""
+    rows = pa.Table.from_batches(shard, PIECES).combine_chunks()
+    anchors, blocks, docs, most = (rows.column(c).to_numpy() for c in ("anchor", "block", "least", "most"))
+    coded = pa.concat_arrays(rows.column("piece").chunks).dictionary_encode()
+    piece, distinct = coded.indices.to_numpy(), coded.dictionary
+    least = np.full(len(distinct), LAST)
+    np.minimum.at(least, piece, docs)
+    anchor_of = np.zeros(len(distinct), np.int64)
+    anchor_of[piece] = anchors
+    # where an anchor has one piece alone there is nothing to sort it among: all its windows have the
+    # piece's own documents
+    _, kind, kinds = np.unique(anchor_of, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(kinds[kind] > 1)
+    low, high, windows = least.copy(), least.copy(), {}
+    if len(several):
+        found = least_documents(distinct.take(pa.array(several)).to_pylist(), least[several])
+        flat, starts = np.concatenate(found), np.cumsum([0, *map(len, found[:-1])])
+        low[several], high[several] = np.minimum.reduceat(flat, starts), np.maximum.reduceat(flat, starts)
+        windows = dict(zip(several.tolist(), found))
+    out = np.flatnonzero(low[piece] < most)
+    named, place = np.unique(piece[out], return_inverse=True)
+    marks = [digest(p) for p in distinct.take(pa.array(named)).to_pylist()]
+    said = [(low[c : c + 1] if low[c] == high[c] else windows[c]).tobytes() for c in named.tolist()]
+    for at in range(0, len(out), 50_000):
+        part, of = out[at : at + 50_000], pa.array(place[at : at + 50_000])
+        columns = [pa.array(blocks[part]), pa.array(anchors[part])]
+        columns += [pa.array(column, pa.binary()).take(of) for column in (marks, said)]
+        yield pa.RecordBatch.from_arrays(columns, schema=FOUND)
 
-    def sort() -> Iterator[pa.RecordBatch]:
-        least: dict[bytes, int] = {}
-        kinds: dict[int, int] = {}
-        for anchor, _, piece, doc, _ in held:
-            known = least.get(piece)
-            if known is None:
-                kinds[anchor] = kinds.get(anchor, 0) + 1
-            least[piece] = doc if known is None else min(known, doc)
-        # where an anchor has one piece alone there is nothing to sort it among: all its windows have the
-        # piece's own documents
-        found = {p: np.array([doc]) for p, doc in least.items()}
-        several = list(dict.fromkeys(piece for anchor, _, piece, _, _ in held if kinds[anchor] > 1))
-        if several:
-            found.update(zip(several, least_documents(several, np.array([least[p] for p in several], np.int64))))
-        rows: list[tuple] = []
-        for anchor, block, piece, _, most in held:
-            windows = found[piece]
-            if windows.min() < most:
-                windows = windows[:1] if (windows == windows[0]).all() else windows
-                rows.append((block, anchor, digest(piece), windows.tobytes()))
-        for at in range(0, len(rows), 50_000):
-            columns = zip(*rows[at : at + 50_000])
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FOUND)], schema=FOUND)
 
+def shard_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``first_windows`` of shards of about ``SHARD_BYTES``; rows come in the order of anchors, and an anchor's
+    rows stay together."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
     for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            if size >= SHARD_BYTES and row[0] != last:
-                yield from sort()
-                held, size = [], 0
-            held.append(row)
-            size += len(row[2])
-            last = row[0]
+        if not batch.num_rows:
+            continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, schema=PIECES)
+        anchors = batch.column("anchor").to_numpy()
+        upto = np.cumsum(np.append(0, pc.binary_length(batch.column("piece")).to_numpy().astype(np.int64)))
+        fresh = np.flatnonzero(np.append(last is not None and anchors[0] != last, anchors[1:] != anchors[:-1]))
+        start = 0
+        while True:
+            full = fresh[(fresh >= start) & (size + upto[fresh] - upto[start] >= SHARD_BYTES)]
+            if not len(full):
+                break
+            held.append(batch.slice(start, full[0] - start))
+            yield from first_windows(held)
+            held, size, start = [], 0, int(full[0])
+        held.append(batch.slice(start))
+        size += int(upto[-1] - upto[start])
+        last = anchors[-1]
     if held:
-        yield from sort()
+        yield from first_windows(held)
 
 
 def block_result(docs: pa.Table, found: pa.Table) -> pa.Table:
     """Every document of a block without the bytes of windows that a smaller document has."""
     wanted = np.unique(found.column("anchor").to_numpy())
-    first_of = {p: np.frombuffer(w, np.int64) for p, w in zip(found.column("piece").to_pylist(), found.column("least").to_pylist())}
+    # one number stands for all windows of a piece
+    first_of = {
+        p: int.from_bytes(w, "little", signed=True) if len(w) == 8 else np.frombuffer(w, np.int64)
+        for p, w in zip(found.column("piece").to_pylist(), found.column("least").to_pylist())
+    }
     earliest_of = {data.tobytes(): doc for doc, data in first_copies(docs)}
     rows = []
     columns = (docs.column("doc_id").to_pylist(), docs.column("earliest").to_pylist(), docs.column("text"))
@@ -230,18 +258,25 @@ def block_result(docs: pa.Table, found: pa.Table) -> pa.Table:
         if doc > min(earliest, earliest_of.get(whole, doc)):  # all of it is in an earlier copy
             rows.append((doc, len(data), len(data), 1, b""))
             continue
-        starts = [np.zeros(0, np.int64)]
+        begin, end = [], []
         for first, last, _ in runs_of(data, wanted):
             windows = first_of.get(digest(whole[first : last + WINDOW]))
-            if windows is not None:
-                starts.append(first + np.flatnonzero(np.broadcast_to(windows, (last - first + 1,)) < doc))
-        at = np.concatenate(starts)
-        if not len(at):
+            if windows is None:
+                continue
+            if isinstance(windows, int):
+                if windows < doc:
+                    begin.append(first)
+                    end.append(last + WINDOW)
+                continue
+            at = (first + np.flatnonzero(windows < doc)).tolist()
+            begin += at
+            end += [a + WINDOW for a in at]
+        if not begin:
             rows.append((doc, len(data), 0, 0, whole))
             continue
         change = np.zeros(len(data) + 1, np.int32)
-        change[at] += 1
-        change[at + WINDOW] -= 1
+        change[begin] += 1
+        change[end] -= 1
         gone = np.cumsum(change[:-1]) > 0
         spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
         rows.append((doc, len(data), int(gone.sum()), spans, data[~gone].tobytes()))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from lantern.llm import induced, suffixes
 
@@ -99,3 +100,32 @@ def test_copies_of_one_text(spark, monkeypatch):
     for hot in (1_000, 10):
         monkeypatch.setattr(suffixes, "HOT_COPIES", hot)
         assert got(suffixes.remove_repeats(docs)) == slow(rows)
+
+
+@pytest.mark.parametrize("shard", [2 << 20, 700])
+def test_a_shard_names_a_piece_once(monkeypatch, shard):
+    """However many blocks have a piece; each anchor has bytes of its own here, as equal windows have one anchor."""
+    draw = random.Random(shard)
+    rows = []
+    for anchor in range(-6, 6):
+        some = [bytes(draw.choices([100 + anchor, 120 + anchor], k=140)) for _ in range(2)]
+        pieces = [some[0][:60], some[0][5:70], some[0][:60] + some[1], some[1][20:75], some[1][:50]][: draw.randrange(1, 6)]
+        for piece in pieces:
+            for block in draw.sample(range(9), 4):
+                docs = draw.sample(range(50), 2)
+                rows.append((anchor, block, piece, min(docs), max(docs)))
+    first = {}
+    for _, _, piece, least, _ in rows:
+        for i in range(len(piece) - 49):
+            first[piece[i : i + 50]] = min(least, first.get(piece[i : i + 50], least))
+    want = []
+    for anchor, block, piece, _, most in rows:
+        found = [first[piece[i : i + 50]] for i in range(len(piece) - 49)]
+        if min(found) < most:
+            want.append((block, anchor, suffixes.digest(piece), np.array(found[:1] if len(set(found)) == 1 else found).tobytes()))
+    named, plain = [], suffixes.digest
+    monkeypatch.setattr(suffixes, "digest", lambda piece: named.append(bytes(piece)) or plain(piece))
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", shard)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), suffixes.PIECES)], schema=suffixes.PIECES)
+    made = [tuple(r.values()) for b in suffixes.shard_windows(iter(table.to_batches(max_chunksize=7))) for r in b.to_pylist()]
+    assert sorted(made) == sorted(want) and len(named) == len(set(named)) < len(want)
