@@ -99,7 +99,12 @@ def chunk_documents(
 # --- R2 ------------------------------------------------------------------------------------------
 def fit_word_weights(df: DataFrame, text: str, size: int = 256, portable: bool = False) -> list[float]:
     """Inverse document frequency per hash bucket; ``size`` numbers whatever the size of ``df``."""
-    found = F.array_distinct(word_buckets(text, size, portable))
+    return fit_bucket_weights(df, word_buckets(text, size, portable), size)
+
+
+def fit_bucket_weights(df: DataFrame, buckets: Column | str, size: int = 256) -> list[float]:
+    """The same from a column of ``word_buckets``, so that words which are kept are hashed once."""
+    found = F.array_distinct(buckets)
     # one more entry per row counts the rows in the same pass
     marked = df.select(F.explode(F.concat(found, F.array(F.lit(-1)))).alias("bucket"))
     seen = dict(marked.groupBy("bucket").count().collect())
@@ -113,16 +118,24 @@ def hashed_embedder(weights: Sequence[float], portable: bool = False) -> Embedde
     return lambda text: bucket_weights(word_buckets(text, size, portable), size, weights)
 
 
+def bucket_embedder(weights: Sequence[float]) -> Embedder:
+    """``hashed_embedder`` for a column of ``word_buckets``."""
+    return lambda buckets: bucket_weights(buckets, len(weights), weights)
+
+
 # --- R3, R8 --------------------------------------------------------------------------------------
 def write_index(
-    chunks: DataFrame, path: str, embed: Embedder, key: Sequence[str], append: bool = False
+    chunks: DataFrame, path: str, embed: Embedder, key: Sequence[str], append: bool = False, source: str = "text"
 ) -> int:
     """Chunks with their vectors as a table; returns how many rows it then holds.
 
-    ``append`` adds only chunks whose key the table does not hold yet.
+    ``append`` adds only chunks whose key the table does not hold yet. ``source``: the column that is
+    embedded; one other than the text is not kept.
     """
     spark = chunks.sparkSession
-    rows = chunks.withColumn("embedding", embed(F.col("text")).cast("array<float>"))
+    rows = chunks.withColumn("embedding", embed(F.col(source)).cast("array<float>"))
+    if source != "text":
+        rows = rows.drop(source)
     if append:
         rows = rows.join(open_index(spark, path).select(*key), list(key), "left_anti")
     rows.write.mode("append" if append else "overwrite").parquet(path)

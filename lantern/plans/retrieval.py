@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lantern.functions.vectors import word_buckets
 from lantern.operators import inference, retrieval
 from lantern.plans.inputs import dealt, quoted, sql_draw, sql_strip, sql_words, table
 from lantern.session import fresh_path
@@ -267,9 +268,13 @@ def rag_answer(spark: SparkSession, sf_dir: str) -> Frame:
     chunks = ingest_chunks(spark, sf_dir).withColumn(
         "id", F.col("doc_id") * 1_000_000 + F.col("chunk_no")
     )
-    weights = retrieval.fit_word_weights(chunks, "text", ANSWER_DIMENSIONS, portable=True)
-    embed, path = retrieval.hashed_embedder(weights, portable=True), fresh_path(spark, "index")
-    retrieval.write_index(chunks, path, embed, ["doc_id", "chunk_no"])
+    # cut and hashed once: the weights are fitted on the table that is then embedded
+    kept, path = fresh_path(spark, "chunks"), fresh_path(spark, "index")
+    chunks.withColumn("buckets", word_buckets("text", ANSWER_DIMENSIONS, portable=True)).write.parquet(kept)
+    chunks = spark.read.parquet(kept)
+    weights = retrieval.fit_bucket_weights(chunks, "buckets", ANSWER_DIMENSIONS)
+    embed = retrieval.hashed_embedder(weights, portable=True)
+    retrieval.write_index(chunks, path, retrieval.bucket_embedder(weights), ["doc_id", "chunk_no"], source="buckets")
     questions = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("question"))
     answered = retrieval.answer(
         questions, retrieval.open_index(spark, path), embed, load_measurer, question_id="item_id"

@@ -337,3 +337,29 @@ def test_a_query_goes_once_to_a_group_of_cells(spark, monkeypatch):
     found = retrieval.top_k(df, df, 3, "cells", skip_self=True, n_cells=100, probes=100).collect()
     assert sorted(found) == sorted(retrieval.top_k(df, df, 3, "broadcast", skip_self=True).collect())
     assert sent[0] <= 600 * 2 * spark.sparkContext.defaultParallelism
+
+
+def test_chunks_are_cut_and_hashed_once(spark, sf_dir, monkeypatch):
+    """The answers' index is made from chunks that were written with their buckets; vectors are as row by row."""
+    from lantern.functions import vectors
+    from lantern.plans import retrieval as plans
+
+    cut, hashed = [], []
+    plain, kept = plans.ingest_chunks, plans.retrieval.write_index
+    monkeypatch.setattr(plans, "ingest_chunks", lambda *a: cut.append(1) or plain(*a))
+
+    def written(chunks, *rest, **named):
+        plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+        hashed.append("md5" in plan or "split" in plan)
+        return kept(chunks, *rest, **named)
+
+    monkeypatch.setattr(plans.retrieval, "write_index", written)
+    assert plans.rag_answer(spark, sf_dir).count() > 0 and (cut, hashed) == ([1], [False])
+    monkeypatch.setattr(vectors, "SLICE_ROWS", 2)
+    rows = [([0, 1, 1, 299],), ([],), (None,), (list(range(300)) * 2,), ([7],)]
+    scale = np.linspace(0, 3, 300)
+    found = spark.createDataFrame(rows, "b array<int>").coalesce(1).select(vectors.bucket_weights(F.col("b"), 300, scale).alias("v"))
+    for (row,), (made,) in zip(rows, found.collect()):
+        v = np.bincount(np.array(row or [], "int64"), minlength=300) * scale
+        length = np.sqrt((v * v).sum())
+        assert made == (None if row is None else (v / length if length else v).tolist())
