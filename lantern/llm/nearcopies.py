@@ -250,7 +250,7 @@ def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text:
         mixed = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count(F.lit(1)).alias("roots"))
         mixed = mixed.where("roots > 1")
         left = durable(rooted.join(mixed, "bucket"))
-        ahead = left.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("squares") / F.col("n"))).first()
+        ahead = left.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("squares") / F.col("n")), F.min("n"), F.max("n")).first()
         if turn == TURNS or (ahead[1] or 0) <= 2 * HUBS * ahead[0] or (before and ahead[1] > before / 2):
             break
         before = ahead[1]
@@ -260,13 +260,18 @@ def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text:
         met = left.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
         met = met.select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b")).distinct()
         near = durable(near.union(similar(met, lanes, sets, similarity)))
-    few = left.where(F.col("n") <= CELL)
-    across = few.select("bucket", F.col("fp").alias("a"), F.col("root").alias("ra")).join(
-        few.select("bucket", F.col("fp").alias("b"), F.col("root").alias("rb")), "bucket"
-    )
-    across = across.where("a < b AND ra <> rb").select("a", "b").distinct()
-    crowded = left.where(F.col("n") > CELL).select("bucket", "fp", "root")
-    return near.union(similar(across, lanes, sets, similarity)).union(similar_in_blocks(crowded, lanes, sets, similarity))
+    # no plan is made for what is not there
+    if ahead[0] and ahead[2] <= CELL:
+        few = left.where(F.col("n") <= CELL)
+        across = few.select("bucket", F.col("fp").alias("a"), F.col("root").alias("ra")).join(
+            few.select("bucket", F.col("fp").alias("b"), F.col("root").alias("rb")), "bucket"
+        )
+        across = across.where("a < b AND ra <> rb").select("a", "b").distinct()
+        near = near.union(similar(across, lanes, sets, similarity))
+    if ahead[0] and ahead[3] > CELL:
+        crowded = left.where(F.col("n") > CELL).select("bucket", "fp", "root")
+        near = near.union(similar_in_blocks(crowded, lanes, sets, similarity))
+    return near
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:

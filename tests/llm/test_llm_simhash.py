@@ -4,6 +4,7 @@ import random
 
 import pytest
 import xxhash
+from lantern.llm import components as graph
 from lantern.llm import simhash
 from lantern.llm.components import components
 
@@ -115,3 +116,41 @@ def test_components_of_a_chain(spark):
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     want = {n: min(names[:200]) for n in names[:200]} | {n: min(names[200:]) for n in names[200:]}
     assert got == want | {7_000_001: 7_000_001}
+
+
+@pytest.mark.parametrize("rows", [3, 40, 1 << 19])
+def test_components_of_links_in_parts(spark, monkeypatch, rows):
+    """Chains, stars and random links alike, whether one task settles them or rounds do."""
+    monkeypatch.setattr(graph, "PART_ROWS", rows)
+    draw = random.Random(rows)
+    edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 130)] + [(i, 230) for i in range(200, 230)]
+    edges += [(draw.randrange(300, 400), draw.randrange(300, 400)) for _ in range(60)]
+    root = {node: node for edge in edges for node in edge}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    draw.shuffle(edges)
+    made = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    assert dict(tuple(r) for r in components(made).collect()) == root
+    named = made.selectExpr("lpad(a, 4, '0') AS a", "lpad(b, 4, '0') AS b")
+    assert {int(r.node): int(r.root) for r in components(named).collect()} == root
+
+
+def test_components_take_few_jobs(spark):
+    """The driver keeps plans, stages and threads of every job: a chain of 60 is no reason for rounds of ten jobs each,
+    and what makes the edges runs once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long").mapInArrow(run, "a long, b long")
+    spark.sparkContext.setJobGroup("components", "")
+    try:
+        assert {r.root for r in components(edges).collect()} == {0}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert made.value == 60
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("components")) <= 12
