@@ -27,9 +27,7 @@ CHUNK = 2048
 # a pair goes on to the exact comparison if so many of the 128 least hashes agree (in eight bits each): at a
 # similarity of 0.8 fewer do once in 40 million, at one of 0.45 so many do once in 1000
 AGREEING = 76
-# texts drawn from a bucket at a time to be compared with the others, and how often that is done at most
-HUBS, TURNS = 8, 3
-# texts of a bucket of several classes that are still met pair by pair as rows; larger ones are compared in
+# texts of a bucket of several classes that are met pair by pair as rows; larger ones are compared in
 # blocks of so many bytes of shingles
 CELL, BLOCK_BYTES = 32, 8 << 20
 
@@ -150,13 +148,15 @@ def similar(pairs: DataFrame, lanes: DataFrame, sets: DataFrame, similarity: flo
 
 
 def block_pairs(similarity: float) -> Callable[[pa.Table], pa.Table]:
-    """Of the texts of one or two blocks of a bucket the pairs of different classes that are near copies. A
+    """Of the texts of one or two blocks of a bucket pairs of different classes that are near copies: a pair that
+    is found makes one class of two, so they connect what all such pairs do and are fewer than the texts. A
     pair is compared in the least of the crowded buckets that it shares, and in no other."""
 
     def run(texts: pa.Table) -> pa.Table:
         import numpy as np
 
         fps, roots, blocks = (texts.column(c).to_numpy() for c in ("fp", "root", "block"))
+        roots = roots.copy()
         bucket, several = texts.column("bucket")[0].as_py(), texts.column("one")[0] != texts.column("two")[0]
         lanes = np.frombuffer(b"".join(texts.column("lanes").to_pylist()), np.uint8).reshape(len(fps), -1)
         sets = [np.frombuffer(s, np.uint64) for s in texts.column("shingles").to_pylist()]
@@ -174,10 +174,11 @@ def block_pairs(similarity: float) -> Callable[[pa.Table], pa.Table]:
             at = np.flatnonzero(near)
             at = at[(lanes[at] == lanes[x]).sum(axis=1) >= AGREEING]
             for y in at.tolist():
-                if min(shared[x] & shared[y]) == bucket:
+                if roots[y] != roots[x] and min(shared[x] & shared[y]) == bucket:
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     if both >= similarity * (sizes[x] + sizes[y] - both):
                         found.append((int(fps[x]), int(fps[y])))
+                        roots[roots == roots[y]] = roots[x]
         one, two = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
 
@@ -185,7 +186,7 @@ def block_pairs(similarity: float) -> Callable[[pa.Table], pa.Table]:
 
 
 def similar_in_blocks(crowded: DataFrame, lanes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """What ``similar`` finds among all pairs of different classes of crowded buckets (``bucket``, ``fp``,
+    """What connects all that ``similar`` finds among the pairs of different classes of crowded buckets (``bucket``, ``fp``,
     ``root``), without a row for each pair.
 
     A bucket's texts are dealt to blocks of about ``BLOCK_BYTES``, and each two blocks meet in one call: a
@@ -219,11 +220,10 @@ def by_fingerprint(one_each: DataFrame) -> DataFrame:
 def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text: str, width: int, similarity: float) -> DataFrame:
     """Edges ``a``, ``b`` that connect whatever texts are connected by pairs of at least ``similarity``.
 
-    Texts that operator 3 links by their fingerprints are compared, and a bucket's texts with its smallest one; then, where many pairs across classes are
-    left, with a few drawn ones: that connects a large group of near copies with some rows for each text.
-    That ends where a turn leaves more than half of the pairs. What then is left in a bucket of texts of several
-    classes is compared across the classes: pairs within a class would connect nothing more. Up to ``CELL``
-    texts meet pair by pair, more in blocks, so rows grow with the texts.
+    Texts that operator 3 links by their fingerprints are compared, and a bucket's texts with its smallest one. What
+    then is left in a bucket of texts of several classes is compared across the classes: pairs within a class would
+    connect nothing more. Up to ``CELL`` texts meet pair by pair, more in blocks, which join their classes as they
+    go, so rows grow with the texts.
     """
     one_each = durable(made.select("fp", "print", "buckets", "lanes").dropDuplicates(["fp"]))
     lanes = one_each.select("fp", "lanes")
@@ -240,35 +240,21 @@ def links(docs: DataFrame, made: DataFrame, distinct: DataFrame, key: str, text:
     star = shared.where("hub <> fp").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     star = star.union(printed).distinct()
     near = durable(similar(star, lanes, sets, similarity))
-    before = None
-    for turn in range(TURNS + 1):
-        roots = components(near)
-        rooted = shared.join(roots, shared["fp"] == roots["node"], "left").select(
-            "bucket", "fp", F.coalesce("root", "fp").alias("root")
-        )
-        parts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        mixed = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count(F.lit(1)).alias("roots"))
-        mixed = mixed.where("roots > 1")
-        left = durable(rooted.join(mixed, "bucket"))
-        ahead = left.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("squares") / F.col("n")), F.min("n"), F.max("n")).first()
-        if turn == TURNS or (ahead[1] or 0) <= 2 * HUBS * ahead[0] or (before and ahead[1] > before / 2):
-            break
-        before = ahead[1]
-        of = F.struct("fp", "root")
-        drawn = left.groupBy("bucket").agg(*[F.min_by(of, F.xxhash64("fp", F.lit(turn * HUBS + i))).alias(f"hub{i}") for i in range(HUBS)])
-        hubs = drawn.select("bucket", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub"))
-        met = left.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
-        met = met.select(F.least("fp", "hub.fp").alias("a"), F.greatest("fp", "hub.fp").alias("b")).distinct()
-        near = durable(near.union(similar(met, lanes, sets, similarity)))
+    roots = components(near)
+    rooted = shared.join(roots, shared["fp"] == roots["node"], "left").select("bucket", "fp", F.coalesce("root", "fp").alias("root"))
+    parts = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    left = durable(rooted.join(mixed, "bucket"))
+    ahead = left.agg(F.count(F.lit(1)), F.min("n"), F.max("n")).first()
     # no plan is made for what is not there
-    if ahead[0] and ahead[2] <= CELL:
+    if ahead[0] and ahead[1] <= CELL:
         few = left.where(F.col("n") <= CELL)
         across = few.select("bucket", F.col("fp").alias("a"), F.col("root").alias("ra")).join(
             few.select("bucket", F.col("fp").alias("b"), F.col("root").alias("rb")), "bucket"
         )
         across = across.where("a < b AND ra <> rb").select("a", "b").distinct()
         near = near.union(similar(across, lanes, sets, similarity))
-    if ahead[0] and ahead[3] > CELL:
+    if ahead[0] and ahead[2] > CELL:
         crowded = left.where(F.col("n") > CELL).select("bucket", "fp", "root")
         near = near.union(similar_in_blocks(crowded, lanes, sets, similarity))
     return near

@@ -122,3 +122,28 @@ def test_crowded_buckets_make_no_pairs_as_rows(spark, monkeypatch):
         kept = sorted(r.doc_id for r in nearcopies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
         assert kept == slow_kept(rows) and 1 < len(kept) < n
         assert sum(met) < 60 * n, (n, block, met)
+
+
+def test_crowded_buckets_are_not_met_with_drawn_texts(spark, monkeypatch):
+    """Texts of one template, most of them no near copies: a text is a row for its buckets' smallest texts only, and
+    a block gives fewer pairs than it has texts."""
+    draw = random.Random(23)
+    base, rows = [f"w{draw.randrange(10**6)}" for _ in range(150)], []
+    for k in range(240):
+        words = list(base)
+        for _ in range(draw.randrange(1, 12)):
+            words[draw.randrange(150)] = f"w{draw.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    met, found = [], []
+    alike, blocks = nearcopies.alike, nearcopies.similar_in_blocks
+
+    def counted(crowded, *rest):
+        made = blocks(crowded, *rest)
+        found.append((crowded.groupBy("bucket").count().groupBy().sum("count").first()[0], made.count()))
+        return made
+
+    monkeypatch.setattr(nearcopies, "alike", lambda pairs, lanes: met.append(pairs.count()) or alike(pairs, lanes))
+    monkeypatch.setattr(nearcopies, "similar_in_blocks", counted)
+    kept = sorted(r.doc_id for r in nearcopies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept == slow_kept(rows) and 1 < len(kept) < len(rows)
+    assert len(met) <= 2 and found and all(pairs < texts for texts, pairs in found), (met, found)
