@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lantern.functions.neighbours import FOUND, Nearest, few_copies, matrix, numbers
 from lantern.functions.text import col
 from lantern.functions.vectors import bucket_weights, word_buckets
 from lantern.operators.examples import question_prompt
@@ -28,10 +31,12 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 Embedder = Callable[[Column], Column]
 
 QUERY_BYTES = 64 << 20  # queries up to this size are sent to every task
-QUERY_BLOCK = 16_384  # rows per block beyond it
-INDEX_BLOCK = 65_536
+QUERY_BLOCK = 32_768  # rows per block beyond it
+INDEX_BLOCK = 131_072
+BLOCK_NUMBERS = 1 << 24  # and numbers of their vectors
 SEARCH_TASKS = 8_192  # each task returns k rows per query, so more tasks mean more rows to merge
-CELLS_HELD = 32  # cells whose finds a task holds before it keeps the best
+ASKED_CELLS = 1 << 22  # distances to cells formed at a time
+SENT_ROWS = 16_384  # rows that a task sends on at a time
 CELLS_TABLE = 65_536  # upper bound on cells, so that tables of one row per cell can be broadcast
 
 
@@ -174,87 +179,38 @@ def open_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 # --- R4, R9 --------------------------------------------------------------------------------------
-FOUND = "query_id bigint, neighbour_id bigint, distance double"
+FOUND_DDL = "query_id bigint, neighbour_id bigint, distance double"
 
 
-NOTHING = pd.DataFrame(
-    {"query_id": pd.Series(dtype="int64"), "neighbour_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")}
-)
-
-
-def matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype("float64")
-
-
-def keep_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = found.sort_values(["query_id", "distance", "neighbour_id"])
-    return ordered[ordered.groupby("query_id").cumcount() < k]
+def vectors(df: DataFrame, id_col: str, vector: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v"))
 
 
-def nearest(
-    q: np.ndarray,
-    q_ids: np.ndarray,
-    x: np.ndarray,
-    x_ids: np.ndarray,
-    k: int,
-    skip_self: bool,
-    bound: np.ndarray | None = None,
-) -> pd.DataFrame:
-    """The ``k`` nearest rows of ``x`` per row of ``q`` by squared distance, ties by id.
+@dataclass(frozen=True)
+class CellIndex:
+    """Vectors (id, v) with the cell they are in, and the centres of the cells."""
 
-    A matrix product finds candidates, with all that rounding could make equal to the k-th; their
-    distances are then summed term by term, so that every way of blocking gives the same result.
-    ``bound``: per query, a distance beyond which nothing is wanted.
-    """
-    out = []
-    x_norm = (x * x).sum(1)
-    step = max(1, 4_000_000 // max(len(x), 1))
-    for at in range(0, len(q), step):
-        part, ids = q[at : at + step], q_ids[at : at + step]
-        rough = part @ x.T
-        rough *= -2
-        rough += (part * part).sum(1)[:, None]
-        rough += x_norm
-        if skip_self:
-            rough[ids[:, None] == x_ids[None, :]] = np.inf
-        edge = np.full(len(part), np.inf) if bound is None else bound[at : at + step]
-        if np.isinf(edge).any():
-            last = min(k, len(x)) - 1
-            edge = np.minimum(edge, np.partition(rough, last, axis=1)[:, last])
-        slack = np.where(np.isinf(edge), 0, 1e-9 * (1 + np.abs(edge)))
-        i, j = np.nonzero((rough <= (edge + slack)[:, None]) & np.isfinite(rough))
-        # many copies of one vector make many candidates: measure them part by part
-        parts = np.array_split(np.arange(len(i)), max(1, len(i) * x.shape[1] // 16_000_000))
-        exact = np.concatenate([((part[i[p]] - x[j[p]]) ** 2).sum(1) for p in parts])
-        found = pd.DataFrame({"query_id": ids[i], "neighbour_id": x_ids[j], "distance": exact})
-        out.append(keep_best(found, k))
-    return pd.concat(out, ignore_index=True) if out else NOTHING
+    vectors: DataFrame
+    centres: np.ndarray
 
 
-def vectors(df: DataFrame, id_col: str, vector: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v"))
+def index_rows(rows: pa.Table | pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    return few_copies(matrix(rows["v"]), numbers(rows["id"]), k)
 
 
-def search_with_all_queries(queries: pd.DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
+def search_with_all_queries(queries: pa.Table, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
     """Every task holds all queries and reads its part of the index once; the index is not shuffled."""
-    held = index.sparkSession.sparkContext.broadcast((matrix(queries.v), queries.id.to_numpy()))
+    held = index.sparkSession.sparkContext.broadcast((matrix(queries["v"]), numbers(queries["id"])))
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q, ids = held.value
-        best, bound = NOTHING, None
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nearest = Nearest(*held.value, k, skip_self)
         for batch in batches:
-            if not len(batch):
-                continue
-            more = nearest(q, ids, matrix(batch.v), batch.id.to_numpy(), k, skip_self, bound)
-            best = keep_best(pd.concat([best, more], ignore_index=True), k)
-            # what is further than the k-th so far need not be looked at again
-            per_query = best.groupby("query_id").distance.agg(["size", "max"])
-            full = per_query["max"].where(per_query["size"] == k, np.inf)
-            bound = full.reindex(ids, fill_value=np.inf).to_numpy()
-        yield best
+            if len(batch):
+                nearest.meet(*index_rows(batch, k))
+        yield nearest.found()
 
     tasks = max(SEARCH_TASKS, index.sparkSession.sparkContext.defaultParallelism)
-    return index.coalesce(tasks).mapInPandas(search, FOUND)
+    return index.coalesce(tasks).mapInArrow(search, FOUND_DDL)
 
 
 def dealt_to_blocks(
@@ -265,99 +221,144 @@ def dealt_to_blocks(
     return placed.withColumn(other, F.explode(F.sequence(F.lit(0), (n_other - 1).cast("int"))))
 
 
-def search_pairs(queries: DataFrame, index: DataFrame, by: list[str], k: int, skip_self: bool) -> DataFrame:
-    """Every block of queries meets its block of the index in one call, which returns k rows per query."""
+def search_pairs(
+    queries: DataFrame, index: DataFrame, by: list[str], pairs: int, search: Callable[[pa.Table, pa.Table], Nearest]
+) -> DataFrame:
+    """Every block of queries meets its block of the index in one call, which returns at most k rows per query."""
+
+    def met(q: pa.Table, x: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([search(q, x).found()] if len(q) and len(x) else [], FOUND)
+
+    # more places than pairs of blocks, so that few share one: put together by size they would be few long tasks
+    places = min(4 * pairs, SEARCH_TASKS)
+    left, right = (side.repartition(places, *by).groupBy(*by) for side in (queries, index))
+    return left.cogroup(right).applyInArrow(met, FOUND_DDL)
 
-    def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(x):
-            return NOTHING
-        return nearest(matrix(q.v), q.id.to_numpy(), matrix(x.v), x.id.to_numpy(), k, skip_self)
 
-    return queries.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(search, FOUND)
+def block_rows(most: int, width: int) -> int:
+    return max(1, min(most, BLOCK_NUMBERS // max(width, 1)))
 
 
 def search_blocks(queries: DataFrame, index: DataFrame, k: int, skip_self: bool) -> DataFrame:
     """All queries against the whole index, both in blocks of bounded size."""
-    n_q = F.lit(max(1, math.ceil(queries.count() / QUERY_BLOCK)))
-    n_x = F.lit(max(1, math.ceil(index.count() / INDEX_BLOCK)))
-    left = dealt_to_blocks(queries, "_qb", n_q, "_xb", n_x)
-    right = dealt_to_blocks(index, "_xb", n_x, "_qb", n_q)
-    return search_pairs(left, right, ["_qb", "_xb"], k, skip_self)
-
-
-def nearest_in_cells(q: pd.DataFrame, x: pd.DataFrame, k: int, skip_self: bool) -> pd.DataFrame:
-    """Each query against the rows of those of its ``cells`` that ``x`` has; ``k`` rows per query."""
-    if not len(q) or not len(x):
-        return NOTHING
-    points, ids = matrix(q.v), q.id.to_numpy()
-    asked = np.concatenate(q.cells.to_numpy())
-    by = np.repeat(np.arange(len(q)), q.cells.map(len))
-    order = np.argsort(asked, kind="stable")
-    asked, by = asked[order], by[order]
-    best = [NOTHING]
-    for cell, rows in x.groupby("cell"):
-        here = by[np.searchsorted(asked, cell) : np.searchsorted(asked, cell, "right")]
-        if len(here):
-            best.append(nearest(points[here], ids[here], matrix(rows.v), rows.id.to_numpy(), k, skip_self))
-        if len(best) > CELLS_HELD:
-            best = [keep_best(pd.concat(best, ignore_index=True), k)]
-    return keep_best(pd.concat(best, ignore_index=True), k)
-
-
-def search_within_cells(queries: DataFrame, index: DataFrame, n_cells: int, k: int, skip_self: bool) -> DataFrame:
-    """Queries against the index rows of their ``cells``.
-
-    Cells are searched in groups, of which there are as many as the index has blocks, or two for each core. A query
-    goes to a group once, with the numbers of its cells there, and not once to every cell. A group with a
+    rows, width = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    # small tables still have work for every core
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    x_blocks = max(1, math.ceil(index.count() / block_rows(INDEX_BLOCK, width)))
+    q_blocks = max(1, math.ceil(rows / block_rows(QUERY_BLOCK, width)), math.ceil(2 * cores / x_blocks))
+    left = dealt_to_blocks(queries, "_qb", F.lit(q_blocks), "_xb", F.lit(x_blocks))
+    right = dealt_to_blocks(index, "_xb", F.lit(x_blocks), "_qb", F.lit(q_blocks))
+
+    def search(q: pa.Table, x: pa.Table) -> Nearest:
+        nearest = Nearest(matrix(q["v"]), numbers(q["id"]), k, skip_self)
+        nearest.meet(*index_rows(x, k))
+        return nearest
+
+    return search_pairs(left, right, ["_qb", "_xb"], q_blocks * x_blocks, search)
+
+
+def nearest_in_cells(q: pa.Table, x: pa.Table, n_groups: int, k: int, skip_self: bool) -> Nearest:
+    """Each query against the rows of those of its ``cells`` that ``x`` has."""
+    nearest = Nearest(matrix(q["v"]), numbers(q["id"]), k, skip_self)
+    asked = np.frombuffer(b"".join(q["cells"].to_pylist()), "uint8").reshape(len(q), -1)
+    of = x["cell"].to_numpy()
+    order = np.argsort(of, kind="stable")
+    points, ids, cells = matrix(x["v"])[order], numbers(x["id"])[order], of[order]
+    starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    for a, b in zip(starts, [*starts[1:], len(cells)]):
+        place = int(cells[a]) // n_groups
+        rows = np.flatnonzero(asked[:, place // 8] & (128 >> place % 8))
+        nearest.meet(*few_copies(points[a:b], ids[a:b], k), rows)
+    return nearest
+
+
+def to_centres(column: pa.Array, centres: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Slices of the vectors: where each begins, and its squared distances to all centres but for a term of its own."""
+    norm, step = (centres * centres).sum(1), max(1, ASKED_CELLS // len(centres))
+    for at in range(0, len(column), step):
+        yield at, norm[None, :] - 2 * (matrix(column.slice(at, step)) @ centres.T)
+
+
+def asked_cells(column: pa.Array, centres: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Slices of the vectors: where each begins, and marks of the ``n`` nearest cells of each."""
+    for at, far in to_centres(column, centres):
+        marks = np.full(far.shape, n >= len(centres))
+        if n < len(centres):
+            np.put_along_axis(marks, np.argpartition(far, n, axis=1)[:, :n], True, axis=1)
+        yield at, marks
+
+
+def in_groups(marks: np.ndarray, n_groups: int) -> np.ndarray:
+    """Marks of cells as marks by group (number of the cell modulo ``n_groups``) and place in it."""
+    rows, cells = marks.shape
+    places = -(-cells // n_groups)
+    whole = np.zeros((rows, places * n_groups), bool)
+    whole[:, :cells] = marks
+    return whole.reshape(rows, places, n_groups).transpose(0, 2, 1)
+
+
+def search_cells(queries: DataFrame, index: CellIndex, k: int, probes: int | None, skip_self: bool) -> DataFrame:
+    """Each query in its nearest cells.
+
+    Cells are searched in groups, somewhat more of them than the index has blocks, with work for every core. A query
+    goes to a group once, with a bit for each cell there, and not once to every cell. A group with a
     cell that holds a third of all rows is just more blocks.
     """
-    cores = index.sparkSession.sparkContext.defaultParallelism
-    n_groups = min(n_cells, max(math.ceil(index.count() / INDEX_BLOCK), 2 * cores))
-
-    def blocks(df: DataFrame, rows: int, name: str) -> DataFrame:
-        return df.groupBy("_group").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
-
-    x = index.withColumn("_group", F.col("cell") % n_groups)
-    groups = F.sequence(F.lit(0), F.lit(n_groups - 1))
-    q = queries.withColumn("_group", F.explode(groups))
-    q = q.withColumn("cells", F.filter("cells", lambda c: c % n_groups == F.col("_group"))).where(F.size("cells") > 0)
-    # one row per group, at most CELLS_TABLE of them
-    sizes = F.broadcast(blocks(q, QUERY_BLOCK, "_nq").join(blocks(x, INDEX_BLOCK, "_nx"), "_group"))
+    spark, centres = queries.sparkSession, index.centres
+    n_cells, width = centres.shape
+    probes = min(probes or max(1, math.ceil(n_cells / 8)), n_cells)
+    x_rows, q_rows = block_rows(INDEX_BLOCK, width), block_rows(QUERY_BLOCK, width)
+    # one row per cell, at most CELLS_TABLE of them; so is what follows
+    held = dict(index.vectors.groupBy("cell").count().collect())
+    spare = math.ceil(2 * spark.sparkContext.defaultParallelism / max(1, math.ceil(queries.count() / q_rows)))
+    n_groups = min(n_cells, max(math.ceil(1.5 * sum(held.values()) / x_rows), spare))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, groups = np.zeros(n_cells, "int64"), np.zeros(n_groups, "int64")
+        for batch in batches:
+            for _, marks in asked_cells(batch["v"], centres, probes):
+                cells += marks.sum(0)
+                groups += in_groups(marks, n_groups).any(2).sum(0)
+        for kind, count in (("cell", cells), ("group", groups)):
+            some = np.flatnonzero(count)
+            columns = [pa.array([kind] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(count[some])]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "number", "queries"])
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, marks in asked_cells(batch["v"], centres, probes):
+                grouped = in_groups(marks, n_groups)
+                row, group = np.nonzero(grouped.any(2))
+                bits = np.packbits(grouped, axis=2)
+                for a in range(0, len(row), SENT_ROWS):
+                    r, g = row[a : a + SENT_ROWS], group[a : a + SENT_ROWS]
+                    cells = np.ascontiguousarray(bits[r, g])
+                    ends = np.arange(len(r) + 1, dtype="int32") * np.int32(cells.shape[1])
+                    packed = pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(ends), pa.py_buffer(cells)])
+                    taken = [batch[name].take(pa.array(at + r)) for name in ("id", "v")]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(g, pa.int32()), *taken, packed], names=["_group", "id", "v", "cells"]
+                    )
+
+    tallied = queries.mapInArrow(tally, "kind string, number int, queries bigint")
+    asking = {(r.kind, r.number): r.n for r in tallied.groupBy("kind", "number").agg(F.sum("queries").alias("n")).collect()}
+    # the filter on cells prunes directories
+    wanted = [cell for cell in held if ("cell", cell) in asking]
+    rows = Counter()
+    for cell in wanted:
+        rows[cell % n_groups] += held[cell]
+    blocks = [(g, math.ceil(asking["group", g] / q_rows), math.ceil(n / x_rows)) for g, n in sorted(rows.items())]
+    sizes = F.broadcast(spark.createDataFrame(blocks, "_group int, _nq int, _nx int"))
+    sent_type = queries.schema["v"].dataType.simpleString()
+    q = queries.mapInArrow(sent, f"_group int, id bigint, v {sent_type}, cells binary")
+    x = index.vectors.where(F.col("cell").isin(wanted)).withColumn("_group", F.col("cell") % n_groups)
     left = dealt_to_blocks(q.join(sizes, "_group"), "_qb", F.col("_nq"), "_xb", F.col("_nx")).drop("_nq", "_nx")
     right = dealt_to_blocks(x.join(sizes, "_group"), "_xb", F.col("_nx"), "_qb", F.col("_nq")).drop("_nq", "_nx")
-    by = ["_group", "_qb", "_xb"]
-
-    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return nearest_in_cells(a, b, k, skip_self)
-
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, FOUND)
-
-
-def cell_finder(centres: np.ndarray, n: int) -> Callable[[Column], Column]:
-    """The ``n`` nearest cells of a vector; ``centres`` is bounded by CELLS_TABLE rows."""
-    norm = (centres * centres).sum(1)
-
-    @F.pandas_udf("array<int>")
-    def cells(v: pd.Series) -> pd.Series:
-        m = matrix(v)
-        far = norm[None, :] - 2 * (m @ centres.T)
-        if n == 1:
-            near = far.argmin(axis=1)[:, None]
-        elif n < len(centres):
-            near = np.argpartition(far, n, axis=1)[:, :n]
-        else:
-            near = np.broadcast_to(np.arange(n), far.shape)
-        return pd.Series(list(near.astype("int32")))
-
-    return cells
-
 
-@dataclass(frozen=True)
-class CellIndex:
-    """Vectors (id, v) with the cell they are in, and the centres of the cells."""
+    def search(a: pa.Table, b: pa.Table) -> Nearest:
+        return nearest_in_cells(a, b, n_groups, k, skip_self)
 
-    vectors: DataFrame
-    centres: np.ndarray
+    return search_pairs(left, right, ["_group", "_qb", "_xb"], max(1, sum(a * b for _, a, b in blocks)), search)
 
 
 def fit_cells(index: DataFrame, n_cells: int, seed: int, per_cell: int = 128) -> np.ndarray:
@@ -375,7 +376,13 @@ def into_cells(index: DataFrame, n_cells: int | None, seed: int) -> CellIndex:
     if n_cells > CELLS_TABLE:
         raise ValueError(f"at most {CELLS_TABLE} cells")
     centres = fit_cells(index, n_cells, seed)
-    return CellIndex(index.withColumn("cell", cell_finder(centres, 1)("v")[0]), centres)
+
+    @F.arrow_udf("int")
+    def cell(v: pa.Array) -> pa.Array:
+        found = [far.argmin(axis=1) for _, far in to_centres(v, centres)]
+        return pa.array(np.concatenate(found or [np.zeros(0)]), pa.int32())
+
+    return CellIndex(index.withColumn("cell", cell("v")), centres)
 
 
 def write_cells(
@@ -402,16 +409,6 @@ def open_cells(spark: SparkSession, path: str) -> CellIndex:
     return CellIndex(spark.read.parquet(f"{path}/vectors"), np.array([r.centre for r in centres]))
 
 
-def search_cells(queries: DataFrame, index: CellIndex, k: int, probes: int | None, skip_self: bool) -> DataFrame:
-    """Each query in its nearest cells."""
-    probes = min(probes or max(1, math.ceil(len(index.centres) / 8)), len(index.centres))
-    asked = queries.withColumn("cells", cell_finder(index.centres, probes)("v"))
-    # cell numbers, at most one per centre: the filter on them prunes directories
-    wanted = [r.cell for r in asked.select(F.explode("cells").alias("cell")).distinct().collect()]
-    rows = index.vectors.where(F.col("cell").isin(wanted))
-    return search_within_cells(asked, rows, len(index.centres), k, skip_self)
-
-
 def top_k(
     queries: DataFrame,
     index: DataFrame | CellIndex,
@@ -446,7 +443,7 @@ def top_k(
         width = q.agg(F.max(F.size("v"))).first()[0] or 1
         most = QUERY_BYTES // (8 * max(width, 1))
         if method == "broadcast" or q.limit(most + 1).count() <= most:
-            held = q.limit(most + 1).toPandas()
+            held = q.limit(most + 1).toArrow()
             if len(held) > most:
                 raise ValueError(f"more than {most} queries: use blocks")
             if len(held):

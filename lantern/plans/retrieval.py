@@ -96,7 +96,7 @@ def ann_top3(spark: SparkSession, sf_dir: str) -> Frame:
     queries and whether at least nine in ten found the very neighbour that an exact search finds."""
     path = fresh_path(spark, "cells")
     retrieval.write_cells(dealt(spark, sf_dir, "embeddings"), path, "vec_id")
-    queries = table(spark, sf_dir, "embeddings")
+    queries = dealt(spark, sf_dir, "embeddings")
     index = retrieval.open_cells(spark, path)
     # these vectors have no clusters: three in four cells are looked into for that recall
     probes = -(-3 * len(index.centres) // 4)

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from lantern.functions import neighbours
 from lantern.functions.text import in_slices
 from lantern.functions.vectors import bucket_weights, word_buckets
 from lantern.operators import inference, retrieval
@@ -363,3 +364,64 @@ def test_chunks_are_cut_and_hashed_once(spark, sf_dir, monkeypatch):
         v = np.bincount(np.array(row or [], "int64"), minlength=300) * scale
         length = np.sqrt((v * v).sum())
         assert made == (None if row is None else (v / length if length else v).tolist())
+
+
+def one_by_one(q, ids, x, x_ids, k, skip_self):
+    rows = []
+    for a, i in zip(q.astype("float64"), ids):
+        far = [float(((a - b) ** 2).sum()) for b in x.astype("float64")]
+        near = [(d, int(j)) for d, j in zip(far, x_ids) if np.isfinite(d) and not (skip_self and i == j)]
+        rows += [(int(i), j, d) for d, j in sorted(near)[:k]]
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["float32", "float64"])
+@pytest.mark.parametrize("away", [0, 1e4, 1e18])
+def test_nearest_as_measured_one_by_one(monkeypatch, kind, away):
+    """Candidates of single precision lose nothing, also far from the origin, among copies and without numbers."""
+    monkeypatch.setattr(neighbours, "TILE", 200)
+    monkeypatch.setattr(neighbours, "TILE_COLUMNS", 16)
+    draw = np.random.default_rng(6)
+    base = draw.normal(size=(40, 5)) + away
+    x, q = base[draw.integers(0, 40, 150)].astype(kind), base[:30].astype(kind)
+    x += (draw.normal(size=x.shape) * 1e-6).astype(kind) * draw.integers(0, 2, (150, 1))
+    x[7, 2], q[3, 1] = np.nan, np.inf
+    ids, x_ids = np.arange(30), draw.integers(0, 60, 150)
+    for k, skip_self in ((1, True), (4, False)):
+        nearest = neighbours.Nearest(q, ids, k, skip_self)
+        for at in range(0, 150, 70):
+            nearest.meet(*neighbours.few_copies(x[at : at + 70], x_ids[at : at + 70], k))
+        got = [tuple(r.values()) for r in nearest.found().to_pylist()]
+        with np.errstate(invalid="ignore"):
+            assert got == one_by_one(q, ids, x, x_ids, k, skip_self)
+
+
+def test_few_pairs_are_measured(monkeypatch):
+    """Of thousands of copies, and of near copies far from the origin, few are measured term by term."""
+    measured = []
+    plain = neighbours.Nearest.measure
+    monkeypatch.setattr(neighbours.Nearest, "measure", lambda s, rows, x, ids: measured.append(len(rows)) or plain(s, rows, x, ids))
+    draw = np.random.default_rng(8)
+    copies, near = np.ones((3000, 8), "float32"), (1000 + draw.normal(size=(3000, 8))).astype("float32")
+    for x in (copies, near):
+        measured.clear()
+        nearest = neighbours.Nearest(x[:500], np.arange(500), 3, True)
+        nearest.meet(*neighbours.few_copies(x, np.arange(3000), 3))
+        assert len(nearest.found()) == 1500 and sum(measured) <= 500 * 3 * 2 * neighbours.CANDIDATES
+
+
+def test_cells_of_a_query_are_sent_as_bits(spark, monkeypatch):
+    """What a query carries to a group of cells is a bit for each cell there."""
+    points = [(i, [float(x) for x in np.random.default_rng(i).normal(size=4)]) for i in range(600)]
+    df = spark.createDataFrame(points, "id long, embedding array<float>")
+    carried = []
+    plain = retrieval.dealt_to_blocks
+
+    def seen(rows, *a):
+        if "cells" in rows.columns:
+            carried.extend(r.n for r in rows.select(F.octet_length("cells").alias("n")).collect())
+        return plain(rows, *a)
+
+    monkeypatch.setattr(retrieval, "dealt_to_blocks", seen)
+    found = retrieval.top_k(df, df, 3, "cells", skip_self=True, n_cells=100, probes=75)
+    assert found.count() == 1800 and max(carried) <= 2
